@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 from meterflow.operators import assets as A
 from meterflow.operators import charts as C
 from meterflow.operators import conform as K
+from meterflow.operators import lineage as L
 from meterflow.operators import nrw as N
+from meterflow.operators import quality as Q
 from meterflow.params import ASSET_AS_OF
 from meterflow.plans import inputs as I
 from meterflow.plans import oracle_sql as O
-from meterflow.session import apply_runtime_conf
+from meterflow.session import apply_runtime_conf, scratch_path
+from meterflow.sources import bronze, tables
 from meterflow.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -300,3 +303,256 @@ def q_chart_asset_age_histogram(spark, d):
 def q_chart_consumption_histogram(spark, d):
     """Reading-volume histogram (10 kL bins)."""
     return C.consumption_histogram(I.event_readings(spark, d), 10.0)
+
+
+# ------------------------------------------------------- sources and sinks
+def _events(spark, d):
+    return fx.table(spark, d, "events")
+
+
+@register("bronze_sensus", """
+  SELECT 'SEN-' || CAST(user_id AS VARCHAR) AS meter_id,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS timestamp_utc, value AS flow_kl
+  FROM events WHERE coalesce(event_type IN ('click','view','purchase'), false)""")
+def q_bronze_sensus(spark, d):
+    """Land the nested feed as JSON Lines, read it back with the schema."""
+    path = fx.land_json(fx.sensus_from_events(_events(spark, d)), scratch_path(spark, "bronze-sensus"))
+    b = bronze.read_sensus(spark, path)
+    return b.select("meter_id", "timestamp_utc", F.col("reading_data.flow_kl").alias("flow_kl"))
+
+
+@register("bronze_itron", """
+  SELECT 'ITR-' || CAST(user_id AS VARCHAR) AS itron_device_id,
+         strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS read_datetime, value AS consumption_m3
+  FROM events WHERE NOT coalesce(event_type IN ('click','view','purchase'), false)""")
+def q_bronze_itron(spark, d):
+    """Flat feed through JSON Lines."""
+    path = fx.land_json(fx.itron_from_events(_events(spark, d)), scratch_path(spark, "bronze-itron"))
+    return bronze.read_itron(spark, path)
+
+
+@register("bronze_asset_master", f"""
+  SELECT asset_id, asset_type, strftime(install_date, '%Y-%m-%d') AS install_date,
+         strftime(last_maintenance_date, '%Y-%m-%d') AS last_maintenance_date,
+         manufacturer, model_number, latitude, longitude
+  FROM ({O.DIM_ASSET}) d""")
+def q_bronze_asset_master(spark, d):
+    """S3: nested asset master through JSON Lines (location struct kept nested on disk)."""
+    master = fx.asset_master_from_orders(fx.table(spark, d, "orders"), fx.table(spark, d, "lineitem"))
+    path = fx.land_json(master, scratch_path(spark, "bronze-asset-master"))
+    b = bronze.read_asset_master(spark, path)
+    return b.select("asset_id", "asset_type", "install_date", "last_maintenance_date", "manufacturer",
+                    "model_number", F.col("location.latitude").alias("latitude"),
+                    F.col("location.longitude").alias("longitude"))
+
+
+@register("bronze_maintenance_log", f"""
+  SELECT asset_id, strftime(install_date, '%Y-%m-%d') AS install_date, asset_type, material,
+         strftime(last_maintenance_date, '%Y-%m-%d') AS last_maintenance_date, failure_event
+  FROM ({O.MAINT_LOG}) m""")
+def q_bronze_maintenance_log(spark, d):
+    """Maintenance log through header CSV, read with an explicit schema."""
+    path = fx.land_csv(I.maintenance_log(spark, d), scratch_path(spark, "bronze-maintenance"))
+    b = bronze.read_maintenance_log(spark, path)
+    return b.select("asset_id", date_text("install_date").alias("install_date"), "asset_type", "material",
+                    date_text("last_maintenance_date").alias("last_maintenance_date"), "failure_event")
+
+
+@register("roundtrip_overwrite", f"SELECT * FROM ({O.S_EVENTS}) s")
+def q_roundtrip_overwrite(spark, d):
+    """S5 + S6: publish the gold summary twice (checked overwrite), read it back."""
+    path = scratch_path(spark, "gold-nrw")
+    summary = I.event_summary(spark, d)
+    tables.write_table(summary, path)
+    tables.write_table(tables.read_table(spark, path), path)  # same schema: allowed, reads its own target
+    return tables.read_table(spark, path)
+
+
+@register("roundtrip_overwrite_schema", f"""
+  SELECT asset_id, asset_type, strftime(install_date, '%Y-%m-%d') AS install_date,
+         strftime(last_maintenance_date, '%Y-%m-%d') AS last_maintenance_date,
+         manufacturer, model_number, latitude, longitude
+  FROM ({O.DIM_ASSET}) d""")
+def q_roundtrip_overwrite_schema(spark, d):
+    """Replace a stored table that has another schema (overwrite_schema=True)."""
+    path = scratch_path(spark, "silver-dim-asset")
+    dim = I.assets(spark, d)
+    tables.write_table(dim.select("asset_id", "asset_type"), path)
+    tables.write_table(dim, path, overwrite_schema=True)
+    t = tables.read_table(spark, path)
+    return t.select("asset_id", "asset_type", date_text("install_date").alias("install_date"),
+                    date_text("last_maintenance_date").alias("last_maintenance_date"),
+                    "manufacturer", "model_number", "latitude", "longitude")
+
+
+@register("export_csv_roundtrip", f"SELECT * FROM ({O.FEATURES}) f")
+def q_export_csv_roundtrip(spark, d):
+    """Export the feature table as header CSV and read the export back."""
+    feats = I.features(spark, d)
+    path = tables.export_csv(feats, scratch_path(spark, "export-features"))
+    return tables.read_csv_export(spark, path, feats.schema)
+
+
+REFRESH_FIRST_BEFORE = "2024-01-23 12:00:00"
+REFRESH_FROM_DAY = "2024-01-23"
+
+
+@register("incremental_refresh", f"SELECT * FROM ({O.S_EVENTS}) s")
+def q_incremental_refresh(spark, d):
+    """Initial load, then a refresh that rewrites only the touched days.
+
+    The first load sees readings up to midday of one day (that day is
+    partial); the refresh recomputes that day and every later one from all
+    their readings. Only those partitions are replaced.
+    """
+    path = scratch_path(spark, "gold-nrw-partitioned")
+    readings = I.event_readings(spark, d)
+    rule = I.billing_rule()
+    first = readings.where(F.col("reading_ts") < F.lit(REFRESH_FIRST_BEFORE).cast("timestamp_ntz"))
+    later = readings.where(F.to_date("reading_ts") >= F.lit(REFRESH_FROM_DAY).cast("date"))
+    tables.refresh_partitions(N.nrw_daily_summary(first, rule, decimals=6), path, "report_date")
+    tables.refresh_partitions(N.nrw_daily_summary(later, rule, decimals=6), path, "report_date")
+    schema = N.nrw_daily_summary(readings, rule, decimals=6).schema
+    return tables.read_table(spark, path, schema=schema).select(*N.SUMMARY_COLUMNS)
+
+
+# ------------------------------------------------------------ data quality
+RANGE_MAX_KL = 250.0
+READINGS_RANGE = f"(consumption_kl < 0 OR consumption_kl > {RANGE_MAX_KL} OR isnan(consumption_kl))"
+
+
+def _report_sql(rows: list[str]) -> str:
+    body = " UNION ALL ".join(rows)
+    return f"SELECT rule, \"column\", checked, failed, failed = 0 AS success FROM ({body}) q"
+
+
+@register("dq_not_null", _report_sql([f"""
+  SELECT 'meter_id_not_null' AS rule, 'meter_id' AS "column", count(*) AS checked,
+         count_if(meter_id IS NULL) AS failed FROM ({O.R_EVENTS}) r"""]))
+def q_dq_not_null(spark, d):
+    """Null meter ids."""
+    return Q.evaluate(I.event_readings(spark, d), [Q.not_null("meter_id", name="meter_id_not_null")])
+
+
+@register("dq_range", _report_sql([f"""
+  SELECT 'consumption_in_range' AS rule, 'consumption_kl' AS "column", count(*) AS checked,
+         count_if(coalesce({READINGS_RANGE}, false)) AS failed FROM ({O.R_EVENTS}) r"""]))
+def q_dq_range(spark, d):
+    """Reading volume within [0, 250] kL."""
+    return Q.evaluate(I.event_readings(spark, d),
+                      [Q.in_range("consumption_kl", 0.0, RANGE_MAX_KL, name="consumption_in_range")])
+
+
+@register("dq_column_exists", _report_sql([f"""
+  SELECT 'silver_columns' AS rule, 'meter_id,reading_timestamp,consumption_kl' AS "column",
+         count(*) AS checked, CAST(0 AS BIGINT) AS failed FROM ({O.R_EVENTS}) r""", f"""
+  SELECT 'reading_value_column' AS rule, 'reading_value' AS "column",
+         count(*) AS checked, count(*) AS failed FROM ({O.R_EVENTS}) r"""]))
+def q_dq_column_exists(spark, d):
+    """D3: the silver columns exist; 'reading_value' (named by the original stub) does not."""
+    return Q.evaluate(I.event_readings(spark, d), [
+        Q.column_exists("meter_id", "reading_timestamp", "consumption_kl", name="silver_columns"),
+        Q.column_exists("reading_value", name="reading_value_column"),
+    ])
+
+
+@register("dq_unique", _report_sql(["""
+  SELECT 'lineitem_key_unique' AS rule, 'l_orderkey,l_linenumber' AS "column",
+         CAST(sum(n) AS BIGINT) AS checked, CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS failed
+  FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) g"""]))
+def q_dq_unique(spark, d):
+    """(l_orderkey, l_linenumber) must be unique; rows in repeated keys fail."""
+    return Q.evaluate(fx.table(spark, d, "lineitem"),
+                      [Q.unique("l_orderkey", "l_linenumber", name="lineitem_key_unique")])
+
+
+@register("dq_report", _report_sql([f"""
+  SELECT 'column_exists(meter_id,reading_timestamp,consumption_kl)' AS rule,
+         'meter_id,reading_timestamp,consumption_kl' AS "column", count(*) AS checked,
+         CAST(0 AS BIGINT) AS failed FROM ({O.R_EVENTS}) r""", f"""
+  SELECT 'meter_id_not_null', 'meter_id', count(*), count_if(meter_id IS NULL) FROM ({O.R_EVENTS}) r""", f"""
+  SELECT 'timestamp_parses', 'reading_timestamp', count(*), count_if(reading_ts IS NULL) FROM ({O.R_EVENTS}) r""", f"""
+  SELECT 'consumption_in_range', 'consumption_kl', count(*), count_if(coalesce({READINGS_RANGE}, false))
+  FROM ({O.R_EVENTS}) r""", f"""
+  SELECT 'reading_unique', 'meter_id,reading_timestamp', CAST(sum(n) AS BIGINT),
+         CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT)
+  FROM (SELECT count(*) AS n FROM ({O.R_EVENTS}) r GROUP BY meter_id, reading_ts) g"""]))
+def q_dq_report(spark, d):
+    """The full report the silver gate checks (one row per rule)."""
+    rules = Q.reading_rules(0.0, RANGE_MAX_KL) + [
+        Q.unique("meter_id", "reading_timestamp", name="reading_unique")]
+    return Q.evaluate(I.event_readings(spark, d), rules)
+
+
+@register("dq_date_order", _report_sql([f"""
+  SELECT 'maintenance_after_install' AS rule, 'install_date,last_maintenance_date' AS "column",
+         count(*) AS checked,
+         count_if(NOT coalesce(last_maintenance_date >= install_date, false)) AS failed
+  FROM ({O.DIM_ASSET}) d"""]))
+def q_dq_date_order(spark, d):
+    """D-rule on the asset dimension: last maintenance must not precede install."""
+    return Q.evaluate(I.assets(spark, d), [Q.holds(
+        "last_maintenance_date >= install_date", ("install_date", "last_maintenance_date"),
+        name="maintenance_after_install")])
+
+
+@register("dq_clean", f"""
+  SELECT meter_id, strftime(reading_ts, '{TS_SQL}') AS reading_ts, consumption_kl FROM ({O.R_EVENTS}) r
+  WHERE meter_id IS NOT NULL AND reading_ts IS NOT NULL AND NOT coalesce({READINGS_RANGE}, false)""")
+def q_dq_clean(spark, d):
+    """Rows passing every row-level rule."""
+    ok, _ = Q.split_clean(I.event_readings(spark, d), Q.reading_rules(0.0, RANGE_MAX_KL))
+    return ok.select("meter_id", ts_text("reading_ts").alias("reading_ts"), "consumption_kl")
+
+
+@register("dq_quarantine", f"""
+  SELECT meter_id, strftime(reading_ts, '{TS_SQL}') AS reading_ts, consumption_kl,
+         concat_ws(',', CASE WHEN meter_id IS NULL THEN 'meter_id_not_null' END,
+                        CASE WHEN reading_ts IS NULL THEN 'timestamp_parses' END,
+                        CASE WHEN coalesce({READINGS_RANGE}, false) THEN 'consumption_in_range' END) AS failed_rules
+  FROM ({O.R_EVENTS}) r
+  WHERE meter_id IS NULL OR reading_ts IS NULL OR coalesce({READINGS_RANGE}, false)""")
+def q_dq_quarantine(spark, d):
+    """Rejected rows with the names of the rules they broke."""
+    _, bad = Q.split_clean(I.event_readings(spark, d), Q.reading_rules(0.0, RANGE_MAX_KL))
+    return bad.select("meter_id", ts_text("reading_ts").alias("reading_ts"), "consumption_kl",
+                      F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+# ------------------------------------------------------------------ lineage
+def _lineage_sql() -> str:
+    counts = f"""
+      SELECT 'bronze.smart-meter.sensus_readings' AS dataset, count(*) AS n FROM events
+        WHERE coalesce(event_type IN ('click','view','purchase'), false)
+      UNION ALL SELECT 'bronze.smart-meter.itron_readings', count(*) FROM events
+        WHERE NOT coalesce(event_type IN ('click','view','purchase'), false)
+      UNION ALL SELECT 'bronze.asset.asset_master_data', count(*) FROM orders
+      UNION ALL SELECT 'silver.fct_meter_readings', count(*) FROM events
+      UNION ALL SELECT 'silver.dim_asset', count(*) FROM orders
+      UNION ALL SELECT 'gold.nrw_daily_summary', count(*) FROM ({O.S_EVENTS}) s
+      UNION ALL SELECT 'gold.asset_failure_features', count(*) FROM orders"""
+    edges = " UNION ALL ".join(
+        f"SELECT '{u}' AS upstream, '{w}' AS downstream, '{j}' AS job"
+        for u, w, j in L.BRONZE_TO_SILVER + L.SILVER_TO_GOLD)
+    return f"""
+  WITH c AS ({counts}), e AS ({edges})
+  SELECT e.upstream, e.downstream, e.job, cu.n AS upstream_rows, cd.n AS downstream_rows
+  FROM e LEFT JOIN c cu ON cu.dataset = e.upstream LEFT JOIN c cd ON cd.dataset = e.downstream"""
+
+
+@register("lineage_edges", _lineage_sql())
+def q_lineage_edges(spark, d):
+    """L1 / L2: lineage edges of both jobs with the row counts seen in this run."""
+    ev = _events(spark, d)
+    datasets = {
+        "bronze.smart-meter.sensus_readings": fx.sensus_from_events(ev),
+        "bronze.smart-meter.itron_readings": fx.itron_from_events(ev),
+        "bronze.asset.asset_master_data": fx.asset_master_from_orders(
+            fx.table(spark, d, "orders"), fx.table(spark, d, "lineitem")),
+        "silver.fct_meter_readings": I.event_readings(spark, d),
+        "silver.dim_asset": I.assets(spark, d),
+        "gold.nrw_daily_summary": I.event_summary(spark, d),
+        "gold.asset_failure_features": I.features(spark, d),
+    }
+    e = L.lineage_edges(spark, L.BRONZE_TO_SILVER + L.SILVER_TO_GOLD, datasets)
+    return e.drop("run_ts")

@@ -41,6 +41,7 @@ def build_session(
         b = b.master(master)
     conf = dict(RUNTIME_CONF)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.ui.showConsoleProgress"] = "false"
     conf["spark.sql.execution.arrow.pyspark.enabled"] = "true"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
