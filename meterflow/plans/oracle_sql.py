@@ -49,10 +49,16 @@ S_EVENTS = summary_sql(R_EVENTS)
 S_LINEITEM = summary_sql(R_LINEITEM)
 S_LINEITEM_NATION = summary_sql(R_LINEITEM_NATION)
 
-DISTRICTS = """
+def initcap(x: str) -> str:
+    """Spark's initcap: each space-separated word upper-cased first, rest lower."""
+    return (f"array_to_string(list_transform(string_split(lower({x}), ' '), "
+            f"lambda w: upper(substr(w, 1, 1)) || substr(w, 2)), ' ')")
+
+
+DISTRICTS = f"""
   SELECT 'N' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS district_id,
-         upper(substr(n_name, 1, 1)) || lower(substr(n_name, 2)) AS district_name,
-         upper(substr(r_name, 1, 1)) || lower(substr(r_name, 2)) AS region_name
+         {initcap('n_name')} AS district_name,
+         {initcap('r_name')} AS region_name
   FROM nation LEFT JOIN region ON n_regionkey = r_regionkey"""
 
 DIM_ASSET = """

@@ -17,14 +17,18 @@ from meterflow.operators import assets as A
 from meterflow.operators import charts as C
 from meterflow.operators import conform as K
 from meterflow.operators import lineage as L
+from meterflow.operators import ml as M
+from meterflow.operators import sensors as S
 from meterflow.operators import nrw as N
 from meterflow.operators import quality as Q
 from meterflow.params import ASSET_AS_OF
 from meterflow.plans import inputs as I
 from meterflow.plans import oracle_sql as O
+from meterflow.plans import reports as R
 from meterflow.session import apply_runtime_conf, scratch_path
 from meterflow.sources import bronze, tables
 from meterflow.sources import fixtures as fx
+from meterflow.streaming import jobs as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -556,3 +560,253 @@ def q_lineage_edges(spark, d):
     }
     e = L.lineage_edges(spark, L.BRONZE_TO_SILVER + L.SILVER_TO_GOLD, datasets)
     return e.drop("run_ts")
+
+
+# ------------------------------------------------------------ documented tier
+NATION_AS_OF = "2001-06-30"
+S_NAMED = f"""
+  SELECT s.report_date, s.district AS district_id, d.district_name, d.region_name,
+         s.total_supplied_kl, s.total_billed_kl, s.nrw_kl, s.nrw_percent
+  FROM ({O.S_LINEITEM_NATION}) s LEFT JOIN ({O.DISTRICTS}) d ON s.district = d.district_id"""
+
+
+def _named_summary(spark, d):
+    return N.with_district_name(I.lineitem_summary(spark, d, "nation"), I.districts(spark, d))
+
+
+@register("nrw_with_district_name", f"SELECT * FROM ({S_NAMED}) n")
+def q_nrw_with_district_name(spark, d):
+    """Daily summary with district and region names (broadcast dimension)."""
+    return _named_summary(spark, d)
+
+
+@register("sql_last_30_days", f"""
+  SELECT report_date, district_name, nrw_percent FROM ({S_NAMED}) n
+  WHERE CAST(report_date AS DATE) >= DATE '{NATION_AS_OF}' - 30
+    AND CAST(report_date AS DATE) <= DATE '{NATION_AS_OF}'
+  ORDER BY report_date DESC""")
+def q_sql_last_30_days(spark, d):
+    """P20 + O1: the documented last-30-days query, as of a fixed date."""
+    return R.last_30_days(_named_summary(spark, d), NATION_AS_OF)
+
+
+@register("sql_maintenance_attention", f"""
+  SELECT asset_id, asset_type, days_since_last_maintenance FROM ({O.FEATURES}) f
+  WHERE days_since_last_maintenance > 365 ORDER BY days_since_last_maintenance DESC""")
+def q_sql_maintenance_attention(spark, d):
+    """P21 + O2: the documented maintenance-attention query."""
+    return R.maintenance_attention(I.features(spark, d), 365)
+
+
+def _rolling_sql(sensor: str, days: int, value_expr: str, out: str) -> str:
+    return f"""
+  WITH d AS (
+    SELECT asset_id, CAST(reading_ts AS DATE) AS day,
+           sum(CAST(round(value * 10000) AS BIGINT)) AS su, count(*) AS n, max(value) AS mx
+    FROM ({O.SENSORS}) s WHERE sensor = '{sensor}' AND value IS NOT NULL GROUP BY 1, 2)
+  SELECT asset_id, strftime(day, '%Y-%m-%d') AS report_date, {value_expr} AS {out}
+  FROM d WINDOW w AS (PARTITION BY asset_id ORDER BY datediff('day', DATE '1970-01-01', day)
+                      RANGE BETWEEN {days - 1} PRECEDING AND CURRENT ROW)"""
+
+
+@register("avg_pressure_30d", _rolling_sql(
+    "pressure", 30, "round((CAST(sum(su) OVER w AS DOUBLE) / 10000) / CAST(sum(n) OVER w AS DOUBLE), 6)",
+    "avg_pressure_30d"))
+def q_avg_pressure_30d(spark, d):
+    """Trailing 30-day mean pressure per asset and day."""
+    return S.rolling_mean(I.sensors(spark, d), "pressure", 30, decimals=6)
+
+
+@register("max_vibration_7d", _rolling_sql("vibration", 7, "max(mx) OVER w", "max_vibration_7d"))
+def q_max_vibration_7d(spark, d):
+    """Trailing 7-day max vibration per asset and day."""
+    return S.rolling_max(I.sensors(spark, d), "vibration", 7)
+
+
+@register("nrw_vs_target", f"""
+  SELECT report_date, district, nrw_percent, 10.0::DOUBLE AS target_percent,
+         round(nrw_percent - 10.0::DOUBLE, 6) AS variance_pct, nrw_percent > 10.0::DOUBLE AS above_target
+  FROM ({O.S_EVENTS}) s""")
+def q_nrw_vs_target(spark, d):
+    """Daily NRW against a 10 % target."""
+    return N.nrw_vs_target(I.event_summary(spark, d), 10.0, decimals=6)
+
+
+LOSS_SPLIT_SQL = f"""
+  SELECT report_date, district, nrw_kl,
+         CAST(a_u AS DOUBLE) / 10000 AS apparent_loss_kl, CAST(nrw_u - a_u AS DOUBLE) / 10000 AS real_loss_kl
+  FROM (SELECT *, (nrw_u * 3000 + 5000) // 10000 AS a_u
+        FROM (SELECT *, CAST(round(nrw_kl * 10000) AS BIGINT) AS nrw_u FROM ({O.S_EVENTS}) s) x) y"""
+
+
+@register("loss_split", LOSS_SPLIT_SQL)
+def q_loss_split(spark, d):
+    """Apparent (30 %) vs real loss per district-day."""
+    return N.loss_split(I.event_summary(spark, d))
+
+
+@register("loss_trend", f"""
+  SELECT strftime(date_trunc('month', CAST(report_date AS DATE)), '%Y-%m-%d') AS month, district,
+         CAST(sum(CAST(round(apparent_loss_kl * 10000) AS BIGINT)) AS DOUBLE) / 10000 AS apparent_loss_kl,
+         CAST(sum(CAST(round(real_loss_kl * 10000) AS BIGINT)) AS DOUBLE) / 10000 AS real_loss_kl
+  FROM ({LOSS_SPLIT_SQL}) l GROUP BY 1, 2""")
+def q_loss_trend(spark, d):
+    """Monthly apparent vs real loss."""
+    return N.loss_trend(N.loss_split(I.event_summary(spark, d)))
+
+
+INTERVENTION = "2024-01-16"
+
+
+@register("nrw_before_after", f"""
+  SELECT district, nrw_pct_before, nrw_pct_after, days_before, days_after,
+         round(nrw_pct_after - nrw_pct_before, 6) AS change_pct
+  FROM (SELECT district,
+          {_exact_mean_sql(f"CASE WHEN CAST(report_date AS DATE) < DATE '{INTERVENTION}' THEN nrw_percent END")}
+            AS nrw_pct_before,
+          {_exact_mean_sql(f"CASE WHEN CAST(report_date AS DATE) >= DATE '{INTERVENTION}' THEN nrw_percent END")}
+            AS nrw_pct_after,
+          count_if(CAST(report_date AS DATE) < DATE '{INTERVENTION}') AS days_before,
+          count_if(CAST(report_date AS DATE) >= DATE '{INTERVENTION}') AS days_after
+        FROM ({O.S_EVENTS}) s GROUP BY district) x""")
+def q_nrw_before_after(spark, d):
+    """Leak-programme effect: mean NRW % before vs after an intervention date."""
+    return N.nrw_before_after(I.event_summary(spark, d), INTERVENTION, decimals=6)
+
+
+@register("top_loss_districts", f"""
+  SELECT district, nrw_kl, total_supplied_kl,
+         CASE WHEN total_supplied_kl = 0 THEN NULL ELSE round(nrw_kl / total_supplied_kl * 100, 6) END AS nrw_percent
+  FROM (SELECT district,
+               CAST(sum(CAST(round(nrw_kl * 10000) AS BIGINT)) AS DOUBLE) / 10000 AS nrw_kl,
+               CAST(sum(CAST(round(total_supplied_kl * 10000) AS BIGINT)) AS DOUBLE) / 10000 AS total_supplied_kl
+        FROM ({O.S_LINEITEM_NATION}) s GROUP BY district) x
+  ORDER BY nrw_kl DESC, district LIMIT 5""")
+def q_top_loss_districts(spark, d):
+    """The five districts with the most NRW volume."""
+    return N.top_loss_districts(I.lineitem_summary(spark, d, "nation"), 5, decimals=6)
+
+
+SNAPSHOT = "2024-01-30"
+
+
+@register("asset_feature_snapshot", f"""
+  WITH sn AS (
+    SELECT asset_id,
+           sum(CASE WHEN sensor = 'pressure' AND CAST(reading_ts AS DATE) > DATE '{SNAPSHOT}' - 30
+                    THEN CAST(round(value * 10000) AS BIGINT) END) AS p_u,
+           count(CASE WHEN sensor = 'pressure' AND CAST(reading_ts AS DATE) > DATE '{SNAPSHOT}' - 30
+                      THEN value END) AS p_n,
+           max(CASE WHEN sensor = 'vibration' AND CAST(reading_ts AS DATE) > DATE '{SNAPSHOT}' - 7
+                    THEN value END) AS max_vibration_7d
+    FROM ({O.SENSORS}) s
+    WHERE CAST(reading_ts AS DATE) > DATE '{SNAPSHOT}' - 30 AND CAST(reading_ts AS DATE) <= DATE '{SNAPSHOT}'
+    GROUP BY asset_id)
+  SELECT d.asset_id, '{SNAPSHOT}' AS snapshot_date, d.asset_type,
+         strftime(d.install_date, '%Y-%m-%d') AS install_date, m.material,
+         CAST(DATE '{SNAPSHOT}' - d.install_date AS INTEGER) AS asset_age_days,
+         CASE WHEN sn.p_n = 0 THEN NULL
+              ELSE round((CAST(sn.p_u AS DOUBLE) / 10000) / CAST(sn.p_n AS DOUBLE), 6) END AS avg_pressure_30d,
+         sn.max_vibration_7d,
+         CAST(DATE '{SNAPSHOT}' - d.last_maintenance_date AS INTEGER) AS days_since_last_maintenance,
+         CAST(coalesce(m.failure_event, 0) AS INTEGER) AS failure_event
+  FROM ({O.DIM_ASSET}) d LEFT JOIN ({O.MAINT_SUMMARY}) m ON d.asset_id = m.asset_id
+  LEFT JOIN sn ON d.asset_id = sn.asset_id""")
+def q_asset_feature_snapshot(spark, d):
+    """All ten documented feature columns at one snapshot date."""
+    return S.asset_feature_snapshot(I.assets(spark, d), I.maintenance_log(spark, d), I.sensors(spark, d),
+                                    SNAPSHOT, decimals=6)
+
+
+@register("maintenance_priority", f"""
+  SELECT asset_id, asset_type, failure_event, days_since_last_maintenance, asset_age_days
+  FROM ({O.FEATURES}) f
+  ORDER BY failure_event DESC, coalesce(days_since_last_maintenance, 2147483647) DESC,
+           asset_age_days DESC, asset_id LIMIT 100""")
+def q_maintenance_priority(spark, d):
+    """Top 100 assets by maintenance risk."""
+    return A.maintenance_priority(I.features(spark, d), 100)
+
+
+@register("failure_by_condition", f"""
+  SELECT asset_type, CAST(floor(CAST(asset_age_days AS DOUBLE) / 1000) AS BIGINT) * 1000 AS age_band_start,
+         coalesce(days_since_last_maintenance > 365, true) AS overdue,
+         count(*) AS total_assets, CAST(sum(failure_event) AS BIGINT) AS failures,
+         round(CAST(sum(failure_event) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS failure_rate
+  FROM ({O.FEATURES}) f GROUP BY 1, 2, 3""")
+def q_failure_by_condition(spark, d):
+    """Failure rate by type, 1000-day age band and overdue flag."""
+    return A.failure_by_condition(I.features(spark, d), 1000, 365, decimals=6)
+
+
+@register("failure_model_scores")
+def q_failure_model_scores(spark, d):
+    """Logistic-regression failure probability per asset (rows-only check)."""
+    return M.failure_model_scores(I.features(spark, d))
+
+
+@register("demand_forecast_naive", f"""
+  WITH p AS ({HOURLY_PROFILE_SQL}),
+       h AS (SELECT unnest(generate_series(date_trunc('hour', max(reading_ts)) + INTERVAL 1 HOUR,
+                                           date_trunc('hour', max(reading_ts)) + INTERVAL 168 HOUR,
+                                           INTERVAL 1 HOUR)) AS ts FROM ({O.R_EVENTS}) r)
+  SELECT strftime(h.ts, '%Y-%m-%d %H:%M:%S') AS forecast_ts, dayname(h.ts) AS day_of_week,
+         CAST(hour(h.ts) AS INTEGER) AS hour, p.consumption_kl AS forecast_kl
+  FROM h LEFT JOIN p ON p.day_of_week = dayname(h.ts) AND p.hour = hour(h.ts)""")
+def q_demand_forecast_naive(spark, d):
+    """Seasonal-naive hourly demand forecast for the next 7 days."""
+    return M.demand_forecast_naive(I.event_readings(spark, d), 168, decimals=6)
+
+
+@register("readings_with_asset", f"""
+  SELECT r.meter_id, strftime(r.reading_ts, '{TS_SQL}') AS reading_ts, r.consumption_kl, a.asset_id,
+         a.asset_type, a.manufacturer, a.latitude, a.longitude
+  FROM (SELECT *, 'MTR-' || split_part(meter_id, '-', 2) AS asset_id FROM ({O.R_EVENTS}) r0) r
+  LEFT JOIN ({O.DIM_ASSET}) a ON r.asset_id = a.asset_id""")
+def q_readings_with_asset(spark, d):
+    """Readings enriched with their asset's columns."""
+    j = A.readings_with_asset(I.event_readings(spark, d), I.assets(spark, d))
+    return j.select("meter_id", ts_text("reading_ts").alias("reading_ts"), "consumption_kl", "asset_id",
+                    "asset_type", "manufacturer", "latitude", "longitude")
+
+
+# ---------------------------------------------------------------- streaming
+def _land_event_feeds(spark, d):
+    ev = _events(spark, d)
+    sensus_dir = fx.land_json(fx.sensus_from_events(ev), scratch_path(spark, "land-sensus"))
+    itron_dir = fx.land_json(fx.itron_from_events(ev), scratch_path(spark, "land-itron"))
+    return sensus_dir, itron_dir
+
+
+@register("stream_conform", ORACLES["fct_meter_readings"])
+def q_stream_conform(spark, d):
+    """Streaming conform of landed feeds into the silver fact (file sink)."""
+    sensus_dir, itron_dir = _land_event_feeds(spark, d)
+    out, ckpt = scratch_path(spark, "stream-silver"), scratch_path(spark, "stream-silver-ckpt")
+    q = ST.start_conform(spark, sensus_dir, itron_dir, out, ckpt)
+    q.awaitTermination()
+    r = spark.read.schema(q_schema_silver(spark)).parquet(out)
+    return r.select("meter_id", "reading_timestamp", ts_text("reading_ts").alias("reading_ts"), "consumption_kl")
+
+
+def q_schema_silver(spark):
+    from pyspark.sql.types import DoubleType, StringType, StructField, StructType, TimestampNTZType
+
+    return StructType([StructField("meter_id", StringType()), StructField("reading_timestamp", StringType()),
+                       StructField("consumption_kl", DoubleType()), StructField("reading_ts", TimestampNTZType())])
+
+
+STREAM_WATERMARK = "1 hour"
+
+
+@register("stream_daily_nrw", f"""
+  SELECT * FROM ({O.S_EVENTS}) s
+  WHERE CAST(CAST(report_date AS DATE) + 1 AS TIMESTAMP) <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+def q_stream_daily_nrw(spark, d):
+    """Watermarked daily NRW stream; closed days only (append mode)."""
+    sensus_dir, itron_dir = _land_event_feeds(spark, d)
+    out, ckpt = scratch_path(spark, "stream-nrw"), scratch_path(spark, "stream-nrw-ckpt")
+    q = ST.start_daily_nrw(spark, sensus_dir, itron_dir, out, ckpt, I.billing_rule(), STREAM_WATERMARK,
+                           decimals=6)
+    q.awaitTermination()
+    return spark.read.parquet(out).select(*N.SUMMARY_COLUMNS)
