@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_OFFSET = r"([+-])([0-9]{2}):?([0-9]{2})$"
+_OFFSET = r"[0-9]([+-])([0-9]{2}):?([0-9]{2})\s*$"
 
 
 def _c(c: Column | str) -> Column:
@@ -26,16 +26,19 @@ def parse_utc_timestamp(c: Column | str) -> Column:
     offsets are subtracted. A ``TIMESTAMP`` / ``TIMESTAMP_NTZ`` column can be
     passed too (the ANSI-safe ``try_cast`` is applied either way).
     """
-    s = F.trim(_c(c).cast("string"))
+    s = _c(c).cast("string")
     # try_cast to TIMESTAMP_NTZ reads the wall clock and ignores any zone
-    # suffix, so the offset is applied explicitly afterwards.
+    # suffix. Text ending in Z or without an offset (the common cases) is
+    # done after that single cast; only text with a numeric offset pays for
+    # the regex extraction.
     base = s.try_cast("timestamp_ntz")
+    has_offset = ~s.endswith("Z") & s.rlike(_OFFSET)
     sign = F.regexp_extract(s, _OFFSET, 1)
     hh = F.regexp_extract(s, _OFFSET, 2).try_cast("int")
     mm = F.regexp_extract(s, _OFFSET, 3).try_cast("int")
-    offset_min = F.when(sign == "+", hh * 60 + mm).when(sign == "-", -(hh * 60 + mm))
-    shifted = base - F.make_dt_interval(F.lit(0), F.lit(0), offset_min)
-    return F.when(offset_min.isNull() | (offset_min == 0), base).otherwise(shifted)
+    minutes = (hh * 60 + mm) * F.when(sign == "-", F.lit(-1)).otherwise(F.lit(1))
+    shifted = base - F.make_dt_interval(F.lit(0), F.lit(0), minutes)
+    return F.when(has_offset, shifted).otherwise(base)
 
 
 def report_date(ts: Column | str) -> Column:

@@ -28,9 +28,8 @@ def event_readings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def lineitem_readings(spark: SparkSession, d: str, district: str = "flags") -> DataFrame:
-    """Silver fact from the long-range feed (seven years of daily readings)."""
-    li = fx.table(spark, d, "lineitem")
-    return fct_meter_readings(None, None, fx.flat_feed_from_lineitem(li, district))
+    """Silver readings from the long-range feed (seven years of daily readings)."""
+    return fx.readings_from_lineitem(fx.table(spark, d, "lineitem"), district)
 
 
 def event_summary(spark: SparkSession, d: str, decimals: int | None = 6) -> DataFrame:
@@ -47,8 +46,10 @@ def assets(spark: SparkSession, d: str) -> DataFrame:
     return dim_asset(fx.asset_master_from_orders(fx.table(spark, d, "orders"), fx.table(spark, d, "lineitem")))
 
 
-def maintenance_log(spark: SparkSession, d: str) -> DataFrame:
-    return fx.maintenance_log_from_lineitem(fx.table(spark, d, "orders"), fx.table(spark, d, "lineitem"))
+def maintenance_log(spark: SparkSession, d: str, full: bool = False) -> DataFrame:
+    """Maintenance log; ``full`` adds the install_date / asset_type copies (orders join)."""
+    orders = fx.table(spark, d, "orders") if full else None
+    return fx.maintenance_log_from_lineitem(fx.table(spark, d, "lineitem"), orders)
 
 
 def features(spark: SparkSession, d: str, as_of=ASSET_AS_OF) -> DataFrame:

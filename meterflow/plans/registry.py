@@ -356,7 +356,7 @@ def q_bronze_asset_master(spark, d):
   FROM ({O.MAINT_LOG}) m""")
 def q_bronze_maintenance_log(spark, d):
     """Maintenance log through header CSV, read with an explicit schema."""
-    path = fx.land_csv(I.maintenance_log(spark, d), scratch_path(spark, "bronze-maintenance"))
+    path = fx.land_csv(I.maintenance_log(spark, d, full=True), scratch_path(spark, "bronze-maintenance"))
     b = bronze.read_maintenance_log(spark, path)
     return b.select("asset_id", date_text("install_date").alias("install_date"), "asset_type", "material",
                     date_text("last_maintenance_date").alias("last_maintenance_date"), "failure_event")

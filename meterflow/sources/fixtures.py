@@ -46,27 +46,39 @@ def itron_from_events(events: DataFrame) -> DataFrame:
     )
 
 
-def flat_feed_from_lineitem(lineitem: DataFrame, district: str = "flags") -> DataFrame:
-    """Long-range flat feed (seven years of daily readings).
-
-    ``district="flags"``: meter ``D<returnflag><linestatus>-<suppkey>``.
-    ``district="nation"``: meter ``N<nn>-<orderkey>`` with nn = suppkey mod 25,
-    so districts line up with the nation dimension.
-    """
+def _lineitem_meter(district: str) -> F.Column:
     if district == "flags":
-        meter = F.concat(
+        return F.concat(
             F.lit("D"), F.col("l_returnflag"), F.col("l_linestatus"), F.lit("-"),
             F.col("l_suppkey").cast("string"),
         )
-    elif district == "nation":
-        meter = F.concat(
+    if district == "nation":
+        return F.concat(
             F.lit("N"), F.lpad(F.pmod(F.col("l_suppkey"), F.lit(25)).cast("string"), 2, "0"),
             F.lit("-"), F.col("l_orderkey").cast("string"),
         )
-    else:
-        raise ValueError(district)
+    raise ValueError(district)
+
+
+def readings_from_lineitem(lineitem: DataFrame, district: str = "flags") -> DataFrame:
+    """Long-range readings (seven years, daily), already typed: silver shape.
+
+    ``district="flags"``: meter ``D<returnflag><linestatus>-<suppkey>``.
+    ``district="nation"``: meter ``N<nn>-<orderkey>`` with nn = suppkey mod 25,
+    so districts line up with the nation dimension.
+    The timestamp stays a column of the scan, so date filters reach Parquet.
+    """
+    return lineitem.select(
+        _lineitem_meter(district).alias("meter_id"),
+        F.col("l_shipdate").cast("timestamp_ntz").alias("reading_ts"),
+        F.col("l_quantity").cast("double").alias("consumption_kl"),
+    )
+
+
+def flat_feed_from_lineitem(lineitem: DataFrame, district: str = "flags") -> DataFrame:
+    """The long-range readings in the flat bronze shape (for landing as JSON)."""
     return lineitem.select(
-        meter.alias("itron_device_id"),
+        _lineitem_meter(district).alias("itron_device_id"),
         F.date_format("l_shipdate", ISO_LOCAL).alias("read_datetime"),
         F.col("l_quantity").alias("consumption_m3"),
     )
@@ -94,17 +106,25 @@ def asset_master_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFram
     )
 
 
-def maintenance_log_from_lineitem(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def maintenance_log_from_lineitem(lineitem: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Maintenance log: one row per line item of an order (= asset).
 
-    failure_event = 1 for a returned line of quantity >= 48.
+    failure_event = 1 for a returned line of quantity >= 48. The log's
+    install_date / asset_type copies come from ``orders`` when it is given
+    (for landing the full CSV); the feature jobs take them from the asset
+    master, so they pass no ``orders`` and skip that join.
     """
-    o = orders.select("o_orderkey", "o_orderdate", "o_orderpriority")
-    j = lineitem.join(o, lineitem.l_orderkey == o.o_orderkey, "left")
-    return j.select(
+    if orders is not None:
+        o = orders.select("o_orderkey", "o_orderdate", "o_orderpriority")
+        src = lineitem.join(o, lineitem.l_orderkey == o.o_orderkey, "left")
+        install, atype = F.to_date("o_orderdate"), F.col("o_orderpriority")
+    else:
+        src = lineitem
+        install, atype = F.lit(None).cast("date"), F.lit(None).cast("string")
+    return src.select(
         F.concat(F.lit("MTR-"), F.col("l_orderkey").cast("string")).alias("asset_id"),
-        F.to_date("o_orderdate").alias("install_date"),
-        F.col("o_orderpriority").alias("asset_type"),
+        install.alias("install_date"),
+        atype.alias("asset_type"),
         F.col("l_linestatus").alias("material"),
         F.to_date("l_shipdate").alias("last_maintenance_date"),
         F.when((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 48), 1)
