@@ -43,3 +43,35 @@ def maintenance_attention(features: DataFrame, min_days: int = 365) -> DataFrame
     """P21 + O2: assets not maintained for more than ``min_days`` days, most overdue first."""
     spark = features.sparkSession
     return spark.sql(MAINTENANCE_ATTENTION, args={"min_days": int(min_days)}, features=features)
+
+
+def chart_datasets(summary: DataFrame, features: DataFrame, readings: DataFrame,
+                   decimals: int | None = 6) -> dict[str, DataFrame]:
+    """The eight report datasets (A2-A10), each a small aggregated DataFrame.
+
+    Only these results may be collected for plotting: each is bounded by
+    days x districts, months, weekdays, weekday-hours, bins or asset types.
+    """
+    from meterflow.operators import charts as C
+    from meterflow.operators.nrw import nrw_timeseries
+
+    return {
+        "nrw_timeseries": nrw_timeseries(summary),
+        "asset_age_histogram": C.asset_age_histogram(features),
+        "failures_by_asset_type": C.failures_by_type(features),
+        "monthly_nrw_trend": C.monthly_nrw(summary, decimals),
+        "hourly_consumption_heatmap": C.hourly_heatmap(readings, decimals),
+        "consumption_distribution": C.consumption_histogram(readings),
+        "nrw_by_day_of_week": C.nrw_by_weekday(summary, decimals),
+        "failure_rate_by_age": C.failure_rate_by_age(features, decimals=decimals),
+    }
+
+
+def write_chart_datasets(datasets: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, str]:
+    """Persist each chart dataset (a single small file each)."""
+    paths = {}
+    for name, df in datasets.items():
+        p = f"{out_dir.rstrip('/')}/{name}"
+        df.coalesce(1).write.format(fmt).mode("overwrite").save(p)
+        paths[name] = p
+    return paths

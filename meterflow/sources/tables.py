@@ -60,25 +60,23 @@ def check_schema(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parq
         )
 
 
-def write_table(
-    df: DataFrame,
-    path: str,
-    fmt: str = "parquet",
-    overwrite_schema: bool = False,
-    partition_by: list[str] | None = None,
-) -> str:
-    """Full overwrite, published by swapping a staged copy in.
+def stage_table(df: DataFrame, path: str, fmt: str = "parquet",
+                partition_by: list[str] | None = None) -> str:
+    """Write ``df`` to a fresh staging path next to ``path``; return that path.
 
-    With ``overwrite_schema=False`` the stored schema must match first.
+    Nothing is visible at ``path`` until ``publish`` swaps it in. Reading the
+    staged copy back also cuts the lineage of whatever produced ``df``.
     """
-    spark = df.sparkSession
-    if not overwrite_schema:
-        check_schema(spark, df, path, fmt)
     stage = f"{path.rstrip('/')}.__staging-{uuid.uuid4().hex[:12]}"
     w = df.write.format(fmt).mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(stage)
+    return stage
+
+
+def publish(spark: SparkSession, stage: str, path: str) -> str:
+    """Swap a staged table in at ``path`` (two renames; old copy removed)."""
     fs, target, jvm = _fs(spark, path)
     staged = jvm.org.apache.hadoop.fs.Path(stage)
     old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old-{uuid.uuid4().hex[:12]}")
@@ -94,6 +92,29 @@ def write_table(
     return path
 
 
+def discard(spark: SparkSession, stage: str) -> None:
+    """Drop a staged copy that must not be published."""
+    fs, p, _ = _fs(spark, stage)
+    fs.delete(p, True)
+
+
+def write_table(
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    overwrite_schema: bool = False,
+    partition_by: list[str] | None = None,
+) -> str:
+    """Full overwrite, published by swapping a staged copy in.
+
+    With ``overwrite_schema=False`` the stored schema must match first.
+    """
+    spark = df.sparkSession
+    if not overwrite_schema:
+        check_schema(spark, df, path, fmt)
+    return publish(spark, stage_table(df, path, fmt, partition_by), path)
+
+
 def export_csv(df: DataFrame, path: str) -> str:
     """Export a data product as header CSV (one folder of part files)."""
     df.write.mode("overwrite").option("header", "true").csv(path)
