@@ -139,18 +139,21 @@ def failure_by_condition(features: DataFrame, age_band_days: int = 1000,
 
 
 def readings_with_asset(readings: DataFrame, dim: DataFrame, asset_prefix: str = "MTR-",
-                        max_broadcast_rows: int = 200_000) -> DataFrame:
+                        max_broadcast_rows: int = 2_000_000,
+                        max_broadcast_bytes: int = 64 * 1024 * 1024) -> DataFrame:
     """Each reading with the columns of its asset (left join).
 
     The asset key is ``asset_prefix`` + the meter's numeric suffix. The
-    dimension is broadcast only when its row count is within the bound;
-    otherwise it is a shuffle join, where AQE splits a hot meter's partition
-    (skew join) instead of sending it to one task.
+    dimension (five columns) is broadcast only when its measured rows and
+    bytes are within the bounds; otherwise it is a shuffle join, where AQE
+    splits a hot meter's partition (skew join) instead of sending it to one
+    task.
     """
     from meterflow.functions.rules import meter_suffix
     from meterflow.operators.joins import broadcast_if_small
 
     key = F.concat(F.lit(asset_prefix), meter_suffix("meter_id").cast("string"))
     side = broadcast_if_small(
-        dim.select("asset_id", "asset_type", "manufacturer", "latitude", "longitude"), max_broadcast_rows)
+        dim.select("asset_id", "asset_type", "manufacturer", "latitude", "longitude"),
+        max_broadcast_rows, max_broadcast_bytes)
     return readings.withColumn("asset_id", key).join(side, "asset_id", "left")

@@ -4,21 +4,60 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    MapType,
+    StringType,
+    StructType,
+)
 
+DEFAULT_MAX_BYTES = 64 * 1024 * 1024
 
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
 
-    ``limit(max_rows + 1).count()`` stops reading as soon as the bound is
-    exceeded, so the check is cheap even on a large input.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+# Bytes per value of the fixed-width types (Spark's in-memory widths).
+_WIDTHS = {"boolean": 1, "byte": 1, "tinyint": 1, "short": 2, "smallint": 2, "int": 4, "integer": 4,
+           "date": 4, "float": 4, "long": 8, "bigint": 8, "double": 8, "timestamp": 8, "timestamp_ntz": 8}
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Mark ``df`` for broadcast when its row count is within ``max_rows``.
+def _width(dt) -> int:
+    """Width of a fixed-width type; decimals and anything else count 16."""
+    return _WIDTHS.get(dt.simpleString(), 16)
 
-    Otherwise the frame is returned unchanged and the planner picks a
-    shuffle join (AQE may still convert it at run time from real sizes).
+
+def size_bound(df: DataFrame, max_rows: int) -> tuple[int, int]:
+    """(rows, bytes) of ``df``, reading at most ``max_rows + 1`` rows.
+
+    Bytes = fixed-width columns at their type width plus the actual length
+    of every string / binary value; nested columns are measured through
+    their JSON text. One bounded job: ``limit`` stops the scan as soon as
+    the row bound is exceeded.
     """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    fixed = 8  # per-row overhead
+    var = []
+    for f in df.schema.fields:
+        t = f.dataType
+        if isinstance(t, (StringType, BinaryType)):
+            var.append(F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)))
+        elif isinstance(t, (ArrayType, MapType, StructType)):
+            var.append(F.coalesce(F.octet_length(F.to_json(F.col(f.name))), F.lit(0)))
+        else:
+            fixed += _width(t)
+    var_sum = F.sum(sum(var[1:], var[0])) if var else F.lit(0)
+    r = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), var_sum.alias("v")).first()
+    n = int(r["n"])
+    return n, n * fixed + int(r["v"] or 0)
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (bounded job)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast when it has at most ``max_rows`` rows and
+    ``max_bytes`` bytes, both measured; otherwise leave the join to the
+    planner (a shuffle join; AQE may still switch strategy from run-time
+    sizes and splits skewed partitions)."""
+    n, b = size_bound(df, max_rows)
+    return F.broadcast(df) if n <= max_rows and b <= max_bytes else df

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from meterflow.operators.charts import hourly_profile
 from meterflow.operators.joins import broadcast_if_small
+from meterflow.session import ensure_checkpoint_dir
 
 FEATURES = ["asset_age_days", "days_since_last_maintenance"]
 
@@ -34,6 +35,11 @@ def failure_model_scores(features: DataFrame, max_iter: int = 20, reg: float = 0
         .cast("double").alias("days_since_last_maintenance"),
         F.col("failure_event").cast("double").alias("label"),
     ).where(F.col("asset_age_days").isNotNull())
+    # The fit passes over the data several times: materialise the feature
+    # rows once in the shared checkpoint folder (reliable, lineage cut)
+    # instead of recomputing the joins behind them on every pass.
+    ensure_checkpoint_dir(features.sparkSession)
+    data = data.checkpoint(eager=True)
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="raw").transform(data)
     scaler = StandardScaler(inputCol="raw", outputCol="features").fit(assembled)
     scaled = scaler.transform(assembled)

@@ -55,9 +55,14 @@ def build_session(
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Pin the runtime confs on a session we did not build (idempotent)."""
+    """Pin the runtime confs on a session we did not build (idempotent).
+
+    A single round trip reads all current values; only differing ones are set.
+    """
+    current = spark.conf.getAll if hasattr(spark.conf, "getAll") else None
+    values = current if isinstance(current, dict) else {k: spark.conf.get(k, None) for k in RUNTIME_CONF}
     for k, v in RUNTIME_CONF.items():
-        if spark.conf.get(k, None) != v:
+        if values.get(k) != v:
             spark.conf.set(k, v)
 
 

@@ -20,8 +20,19 @@ NESTED_EVENT_TYPES = ("click", "view", "purchase")
 PRESSURE_EVENT_TYPES = ("click", "view", "purchase")
 
 
+_SCANS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of a driver table. The tables are read-only, so the relation
+    (file listing and footer read) is made once per session and path and
+    reused, like a table registered in a catalog."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _SCANS[key] = spark.read.parquet(path)
+    return df
 
 
 def _is_nested(ev: DataFrame) -> F.Column:
