@@ -100,19 +100,34 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     if unknown:
         raise ValueError(f"unknown rule kinds: {unknown}")
 
-    if schema_rules or row_rules:
+    def schema_row(r: Rule, n: Column) -> Column:
+        missing = [c for c in r.columns if c.lower() not in present]
+        return _row(r, n, n if missing else F.lit(0))
+
+    if key_rules:
+        # The first key rule hosts every row-level rule: one grouped pass
+        # computes per-key row counts and per-rule violation counts (all
+        # combined map-side), a second tiny global aggregate sums them. The
+        # data is read once instead of twice.
+        host = key_rules[0]
+        per_key = df.groupBy(*host.columns).agg(
+            F.count(F.lit(1)).alias("n"),
+            *[F.count_if(r.violation()).alias(f"v{i}") for i, r in enumerate(row_rules)],
+        )
+        total = F.coalesce(F.sum("n"), F.lit(0))
+        structs = [schema_row(r, total) for r in schema_rules]
+        structs += [_row(r, total, F.coalesce(F.sum(f"v{i}"), F.lit(0))) for i, r in enumerate(row_rules)]
+        structs.append(_row(host, total, F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0))))
+        parts.append(per_key.agg(F.array(*structs).alias("r")).select(F.inline("r")))
+    elif schema_rules or row_rules:
         # One pass over the data: the row count plus a count_if per row rule.
         # A column_exists rule fails for every row when the column is missing.
         n = F.count(F.lit(1))
-        structs = []
-        for r in schema_rules:
-            missing = [c for c in r.columns if c.lower() not in present]
-            structs.append(_row(r, n, n if missing else F.lit(0)))
+        structs = [schema_row(r, n) for r in schema_rules]
         structs += [_row(r, n, F.count_if(r.violation())) for r in row_rules]
-        agg = df.agg(F.array(*structs).alias("r"))
-        parts.append(agg.select(F.inline("r")))
+        parts.append(df.agg(F.array(*structs).alias("r")).select(F.inline("r")))
 
-    for r in key_rules:
+    for r in key_rules[1:]:
         dup = (
             df.groupBy(*r.columns)
             .agg(F.count(F.lit(1)).alias("n"))

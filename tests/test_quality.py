@@ -42,3 +42,20 @@ def test_split_is_a_partition_of_the_input(spark):
     ok, bad = Q.split_clean(r, Q.reading_rules(0.0, 100.0))
     assert ok.count() + bad.count() == r.count()
     assert bad.where(F.size("failed_rules") == 0).count() == 0
+
+
+def test_unique_rule_hosts_row_rules_in_one_scan(spark):
+    df = _df(spark)
+    rep = Q.evaluate(df, [Q.not_null("meter_id", name="nn"), Q.unique("meter_id", name="uq"),
+                          Q.column_exists("meter_id", name="has")])
+    plan = rep._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ") == 1
+    got = {r.rule: (r.checked, r.failed, r.success) for r in rep.collect()}
+    assert got == {"nn": (5, 1, False), "uq": (5, 2, False), "has": (5, 0, True)}
+
+
+def test_empty_input_reports_zero(spark):
+    df = _df(spark).where("false")
+    got = {r.rule: (r.checked, r.failed) for r in Q.evaluate(df, [Q.not_null("meter_id", name="nn"),
+                                                                   Q.unique("meter_id", name="uq")]).collect()}
+    assert got == {"nn": (0, 0), "uq": (0, 0)}
