@@ -18,13 +18,23 @@ from meterflow.params import AgeBins
 HOURS = list(range(24))
 
 
+def sorted_small(df: DataFrame, *cols) -> DataFrame:
+    """Sort a result whose size is bounded by construction (weekday-hours,
+    bins, months, asset types): the aggregated rows are gathered into one
+    partition and sorted there. This skips the sampling job a global
+    ``orderBy`` (range partitioning) would run; the upstream aggregation
+    keeps its parallelism. Not for results that grow with the data.
+    """
+    return df.repartition(1).sortWithinPartitions(*cols)
+
+
 def failures_by_type(features: DataFrame) -> DataFrame:
     """A2: number of failed assets per asset type."""
     return (
         features.where(F.col("failure_event") == 1)
         .groupBy("asset_type")
         .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy("asset_type")
+        .transform(lambda d: sorted_small(d, "asset_type"))
     )
 
 
@@ -33,7 +43,7 @@ def monthly_nrw(summary: DataFrame, decimals: int | None = None) -> DataFrame:
     return (
         summary.groupBy(F.date_format(month_start("report_date"), "yyyy-MM-dd").alias("month"))
         .agg(exact_mean("nrw_percent", decimals).alias("nrw_percent"))
-        .orderBy("month")
+        .transform(lambda d: sorted_small(d, "month"))
     )
 
 
@@ -42,7 +52,7 @@ def nrw_by_weekday(summary: DataFrame, decimals: int | None = None) -> DataFrame
     return (
         summary.groupBy(weekday_name(F.to_date("report_date")).alias("day_of_week"))
         .agg(exact_mean("nrw_percent", decimals).alias("nrw_percent"))
-        .orderBy("day_of_week")
+        .transform(lambda d: sorted_small(d, "day_of_week"))
     )
 
 
@@ -53,7 +63,7 @@ def hourly_profile(readings: DataFrame, decimals: int | None = None) -> DataFram
             weekday_name("reading_ts").alias("day_of_week"), hour_of_day("reading_ts").alias("hour")
         )
         .agg(exact_mean("consumption_kl", decimals).alias("consumption_kl"))
-        .orderBy("day_of_week", "hour")
+        .transform(lambda d: sorted_small(d, "day_of_week", "hour"))
     )
 
 
@@ -64,11 +74,12 @@ def hourly_heatmap(readings: DataFrame, decimals: int | None = None) -> DataFram
     over at most 168 rows. The explicit hour list avoids a distinct pass and
     always yields 24 columns.
     """
-    prof = hourly_profile(readings, decimals)
+    prof = readings.groupBy(
+        weekday_name("reading_ts").alias("day_of_week"), hour_of_day("reading_ts").alias("hour")
+    ).agg(exact_mean("consumption_kl", decimals).alias("consumption_kl"))
     wide = prof.groupBy("day_of_week").pivot("hour", HOURS).agg(F.first("consumption_kl"))
-    return wide.select(
-        "day_of_week", *[F.col(str(h)).alias(f"h{h:02d}") for h in HOURS]
-    ).orderBy("day_of_week")
+    out = wide.select("day_of_week", *[F.col(str(h)).alias(f"h{h:02d}") for h in HOURS])
+    return sorted_small(out, "day_of_week")
 
 
 def age_group(age: str = "asset_age_days", bins: AgeBins = AgeBins()):
@@ -111,7 +122,7 @@ def failure_rate_by_age(features: DataFrame, bins: AgeBins = AgeBins(),
             F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures"),
             ratio("failures", "total_assets", decimals).alias("failure_rate"),
         )
-        .orderBy("bin_order")
+        .transform(lambda d: sorted_small(d, "bin_order"))
     )
 
 
@@ -127,7 +138,7 @@ def histogram(df: DataFrame, col: str, width: float, by: list[str] | None = None
         (F.col("bin") * F.lit(float(width))).alias("bin_start"),
         ((F.col("bin") + 1) * F.lit(float(width))).alias("bin_end"),
         "count",
-    ).orderBy(*keys, "bin_start")
+    ).transform(lambda d: sorted_small(d, *keys, "bin_start"))
 
 
 def asset_age_histogram(features: DataFrame, width_days: int = 365) -> DataFrame:
