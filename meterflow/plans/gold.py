@@ -43,7 +43,8 @@ def run_silver_to_gold(
 
     if refresh_days:
         lo, hi = refresh_days
-        day = F.to_date("reading_ts")
+        # A date-partitioned silver fact prunes to the refreshed days.
+        day = F.col("reading_date") if "reading_date" in fact.columns else F.to_date("reading_ts")
         part = fact.where((day >= F.lit(lo).cast("date")) & (day <= F.lit(hi).cast("date")))
         tables.refresh_partitions(nrw_daily_summary(part, billing_rule), nrw_path, "report_date", fmt)
     else:

@@ -21,6 +21,7 @@ from meterflow.operators import ml as M
 from meterflow.operators import sensors as S
 from meterflow.operators import nrw as N
 from meterflow.operators import quality as Q
+from meterflow.functions.time import hour_of_day, weekday_name
 from meterflow.params import ASSET_AS_OF
 from meterflow.plans import inputs as I
 from meterflow.plans import oracle_sql as O
@@ -113,6 +114,16 @@ def q_reading_timestamp_utc(spark, d):
                     F.hour("reading_ts").alias("hour"))
 
 
+@register("reading_hour_dow", f"""
+  SELECT meter_id, strftime(reading_ts, '{TS_SQL}') AS reading_ts, CAST(hour(reading_ts) AS INTEGER) AS hour,
+         dayname(reading_ts) AS day_of_week FROM ({O.R_EVENTS}) r""")
+def q_reading_hour_dow(spark, d):
+    """Hour of day and English weekday name of each reading (UTC)."""
+    r = I.event_readings(spark, d)
+    return r.select("meter_id", ts_text("reading_ts").alias("reading_ts"),
+                    hour_of_day("reading_ts").alias("hour"), weekday_name("reading_ts").alias("day_of_week"))
+
+
 @register("billed_flag", f"""
   SELECT meter_id, strftime(reading_ts, '{TS_SQL}') AS reading_ts, {O.BILLED} AS is_billed
   FROM ({O.R_EVENTS}) r""")

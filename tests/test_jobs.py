@@ -56,3 +56,26 @@ def test_multiline_json_feed(spark, tmp_dir):
     from meterflow.sources.bronze import read_sensus
     rows = read_sensus(spark, p, multiline=True).collect()
     assert [(r.meter_id, r.reading_data.flow_kl) for r in rows] == [("SEN-1", 1.5), ("SEN-2", 2.0)]
+
+
+def test_refresh_prunes_silver_partitions(spark, tmp_dir):
+    src, log = _land(spark, tmp_dir)
+    silver = os.path.join(tmp_dir, "silver")
+    run_bronze_to_silver(spark, src, silver)
+    fact = read_table(spark, silver + "/fct_meter_readings")
+    assert "reading_date" in fact.columns
+    from pyspark.sql import functions as F
+    q = fact.where((F.col("reading_date") >= F.lit("2024-01-10").cast("date")))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(reading_date" in plan
+
+
+def test_unmatched_meter_keeps_reading_with_null_asset(spark):
+    import datetime as dt
+    from meterflow.operators.assets import readings_with_asset
+    r = spark.createDataFrame([("SEN-1", dt.datetime(2024, 1, 1), 1.0), ("SEN-999", dt.datetime(2024, 1, 1), 2.0)],
+                              "meter_id string, reading_ts timestamp_ntz, consumption_kl double")
+    dim = spark.createDataFrame([("MTR-1", "Pump", "M", 1.0, 2.0)],
+                                "asset_id string, asset_type string, manufacturer string, latitude double, longitude double")
+    got = {x.meter_id: x.asset_type for x in readings_with_asset(r, dim).collect()}
+    assert got == {"SEN-1": "Pump", "SEN-999": None}
