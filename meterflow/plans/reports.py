@@ -75,3 +75,19 @@ def write_chart_datasets(datasets: dict[str, DataFrame], out_dir: str, fmt: str
         df.coalesce(1).write.format(fmt).mode("overwrite").save(p)
         paths[name] = p
     return paths
+
+
+class ResultTooLarge(RuntimeError):
+    pass
+
+
+def to_pandas_bounded(df: DataFrame, max_rows: int = 100_000):
+    """Bring a chart dataset to the driver, refusing anything unbounded.
+
+    Reads at most ``max_rows + 1`` rows; raises ResultTooLarge beyond the
+    bound instead of pulling a whole table into driver memory.
+    """
+    pdf = df.limit(max_rows + 1).toPandas()
+    if len(pdf) > max_rows:
+        raise ResultTooLarge(f"result has more than {max_rows} rows; aggregate it first")
+    return pdf

@@ -59,3 +59,19 @@ def test_empty_input_reports_zero(spark):
     got = {r.rule: (r.checked, r.failed) for r in Q.evaluate(df, [Q.not_null("meter_id", name="nn"),
                                                                    Q.unique("meter_id", name="uq")]).collect()}
     assert got == {"nn": (0, 0), "uq": (0, 0)}
+
+
+def test_write_split_one_pass(spark, tmp_dir):
+    import os
+    ok_path, bad_path = Q.write_split(_df(spark), [Q.not_null("meter_id"), Q.in_range("consumption_kl", 0, 100)],
+                                      os.path.join(tmp_dir, "split"))
+    ok, bad = spark.read.parquet(ok_path), spark.read.parquet(bad_path)
+    assert ok.count() == 1 and bad.count() == 4
+
+
+def test_bounded_collect(spark):
+    import pytest as _pt
+    from meterflow.plans.reports import ResultTooLarge, to_pandas_bounded
+    assert len(to_pandas_bounded(spark.range(10), 10)) == 10
+    with _pt.raises(ResultTooLarge):
+        to_pandas_bounded(spark.range(11), 10)
