@@ -6,6 +6,8 @@ the columns a query uses are scanned.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from meterflow.functions.rules import billed_by_suffix
@@ -16,49 +18,78 @@ from meterflow.params import ASSET_AS_OF
 from meterflow.sources import fixtures as fx
 
 
+def per_session(fn):
+    """Define each input plan once per session and arguments.
+
+    The result is a lazy DataFrame (a plan, no data is cached); queries
+    derive their own plans from it the way an application defines its views
+    once. Analysis is done once instead of per query.
+    """
+    memo: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(spark: SparkSession, *args, **kwargs):
+        key = (id(spark), args, tuple(sorted(kwargs.items())))
+        df = memo.get(key)
+        if df is None or df.sparkSession is not spark:
+            df = memo[key] = fn(spark, *args, **kwargs)
+        return df
+
+    return wrapper
+
+
 def billing_rule() -> Column:
     """Rule shared with the SQL oracles: meter suffix not a multiple of 10."""
     return billed_by_suffix("meter_id", 10)
 
 
+@per_session
 def event_readings(spark: SparkSession, d: str) -> DataFrame:
     """Silver fact from the two event-based feeds (nested + flat)."""
     ev = fx.table(spark, d, "events")
     return fct_meter_readings(fx.sensus_from_events(ev), fx.itron_from_events(ev))
 
 
+@per_session
 def lineitem_readings(spark: SparkSession, d: str, district: str = "flags") -> DataFrame:
     """Silver readings from the long-range feed (seven years of daily readings)."""
     return fx.readings_from_lineitem(fx.table(spark, d, "lineitem"), district)
 
 
+@per_session
 def event_summary(spark: SparkSession, d: str, decimals: int | None = 6) -> DataFrame:
     return nrw_daily_summary(event_readings(spark, d), billing_rule(), decimals=decimals)
 
 
+@per_session
 def lineitem_summary(spark: SparkSession, d: str, district: str = "flags",
                      decimals: int | None = 6) -> DataFrame:
     return nrw_daily_summary(lineitem_readings(spark, d, district), billing_rule(), decimals=decimals)
 
 
+@per_session
 def assets(spark: SparkSession, d: str) -> DataFrame:
     """Silver dim_asset from the orders-based asset master."""
     return dim_asset(fx.asset_master_from_orders(fx.table(spark, d, "orders"), fx.table(spark, d, "lineitem")))
 
 
+@per_session
 def maintenance_log(spark: SparkSession, d: str, full: bool = False) -> DataFrame:
     """Maintenance log; ``full`` adds the install_date / asset_type copies (orders join)."""
     orders = fx.table(spark, d, "orders") if full else None
     return fx.maintenance_log_from_lineitem(fx.table(spark, d, "lineitem"), orders)
 
 
+@per_session
 def features(spark: SparkSession, d: str, as_of=ASSET_AS_OF) -> DataFrame:
     return asset_failure_features(assets(spark, d), maintenance_log(spark, d), as_of=as_of)
 
 
+@per_session
 def sensors(spark: SparkSession, d: str) -> DataFrame:
     return fx.sensor_readings_from_events(fx.table(spark, d, "events"))
 
 
+@per_session
 def districts(spark: SparkSession, d: str) -> DataFrame:
     return fx.district_dim_from_nations(fx.table(spark, d, "nation"), fx.table(spark, d, "region"))

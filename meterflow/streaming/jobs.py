@@ -56,16 +56,21 @@ def daily_nrw_stream(readings: DataFrame, billing_rule: Column | None = None,
     """
     rule = billing_rule if billing_rule is not None else billed_by_hash("meter_id", "reading_ts")
     u = to_units(F.col("consumption_kl"), scale)
-    # Watermarks need TIMESTAMP (not NTZ); the cast is exact with a UTC session zone.
-    ev = readings.withColumn("event_time", F.col("reading_ts").cast("timestamp")).withWatermark(
-        "event_time", watermark)
+    # Watermarks need TIMESTAMP (an instant), not NTZ. reading_ts holds the UTC
+    # wall clock: re-express it in the session zone before the cast so the
+    # instant is right whatever spark.sql.session.timeZone is.
+    zone = F.current_timezone()
+    instant = F.convert_timezone(F.lit("UTC"), zone, F.col("reading_ts")).cast("timestamp")
+    ev = readings.withColumn("event_time", instant).withWatermark("event_time", watermark)
     agg = ev.groupBy(F.window("event_time", "1 day").alias("w"),
                      district_of(F.col("meter_id")).alias("district")).agg(
         F.sum(u).alias("supplied_u"),
         F.sum(F.when(rule, u).otherwise(F.lit(0).cast("long"))).alias("billed_u"),
     )
+    # Windows are aligned to UTC midnight; name each by its UTC date.
+    start_utc = F.convert_timezone(zone, F.lit("UTC"), F.col("w.start").cast("timestamp_ntz"))
     return agg.select(
-        F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("report_date"),
+        F.date_format(start_utc, "yyyy-MM-dd").alias("report_date"),
         "district",
         units_to_volume(F.col("supplied_u"), scale).alias("total_supplied_kl"),
         units_to_volume(F.col("billed_u"), scale).alias("total_billed_kl"),

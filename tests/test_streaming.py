@@ -57,3 +57,21 @@ def test_stream_conform_restarts_from_checkpoint(spark, tmp_dir):
     ST.start_conform(spark, None, land + "/*", out, ck).awaitTermination()
     assert spark.read.parquet(out).count() == 3
     assert spark.read.parquet(out).where(F.col("reading_ts") == dt.datetime(2024, 1, 2)).count() == 1
+
+
+def test_stream_days_do_not_depend_on_session_zone(spark, tmp_dir):
+    from meterflow.functions.rules import billed_by_suffix
+    land = os.path.join(tmp_dir, "land")
+    rows = [("ITR-1", "2024-01-01T23:30:00", 1.0), ("ITR-1", "2024-01-02T00:30:00", 2.0),
+            ("ITR-1", "2024-01-04T00:30:00", 4.0)]
+    spark.createDataFrame(rows, "itron_device_id string, read_datetime string, consumption_m3 double") \
+        .coalesce(1).write.mode("overwrite").json(land)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        out, ck = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
+        ST.start_daily_nrw(spark, None, land, out, ck, billed_by_suffix(), "1 hour").awaitTermination()
+        got = {r.report_date: r.total_supplied_kl for r in spark.read.parquet(out).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {"2024-01-01": 1.0, "2024-01-02": 2.0}
