@@ -58,6 +58,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MA
     """Mark ``df`` for broadcast when it has at most ``max_rows`` rows and
     ``max_bytes`` bytes, both measured; otherwise leave the join to the
     planner (a shuffle join; AQE may still switch strategy from run-time
-    sizes and splits skewed partitions)."""
+    sizes and splits skewed partitions).
+
+    Meant for dimension tables: on a stored table the check is a short scan
+    that stops after ``max_rows + 1`` rows. A side whose size is fixed by
+    construction (a bin list, a weekday x hour profile) is broadcast on that
+    bound instead of being measured."""
     n, b = size_bound(df, max_rows)
     return F.broadcast(df) if n <= max_rows and b <= max_bytes else df

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.operators.charts import hourly_profile
-from meterflow.operators.joins import broadcast_if_small
 from meterflow.session import ensure_checkpoint_dir
 
 FEATURES = ["asset_age_days", "days_since_last_maintenance"]
@@ -57,11 +56,13 @@ def demand_forecast_naive(readings: DataFrame, horizon_hours: int = 168,
                           decimals: int | None = None) -> DataFrame:
     """Forecast per future hour = mean consumption of that weekday-hour.
 
-    The horizon starts at the hour after the latest reading. The profile has
-    at most 168 rows, so it is broadcast behind a row-count check.
+    The horizon starts at the hour after the latest reading. The profile is
+    grouped by (weekday, hour), so it has at most 7 x 24 rows by
+    construction and is broadcast on that bound (measuring it would run the
+    full aggregation over the readings twice).
     """
-    profile = broadcast_if_small(hourly_profile(readings, decimals).select(
-        "day_of_week", "hour", F.col("consumption_kl").alias("forecast_kl")), 168)
+    profile = F.broadcast(hourly_profile(readings, decimals).select(
+        "day_of_week", "hour", F.col("consumption_kl").alias("forecast_kl")))
     start = readings.agg(F.max("reading_ts").alias("last")).select(
         (F.date_trunc("hour", F.col("last")) + F.expr("INTERVAL 1 HOUR")).alias("start"))
     hours = start.select(F.explode(F.sequence(
