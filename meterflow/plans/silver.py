@@ -27,6 +27,7 @@ class BronzePaths:
     itron: str | None
     asset_master: str | None
     multiline: bool = False
+    feed_format: str = "json"  # meter feeds as "json" or "csv"
 
 
 def run_bronze_to_silver(
@@ -40,8 +41,8 @@ def run_bronze_to_silver(
 ) -> DataFrame:
     """Run the job; return the quality report (raises DataQualityError on failure)."""
     apply_runtime_conf(spark)
-    sensus = bronze.read_sensus(spark, src.sensus, src.multiline) if src.sensus else None
-    itron = bronze.read_itron(spark, src.itron, src.multiline) if src.itron else None
+    sensus = bronze.read_feed(spark, src.sensus, "sensus", src.feed_format, src.multiline) if src.sensus else None
+    itron = bronze.read_feed(spark, src.itron, "itron", src.feed_format, src.multiline) if src.itron else None
     fact = fct_meter_readings(sensus, itron)
     parts = None
     if partition_by_date:

@@ -52,3 +52,30 @@ def read_asset_master(spark: SparkSession, path, multiline: bool = False) -> Dat
 def read_maintenance_log(spark: SparkSession, path) -> DataFrame:
     """Asset maintenance log, CSV with header."""
     return read_csv(spark, path, schemas.MAINTENANCE_LOG)
+
+
+# CSV landings of the meter feeds (T18: the documentation describes CSV
+# bronze files, the jobs read JSON; both are accepted). The nested feed's
+# CSV form carries ``flow_kl`` as a plain column and is re-nested on read,
+# so both forms conform through the same code.
+SENSUS_CSV = "meter_id string, timestamp_utc string, flow_kl double"
+
+
+def read_sensus_csv(spark: SparkSession, path) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    raw = spark.read.schema(SENSUS_CSV).option("header", "true").option("mode", "PERMISSIVE").csv(path)
+    return raw.select("meter_id", "timestamp_utc", F.struct(F.col("flow_kl")).alias("reading_data"))
+
+
+def read_itron_csv(spark: SparkSession, path) -> DataFrame:
+    return read_csv(spark, path, schemas.ITRON)
+
+
+def read_feed(spark: SparkSession, path, feed: str, fmt: str = "json", multiline: bool = False) -> DataFrame:
+    """Read a meter feed (``feed`` = "sensus" | "itron") landed as JSON or CSV."""
+    if fmt == "json":
+        return read_sensus(spark, path, multiline) if feed == "sensus" else read_itron(spark, path, multiline)
+    if fmt == "csv":
+        return read_sensus_csv(spark, path) if feed == "sensus" else read_itron_csv(spark, path)
+    raise ValueError(f"unsupported bronze format {fmt!r}")

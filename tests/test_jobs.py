@@ -79,3 +79,23 @@ def test_unmatched_meter_keeps_reading_with_null_asset(spark):
                                 "asset_id string, asset_type string, manufacturer string, latitude double, longitude double")
     got = {x.meter_id: x.asset_type for x in readings_with_asset(r, dim).collect()}
     assert got == {"SEN-1": "Pump", "SEN-999": None}
+
+
+def test_csv_feeds_conform_like_json(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from meterflow.operators.conform import fct_meter_readings
+    from meterflow.sources.bronze import read_feed
+    ev = fx.table(spark, SF_SMALL, "events")
+    s, i = fx.sensus_from_events(ev), fx.itron_from_events(ev)
+    s_csv = os.path.join(tmp_dir, "s_csv")
+    s.select("meter_id", "timestamp_utc", F.col("reading_data.flow_kl").alias("flow_kl")) \
+        .write.option("header", "true").csv(s_csv)
+    i_csv = os.path.join(tmp_dir, "i_csv")
+    i.write.option("header", "true").csv(i_csv)
+    a = fct_meter_readings(read_feed(spark, s_csv, "sensus", "csv"), read_feed(spark, i_csv, "itron", "csv"))
+    b = fct_meter_readings(s, i)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    silver = os.path.join(tmp_dir, "silver")
+    rep = run_bronze_to_silver(spark, BronzePaths(s_csv, i_csv, None, feed_format="csv"), silver)
+    assert all(r.success for r in rep.collect())
