@@ -38,8 +38,44 @@ def units_to_volume(u: Column | str, scale: int = DEFAULT_SCALE) -> Column:
     return _c(u).cast("double") / float(10**scale)
 
 
+def half_up_quotient(num: Column | str, den: Column | str) -> Column:
+    """Integer nearest to num / den, halves away from zero, for integral
+    num and den (decimal(38,0) arithmetic, exact); NULL when den is 0 or NULL.
+
+    (2|n| + d) - pmod(2|n| + d, 2d) is an exact multiple of 2d, so the
+    decimal division below has an integral, exact result.
+    """
+    n = _c(num).cast("decimal(38,0)")
+    d = _c(den).cast("decimal(38,0)")
+    a = F.abs(n) * F.lit(2) + d
+    b = d * F.lit(2)
+    q = ((a - F.pmod(a, b)) / b).cast("decimal(38,0)")
+    return F.when(d > 0, F.when(n < 0, -q).otherwise(q))
+
+
+def exact_ratio(num: Column | str, den: Column | str, decimals: int, pow10: int = 0) -> Column:
+    """round(num * 10^pow10 / den, decimals) computed exactly, as double.
+
+    num and den are integers (e.g. unit sums and counts); ``pow10`` moves the
+    decimal point (2 for a percentage, -4 for a sum kept in 10^-4 units).
+    Rounding is half away from zero on the exact rational value, so every
+    engine that does the same integer arithmetic gets the same double.
+    """
+    k = decimals + pow10
+    n = _c(num).cast("decimal(38,0)")
+    d = _c(den).cast("decimal(38,0)")
+    if k >= 0:
+        q = half_up_quotient(n * F.lit(10**k).cast("decimal(38,0)"), d)
+    else:
+        q = half_up_quotient(n, d * F.lit(10 ** (-k)).cast("decimal(38,0)"))
+    return q.cast("double") / float(10**decimals)
+
+
 def ratio(num: Column | str, den: Column | str, decimals: int | None = None) -> Column:
-    """num / den as double; NULL when den is 0 or NULL (never raises under ANSI)."""
+    """num / den as double; NULL when den is 0 or NULL (never raises under ANSI).
+
+    With ``decimals`` and integral inputs use ``exact_ratio`` instead.
+    """
     r = F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
     return F.round(r, decimals) if decimals is not None else r
 
@@ -53,12 +89,14 @@ def pct(num: Column | str, den: Column | str, decimals: int | None = None) -> Co
 def exact_mean(x: Column | str, decimals: int | None = None, scale: int = 6) -> Column:
     """Aggregate: mean that skips NULL and NaN (like pandas ``mean``).
 
-    With ``decimals`` the sum is exact (values rounded to ``scale`` places
-    first, then summed as decimals) and the mean is rounded, which makes the
-    result independent of summation order. Without it, a plain ``avg``.
+    Without ``decimals``: a plain ``avg``. With it: values are taken as whole
+    10^-scale units (exact for inputs with at most ``scale`` decimals),
+    summed as integers and divided with ``exact_ratio``, so the rounded mean
+    is exact and independent of summation order. The unit sum must stay
+    below 2^63 (``scale`` 4 for volumes, 6 for percentages).
     """
     v = F.nanvl(_c(x).cast("double"), F.lit(None).cast("double"))
     if decimals is None:
         return F.avg(v)
-    exact = F.sum(F.round(v, scale).cast("decimal(30,%d)" % scale)).cast("double")
-    return F.round(F.try_divide(exact, F.count(v).cast("double")), decimals)
+    units = F.sum(F.rint(v * float(10**scale)).cast("long"))
+    return exact_ratio(units, F.count(v), decimals, -scale)

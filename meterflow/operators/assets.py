@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.functions.measures import ratio
+from meterflow.functions.measures import exact_ratio, ratio
 from meterflow.params import MAINTENANCE_OVERDUE_DAYS
 
 FEATURE_COLUMNS = [
@@ -134,7 +134,8 @@ def failure_by_condition(features: DataFrame, age_band_days: int = 1000,
             F.count(F.lit(1)).alias("total_assets"),
             F.sum("failure_event").cast("long").alias("failures"),
         )
-        .withColumn("failure_rate", ratio("failures", "total_assets", decimals))
+        .withColumn("failure_rate", ratio("failures", "total_assets") if decimals is None
+                    else exact_ratio(F.col("failures"), F.col("total_assets"), decimals))
     )
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.functions.measures import exact_mean, ratio
+from meterflow.functions.measures import exact_mean, exact_ratio, ratio
 from meterflow.functions.time import hour_of_day, month_start, weekday_name
 from meterflow.params import AgeBins
 
@@ -62,7 +62,7 @@ def hourly_profile(readings: DataFrame, decimals: int | None = None) -> DataFram
         readings.groupBy(
             weekday_name("reading_ts").alias("day_of_week"), hour_of_day("reading_ts").alias("hour")
         )
-        .agg(exact_mean("consumption_kl", decimals).alias("consumption_kl"))
+        .agg(exact_mean("consumption_kl", decimals, scale=4).alias("consumption_kl"))
         .transform(lambda d: sorted_small(d, "day_of_week", "hour"))
     )
 
@@ -76,7 +76,7 @@ def hourly_heatmap(readings: DataFrame, decimals: int | None = None) -> DataFram
     """
     prof = readings.groupBy(
         weekday_name("reading_ts").alias("day_of_week"), hour_of_day("reading_ts").alias("hour")
-    ).agg(exact_mean("consumption_kl", decimals).alias("consumption_kl"))
+    ).agg(exact_mean("consumption_kl", decimals, scale=4).alias("consumption_kl"))
     wide = prof.groupBy("day_of_week").pivot("hour", HOURS).agg(F.first("consumption_kl"))
     out = wide.select("day_of_week", *[F.col(str(h)).alias(f"h{h:02d}") for h in HOURS])
     return sorted_small(out, "day_of_week")
@@ -120,7 +120,8 @@ def failure_rate_by_age(features: DataFrame, bins: AgeBins = AgeBins(),
             "age_group",
             F.coalesce(F.col("total_assets"), F.lit(0)).alias("total_assets"),
             F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures"),
-            ratio("failures", "total_assets", decimals).alias("failure_rate"),
+            (ratio("failures", "total_assets") if decimals is None
+             else exact_ratio(F.col("failures"), F.col("total_assets"), decimals)).alias("failure_rate"),
         )
         .transform(lambda d: sorted_small(d, "bin_order"))
     )

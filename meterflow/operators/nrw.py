@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from meterflow.functions.measures import (
     DEFAULT_SCALE,
     exact_mean,
+    exact_ratio,
     pct,
     ratio,
     to_units,
@@ -65,14 +66,18 @@ def nrw_daily_summary(
     )
     supplied = units_to_volume(F.col("supplied_u"), scale)
     billed = units_to_volume(F.col("billed_u"), scale)
-    nrw = units_to_volume(F.col("supplied_u") - F.col("billed_u"), scale)
+    nrw_u = F.col("supplied_u") - F.col("billed_u")
+    # Rounded percentages are computed exactly from the integer sums.
+    percent = (pct(nrw_u, F.col("supplied_u")) if decimals is None
+               else exact_ratio(nrw_u, F.col("supplied_u"), decimals, 2))
     return agg.select(
         report_date(F.col("day")).alias("report_date"),
         "district",
         supplied.alias("total_supplied_kl"),
         billed.alias("total_billed_kl"),
-        nrw.alias("nrw_kl"),
-    ).withColumn("nrw_percent", pct(F.col("nrw_kl"), F.col("total_supplied_kl"), decimals))
+        units_to_volume(nrw_u, scale).alias("nrw_kl"),
+        percent.alias("nrw_percent"),
+    )
 
 
 def nrw_timeseries(summary: DataFrame) -> DataFrame:
@@ -185,13 +190,15 @@ def top_loss_districts(summary: DataFrame, k: int = 5, decimals: int | None = No
         F.sum(to_units("nrw_kl", scale)).alias("nrw_u"),
         F.sum(to_units("total_supplied_kl", scale)).alias("supplied_u"),
     )
+    percent = (pct("nrw_u", "supplied_u") if decimals is None
+               else exact_ratio(F.col("nrw_u"), F.col("supplied_u"), decimals, 2))
     return (
         per.select(
             "district",
             units_to_volume(F.col("nrw_u"), scale).alias("nrw_kl"),
             units_to_volume(F.col("supplied_u"), scale).alias("total_supplied_kl"),
+            percent.alias("nrw_percent"),
         )
-        .withColumn("nrw_percent", pct("nrw_kl", "total_supplied_kl", decimals))
         .orderBy(F.desc("nrw_kl"), F.asc("district"))
         .limit(k)
     )

@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterflow.functions.measures import DEFAULT_SCALE, to_units, units_to_volume
+from meterflow.functions.measures import DEFAULT_SCALE, exact_ratio, to_units, units_to_volume
 from meterflow.operators.assets import (
     asset_age_days,
     days_since_maintenance,
@@ -40,11 +40,9 @@ def rolling_mean(sensors: DataFrame, sensor: str = "pressure", days: int = 30,
     """Trailing N-day mean per asset, one row per asset-day with data."""
     d = _daily(sensors, sensor).withColumn("dn", F.unix_date("day"))
     w = Window.partitionBy("asset_id").orderBy("dn").rangeBetween(-(days - 1), 0)
-    mean = F.try_divide(
-        units_to_volume(F.sum("sum_u").over(w), DEFAULT_SCALE), F.sum("n").over(w).cast("double")
-    )
-    if decimals is not None:
-        mean = F.round(mean, decimals)
+    su, n = F.sum("sum_u").over(w), F.sum("n").over(w)
+    mean = (F.try_divide(units_to_volume(su, DEFAULT_SCALE), n.cast("double")) if decimals is None
+            else exact_ratio(su, n, decimals, -DEFAULT_SCALE))
     return d.select("asset_id", F.date_format("day", "yyyy-MM-dd").alias("report_date"), mean.alias(out))
 
 
@@ -73,9 +71,8 @@ def sensor_snapshot(sensors: DataFrame, snapshot: dt.date | str, pressure_days:
         F.count(F.when(in_p, F.col("value"))).alias("p_n"),
         F.max(F.when(in_v, F.col("value"))).alias("max_vibration_7d"),
     )
-    mean = F.try_divide(units_to_volume(F.col("p_u")), F.col("p_n").cast("double"))
-    if decimals is not None:
-        mean = F.round(mean, decimals)
+    mean = (F.try_divide(units_to_volume(F.col("p_u")), F.col("p_n").cast("double")) if decimals is None
+            else exact_ratio(F.col("p_u"), F.col("p_n"), decimals, -DEFAULT_SCALE))
     return agg.select("asset_id", mean.alias("avg_pressure_30d"), "max_vibration_7d")
 
 

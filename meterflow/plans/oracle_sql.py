@@ -22,6 +22,26 @@ R_LINEITEM_NATION = """
          l_shipdate AS reading_ts, l_quantity AS consumption_kl
   FROM lineitem"""
 
+def exact_ratio_sql(num: str, den: str, decimals: int, pow10: int = 0) -> str:
+    """round(num * 10^pow10 / den, decimals), halves away from zero, in exact
+    128-bit integer arithmetic; the twin of functions.measures.exact_ratio."""
+    k = decimals + pow10
+    n = f"CAST(({num}) AS HUGEINT)"
+    d = f"CAST(({den}) AS HUGEINT)"
+    if k >= 0:
+        n = f"({n} * {10**k})"
+    else:
+        d = f"({d} * {10**(-k)})"
+    q = f"((2 * abs({n}) + {d}) // (2 * {d}))"
+    return (f"(CASE WHEN {d} = 0 OR {d} IS NULL THEN NULL "
+            f"ELSE CAST(CASE WHEN {n} < 0 THEN -{q} ELSE {q} END AS DOUBLE) / {10**decimals} END)")
+
+
+def exact_mean_sql(x: str, scale: int = 6) -> str:
+    """Twin of functions.measures.exact_mean(x, 6, scale)."""
+    return exact_ratio_sql(f"sum(CAST(round(({x}) * {10**scale}) AS BIGINT))", f"count({x})", 6, -scale)
+
+
 BILLED = "coalesce(TRY_CAST(split_part(meter_id, '-', 2) AS BIGINT) % 10 <> 0, false)"
 UNITS = "CAST(round(consumption_kl * 10000) AS BIGINT)"
 
@@ -33,9 +53,7 @@ def summary_sql(readings: str) -> str:
          CAST(supplied_u AS DOUBLE) / 10000 AS total_supplied_kl,
          CAST(billed_u AS DOUBLE) / 10000 AS total_billed_kl,
          CAST(supplied_u - billed_u AS DOUBLE) / 10000 AS nrw_kl,
-         CASE WHEN supplied_u = 0 THEN NULL
-              ELSE round((CAST(supplied_u - billed_u AS DOUBLE) / 10000) / (CAST(supplied_u AS DOUBLE) / 10000) * 100, 6)
-         END AS nrw_percent
+         {exact_ratio_sql('supplied_u - billed_u', 'supplied_u', 6, 2)} AS nrw_percent
   FROM (
     SELECT strftime(reading_ts, '%Y-%m-%d') AS report_date, substr(meter_id, 1, 3) AS district,
            sum({UNITS}) AS supplied_u,

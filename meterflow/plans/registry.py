@@ -238,9 +238,8 @@ def q_chart_failures_by_type(spark, d):
     return C.failures_by_type(I.features(spark, d))
 
 
-def _exact_mean_sql(x: str) -> str:
-    return (f"round(CAST(sum(CAST(round({x}, 6) AS DECIMAL(30,6))) AS DOUBLE) "
-            f"/ CAST(count({x}) AS DOUBLE), 6)")
+def _exact_mean_sql(x: str, scale: int = 6) -> str:
+    return O.exact_mean_sql(x, scale)
 
 
 @register("chart_monthly_nrw", f"""
@@ -262,7 +261,7 @@ def q_chart_nrw_by_weekday(spark, d):
 
 HOURLY_PROFILE_SQL = f"""
   SELECT dayname(reading_ts) AS day_of_week, CAST(hour(reading_ts) AS INTEGER) AS hour,
-         {_exact_mean_sql('consumption_kl')} AS consumption_kl
+         {_exact_mean_sql('consumption_kl', 4)} AS consumption_kl
   FROM ({O.R_EVENTS}) r GROUP BY 1, 2"""
 
 
@@ -291,8 +290,7 @@ AGE_BINS_SQL = "VALUES " + ", ".join(
        b(bin_order, age_group) AS ({AGE_BINS_SQL})
   SELECT b.bin_order, b.age_group, coalesce(a.total_assets, 0) AS total_assets,
          CAST(coalesce(a.failures, 0) AS BIGINT) AS failures,
-         CASE WHEN coalesce(a.total_assets, 0) = 0 THEN NULL
-              ELSE round(CAST(a.failures AS DOUBLE) / CAST(a.total_assets AS DOUBLE), 6) END AS failure_rate
+         {O.exact_ratio_sql('a.failures', 'a.total_assets', 6)} AS failure_rate
   FROM b LEFT JOIN a ON a.age_group = b.age_group ORDER BY b.bin_order""")
 def q_chart_failure_rate_by_age(spark, d):
     """Failure rate per age bin, empty bins kept."""
@@ -621,7 +619,7 @@ def _rolling_sql(sensor: str, days: int, value_expr: str, out: str) -> str:
 
 
 @register("avg_pressure_30d", _rolling_sql(
-    "pressure", 30, "round((CAST(sum(su) OVER w AS DOUBLE) / 10000) / CAST(sum(n) OVER w AS DOUBLE), 6)",
+    "pressure", 30, O.exact_ratio_sql("sum(su) OVER w", "sum(n) OVER w", 6, -4),
     "avg_pressure_30d"))
 def q_avg_pressure_30d(spark, d):
     """Trailing 30-day mean pressure per asset and day."""
@@ -686,11 +684,11 @@ def q_nrw_before_after(spark, d):
 
 
 @register("top_loss_districts", f"""
-  SELECT district, nrw_kl, total_supplied_kl,
-         CASE WHEN total_supplied_kl = 0 THEN NULL ELSE round(nrw_kl / total_supplied_kl * 100, 6) END AS nrw_percent
+  SELECT district, CAST(nrw_u AS DOUBLE) / 10000 AS nrw_kl, CAST(sup_u AS DOUBLE) / 10000 AS total_supplied_kl,
+         {O.exact_ratio_sql('nrw_u', 'sup_u', 6, 2)} AS nrw_percent
   FROM (SELECT district,
-               CAST(sum(CAST(round(nrw_kl * 10000) AS BIGINT)) AS DOUBLE) / 10000 AS nrw_kl,
-               CAST(sum(CAST(round(total_supplied_kl * 10000) AS BIGINT)) AS DOUBLE) / 10000 AS total_supplied_kl
+               sum(CAST(round(nrw_kl * 10000) AS BIGINT)) AS nrw_u,
+               sum(CAST(round(total_supplied_kl * 10000) AS BIGINT)) AS sup_u
         FROM ({O.S_LINEITEM_NATION}) s GROUP BY district) x
   ORDER BY nrw_kl DESC, district LIMIT 5""")
 def q_top_loss_districts(spark, d):
@@ -716,8 +714,7 @@ SNAPSHOT = "2024-01-30"
   SELECT d.asset_id, '{SNAPSHOT}' AS snapshot_date, d.asset_type,
          strftime(d.install_date, '%Y-%m-%d') AS install_date, m.material,
          CAST(DATE '{SNAPSHOT}' - d.install_date AS INTEGER) AS asset_age_days,
-         CASE WHEN sn.p_n = 0 THEN NULL
-              ELSE round((CAST(sn.p_u AS DOUBLE) / 10000) / CAST(sn.p_n AS DOUBLE), 6) END AS avg_pressure_30d,
+         {O.exact_ratio_sql('sn.p_u', 'sn.p_n', 6, -4)} AS avg_pressure_30d,
          sn.max_vibration_7d,
          CAST(DATE '{SNAPSHOT}' - d.last_maintenance_date AS INTEGER) AS days_since_last_maintenance,
          CAST(coalesce(m.failure_event, 0) AS INTEGER) AS failure_event
@@ -743,7 +740,7 @@ def q_maintenance_priority(spark, d):
   SELECT asset_type, CAST(floor(CAST(asset_age_days AS DOUBLE) / 1000) AS BIGINT) * 1000 AS age_band_start,
          coalesce(days_since_last_maintenance > 365, true) AS overdue,
          count(*) AS total_assets, CAST(sum(failure_event) AS BIGINT) AS failures,
-         round(CAST(sum(failure_event) AS DOUBLE) / CAST(count(*) AS DOUBLE), 6) AS failure_rate
+         {O.exact_ratio_sql('sum(failure_event)', 'count(*)', 6)} AS failure_rate
   FROM ({O.FEATURES}) f GROUP BY 1, 2, 3""")
 def q_failure_by_condition(spark, d):
     """Failure rate by type, 1000-day age band and overdue flag."""

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from meterflow.functions.measures import DEFAULT_SCALE, pct, to_units, units_to_volume
+from meterflow.functions.measures import DEFAULT_SCALE, exact_ratio, pct, to_units, units_to_volume
 from meterflow.functions.rules import billed_by_hash, district_of
 from meterflow.operators.conform import conform_itron, conform_sensus, union_readings, with_reading_ts
 from meterflow.sources import schemas
@@ -75,7 +75,10 @@ def daily_nrw_stream(readings: DataFrame, billing_rule: Column | None = None,
         units_to_volume(F.col("supplied_u"), scale).alias("total_supplied_kl"),
         units_to_volume(F.col("billed_u"), scale).alias("total_billed_kl"),
         units_to_volume(F.col("supplied_u") - F.col("billed_u"), scale).alias("nrw_kl"),
-    ).withColumn("nrw_percent", pct(F.col("nrw_kl"), F.col("total_supplied_kl"), decimals))
+        (pct(F.col("supplied_u") - F.col("billed_u"), F.col("supplied_u")) if decimals is None
+         else exact_ratio(F.col("supplied_u") - F.col("billed_u"), F.col("supplied_u"), decimals, 2))
+        .alias("nrw_percent"),
+    )
 
 
 def start_daily_nrw(spark: SparkSession, sensus_dir: str | None, itron_dir: str | None,

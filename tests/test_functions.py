@@ -68,3 +68,16 @@ def test_rules(spark):
     # Deterministic, unlike rand()
     again = [x[0] for x in df.select(billed_by_hash()).collect()]
     assert again == [x[3] for x in r]
+
+
+def test_exact_ratio_rounds_true_ties_half_up(spark):
+    from meterflow.functions.measures import exact_ratio
+    # 65497812500 units of 1e-4 over 100000 = 65.4978125: a true tie at 6
+    # decimals. The double nearest to it lies below the tie, so rounding the
+    # double would give .497812.
+    df = spark.createDataFrame([(65497812500, 100000), (-65497812500, 100000), (1, 3), (2, 3), (5, 0)],
+                               "n long, d long")
+    got = [r[0] for r in df.select(exact_ratio("n", "d", 6, -4)).collect()]
+    assert got == [65.497813, -65.497813, 0.000033, 0.000067, None]
+    got2 = [r[0] for r in df.select(exact_ratio("n", "d", 6, 2)).collect()]
+    assert got2[2:] == [33.333333, 66.666667, None]
