@@ -50,7 +50,8 @@ def build_session(
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    # The checkpoint folder is resolved lazily (ensure_checkpoint_dir) by the
+    # steps that need one, so jobs without checkpoints run on any cluster.
     return spark
 
 
@@ -74,15 +75,25 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return spark.conf.get("spark.checkpoint.dir", None)
 
 
+class CheckpointDirMissing(RuntimeError):
+    pass
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder, creating a local one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names shared storage and is used as
-    is. A local temporary folder is only made when nothing is configured
-    (tests, local[N] runs).
+    is; if it is missing there, this raises instead of inventing a
+    machine-local folder the executors could not see. A local temporary
+    folder is only made for a ``local[...]`` master (tests, single-machine
+    runs).
     """
     d = checkpoint_dir(spark)
     if not d:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise CheckpointDirMissing(
+                "set spark.checkpoint.dir to a folder on shared storage (HDFS, object store)")
         d = tempfile.mkdtemp(prefix="meterflow-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)

@@ -62,3 +62,26 @@ def test_api_stages(spark):
                               "manufacturer string, model_number string, location struct<latitude: double, longitude: double>")
     f = api.asset_features(api.asset_dimension(m), as_of="2024-01-01").first()
     assert f["asset_age_days"] == 1461 and f["failure_event"] in (0, 1)
+
+
+def test_cluster_without_checkpoint_dir_refuses_local_folder(monkeypatch, spark):
+    import pytest
+
+    from meterflow import session as S
+
+    class FakeSC:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class FakeConf:
+        def get(self, k, default=None):
+            return default
+
+    class Fake:
+        sparkContext = FakeSC()
+        conf = FakeConf()
+
+    with pytest.raises(S.CheckpointDirMissing):
+        S.ensure_checkpoint_dir(Fake())
