@@ -41,14 +41,19 @@ def run_silver_to_gold(
     fact = tables.read_table(spark, f"{silver}/fct_meter_readings", fmt)
     nrw_path, feat_path = f"{gold}/nrw_daily_summary", f"{gold}/asset_failure_features"
 
+    # The summary has (days x districts) rows: cluster it by day before the
+    # partitioned write so each day is one file, not one file per shuffle
+    # task. A day holds only its districts' rows, so this cannot skew.
     if refresh_days:
         lo, hi = refresh_days
         # A date-partitioned silver fact prunes to the refreshed days.
         day = F.col("reading_date") if "reading_date" in fact.columns else F.to_date("reading_ts")
         part = fact.where((day >= F.lit(lo).cast("date")) & (day <= F.lit(hi).cast("date")))
-        tables.refresh_partitions(nrw_daily_summary(part, billing_rule), nrw_path, "report_date", fmt)
+        summary = nrw_daily_summary(part, billing_rule).repartition("report_date")
+        tables.refresh_partitions(summary, nrw_path, "report_date", fmt)
     else:
-        tables.write_table(nrw_daily_summary(fact, billing_rule), nrw_path, fmt, partition_by=["report_date"])
+        summary = nrw_daily_summary(fact, billing_rule).repartition("report_date")
+        tables.write_table(summary, nrw_path, fmt, partition_by=["report_date"])
 
     dim = tables.read_table(spark, f"{silver}/dim_asset", fmt)
     log: DataFrame | None = bronze.read_maintenance_log(spark, maintenance_log) if maintenance_log else None

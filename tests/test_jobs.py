@@ -99,3 +99,13 @@ def test_csv_feeds_conform_like_json(spark, tmp_dir):
     silver = os.path.join(tmp_dir, "silver")
     rep = run_bronze_to_silver(spark, BronzePaths(s_csv, i_csv, None, feed_format="csv"), silver)
     assert all(r.success for r in rep.collect())
+
+
+def test_gold_summary_is_one_file_per_day(spark, tmp_dir):
+    import glob
+    src, log = _land(spark, tmp_dir)
+    silver, gold = os.path.join(tmp_dir, "silver"), os.path.join(tmp_dir, "gold")
+    run_bronze_to_silver(spark, src, silver)
+    run_silver_to_gold(spark, silver, gold, maintenance_log=log, as_of="2001-12-31")
+    days = glob.glob(gold + "/nrw_daily_summary/report_date=*")
+    assert days and all(len(glob.glob(d + "/*.parquet")) == 1 for d in days)
