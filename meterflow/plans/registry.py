@@ -423,8 +423,9 @@ def q_incremental_refresh(spark, d):
     rule = I.billing_rule()
     first = readings.where(F.col("reading_ts") < F.lit(REFRESH_FIRST_BEFORE).cast("timestamp_ntz"))
     later = readings.where(F.to_date("reading_ts") >= F.lit(REFRESH_FROM_DAY).cast("date"))
-    tables.refresh_partitions(N.nrw_daily_summary(first, rule, decimals=6), path, "report_date")
-    tables.refresh_partitions(N.nrw_daily_summary(later, rule, decimals=6), path, "report_date")
+    for part in (first, later):
+        day_files = N.nrw_daily_summary(part, rule, decimals=6).repartition("report_date")
+        tables.refresh_partitions(day_files, path, "report_date")
     schema = N.nrw_daily_summary(readings, rule, decimals=6).schema
     return tables.read_table(spark, path, schema=schema).select(*N.SUMMARY_COLUMNS)
 
