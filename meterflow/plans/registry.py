@@ -27,7 +27,7 @@ from meterflow.plans import inputs as I
 from meterflow.plans import oracle_sql as O
 from meterflow.plans import reports as R
 from meterflow.session import apply_runtime_conf, scratch_path
-from meterflow.sources import bronze, tables
+from meterflow.sources import bronze, schemas, tables
 from meterflow.sources import fixtures as fx
 from meterflow.streaming import jobs as ST
 
@@ -794,17 +794,10 @@ def q_stream_conform(spark, d):
     out, ckpt = scratch_path(spark, "stream-silver"), scratch_path(spark, "stream-silver-ckpt")
     q = ST.start_conform(spark, sensus_dir, itron_dir, out, ckpt)
     q.awaitTermination()
-    r = spark.read.schema(q_schema_silver(spark)).parquet(out)
+    r = spark.read.schema(schemas.SILVER_READINGS).parquet(out)
     return r.select("meter_id", "reading_timestamp", ts_text("reading_ts").alias("reading_ts"), "consumption_kl")
 
 
-def q_schema_silver(spark):
-    from pyspark.sql.types import DoubleType, StringType, StructField, StructType, TimestampNTZType
-
-    return StructType([StructField("meter_id", StringType()), StructField("reading_timestamp", StringType()),
-                       StructField("consumption_kl", DoubleType()), StructField("reading_ts", TimestampNTZType())])
-
-
 STREAM_WATERMARK = "1 hour"
 
 

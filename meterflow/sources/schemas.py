@@ -7,6 +7,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampNTZType,
 )
 
 SENSUS = StructType(
@@ -56,11 +57,13 @@ MAINTENANCE_LOG = StructType(
     ]
 )
 
-# Silver fact after conform: one row per reading.
-READINGS = StructType(
+# Silver fact after conform: one row per reading (source text kept next to
+# the parsed UTC timestamp).
+SILVER_READINGS = StructType(
     [
         StructField("meter_id", StringType()),
         StructField("reading_timestamp", StringType()),
         StructField("consumption_kl", DoubleType()),
+        StructField("reading_ts", TimestampNTZType()),
     ]
 )
