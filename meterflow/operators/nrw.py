@@ -18,7 +18,6 @@ from meterflow.functions.measures import (
     exact_mean,
     exact_ratio,
     pct,
-    ratio,
     to_units,
     units_to_volume,
 )
@@ -207,5 +206,5 @@ def top_loss_districts(summary: DataFrame, k: int = 5, decimals: int | None = No
 __all__ = [
     "SUMMARY_COLUMNS", "with_nrw_keys", "nrw_daily_summary", "nrw_timeseries",
     "with_district_name", "nrw_vs_target", "loss_split", "loss_trend",
-    "nrw_before_after", "top_loss_districts", "ratio",
+    "nrw_before_after", "top_loss_districts",
 ]
