@@ -7,7 +7,7 @@ local[$BENCH_CPUS] and prints ONE JSON line:
 Each query is executed in full through Spark's ``noop`` sink (no driver
 collect). One untimed warm-up run of the flagship query absorbs JVM
 start-up and JIT; the reported time per query is the best of
-$BENCH_REPEAT runs (default 2).
+$BENCH_REPEAT runs (default 3).
 """
 
 from __future__ import annotations
@@ -49,7 +49,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     from meterflow.session import build_session
     from meterflow.plans.registry import QUERIES
 
