@@ -17,6 +17,7 @@ from meterflow.functions.measures import (
     DEFAULT_SCALE,
     exact_mean,
     exact_ratio,
+    half_up_quotient,
     pct,
     to_units,
     units_to_volume,
@@ -133,20 +134,25 @@ def nrw_vs_target(
     )
 
 
-def loss_split(summary: DataFrame, split: LossSplit = LossSplit(), scale: int = DEFAULT_SCALE) -> DataFrame:
-    """Apparent / real loss. apparent = share x nrw (half-up to 10^-scale kL)."""
+def loss_columns(nrw_kl: Column, split: LossSplit = LossSplit(),
+                 scale: int = DEFAULT_SCALE) -> tuple[Column, Column]:
+    """(apparent_loss_kl, real_loss_kl) for an NRW volume column.
+
+    apparent = share x nrw, rounded half-up to 10^-scale kL in integer
+    units; real = nrw - apparent, so the two always add up to nrw.
+    """
     bp = int(round(split.apparent_share * 10_000))
-    nrw_u = to_units(F.col("nrw_kl"), scale)
-    apparent_u = F.expr(f"(nrw_u * {bp} + 5000) div 10000")
-    return (
-        summary.withColumn("nrw_u", nrw_u)
-        .withColumn("apparent_u", apparent_u)
-        .select(
-            "report_date", "district", "nrw_kl",
-            units_to_volume(F.col("apparent_u"), scale).alias("apparent_loss_kl"),
-            units_to_volume(F.col("nrw_u") - F.col("apparent_u"), scale).alias("real_loss_kl"),
-        )
-    )
+    nrw_u = to_units(nrw_kl, scale)
+    # Exact decimal arithmetic (no double rounding for large volumes).
+    apparent_u = half_up_quotient(nrw_u.cast("decimal(38,0)") * F.lit(bp), F.lit(10_000)).cast("long")
+    return (units_to_volume(apparent_u, scale).alias("apparent_loss_kl"),
+            units_to_volume(nrw_u - apparent_u, scale).alias("real_loss_kl"))
+
+
+def loss_split(summary: DataFrame, split: LossSplit = LossSplit(), scale: int = DEFAULT_SCALE) -> DataFrame:
+    """Apparent / real loss per district-day."""
+    apparent, real = loss_columns(F.col("nrw_kl"), split, scale)
+    return summary.select("report_date", "district", "nrw_kl", apparent, real)
 
 
 def loss_trend(split_df: DataFrame, scale: int = DEFAULT_SCALE) -> DataFrame:
@@ -208,3 +214,14 @@ __all__ = [
     "with_district_name", "nrw_vs_target", "loss_split", "loss_trend",
     "nrw_before_after", "top_loss_districts",
 ]
+
+
+def documented_summary(summary: DataFrame, districts: DataFrame, split: LossSplit = LossSplit(),
+                       scale: int = DEFAULT_SCALE) -> DataFrame:
+    """The daily summary with every documented column: report_date,
+    district_id, district_name, supplied / billed / NRW volumes, NRW % and
+    the apparent / real loss split (J2 + X2 in one projection)."""
+    apparent, real = loss_columns(F.col("nrw_kl"), split, scale)
+    return with_district_name(summary, districts).select(
+        "report_date", "district_id", "district_name", "total_supplied_kl", "total_billed_kl",
+        "nrw_kl", "nrw_percent", apparent, real)

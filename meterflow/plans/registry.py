@@ -590,6 +590,17 @@ def q_nrw_with_district_name(spark, d):
     return _named_summary(spark, d)
 
 
+@register("nrw_daily_summary_documented", f"""
+  SELECT n.report_date, n.district_id, n.district_name, n.total_supplied_kl, n.total_billed_kl, n.nrw_kl,
+         n.nrw_percent, CAST(a_u AS DOUBLE) / 10000 AS apparent_loss_kl,
+         CAST(nrw_u - a_u AS DOUBLE) / 10000 AS real_loss_kl
+  FROM (SELECT *, (nrw_u * 3000 + 5000) // 10000 AS a_u
+        FROM (SELECT *, CAST(round(nrw_kl * 10000) AS BIGINT) AS nrw_u FROM ({S_NAMED}) x) y) n""")
+def q_nrw_daily_summary_documented(spark, d):
+    """Gold NRW summary with all documented columns (district name, loss split)."""
+    return N.documented_summary(I.lineitem_summary(spark, d, "nation"), I.districts(spark, d))
+
+
 @register("sql_last_30_days", f"""
   SELECT report_date, district_name, nrw_percent FROM ({S_NAMED}) n
   WHERE CAST(report_date AS DATE) >= DATE '{NATION_AS_OF}' - 30
