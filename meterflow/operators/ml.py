@@ -20,28 +20,45 @@ FEATURES = ["asset_age_days", "days_since_last_maintenance"]
 def failure_model_scores(features: DataFrame, max_iter: int = 20, reg: float = 0.01) -> DataFrame:
     """Probability of failure per asset from a logistic model.
 
-    Never-maintained assets (NULL days) get the age as their gap, i.e. they
-    count as unmaintained since installation.
+    Features: asset age, days since maintenance (standardised) and asset
+    type (one-hot). Never-maintained assets (NULL days) get the age as their
+    gap, i.e. they count as unmaintained since installation.
     """
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
     from pyspark.ml.functions import vector_to_array
 
     data = features.select(
         "asset_id",
+        F.coalesce(F.col("asset_type"), F.lit("unknown")).alias("asset_type"),
         F.col("asset_age_days").cast("double").alias("asset_age_days"),
         F.coalesce(F.col("days_since_last_maintenance"), F.col("asset_age_days"))
         .cast("double").alias("days_since_last_maintenance"),
         F.col("failure_event").cast("double").alias("label"),
-    ).where(F.col("asset_age_days").isNotNull())
+    )
     # The fit passes over the data several times: materialise the feature
     # rows once in the shared checkpoint folder (reliable, lineage cut)
     # instead of recomputing the joins behind them on every pass.
     ensure_checkpoint_dir(features.sparkSession)
-    data = data.checkpoint(eager=True)
-    assembled = VectorAssembler(inputCols=FEATURES, outputCol="raw").transform(data)
-    scaler = StandardScaler(inputCol="raw", outputCol="features").fit(assembled)
-    scaled = scaler.transform(assembled)
+    everything = data.checkpoint(eager=True)
+    # Assets without an age cannot be scored; they stay in the output with a
+    # NULL probability instead of being dropped.
+    data = everything.where(F.col("asset_age_days").isNotNull())
+    unscored = everything.where(F.col("asset_age_days").isNull()).select(
+        "asset_id",
+        F.lit(None).cast("double").alias("failure_probability"),
+        F.lit(None).cast("int").alias("predicted_failure"),
+        F.col("label").cast("int").alias("failure_event"),
+    )
+    # asset_type enters one-hot encoded (index fitted on the data: one small
+    # distinct-count job); the numeric features are standardised.
+    indexed = StringIndexer(inputCol="asset_type", outputCol="type_ix", handleInvalid="keep",
+                            stringOrderType="alphabetAsc").fit(data).transform(data)
+    encoded = OneHotEncoder(inputCols=["type_ix"], outputCols=["type_vec"]).fit(indexed).transform(indexed)
+    assembled = VectorAssembler(inputCols=FEATURES, outputCol="raw").transform(encoded)
+    scaler = StandardScaler(inputCol="raw", outputCol="num").fit(assembled)
+    scaled = VectorAssembler(inputCols=["num", "type_vec"], outputCol="features").transform(
+        scaler.transform(assembled))
     lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=reg)
     scored = lr.fit(scaled).transform(scaled)
     return scored.select(
@@ -49,7 +66,7 @@ def failure_model_scores(features: DataFrame, max_iter: int = 20, reg: float = 0
         vector_to_array("probability")[1].alias("failure_probability"),
         F.col("prediction").cast("int").alias("predicted_failure"),
         F.col("label").cast("int").alias("failure_event"),
-    )
+    ).unionByName(unscored)
 
 
 def demand_forecast_naive(readings: DataFrame, horizon_hours: int = 168,

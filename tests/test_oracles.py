@@ -44,3 +44,13 @@ def test_rows_only_model_scores(spark):
     rows = df.collect()
     assert len(rows) == duck(SF_SMALL).execute("SELECT count(*) FROM orders").fetchone()[0]
     assert all(0.0 <= r["failure_probability"] <= 1.0 for r in rows)
+
+
+def test_model_keeps_assets_without_age(spark):
+    from meterflow.operators.ml import failure_model_scores
+    rows = [(f"A{i}", "Pipe" if i % 2 else "Pump", i * 10, i * 3, int(i % 5 == 0)) for i in range(1, 60)]
+    rows.append(("A-none", "Pipe", None, None, 0))
+    f = spark.createDataFrame(rows, "asset_id string, asset_type string, asset_age_days int, "
+                                    "days_since_last_maintenance int, failure_event int")
+    out = {r.asset_id: r.failure_probability for r in failure_model_scores(f).collect()}
+    assert len(out) == 60 and out["A-none"] is None and out["A1"] is not None
