@@ -27,11 +27,16 @@ from meterflow.operators.assets import (
 
 
 def _daily(sensors: DataFrame, sensor: str) -> DataFrame:
-    s = sensors.where(F.col("sensor") == sensor).where(F.col("value").isNotNull())
+    """Per (asset, day): sum of values in units, number of non-NULL values, max.
+
+    An asset-day whose readings are all NULL is kept (its mean is NULL).
+    """
+    v = F.nanvl(F.col("value").cast("double"), F.lit(None).cast("double"))
+    s = sensors.where(F.col("sensor") == sensor)
     return s.groupBy("asset_id", F.to_date("reading_ts").alias("day")).agg(
-        F.sum(to_units("value")).alias("sum_u"),
-        F.count(F.lit(1)).alias("n"),
-        F.max("value").alias("mx"),
+        F.sum(to_units(v)).alias("sum_u"),
+        F.count(v).alias("n"),
+        F.max(v).alias("mx"),
     )
 
 

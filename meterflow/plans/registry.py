@@ -623,8 +623,8 @@ def _rolling_sql(sensor: str, days: int, value_expr: str, out: str) -> str:
     return f"""
   WITH d AS (
     SELECT asset_id, CAST(reading_ts AS DATE) AS day,
-           sum(CAST(round(value * 10000) AS BIGINT)) AS su, count(*) AS n, max(value) AS mx
-    FROM ({O.SENSORS}) s WHERE sensor = '{sensor}' AND value IS NOT NULL GROUP BY 1, 2)
+           sum(CAST(round(value * 10000) AS BIGINT)) AS su, count(value) AS n, max(value) AS mx
+    FROM ({O.SENSORS}) s WHERE sensor = '{sensor}' GROUP BY 1, 2)
   SELECT asset_id, strftime(day, '%Y-%m-%d') AS report_date, {value_expr} AS {out}
   FROM d WINDOW w AS (PARTITION BY asset_id ORDER BY datediff('day', DATE '1970-01-01', day)
                       RANGE BETWEEN {days - 1} PRECEDING AND CURRENT ROW)"""

@@ -53,3 +53,12 @@ def test_feature_snapshot_has_documented_columns(spark):
     assert df.columns == ["asset_id", "snapshot_date", "asset_type", "install_date", "material", "asset_age_days",
                           "avg_pressure_30d", "max_vibration_7d", "days_since_last_maintenance", "failure_event"]
     assert df.count() == I.assets(spark, SF_SMALL).count()
+
+
+def test_all_null_asset_day_is_kept_with_null_mean(spark):
+    import datetime as dt
+    s = spark.createDataFrame([("A", dt.datetime(2024, 1, 1), "pressure", None),
+                               ("A", dt.datetime(2024, 1, 2), "pressure", 4.0)],
+                              "asset_id string, reading_ts timestamp_ntz, sensor string, value double")
+    got = {r.report_date: r.avg_pressure_30d for r in rolling_mean(s).collect()}
+    assert got == {"2024-01-01": None, "2024-01-02": 4.0}
