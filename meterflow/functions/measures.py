@@ -23,9 +23,11 @@ def to_units(x: Column | str, scale: int = DEFAULT_SCALE) -> Column:
     """Volume -> whole number of 10^-scale units.
 
     ``rint`` (a plain double op, no BigDecimal per row) is exact for inputs
-    with at most ``scale`` decimals, which the feeds guarantee.
+    with at most ``scale`` decimals, which the feeds guarantee. NaN, infinite
+    or out-of-range values become NULL (missing) instead of failing the job
+    under ANSI; the quality range rule reports them.
     """
-    return F.rint(_c(x).cast("double") * float(10**scale)).cast("long")
+    return F.rint(_c(x).cast("double") * float(10**scale)).try_cast("long")
 
 
 def exact_sum_units(x: Column | str, scale: int = DEFAULT_SCALE) -> Column:
@@ -98,5 +100,5 @@ def exact_mean(x: Column | str, decimals: int | None = None, scale: int = 6) ->
     v = F.nanvl(_c(x).cast("double"), F.lit(None).cast("double"))
     if decimals is None:
         return F.avg(v)
-    units = F.sum(F.rint(v * float(10**scale)).cast("long"))
+    units = F.sum(F.rint(v * float(10**scale)).try_cast("long"))
     return exact_ratio(units, F.count(v), decimals, -scale)

@@ -95,3 +95,10 @@ def test_hash_rule_bills_about_ninety_percent(spark):
     from meterflow.functions.rules import billed_by_hash
     share = r.agg(F.avg(billed_by_hash().cast("double"))).first()[0]
     assert 0.85 < share < 0.95
+
+
+def test_nan_and_infinite_readings_do_not_fail_the_summary(spark):
+    df = _readings(spark, [("SEN-1", D(2024, 1, 1), float("nan")), ("SEN-2", D(2024, 1, 1), float("inf")),
+                           ("SEN-3", D(2024, 1, 1), 2.5)])
+    r = nrw_daily_summary(df, billed_by_suffix()).first()
+    assert r["total_supplied_kl"] == 2.5 and r["total_billed_kl"] == 2.5
