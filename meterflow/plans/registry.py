@@ -26,7 +26,7 @@ from meterflow.params import ASSET_AS_OF
 from meterflow.plans import inputs as I
 from meterflow.plans import oracle_sql as O
 from meterflow.plans import reports as R
-from meterflow.session import apply_runtime_conf, scratch_path
+from meterflow.session import scratch_path
 from meterflow.sources import bronze, schemas, tables
 from meterflow.sources import fixtures as fx
 from meterflow.streaming import jobs as ST
@@ -40,17 +40,17 @@ TS_SQL = "%Y-%m-%d %H:%M:%S.%f"
 
 
 def register(name: str, sql: str | None = None):
-    def deco(fn: Query) -> Query:
-        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            apply_runtime_conf(spark)
-            return fn(spark, sf_dir)
+    """Record a query and its SQL twin.
 
-        run.__name__ = fn.__name__
-        run.__doc__ = fn.__doc__
-        QUERIES[name] = run
+    Queries do not change the caller's session settings: every operator
+    gives the same rows under any session time zone (tests/test_zones.py),
+    and write modes are passed per write.
+    """
+    def deco(fn: Query) -> Query:
+        QUERIES[name] = fn
         if sql is not None:
             ORACLES[name] = sql
-        return run
+        return fn
 
     return deco
 
