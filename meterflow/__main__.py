@@ -24,6 +24,7 @@ def main(argv: list[str] | None = None) -> None:
     g.add_argument("--silver-dir", required=True), g.add_argument("--gold-dir", required=True)
     g.add_argument("--maintenance-log"), g.add_argument("--as-of"), g.add_argument("--lineage")
     g.add_argument("--refresh-from"), g.add_argument("--refresh-to")
+    g.add_argument("--districts", help="Parquet district dimension: district_id, district_name, region_name")
     r = sub.add_parser("reports", help="gold -> chart datasets")
     r.add_argument("--silver-dir", required=True), r.add_argument("--gold-dir", required=True)
     r.add_argument("--out-dir", required=True)
@@ -40,8 +41,9 @@ def main(argv: list[str] | None = None) -> None:
         from meterflow.plans.gold import run_silver_to_gold
 
         days = (a.refresh_from, a.refresh_to) if a.refresh_from and a.refresh_to else None
+        dims = spark.read.parquet(a.districts) if a.districts else None
         print(json.dumps(run_silver_to_gold(spark, a.silver_dir, a.gold_dir, a.maintenance_log, a.as_of,
-                                            refresh_days=days, lineage_path=a.lineage)))
+                                            refresh_days=days, lineage_path=a.lineage, districts=dims)))
     else:
         from meterflow.plans.reports import chart_datasets, write_chart_datasets
         from meterflow.sources.tables import read_table

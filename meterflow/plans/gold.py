@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from meterflow.operators import lineage
 from meterflow.operators.assets import asset_failure_features
-from meterflow.operators.nrw import nrw_daily_summary
+from meterflow.operators.nrw import documented_summary, nrw_daily_summary
 from meterflow.session import apply_runtime_conf
 from meterflow.sources import bronze, tables
 
@@ -35,8 +35,18 @@ def run_silver_to_gold(
     refresh_days: tuple[str, str] | None = None,
     fmt: str = "parquet",
     lineage_path: str | None = None,
+    districts: DataFrame | None = None,
 ) -> dict[str, str]:
+    """Build and publish both gold products; returns their paths.
+
+    With ``districts`` (district_id, district_name, region_name) the summary
+    is published with every documented column: district id and name plus
+    the apparent / real loss split.
+    """
     apply_runtime_conf(spark)
+
+    def shape(summary: DataFrame) -> DataFrame:
+        return summary if districts is None else documented_summary(summary, districts)
     silver, gold = silver_dir.rstrip("/"), gold_dir.rstrip("/")
     fact = tables.read_table(spark, f"{silver}/fct_meter_readings", fmt)
     nrw_path, feat_path = f"{gold}/nrw_daily_summary", f"{gold}/asset_failure_features"
@@ -49,10 +59,10 @@ def run_silver_to_gold(
         # A date-partitioned silver fact prunes to the refreshed days.
         day = F.col("reading_date") if "reading_date" in fact.columns else F.to_date("reading_ts")
         part = fact.where((day >= F.lit(lo).cast("date")) & (day <= F.lit(hi).cast("date")))
-        summary = nrw_daily_summary(part, billing_rule).repartition("report_date")
+        summary = shape(nrw_daily_summary(part, billing_rule)).repartition("report_date")
         tables.refresh_partitions(summary, nrw_path, "report_date", fmt)
     else:
-        summary = nrw_daily_summary(fact, billing_rule).repartition("report_date")
+        summary = shape(nrw_daily_summary(fact, billing_rule)).repartition("report_date")
         tables.write_table(summary, nrw_path, fmt, partition_by=["report_date"])
 
     dim = tables.read_table(spark, f"{silver}/dim_asset", fmt)

@@ -805,7 +805,7 @@ def q_stream_conform(spark, d):
     out, ckpt = scratch_path(spark, "stream-silver"), scratch_path(spark, "stream-silver-ckpt")
     q = ST.start_conform(spark, sensus_dir, itron_dir, out, ckpt)
     q.awaitTermination()
-    r = spark.read.schema(schemas.SILVER_READINGS).parquet(out)
+    r = spark.read.schema(schemas.SILVER_READINGS_BY_DATE).parquet(out)
     return r.select("meter_id", "reading_timestamp", ts_text("reading_ts").alias("reading_ts"), "consumption_kl")
 
 

@@ -67,3 +67,6 @@ SILVER_READINGS = StructType(
         StructField("reading_ts", TimestampNTZType()),
     ]
 )
+
+# The silver fact as stored: partitioned by reading_date.
+SILVER_READINGS_BY_DATE = StructType(SILVER_READINGS.fields + [StructField("reading_date", DateType())])

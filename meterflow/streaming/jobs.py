@@ -38,9 +38,11 @@ def read_feeds(spark: SparkSession, sensus_dir: str | None, itron_dir: str | Non
 
 def start_conform(spark: SparkSession, sensus_dir: str | None, itron_dir: str | None,
                   out_dir: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Continuously conform landed feeds into the silver fact (append)."""
-    q = read_feeds(spark, sensus_dir, itron_dir).writeStream.format("parquet").option(
-        "checkpointLocation", checkpoint).outputMode("append")
+    """Continuously conform landed feeds into the silver fact (append),
+    partitioned by reading_date like the batch silver table."""
+    feed = read_feeds(spark, sensus_dir, itron_dir).withColumn("reading_date", F.to_date("reading_ts"))
+    q = feed.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode(
+        "append").partitionBy("reading_date")
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
     return q.start(out_dir)
 

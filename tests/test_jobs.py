@@ -109,3 +109,27 @@ def test_gold_summary_is_one_file_per_day(spark, tmp_dir):
     run_silver_to_gold(spark, silver, gold, maintenance_log=log, as_of="2001-12-31")
     days = glob.glob(gold + "/nrw_daily_summary/report_date=*")
     assert days and all(len(glob.glob(d + "/*.parquet")) == 1 for d in days)
+
+
+def test_silver_rerun_is_idempotent_and_gold_documented_form(spark, tmp_dir):
+    src, log = _land(spark, tmp_dir)
+    silver, gold = os.path.join(tmp_dir, "silver"), os.path.join(tmp_dir, "gold")
+    run_bronze_to_silver(spark, src, silver)
+    first = sorted(map(tuple, read_table(spark, silver + "/fct_meter_readings").collect()))
+    run_bronze_to_silver(spark, src, silver)
+    assert sorted(map(tuple, read_table(spark, silver + "/fct_meter_readings").collect())) == first
+    districts = spark.createDataFrame([("SEN", "Sensus district", "North"), ("ITR", "Itron district", "South")],
+                                      "district_id string, district_name string, region_name string")
+    run_silver_to_gold(spark, silver, gold, maintenance_log=log, as_of="2001-12-31", districts=districts)
+    g = read_table(spark, gold + "/nrw_daily_summary")
+    assert {"district_id", "district_name", "apparent_loss_kl", "real_loss_kl"} <= set(g.columns)
+    assert g.where("district_name IS NULL").count() == 0
+
+
+def test_stream_silver_is_partitioned_by_day(spark, tmp_dir):
+    from meterflow.streaming import jobs as ST
+    src, _ = _land(spark, tmp_dir)
+    out, ck = os.path.join(tmp_dir, "s_out"), os.path.join(tmp_dir, "s_ck")
+    ST.start_conform(spark, src.sensus, src.itron, out, ck).awaitTermination()
+    import glob
+    assert glob.glob(out + "/reading_date=2024-01-*")
