@@ -55,6 +55,20 @@ def main() -> None:
     out = ["# PLANS", "",
            "Generated by `scripts/explain_plans.py` at sf0.01 (initial adaptive plans, before execution).",
            "Queries that land files or run streams first are left out (their plans read the landed files).", "",
+           "How to read it:",
+           "",
+           "- `shuffles` counts hash, range and single-partition exchanges. Each aggregate is one hash",
+           "  exchange after a map-side partial aggregate. Bounded chart results add one single-partition",
+           "  exchange for their sort.",
+           "- Two scans of `events` come from the two feeds the fixture derives from one file (separate",
+           "  sources in production).",
+           "- `lineage_edges` counts seven datasets (bronze, silver, gold) in one job, which explains its",
+           "  16 exchanges. The production jobs count the written tables instead.",
+           "- `sort aggregates` appear only where the latest material per asset is taken: Spark 4.1 has no",
+           "  hash aggregate for string buffers.",
+           "- Broadcasts are dimensions that passed a measured size check, or fixed-size lists (age bins,",
+           "  the 168-cell profile), or sides Spark's planner sized from file statistics.",
+           "",
            "| query | shuffles | broadcasts | scans | sort aggregates | top-k | python nodes |",
            "| --- | --- | --- | --- | --- | --- | --- |", *rows, "", "## Selected formatted plans", "", *details]
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
