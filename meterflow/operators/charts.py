@@ -56,15 +56,16 @@ def nrw_by_weekday(summary: DataFrame, decimals: int | None = None) -> DataFrame
     )
 
 
+def hourly_cells(readings: DataFrame, decimals: int | None = None) -> DataFrame:
+    """Mean consumption per (weekday, hour of day), unsorted (at most 168 rows)."""
+    return readings.groupBy(
+        weekday_name("reading_ts").alias("day_of_week"), hour_of_day("reading_ts").alias("hour")
+    ).agg(exact_mean("consumption_kl", decimals, scale=4).alias("consumption_kl"))
+
+
 def hourly_profile(readings: DataFrame, decimals: int | None = None) -> DataFrame:
-    """Mean consumption per (weekday, hour of day)."""
-    return (
-        readings.groupBy(
-            weekday_name("reading_ts").alias("day_of_week"), hour_of_day("reading_ts").alias("hour")
-        )
-        .agg(exact_mean("consumption_kl", decimals, scale=4).alias("consumption_kl"))
-        .transform(lambda d: sorted_small(d, "day_of_week", "hour"))
-    )
+    """Mean consumption per (weekday, hour of day), sorted."""
+    return sorted_small(hourly_cells(readings, decimals), "day_of_week", "hour")
 
 
 def hourly_heatmap(readings: DataFrame, decimals: int | None = None) -> DataFrame:
@@ -74,9 +75,7 @@ def hourly_heatmap(readings: DataFrame, decimals: int | None = None) -> DataFram
     over at most 168 rows. The explicit hour list avoids a distinct pass and
     always yields 24 columns.
     """
-    prof = readings.groupBy(
-        weekday_name("reading_ts").alias("day_of_week"), hour_of_day("reading_ts").alias("hour")
-    ).agg(exact_mean("consumption_kl", decimals, scale=4).alias("consumption_kl"))
+    prof = hourly_cells(readings, decimals)
     wide = prof.groupBy("day_of_week").pivot("hour", HOURS).agg(F.first("consumption_kl"))
     out = wide.select("day_of_week", *[F.col(str(h)).alias(f"h{h:02d}") for h in HOURS])
     return sorted_small(out, "day_of_week")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterflow.operators.charts import hourly_profile
+from meterflow.operators.charts import hourly_cells
 from meterflow.session import ensure_checkpoint_dir
 
 FEATURES = ["asset_age_days", "days_since_last_maintenance"]
@@ -78,7 +78,7 @@ def demand_forecast_naive(readings: DataFrame, horizon_hours: int = 168,
     construction and is broadcast on that bound (measuring it would run the
     full aggregation over the readings twice).
     """
-    profile = F.broadcast(hourly_profile(readings, decimals).select(
+    profile = F.broadcast(hourly_cells(readings, decimals).select(
         "day_of_week", "hour", F.col("consumption_kl").alias("forecast_kl")))
     start = readings.agg(F.max("reading_ts").alias("last")).select(
         (F.date_trunc("hour", F.col("last")) + F.expr("INTERVAL 1 HOUR")).alias("start"))
