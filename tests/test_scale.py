@@ -85,3 +85,34 @@ def test_cluster_without_checkpoint_dir_refuses_local_folder(monkeypatch, spark)
 
     with pytest.raises(S.CheckpointDirMissing):
         S.ensure_checkpoint_dir(Fake())
+
+
+def test_hot_meter_join_is_split_by_aqe_skew_join(spark):
+    """readings_with_asset when the dimension is too big to broadcast: a
+    meter holding a third of the readings is split across tasks by AQE's
+    skew join instead of landing in one task."""
+    from meterflow.operators.assets import readings_with_asset
+
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        r = _hot_readings(spark, 30_000).withColumn("meter_id", F.regexp_replace("meter_id", "ITR-", "SEN-"))
+        dim = spark.range(0, 200).select(
+            F.concat(F.lit("MTR-"), F.col("id").cast("string")).alias("asset_id"), F.lit("Pump").alias("asset_type"),
+            F.lit("M").alias("manufacturer"), F.lit(1.0).alias("latitude"), F.lit(2.0).alias("longitude"))
+        j = readings_with_asset(r, dim, max_broadcast_rows=10)
+        assert len(j.collect()) == 30_000  # executes j itself: its final adaptive plan is then visible
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
