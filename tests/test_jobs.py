@@ -133,3 +133,13 @@ def test_stream_silver_is_partitioned_by_day(spark, tmp_dir):
     ST.start_conform(spark, src.sensus, src.itron, out, ck).awaitTermination()
     import glob
     assert glob.glob(out + "/reading_date=2024-01-*")
+
+
+def test_cluster_days_writes_few_files_per_day(spark, tmp_dir):
+    import glob
+    src, _ = _land(spark, tmp_dir)
+    silver = os.path.join(tmp_dir, "silver")
+    run_bronze_to_silver(spark, src, silver, cluster_days=True)
+    days = glob.glob(silver + "/fct_meter_readings/reading_date=*")
+    assert days and sum(len(glob.glob(d + "/*.parquet")) for d in days) <= len(days) + 8
+    assert read_table(spark, silver + "/fct_meter_readings").count() == fx.table(spark, SF_SMALL, "events").count()
