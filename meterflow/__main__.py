@@ -18,6 +18,7 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--sensus"), s.add_argument("--itron"), s.add_argument("--asset-master")
     s.add_argument("--multiline", action="store_true")
     s.add_argument("--feed-format", choices=["json", "csv"], default="json")
+    s.add_argument("--cluster-days", action="store_true", help="range-partition by day before writing")
     s.add_argument("--silver-dir", required=True)
     s.add_argument("--lineage")
     g = sub.add_parser("gold", help="silver -> gold")
@@ -35,7 +36,7 @@ def main(argv: list[str] | None = None) -> None:
         from meterflow.plans.silver import BronzePaths, run_bronze_to_silver
 
         rep = run_bronze_to_silver(spark, BronzePaths(a.sensus, a.itron, a.asset_master, a.multiline, a.feed_format),
-                                   a.silver_dir, lineage_path=a.lineage)
+                                   a.silver_dir, lineage_path=a.lineage, cluster_days=a.cluster_days)
         print(json.dumps([r.asDict() for r in rep.collect()]))
     elif a.cmd == "gold":
         from meterflow.plans.gold import run_silver_to_gold
