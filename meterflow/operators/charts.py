@@ -99,31 +99,31 @@ def failure_rate_by_age(features: DataFrame, bins: AgeBins = AgeBins(),
                         decimals: int | None = None) -> DataFrame:
     """Per age bin: total assets, failures, rate; empty bins kept (rate NULL).
 
-    Rows are binned with a CASE expression (no range join); only the
-    aggregated bins meet the bin list, which has a fixed, tiny size.
+    The bins are a small fixed list, so one global aggregate computes a
+    conditional count and sum per bin: each task combines its rows into one
+    partial row, and no data is hash-shuffled. ``inline`` then turns the
+    single result row into one row per bin, in bin order in one partition.
+    Empty bins come out with 0 assets. Counts follow pandas:
+    ``total_assets`` counts non-NULL labels.
     """
-    spark = features.sparkSession
-    labelled = features.select(age_group("asset_age_days", bins).alias("age_group"), "failure_event")
-    agg = labelled.where(F.col("age_group").isNotNull()).groupBy("age_group").agg(
-        F.count("failure_event").alias("total_assets"),
-        F.sum("failure_event").cast("long").alias("failures"),
-    )
-    bin_df = spark.createDataFrame(
-        [(i, lab) for i, lab in enumerate(bins.labels)], "bin_order int, age_group string"
-    )
-    return (
-        F.broadcast(bin_df)
-        .join(agg, "age_group", "left")
-        .select(
-            "bin_order",
-            "age_group",
-            F.coalesce(F.col("total_assets"), F.lit(0)).alias("total_assets"),
-            F.coalesce(F.col("failures"), F.lit(0)).cast("long").alias("failures"),
-            (ratio("failures", "total_assets") if decimals is None
-             else exact_ratio(F.col("failures"), F.col("total_assets"), decimals)).alias("failure_rate"),
+    age = F.col("asset_age_days")
+    fe = F.col("failure_event").cast("int")
+    aggs = []
+    for i, (lo, hi) in enumerate(zip(bins.edges[:-1], bins.edges[1:])):
+        in_bin = (age >= lo) & (age < hi)
+        aggs += [F.count(F.when(in_bin, fe)).alias(f"n{i}"), F.sum(F.when(in_bin, fe)).alias(f"s{i}")]
+    per_bin = features.agg(*aggs).select(F.inline(F.array(*[
+        F.struct(
+            F.lit(i).alias("bin_order"),
+            F.lit(label).alias("age_group"),
+            F.col(f"n{i}").alias("total_assets"),
+            F.coalesce(F.col(f"s{i}"), F.lit(0)).cast("long").alias("failures"),
         )
-        .transform(lambda d: sorted_small(d, "bin_order"))
-    )
+        for i, label in enumerate(bins.labels)
+    ])))
+    rate = (ratio("failures", "total_assets") if decimals is None
+            else exact_ratio(F.col("failures"), F.col("total_assets"), decimals))
+    return per_bin.withColumn("failure_rate", rate)
 
 
 def histogram(df: DataFrame, col: str, width: float, by: list[str] | None = None) -> DataFrame:

@@ -66,8 +66,8 @@ def main() -> None:
            "  16 exchanges. The production jobs count the written tables instead.",
            "- `sort aggregates` appear only where the latest material per asset is taken: Spark 4.1 has no",
            "  hash aggregate for string buffers.",
-           "- Broadcasts are dimensions that passed a measured size check, or fixed-size lists (age bins,",
-           "  the 168-cell profile), or sides Spark's planner sized from file statistics.",
+           "- Broadcasts are dimensions that passed a measured size check, the fixed-size 168-cell",
+           "  profile, or sides Spark's planner sized from file statistics.",
            "",
            "| query | shuffles | broadcasts | scans | sort aggregates | top-k | python nodes |",
            "| --- | --- | --- | --- | --- | --- | --- |", *rows, "", "## Selected formatted plans", "", *details]
