@@ -41,18 +41,35 @@ def days_since_maintenance(last_date: Column | str, as_of=None) -> Column:
     return F.datediff(_as_of(as_of), c.try_cast("date"))
 
 
-def maintenance_summary(log: DataFrame) -> DataFrame:
-    """Per asset: failure flag (any failure), material of the latest entry,
-    latest maintenance date and number of entries."""
-    latest = F.max(F.struct(F.col("last_maintenance_date"), F.col("material")))
+def failure_summary(log: DataFrame) -> DataFrame:
+    """Per asset: failure flag (any failure), latest maintenance date and
+    number of log entries. One hash aggregation (fixed-width buffers)."""
     return log.groupBy("asset_id").agg(
         F.max(F.col("failure_event").cast("int")).alias("failure_event"),
-        latest["material"].alias("material"),
         F.max("last_maintenance_date").alias("log_last_maintenance_date"),
         F.count(F.lit(1)).alias("maintenance_events"),
     )
 
 
+def latest_material(log: DataFrame) -> DataFrame:
+    """Per asset: material of the latest log entry (ties: the larger name).
+
+    A string cannot sit in a hash-aggregation buffer, so the log is first
+    reduced by a hash aggregation per (asset, material), keeping each
+    material's latest date. String keys are fine there, and a hot asset is
+    combined map-side. Only those few rows per asset are then
+    sort-aggregated, never the raw log.
+    """
+    per_material = log.groupBy("asset_id", "material").agg(F.max("last_maintenance_date").alias("d"))
+    return per_material.groupBy("asset_id").agg(
+        F.max(F.struct(F.col("d"), F.col("material")))["material"].alias("material"))
+
+
+def maintenance_summary(log: DataFrame) -> DataFrame:
+    """Per asset: failure flag, material of the latest entry, latest date, entries."""
+    return failure_summary(log).join(latest_material(log), "asset_id", "left")
+
+
 def with_failure_label(dim: DataFrame, log: DataFrame | None = None,
                        rule: Column | None = None) -> DataFrame:
     """failure_event from the maintenance log (0 when absent).
@@ -64,7 +81,7 @@ def with_failure_label(dim: DataFrame, log: DataFrame | None = None,
         if rule is None:
             raise ValueError("give a maintenance log or a failure rule")
         return dim.withColumn("failure_event", F.when(rule, 1).otherwise(0).cast("int"))
-    s = maintenance_summary(log)
+    s = failure_summary(log).select("asset_id", "failure_event")
     j = dim.join(s, "asset_id", "left")
     return j.withColumn("failure_event", F.coalesce(F.col("failure_event"), F.lit(0)).cast("int"))
 
@@ -85,8 +102,7 @@ def asset_failure_features(dim: DataFrame, log: DataFrame | None = None, as_of=N
 
 def asset_material(dim: DataFrame, log: DataFrame) -> DataFrame:
     """Material of each asset from its latest maintenance entry."""
-    s = maintenance_summary(log).select("asset_id", "material")
-    return dim.select("asset_id", "asset_type").join(s, "asset_id", "left")
+    return dim.select("asset_id", "asset_type").join(latest_material(log), "asset_id", "left")
 
 
 def failed_assets(features: DataFrame) -> DataFrame:

@@ -65,7 +65,8 @@ def main() -> None:
            "- `lineage_edges` counts seven datasets (bronze, silver, gold) in one job, which explains its",
            "  16 exchanges. The production jobs count the written tables instead.",
            "- `sort aggregates` appear only where the latest material per asset is taken: Spark 4.1 has no",
-           "  hash aggregate for string buffers.",
+           "  hash aggregate for string buffers. They run over the per-(asset, material) hash aggregate,",
+           "  never the raw log.",
            "- Broadcasts are dimensions that passed a measured size check, the fixed-size 168-cell",
            "  profile, or sides Spark's planner sized from file statistics.",
            "",
