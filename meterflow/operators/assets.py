@@ -51,23 +51,32 @@ def failure_summary(log: DataFrame) -> DataFrame:
     )
 
 
-def latest_material(log: DataFrame) -> DataFrame:
-    """Per asset: material of the latest log entry (ties: the larger name).
+def maintenance_summary(log: DataFrame) -> DataFrame:
+    """Per asset: failure flag, material of the latest entry (ties: the
+    larger name), latest maintenance date and number of entries.
 
     A string cannot sit in a hash-aggregation buffer, so the log is first
-    reduced by a hash aggregation per (asset, material), keeping each
-    material's latest date. String keys are fine there, and a hot asset is
-    combined map-side. Only those few rows per asset are then
-    sort-aggregated, never the raw log.
+    reduced by a hash aggregation per (asset, material). String keys are fine
+    there, and a hot asset is combined map-side. Only those few rows per
+    asset reach the final, sort-based aggregate, never the raw log. The log
+    is read once.
     """
-    per_material = log.groupBy("asset_id", "material").agg(F.max("last_maintenance_date").alias("d"))
+    per_material = log.groupBy("asset_id", "material").agg(
+        F.max("last_maintenance_date").alias("d"),
+        F.max(F.col("failure_event").cast("int")).alias("f"),
+        F.count(F.lit(1)).alias("n"),
+    )
     return per_material.groupBy("asset_id").agg(
-        F.max(F.struct(F.col("d"), F.col("material")))["material"].alias("material"))
+        F.max("f").alias("failure_event"),
+        F.max(F.struct(F.col("d"), F.col("material")))["material"].alias("material"),
+        F.max("d").alias("log_last_maintenance_date"),
+        F.sum("n").alias("maintenance_events"),
+    )
 
 
-def maintenance_summary(log: DataFrame) -> DataFrame:
-    """Per asset: failure flag, material of the latest entry, latest date, entries."""
-    return failure_summary(log).join(latest_material(log), "asset_id", "left")
+def latest_material(log: DataFrame) -> DataFrame:
+    """Per asset: material of the latest log entry (see maintenance_summary)."""
+    return maintenance_summary(log).select("asset_id", "material")
 
 
 def with_failure_label(dim: DataFrame, log: DataFrame | None = None,

@@ -22,8 +22,7 @@ from meterflow.functions.measures import DEFAULT_SCALE, exact_ratio, to_units, u
 from meterflow.operators.assets import (
     asset_age_days,
     days_since_maintenance,
-    failure_summary,
-    latest_material,
+    maintenance_summary,
 )
 
 
@@ -86,14 +85,12 @@ def asset_feature_snapshot(dim: DataFrame, log: DataFrame, sensors: DataFrame,
                            snapshot: dt.date | str, decimals: int | None = 6) -> DataFrame:
     """The documented feature table (all ten columns) at one snapshot date.
 
-    dim, the per-asset failure summary, the latest material and the sensor
-    snapshot all carry one row per asset and are joined on asset_id (each
-    side is hash partitioned on that key; the joins reuse it).
+    dim, the per-asset log summary (one read of the log) and the sensor
+    snapshot all carry one row per asset and are joined on asset_id.
     """
     snap = sensor_snapshot(sensors, snapshot, decimals=decimals)
-    j = (dim.join(failure_summary(log).select("asset_id", "failure_event"), "asset_id", "left")
-         .join(latest_material(log), "asset_id", "left")
-         .join(snap, "asset_id", "left"))
+    summary = maintenance_summary(log).select("asset_id", "failure_event", "material")
+    j = dim.join(summary, "asset_id", "left").join(snap, "asset_id", "left")
     return j.select(
         "asset_id",
         F.lit(str(snapshot)).alias("snapshot_date"),
