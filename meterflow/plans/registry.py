@@ -437,7 +437,8 @@ READINGS_RANGE = f"(consumption_kl < 0 OR consumption_kl > {RANGE_MAX_KL} OR isn
 
 def _report_sql(rows: list[str]) -> str:
     body = " UNION ALL ".join(rows)
-    return f"SELECT rule, \"column\", checked, failed, failed = 0 AS success FROM ({body}) q"
+    return (f"SELECT rule, \"column\", CAST(checked AS BIGINT) AS checked, CAST(failed AS BIGINT) AS failed, "
+            f"failed = 0 AS success FROM ({body}) q")
 
 
 @register("dq_not_null", _report_sql([f"""
@@ -687,8 +688,8 @@ INTERVENTION = "2024-01-16"
             AS nrw_pct_before,
           {_exact_mean_sql(f"CASE WHEN CAST(report_date AS DATE) >= DATE '{INTERVENTION}' THEN nrw_percent END")}
             AS nrw_pct_after,
-          count_if(CAST(report_date AS DATE) < DATE '{INTERVENTION}') AS days_before,
-          count_if(CAST(report_date AS DATE) >= DATE '{INTERVENTION}') AS days_after
+          CAST(count_if(CAST(report_date AS DATE) < DATE '{INTERVENTION}') AS BIGINT) AS days_before,
+          CAST(count_if(CAST(report_date AS DATE) >= DATE '{INTERVENTION}') AS BIGINT) AS days_after
         FROM ({O.S_EVENTS}) s GROUP BY district) x""")
 def q_nrw_before_after(spark, d):
     """Leak-programme effect: mean NRW % before vs after an intervention date."""

@@ -32,7 +32,14 @@ def normalise(cols, rows):
     return [cols[i] for i in order], sorted(out, key=lambda t: tuple("" if x is None else x for x in t))
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN"}
+
+
 def assert_same(df, con, sql):
+    rel = con.sql(sql)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
     scols, srows = normalise(df.columns, [tuple(r) for r in df.collect()])
     cur = con.execute(sql)
     dcols, drows = normalise([d[0] for d in cur.description], cur.fetchall())
