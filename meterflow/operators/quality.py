@@ -147,13 +147,15 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
 def gate(report: DataFrame) -> DataFrame:
     """Raise DataQualityError when any rule failed; else return the report.
 
-    The report has one row per rule, so collecting it is bounded.
+    The report has one row per rule, so collecting it is bounded. The
+    collected rows are returned as a small local DataFrame, so reading the
+    report again does not re-evaluate the rules over the data.
     """
     rows = report.collect()
     failed = [r.asDict() for r in rows if not r["success"]]
     if failed:
         raise DataQualityError(failed)
-    return report
+    return report.sparkSession.createDataFrame(rows, report.schema)
 
 
 def _row_violations(rules: list[Rule]) -> Column:

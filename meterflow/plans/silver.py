@@ -64,8 +64,8 @@ def run_bronze_to_silver(
     tables.check_schema(spark, fact, fact_path, fmt)
     stage = tables.stage_table(fact, fact_path, fmt, parts)
     try:
-        report = quality.evaluate(tables.read_table(spark, stage, fmt), rules or quality.reading_rules())
-        quality.gate(report)
+        report = quality.gate(
+            quality.evaluate(tables.read_table(spark, stage, fmt), rules or quality.reading_rules()))
     except Exception:
         tables.discard(spark, stage)
         raise
