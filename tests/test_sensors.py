@@ -62,3 +62,19 @@ def test_all_null_asset_day_is_kept_with_null_mean(spark):
                               "asset_id string, reading_ts timestamp_ntz, sensor string, value double")
     got = {r.report_date: r.avg_pressure_30d for r in rolling_mean(s).collect()}
     assert got == {"2024-01-01": None, "2024-01-02": 4.0}
+
+
+def test_snapshot_joins_reuse_the_asset_partitioning(spark):
+    """Without broadcasts (as at scale) each input is shuffled once and the
+    chained joins on asset_id reuse that partitioning: 6 exchanges, none
+    between the joins."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = asset_feature_snapshot(I.assets(spark, SF_SMALL), I.maintenance_log(spark, SF_SMALL),
+                                    I.sensors(spark, SF_SMALL), "2024-01-30")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("SortMergeJoin") == 3
+    assert plan.count("Exchange hashpartitioning") == 6
