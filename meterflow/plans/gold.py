@@ -80,3 +80,29 @@ def run_silver_to_gold(
             spark, lineage.SILVER_TO_GOLD, datasets,
             run_ts=dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)), lineage_path)
     return {"nrw_daily_summary": nrw_path, "asset_failure_features": feat_path}
+
+
+def run_feature_snapshot(
+    spark: SparkSession,
+    silver_dir: str,
+    gold_dir: str,
+    maintenance_log: str,
+    sensors: DataFrame,
+    snapshot_date: dt.date | str,
+    fmt: str = "parquet",
+) -> str:
+    """The documented feature table at one snapshot date, kept as history.
+
+    ``gold/asset_feature_snapshots`` is partitioned by snapshot_date. Each
+    (weekly) run replaces only its own date (dynamic partition overwrite),
+    so earlier snapshots stay as they were and re-running a date is
+    idempotent. ``sensors``: asset_id, reading_ts, sensor, value.
+    """
+    from meterflow.operators.sensors import asset_feature_snapshot
+
+    dim = tables.read_table(spark, f"{silver_dir.rstrip('/')}/dim_asset", fmt)
+    log = bronze.read_maintenance_log(spark, maintenance_log)
+    snap = asset_feature_snapshot(dim, log, sensors, snapshot_date)
+    path = f"{gold_dir.rstrip('/')}/asset_feature_snapshots"
+    tables.refresh_partitions(snap.repartition("snapshot_date"), path, "snapshot_date", fmt)
+    return path

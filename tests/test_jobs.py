@@ -143,3 +143,17 @@ def test_cluster_days_writes_few_files_per_day(spark, tmp_dir):
     days = glob.glob(silver + "/fct_meter_readings/reading_date=*")
     assert days and sum(len(glob.glob(d + "/*.parquet")) for d in days) <= len(days) + 8
     assert read_table(spark, silver + "/fct_meter_readings").count() == fx.table(spark, SF_SMALL, "events").count()
+
+
+def test_weekly_feature_snapshots_keep_history(spark, tmp_dir):
+    from meterflow.plans.gold import run_feature_snapshot
+    src, log = _land(spark, tmp_dir)
+    silver, gold = os.path.join(tmp_dir, "silver"), os.path.join(tmp_dir, "gold")
+    run_bronze_to_silver(spark, src, silver)
+    sensors = fx.sensor_readings_from_events(fx.table(spark, SF_SMALL, "events"))
+    for day in ("2024-01-16", "2024-01-23", "2024-01-23"):  # a re-run replaces its own date
+        p = run_feature_snapshot(spark, silver, gold, log, sensors, day)
+    t = spark.read.parquet(p)
+    n_assets = fx.table(spark, SF_SMALL, "orders").count()
+    assert t.count() == 2 * n_assets
+    assert {str(r.snapshot_date) for r in t.select("snapshot_date").distinct().collect()} == {"2024-01-16", "2024-01-23"}
