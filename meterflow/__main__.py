@@ -1,4 +1,4 @@
-"""Command line: python -m meterflow {silver,gold,reports} ...
+"""Command line: python -m meterflow {silver,gold,snapshot,reports} ...
 
 Runs the jobs on whatever master spark-submit / the environment provides.
 """
@@ -26,6 +26,10 @@ def main(argv: list[str] | None = None) -> None:
     g.add_argument("--maintenance-log"), g.add_argument("--as-of"), g.add_argument("--lineage")
     g.add_argument("--refresh-from"), g.add_argument("--refresh-to")
     g.add_argument("--districts", help="Parquet district dimension: district_id, district_name, region_name")
+    n = sub.add_parser("snapshot", help="weekly asset feature snapshot (kept as history)")
+    n.add_argument("--silver-dir", required=True), n.add_argument("--gold-dir", required=True)
+    n.add_argument("--maintenance-log", required=True), n.add_argument("--date", required=True)
+    n.add_argument("--sensors", required=True, help="Parquet: asset_id, reading_ts, sensor, value")
     r = sub.add_parser("reports", help="gold -> chart datasets")
     r.add_argument("--silver-dir", required=True), r.add_argument("--gold-dir", required=True)
     r.add_argument("--out-dir", required=True)
@@ -45,6 +49,11 @@ def main(argv: list[str] | None = None) -> None:
         dims = spark.read.parquet(a.districts) if a.districts else None
         print(json.dumps(run_silver_to_gold(spark, a.silver_dir, a.gold_dir, a.maintenance_log, a.as_of,
                                             refresh_days=days, lineage_path=a.lineage, districts=dims)))
+    elif a.cmd == "snapshot":
+        from meterflow.plans.gold import run_feature_snapshot
+
+        print(json.dumps({"asset_feature_snapshots": run_feature_snapshot(
+            spark, a.silver_dir, a.gold_dir, a.maintenance_log, spark.read.parquet(a.sensors), a.date)}))
     else:
         from meterflow.plans.reports import chart_datasets, write_chart_datasets
         from meterflow.sources.tables import read_table
