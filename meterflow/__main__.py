@@ -7,8 +7,13 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
+import sys
 
-from meterflow.session import build_session
+if not __package__:  # run as a script (spark-submit meterflow/__main__.py ...)
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from meterflow.session import build_session  # noqa: E402
 
 
 def main(argv: list[str] | None = None) -> None:
