@@ -34,11 +34,43 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+STALE_HOURS = 24
+
+
+def recover(spark: SparkSession, path: str, stale_hours: float = STALE_HOURS) -> None:
+    """Repair what a crashed publish can leave next to ``path``.
+
+    * target missing but a moved-aside copy (``.__old-*``) present: the
+      driver died between the two renames; the newest old copy is restored.
+    * staging / old copies older than ``stale_hours``: removed.
+    Runs before every publish and read; it is a listing of the parent folder.
+    """
+    import time
+
+    fs, target, jvm = _fs(spark, path)
+    base = path.rstrip("/")
+    pattern = jvm.org.apache.hadoop.fs.Path(base + ".__*")
+    found = fs.globStatus(pattern) or []
+    if not found:
+        return
+    olds = sorted((st for st in found if ".__old-" in st.getPath().getName()),
+                  key=lambda st: st.getModificationTime(), reverse=True)
+    if olds and not fs.exists(target):
+        fs.rename(olds[0].getPath(), target)
+        olds = olds[1:]
+    cutoff = (time.time() - stale_hours * 3600) * 1000
+    for st in found:
+        p = st.getPath()
+        if fs.exists(p) and st.getModificationTime() < cutoff and p != target:
+            fs.delete(p, True)
+
+
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None
 ) -> DataFrame:
     """Read a stored table. Give ``schema`` for partitioned tables so the
     partition column keeps its declared type instead of an inferred one."""
+    recover(spark, path)
     r = spark.read.format(fmt)
     if schema is not None:
         r = r.schema(schema)
@@ -76,7 +108,12 @@ def stage_table(df: DataFrame, path: str, fmt: str = "parquet",
 
 
 def publish(spark: SparkSession, stage: str, path: str) -> str:
-    """Swap a staged table in at ``path`` (two renames; old copy removed)."""
+    """Swap a staged table in at ``path`` (two renames; old copy removed).
+
+    A crash between the renames leaves the old copy next to the target;
+    ``recover`` (run by every read and publish) puts it back.
+    """
+    recover(spark, path)
     fs, target, jvm = _fs(spark, path)
     staged = jvm.org.apache.hadoop.fs.Path(stage)
     old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.__old-{uuid.uuid4().hex[:12]}")

@@ -41,3 +41,25 @@ def test_lineage_failure_is_only_a_warning(spark, tmp_dir):
     open(bad_path, "w").write("not a directory")
     assert lineage.record_lineage(e, bad_path + "/x") is False
     assert lineage.record_lineage(e, os.path.join(tmp_dir, "lineage")) is True
+
+
+def test_recover_after_crash_between_renames(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "t")
+    tables.write_table(spark.range(3), p)
+    # Simulate a driver crash after the target was moved aside.
+    os.rename(p, p + ".__old-abc")
+    assert sorted(r.id for r in tables.read_table(spark, p).collect()) == [0, 1, 2]
+    assert not os.path.exists(p + ".__old-abc")
+
+
+def test_recover_sweeps_only_stale_leftovers(spark, tmp_dir):
+    import time
+    p = os.path.join(tmp_dir, "t2")
+    tables.write_table(spark.range(2), p)
+    stale, fresh = p + ".__staging-old", p + ".__staging-new"
+    os.makedirs(stale), os.makedirs(fresh)
+    past = time.time() - 48 * 3600
+    os.utime(stale, (past, past))
+    tables.recover(spark, p)
+    assert not os.path.exists(stale) and os.path.exists(fresh)
+    assert tables.read_table(spark, p).count() == 2
