@@ -48,3 +48,27 @@ def test_summary_matches_brute_force(spark, rows):
     assert got.keys() == want.keys()
     for k in want:
         assert got[k] == want[k]
+
+
+from fractions import Fraction  # noqa: E402
+
+
+def _half_away(q: Fraction) -> int:
+    n = abs(q)
+    whole = n.numerator // n.denominator
+    if n - whole >= Fraction(1, 2):
+        whole += 1
+    return whole if q >= 0 else -whole
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+# |quotient| stays below 2^53, so the final double is exact in both computations.
+@given(st.lists(st.tuples(st.integers(-10**7, 10**7), st.integers(1, 10**9)), min_size=1, max_size=40),
+       st.sampled_from([(6, 0), (6, 2), (6, -4), (2, -4)]))
+def test_exact_ratio_matches_fractions(spark, pairs, dp):
+    from meterflow.functions.measures import exact_ratio
+    decimals, pow10 = dp
+    df = spark.createDataFrame(pairs, "n long, d long")
+    got = [r[0] for r in df.select(exact_ratio("n", "d", decimals, pow10)).collect()]
+    want = [_half_away(Fraction(n) * Fraction(10) ** pow10 / d * 10**decimals) / 10**decimals for n, d in pairs]
+    assert got == want
