@@ -18,6 +18,13 @@ def register(fn: Query) -> Query:
     return fn
 
 
+@register
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @register
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.quality_rules import judged
