@@ -25,6 +25,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.packing import packed
+
+    return packed(table(spark, sf_dir, "documents"))
+
+
 @register
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.quality_rules import judged
