@@ -37,3 +37,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.quality_rules import judged
 
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.langid import identified
+
+    return identified(table(spark, sf_dir, "documents"))
