@@ -25,6 +25,13 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.secret_scan import report
+
+    return report(table(spark, sf_dir, "documents"))
+
+
 @register
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.packing import packed
