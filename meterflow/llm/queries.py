@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meterflow.llm.common import table
+from meterflow.llm.mixing import oracle as mixing_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,6 +19,16 @@ def register(fn: Query) -> Query:
     return fn
 
 
+@register
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.mixing import placed
+
+    return placed(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+ORACLES["op1_mixing"] = mixing_sql()
+
+
 @register
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.simhash import near_duplicates
