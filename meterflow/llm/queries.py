@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterflow.llm.common import table
 from meterflow.llm.mixing import oracle as mixing_sql
+from meterflow.llm.url_rules import oracle as url_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +37,16 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@register
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.url_rules import judged
+
+    return judged(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op5_url_rules"] = url_sql()
+
+
 @register
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.secret_scan import report
