@@ -30,6 +30,13 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op1_mixing"] = mixing_sql()
 
 
+@register
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.fingerprints import compared
+
+    return compared(table(spark, sf_dir, "documents"))
+
+
 @register
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.simhash import near_duplicates
