@@ -21,6 +21,7 @@ pieces and sequence numbers, as both follow from its rows and its number.
 from __future__ import annotations
 
 import struct
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -38,40 +39,57 @@ WINDOW, END_ID = 2048, 1
 #: Pieces that wait before windows are filled, and that stay waiting.
 POOL, LEAST_POOL = 1024, 512
 
-#: Words whose ids are kept, and the longest such word.
-KEPT_WORDS, KEPT_CHARS = 400_000, 64
+#: Words whose ids are kept in a generation, and the longest such word.
+KEPT_WORDS, KEPT_CHARS = 600_000, 64
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if it is visible, else the next from 256 on."""
+    seen = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = (b for b in range(256) if b not in seen)
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class WordIds(dict):
-    """Word -> its ids as little-endian bytes, found on first use."""
+    """Word -> its ids as little-endian bytes, found on first use.
+
+    Two generations: when the newer one is full, it becomes the older one.
+    """
 
     def __init__(self, path: str):
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.older, self.letters = Tokenizer.from_file(path), {}, _byte_letters()
 
     def __missing__(self, word: str) -> bytes:
         if not word:
             return b""
         if len(word) > KEPT_CHARS:
             return self.encode(word)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.found(word)
         if len(self) >= KEPT_WORDS:
+            self.older = dict(self)
             self.clear()
-        if word.isascii() and word.isalpha():
-            low = word.lower()
-            ids = self[low] if low != word else self.pack(x.id for x in self.tokenizer.model.tokenize(low))
-        elif word[-1] in ".,;:!?" and word[:-1].isalpha():  # letters never merge with marks
-            ids = self[word[:-1]] + self[word[-1]] if len(word) > 1 else self.encode(word)
-        else:
-            ids = self.encode(word)
         self[word] = ids
         return ids
 
+    def found(self, word: str) -> bytes:
+        """Letters never merge with marks and are one word for the merges; all else goes through the whole tokenizer."""
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():
+            return self[word[:-1]] + self[word[-1]]
+        low = word.lower()
+        if low.isalpha() and word.isalpha() and "\u03a3" not in word and unicodedata.is_normalized("NFC", word):
+            if not low.isascii():
+                low = low.encode().decode("latin-1").translate(self.letters)
+            return self.pack([x.id for x in self.tokenizer.model.tokenize(low)])
+        return self.encode(word)
+
     def encode(self, word: str) -> bytes:
         return self.pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     @staticmethod
     def pack(ids) -> bytes:
-        ids = list(ids)
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
