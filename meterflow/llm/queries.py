@@ -75,6 +75,13 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.html_text import extracted
+
+    return extracted(table(spark, sf_dir, "pages"))
+
+
 @register
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.langid import identified
