@@ -37,6 +37,13 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compared(table(spark, sf_dir, "documents"))
 
 
+@register
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.pii import report
+
+    return report(table(spark, sf_dir, "documents"))
+
+
 @register
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.simhash import near_duplicates
