@@ -42,6 +42,9 @@ ROUNDS, LONGEST = 3, 40
 #: Longer pieces are left out: they are whole words, whose parts say as much.
 LONGEST_PIECE = 7
 
+#: A document whose language is less certain than this is not accepted.
+LEAST_SCORE = 0.5
+
 #: Probability of a letter that is no piece, and of a piece that a language has not shown.
 UNSEEN = 1e-7
 
@@ -260,13 +263,13 @@ def decide(total: np.ndarray, langs: list[str]) -> tuple[str, float]:
     return langs[best], float(1 / np.exp(logs - logs[best]).sum())
 
 
-def predicted(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """``docs`` with lang_pred and score; its columns stay (those two are replaced), the text only if asked."""
+def predicted(docs: DataFrame, model: Model, text: str = "text", keep_text: bool = True,
+              names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """``docs`` with the language and its score under ``names``, which ``docs`` must not have; the text stays if asked."""
     shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
-    docs = docs.select([c for c in docs.columns if c.lower() not in ("lang_pred", "score")])
     at = docs.columns.index(text)
     back = [i for i in range(len(docs.columns)) if keep_text or i != at]
-    out = T.StructType([*[docs.schema.fields[i] for i in back], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    out = T.StructType([*[docs.schema.fields[i] for i in back], T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scores, langs = _scores(key, shared.value), shared.value.langs
@@ -283,3 +286,10 @@ def identified(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, held_out, lang_pred, score: learned from the documents that are not held out."""
     model = fit(docs.where(~held_out()).select("doc_id", "text", "lang"), path)
     return predicted(docs.select("doc_id", held_out().alias("held_out"), "text"), model, keep_text=False)
+
+
+def accepted(docs: DataFrame, least: float = LEAST_SCORE, path: str | None = None) -> DataFrame:
+    """``docs`` without those that have no language or one that scores below ``least``; columns as they are."""
+    model = fit(docs.where(~held_out()).select("doc_id", "text", "lang"), path)
+    names = ("_lang_pred", "_lang_score")
+    return predicted(docs, model, names=names).where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= least)).select(*docs.columns)

@@ -168,16 +168,26 @@ def masked(text: str, spans: list[S.Span]) -> str:
     return "".join([*out, text[at:]])
 
 
-def redacted(docs: DataFrame, text: str = "text", path: str | None = None, least: float = LEAST_COST) -> DataFrame:
-    """``docs`` with secrets masked in the text; all rows and columns stay, clean texts unchanged."""
+def redacted(docs: DataFrame, text: str = "text", length: str = "n_chars", path: str | None = None,
+             least: float = LEAST_COST) -> DataFrame:
+    """``docs`` with secrets masked in the text, and ``length`` (if there is one) set for changed texts.
+
+    All rows and columns stay; clean texts and their lengths are not touched.
+    """
     at, make = docs.columns.index(text), finder(path, least)
+    size = docs.columns.index(length) if length in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = make()
         for b in batches:
-            new = [masked(x, s) if x and (s := find(x)) else x for x in b.column(at).to_pylist()]
+            old = b.column(at).to_pylist()
+            new = {k: masked(x, s) for k, x in enumerate(old) if x and (s := find(x))}
             columns = list(b.columns)
-            columns[at] = pa.array(new, b.schema.field(at).type)
+            if new:
+                columns[at] = pa.array([new.get(k, x) for k, x in enumerate(old)], b.schema.field(at).type)
+                if size is not None:
+                    columns[size] = pa.array([len(new[k]) if k in new else n for k, n in enumerate(columns[size].to_pylist())],
+                                             b.schema.field(size).type)
             yield pa.RecordBatch.from_arrays(columns, b.schema.names)
 
     return docs.mapInArrow(run, docs.schema)

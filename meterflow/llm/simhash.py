@@ -177,3 +177,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE_
     groups = grouped(nodes, links(nodes.select("fp"), hot))
     return fp.join(groups, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+def deduplicated(docs: DataFrame, **how) -> DataFrame:
+    """One row of each group: a row of its least doc_id. Rows without an id have no name to go by and all stay."""
+    named = docs.where("doc_id is not null")
+    least = near_duplicates(named, **how).where("doc_id = component_id").select("doc_id").distinct()
+    return named.join(least, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(
+        docs.where("doc_id is null"))
