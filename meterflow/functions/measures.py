@@ -9,6 +9,8 @@ fall back to BigDecimal arithmetic).
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,25 +21,60 @@ def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Volumes below this many kL are summed as longs, larger ones as decimals.
+LARGE = 1e9
+
+
 def to_units(x: Column | str, scale: int = DEFAULT_SCALE) -> Column:
-    """Volume -> whole number of 10^-scale units.
+    """Volume -> whole number of 10^-scale units (bigint); NULL where it doesn't fit.
 
     ``rint`` (a plain double op, no BigDecimal per row) is exact for inputs
-    with at most ``scale`` decimals, which the feeds guarantee. NaN, infinite
-    or out-of-range values become NULL (missing) instead of failing the job
-    under ANSI; the quality range rule reports them.
+    with at most ``scale`` decimals. For sums over data that may hold anything
+    use ``exact_sum_units``; ``volume_fault`` names what neither can take.
     """
     return F.rint(_c(x).cast("double") * float(10**scale)).try_cast("long")
 
 
-def exact_sum_units(x: Column | str, scale: int = DEFAULT_SCALE) -> Column:
-    """Aggregate: exact sum of a volume, in 10^-scale units (bigint)."""
-    return F.sum(to_units(x, scale))
+def volume_fault(x: Column | str, scale: int = DEFAULT_SCALE) -> Column:
+    """Why a volume isn't summed as it stands, else NULL.
+
+    ``missing`` (NULL), ``not_finite`` (NaN or infinite) and ``too_large`` stay
+    out of sums; ``rounded`` has more than ``scale`` decimals and is summed to
+    the nearest unit. Every volume is summed or has a fault that is counted
+    (``rejected_readings``, the quality rules).
+    """
+    v = _c(x).cast("double")
+    u = v * float(10**scale)
+    return (F.when(v.isNull(), "missing")
+            .when(F.isnan(v) | (F.abs(v) == float("inf")), "not_finite")
+            .when(v.try_cast(f"decimal(38,{scale})").isNull(), "too_large")
+            # A double of up to LARGE is nearer to its decimals than this.
+            .when((F.abs(v) < LARGE) & (F.abs(u - F.rint(u)) > F.abs(u) * 1e-12 + 1e-9), "rounded"))
+
+
+def exact_sum_units(x: Column | str, scale: int = DEFAULT_SCALE, when: Column | None = None) -> Column:
+    """Aggregate: exact sum of volumes in 10^-scale units, as decimal(38,0); NULL if there is none.
+
+    Usual volumes are summed as longs; larger ones, which would overflow, as
+    decimals. With ``when``, rows where it isn't true count 0.
+    """
+    v = _c(x).cast("double")
+    small, large = F.abs(v) < LARGE, F.abs(v) >= LARGE
+    units = to_units(v, scale)
+    wide = (v.try_cast(f"decimal(38,{scale})") * F.lit(10**scale).cast(f"decimal({scale + 1},0)")).cast("decimal(38,0)")
+    usual, rest = F.when(small, units), F.when(large, wide)
+    if when is not None:
+        usual, rest = F.when(when, usual).otherwise(F.lit(0).cast("long")), F.when(when, rest)
+    total = F.sum(usual).cast("decimal(38,0)")
+    return F.coalesce(total + F.coalesce(F.sum(rest).cast("decimal(38,0)"), F.lit(0)), F.sum(rest)).cast("decimal(38,0)")
 
 
 def units_to_volume(u: Column | str, scale: int = DEFAULT_SCALE) -> Column:
-    """10^-scale units (bigint) -> kL as double (correctly rounded)."""
-    return _c(u).cast("double") / float(10**scale)
+    """Whole 10^-scale units -> kL as double, rounded once, whatever their size."""
+    c = _c(u)
+    wide = c.cast("decimal(38,0)")
+    exact = (wide * F.lit(Decimal(1).scaleb(-scale))).cast("double")
+    return F.when(F.abs(wide) <= F.lit(2**53), c.cast("double") / float(10**scale)).otherwise(exact)
 
 
 def half_up_quotient(num: Column | str, den: Column | str) -> Column:
@@ -89,7 +126,7 @@ def pct(num: Column | str, den: Column | str, decimals: int | None = None) -> Co
 
 
 def exact_mean(x: Column | str, decimals: int | None = None, scale: int = 6) -> Column:
-    """Aggregate: mean that skips NULL and NaN (like pandas ``mean``).
+    """Aggregate: mean of the finite values (NULL, NaN and infinities are skipped).
 
     Without ``decimals``: a plain ``avg``. With it: values are taken as whole
     10^-scale units (exact for inputs with at most ``scale`` decimals),
@@ -97,8 +134,15 @@ def exact_mean(x: Column | str, decimals: int | None = None, scale: int = 6) ->
     is exact and independent of summation order. The unit sum must stay
     below 2^63 (``scale`` 4 for volumes, 6 for percentages).
     """
-    v = F.nanvl(_c(x).cast("double"), F.lit(None).cast("double"))
+    v = finite(x)
     if decimals is None:
         return F.avg(v)
-    units = F.sum(F.rint(v * float(10**scale)).try_cast("long"))
-    return exact_ratio(units, F.count(v), decimals, -scale)
+    # Sum and count are of the same rows.
+    units = F.rint(v * float(10**scale)).try_cast("long")
+    return exact_ratio(F.sum(units), F.count(units), decimals, -scale)
+
+
+def finite(x: Column | str) -> Column:
+    """The value as double; NULL for NaN and infinities."""
+    v = _c(x).cast("double")
+    return F.when(F.abs(v) < float("inf"), v)

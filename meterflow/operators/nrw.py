@@ -17,10 +17,12 @@ from meterflow.functions.measures import (
     DEFAULT_SCALE,
     exact_mean,
     exact_ratio,
+    exact_sum_units,
     half_up_quotient,
     pct,
     to_units,
     units_to_volume,
+    volume_fault,
 )
 from meterflow.functions.rules import billed_by_hash, district_of
 from meterflow.functions.time import report_date
@@ -53,16 +55,16 @@ def nrw_daily_summary(
 
     supplied = sum(consumption); billed = sum(consumption of billed readings,
     0 otherwise); nrw = supplied - billed; nrw_percent = 100 * nrw / supplied
-    (NULL when supplied is 0 or NULL).
+    (NULL when supplied is 0 or NULL). report_date is a DATE. Volumes that no
+    sum can take (``volume_fault``) are counted by ``rejected_readings``.
     """
     rule = billing_rule if billing_rule is not None else billed_by_hash("meter_id", "reading_ts")
-    u = to_units(F.col("consumption_kl"), scale)
-    # Group on a DATE (4 bytes in the shuffle) and format it afterwards.
+    # Group on a DATE (4 bytes in the shuffle) and keep it one.
     agg = readings.groupBy(
         F.to_date("reading_ts").alias("day"), district_of(F.col("meter_id")).alias("district")
     ).agg(
-        F.sum(u).alias("supplied_u"),
-        F.sum(F.when(rule, u).otherwise(F.lit(0).cast("long"))).alias("billed_u"),
+        exact_sum_units("consumption_kl", scale).alias("supplied_u"),
+        exact_sum_units("consumption_kl", scale, rule).alias("billed_u"),
     )
     supplied = units_to_volume(F.col("supplied_u"), scale)
     billed = units_to_volume(F.col("billed_u"), scale)
@@ -71,7 +73,7 @@ def nrw_daily_summary(
     percent = (pct(nrw_u, F.col("supplied_u")) if decimals is None
                else exact_ratio(nrw_u, F.col("supplied_u"), decimals, 2))
     return agg.select(
-        report_date(F.col("day")).alias("report_date"),
+        F.col("day").alias("report_date"),
         "district",
         supplied.alias("total_supplied_kl"),
         billed.alias("total_billed_kl"),
@@ -80,6 +82,14 @@ def nrw_daily_summary(
     )
 
 
+def rejected_readings(readings: DataFrame, scale: int = DEFAULT_SCALE) -> DataFrame:
+    """Readings whose volume the daily summary leaves out or rounds, counted by day, district and fault."""
+    return readings.select(
+        F.to_date("reading_ts").alias("report_date"), district_of(F.col("meter_id")).alias("district"),
+        volume_fault("consumption_kl", scale).alias("fault"),
+    ).where("fault is not null").groupBy("report_date", "district", "fault").agg(F.count(F.lit(1)).alias("readings"))
+
+
 def nrw_timeseries(summary: DataFrame) -> DataFrame:
     """A10: daily series in (report_date, district) order."""
     return summary.select("report_date", "district", "nrw_percent").orderBy(
@@ -157,7 +167,7 @@ def loss_split(summary: DataFrame, split: LossSplit = LossSplit(), scale: int =
 
 def loss_trend(split_df: DataFrame, scale: int = DEFAULT_SCALE) -> DataFrame:
     """Monthly apparent vs real loss per district."""
-    month = F.date_format(F.trunc(F.to_date("report_date"), "MM"), "yyyy-MM-dd")
+    month = F.date_format(F.trunc(F.col("report_date").cast("date"), "MM"), "yyyy-MM-dd")
     return split_df.groupBy(month.alias("month"), "district").agg(
         units_to_volume(F.sum(to_units("apparent_loss_kl", scale)), scale).alias("apparent_loss_kl"),
         units_to_volume(F.sum(to_units("real_loss_kl", scale)), scale).alias("real_loss_kl"),
@@ -169,7 +179,7 @@ def nrw_before_after(
 ) -> DataFrame:
     """Mean daily NRW % per district before vs on/after an intervention date."""
     d = F.to_date(F.lit(str(intervention)))
-    day = F.to_date("report_date")
+    day = F.col("report_date").cast("date")
     before = exact_mean(F.when(day < d, F.col("nrw_percent")), decimals)
     after = exact_mean(F.when(day >= d, F.col("nrw_percent")), decimals)
     out = summary.groupBy("district").agg(
@@ -210,7 +220,7 @@ def top_loss_districts(summary: DataFrame, k: int = 5, decimals: int | None = No
 
 
 __all__ = [
-    "SUMMARY_COLUMNS", "with_nrw_keys", "nrw_daily_summary", "nrw_timeseries",
+    "SUMMARY_COLUMNS", "with_nrw_keys", "nrw_daily_summary", "rejected_readings", "nrw_timeseries",
     "with_district_name", "nrw_vs_target", "loss_split", "loss_trend",
     "nrw_before_after", "top_loss_districts",
 ]

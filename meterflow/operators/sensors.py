@@ -18,7 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterflow.functions.measures import DEFAULT_SCALE, exact_ratio, to_units, units_to_volume
+from meterflow.functions.measures import DEFAULT_SCALE, exact_ratio, finite, to_units, units_to_volume
 from meterflow.operators.assets import (
     asset_age_days,
     days_since_maintenance,
@@ -31,11 +31,12 @@ def _daily(sensors: DataFrame, sensor: str) -> DataFrame:
 
     An asset-day whose readings are all NULL is kept (its mean is NULL).
     """
-    v = F.nanvl(F.col("value").cast("double"), F.lit(None).cast("double"))
+    v = finite("value")
+    u = to_units(v)  # sum and count are of the same rows
     s = sensors.where(F.col("sensor") == sensor)
     return s.groupBy("asset_id", F.to_date("reading_ts").alias("day")).agg(
-        F.sum(to_units(v)).alias("sum_u"),
-        F.count(v).alias("n"),
+        F.sum(u).alias("sum_u"),
+        F.count(u).alias("n"),
         F.max(v).alias("mx"),
     )
 
@@ -71,10 +72,12 @@ def sensor_snapshot(sensors: DataFrame, snapshot: dt.date | str, pressure_days:
     in_v = (F.col("sensor") == "vibration") & (day > F.date_sub(snap, vibration_days)) & (day <= snap)
     lo = F.date_sub(snap, max(pressure_days, vibration_days))
     s = sensors.where((day > lo) & (day <= snap))
+    v = finite("value")
+    u = to_units(v)  # sum and count are of the same rows, as in the window form
     agg = s.groupBy("asset_id").agg(
-        F.sum(F.when(in_p, to_units("value"))).alias("p_u"),
-        F.count(F.when(in_p, F.col("value"))).alias("p_n"),
-        F.max(F.when(in_v, F.col("value"))).alias("max_vibration_7d"),
+        F.sum(F.when(in_p, u)).alias("p_u"),
+        F.count(F.when(in_p, u)).alias("p_n"),
+        F.max(F.when(in_v, v)).alias("max_vibration_7d"),
     )
     mean = (F.try_divide(units_to_volume(F.col("p_u")), F.col("p_n").cast("double")) if decimals is None
             else exact_ratio(F.col("p_u"), F.col("p_n"), decimals, -DEFAULT_SCALE))

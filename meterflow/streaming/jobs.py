@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from meterflow.functions.measures import DEFAULT_SCALE, exact_ratio, pct, to_units, units_to_volume
+from meterflow.functions.measures import DEFAULT_SCALE, exact_ratio, exact_sum_units, pct, units_to_volume
 from meterflow.functions.rules import billed_by_hash, district_of
 from meterflow.operators.conform import conform_itron, conform_sensus, union_readings, with_reading_ts
 from meterflow.sources import schemas
@@ -57,7 +57,6 @@ def daily_nrw_stream(readings: DataFrame, billing_rule: Column | None = None,
     Windows are aligned to UTC midnight.
     """
     rule = billing_rule if billing_rule is not None else billed_by_hash("meter_id", "reading_ts")
-    u = to_units(F.col("consumption_kl"), scale)
     # Watermarks need TIMESTAMP (an instant), not NTZ. reading_ts holds the UTC
     # wall clock: re-express it in the session zone before the cast so the
     # instant is right whatever spark.sql.session.timeZone is.
@@ -66,13 +65,13 @@ def daily_nrw_stream(readings: DataFrame, billing_rule: Column | None = None,
     ev = readings.withColumn("event_time", instant).withWatermark("event_time", watermark)
     agg = ev.groupBy(F.window("event_time", "1 day").alias("w"),
                      district_of(F.col("meter_id")).alias("district")).agg(
-        F.sum(u).alias("supplied_u"),
-        F.sum(F.when(rule, u).otherwise(F.lit(0).cast("long"))).alias("billed_u"),
+        exact_sum_units("consumption_kl", scale).alias("supplied_u"),
+        exact_sum_units("consumption_kl", scale, rule).alias("billed_u"),
     )
     # Windows are aligned to UTC midnight; name each by its UTC date.
     start_utc = F.convert_timezone(zone, F.lit("UTC"), F.col("w.start").cast("timestamp_ntz"))
     return agg.select(
-        F.date_format(start_utc, "yyyy-MM-dd").alias("report_date"),
+        F.to_date(start_utc).alias("report_date"),
         "district",
         units_to_volume(F.col("supplied_u"), scale).alias("total_supplied_kl"),
         units_to_volume(F.col("billed_u"), scale).alias("total_billed_kl"),

@@ -42,7 +42,7 @@ def brute(rows):
 def test_summary_matches_brute_force(spark, rows):
     df = spark.createDataFrame([(f"{p}-{n}", ts, v) for p, n, ts, v in rows],
                                "meter_id string, reading_ts timestamp_ntz, consumption_kl double")
-    got = {(r.report_date, r.district): (r.total_supplied_kl, r.total_billed_kl, r.nrw_kl)
+    got = {(str(r.report_date), r.district): (r.total_supplied_kl, r.total_billed_kl, r.nrw_kl)
            for r in nrw_daily_summary(df, billed_by_suffix()).collect()}
     want = brute(rows)
     assert got.keys() == want.keys()

@@ -42,7 +42,7 @@ def test_late_rows_are_dropped_after_the_watermark(spark, tmp_dir):
            ("ITR-1", "2024-01-05T12:00:00", 1.0)], "b2")
     q = ST.start_daily_nrw(spark, None, land + "/*", out, ck, billed_by_suffix(), "1 hour")
     q.awaitTermination()
-    got = {r.report_date: r.total_supplied_kl for r in spark.read.parquet(out).collect()}
+    got = {str(r.report_date): r.total_supplied_kl for r in spark.read.parquet(out).collect()}
     assert got == {"2024-01-01": 1.0, "2024-01-03": 5.0}
 
 
@@ -71,7 +71,7 @@ def test_stream_days_do_not_depend_on_session_zone(spark, tmp_dir):
     try:
         out, ck = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "ck")
         ST.start_daily_nrw(spark, None, land, out, ck, billed_by_suffix(), "1 hour").awaitTermination()
-        got = {r.report_date: r.total_supplied_kl for r in spark.read.parquet(out).collect()}
+        got = {str(r.report_date): r.total_supplied_kl for r in spark.read.parquet(out).collect()}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == {"2024-01-01": 1.0, "2024-01-02": 2.0}
