@@ -25,11 +25,14 @@ def main(argv: list[str] | None = None) -> None:
     s.add_argument("--feed-format", choices=["json", "csv"], default="json")
     s.add_argument("--cluster-days", action="store_true", help="range-partition by day before writing")
     s.add_argument("--silver-dir", required=True)
-    s.add_argument("--lineage")
+    s.add_argument("--lineage"), s.add_argument("--quarantine", help="rows that break a rule go here")
+    s.add_argument("--format", default="parquet")
     g = sub.add_parser("gold", help="silver -> gold")
     g.add_argument("--silver-dir", required=True), g.add_argument("--gold-dir", required=True)
     g.add_argument("--maintenance-log"), g.add_argument("--as-of"), g.add_argument("--lineage")
     g.add_argument("--refresh-from"), g.add_argument("--refresh-to")
+    g.add_argument("--made-up-labels", action="store_true", help="label by a hash of the asset when there is no log")
+    g.add_argument("--format", default="parquet")
     g.add_argument("--districts", help="Parquet district dimension: district_id, district_name, region_name")
     n = sub.add_parser("snapshot", help="weekly asset feature snapshot (kept as history)")
     n.add_argument("--silver-dir", required=True), n.add_argument("--gold-dir", required=True)
@@ -45,15 +48,19 @@ def main(argv: list[str] | None = None) -> None:
         from meterflow.plans.silver import BronzePaths, run_bronze_to_silver
 
         rep = run_bronze_to_silver(spark, BronzePaths(a.sensus, a.itron, a.asset_master, a.multiline, a.feed_format),
-                                   a.silver_dir, lineage_path=a.lineage, cluster_days=a.cluster_days)
+                                   a.silver_dir, lineage_path=a.lineage, cluster_days=a.cluster_days,
+                                   quarantine_path=a.quarantine, fmt=a.format)
         print(json.dumps([r.asDict() for r in rep.collect()]))
     elif a.cmd == "gold":
-        from meterflow.plans.gold import run_silver_to_gold
+        from meterflow.plans.gold import failure_rule_by_hash, run_silver_to_gold
 
-        days = (a.refresh_from, a.refresh_to) if a.refresh_from and a.refresh_to else None
+        days = (a.refresh_from, a.refresh_to) if a.refresh_from or a.refresh_to else None
+        if days and not all(days):
+            ap.error("--refresh-from and --refresh-to go together")
         dims = spark.read.parquet(a.districts) if a.districts else None
         print(json.dumps(run_silver_to_gold(spark, a.silver_dir, a.gold_dir, a.maintenance_log, a.as_of,
-                                            refresh_days=days, lineage_path=a.lineage, districts=dims)))
+                                            refresh_days=days, lineage_path=a.lineage, districts=dims, fmt=a.format,
+                                            failure_rule=failure_rule_by_hash() if a.made_up_labels else None)))
     elif a.cmd == "snapshot":
         from meterflow.plans.gold import run_feature_snapshot
 

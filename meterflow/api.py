@@ -50,9 +50,7 @@ def nrw_summary(fact: DataFrame, billing_rule: Column | None = None) -> DataFram
 
 def asset_features(dim: DataFrame, maintenance_log: DataFrame | None = None,
                    as_of: dt.date | str | None = None, failure_rule: Column | None = None) -> DataFrame:
-    """Gold ``asset_failure_features`` (label from the log, or from ``failure_rule``)."""
+    """Gold ``asset_failure_features``: the label comes from the log or from an explicit ``failure_rule``."""
     if maintenance_log is None and failure_rule is None:
-        from meterflow.plans.gold import failure_rule_by_hash
-
-        failure_rule = failure_rule_by_hash()
+        raise ValueError("the failure label needs a maintenance log or an explicit failure_rule")
     return asset_failure_features(dim, maintenance_log, as_of, failure_rule)

@@ -1,16 +1,17 @@
 """Lineage as a table (L1-L3).
 
 Each edge (upstream dataset -> downstream dataset, job) is recorded with the
-row counts observed on both sides in the same run. The counts of all
-datasets are computed in one job (a union of single-row aggregates).
-Appending lineage is best effort: a failure is logged and never fails the
-ETL job that produced the data.
+row counts observed on both sides in the same run: the jobs pass counts that
+their own writes observed, so nothing is read again; DataFrames are counted in
+one job. Building and appending lineage is best effort: a failure is logged
+and never fails the ETL job that produced the data.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,15 +31,18 @@ SILVER_TO_GOLD = [
 ]
 
 
-def dataset_counts(datasets: dict[str, DataFrame]) -> DataFrame:
-    """(dataset, rows) for each named DataFrame, in one job."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("dataset"), "rows")
-             for name, df in datasets.items()]
+def dataset_counts(datasets: dict[str, DataFrame | int]) -> DataFrame:
+    """(dataset, rows) for each named count or DataFrame (counted in one job)."""
+    spark = SparkSession.getActiveSession()
+    known = [(k, int(v)) for k, v in datasets.items() if not isinstance(v, DataFrame)]
+    parts = [spark.createDataFrame(known, "dataset string, rows long")] if known else []
+    parts += [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("dataset"), "rows")
+              for name, df in datasets.items() if isinstance(df, DataFrame)]
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def lineage_edges(spark: SparkSession, edges: list[tuple[str, str, str]],
-                  datasets: dict[str, DataFrame] | None = None,
+                  datasets: dict[str, DataFrame | int] | None = None,
                   run_ts: dt.datetime | None = None) -> DataFrame:
     """Edge table: upstream, downstream, job, run_ts, upstream_rows, downstream_rows."""
     e = spark.createDataFrame(edges, "upstream string, downstream string, job string")
@@ -53,10 +57,10 @@ def lineage_edges(spark: SparkSession, edges: list[tuple[str, str, str]],
         "upstream", "downstream", "job", "run_ts", "upstream_rows", "downstream_rows")
 
 
-def record_lineage(edges: DataFrame, path: str, fmt: str = "parquet") -> bool:
-    """L3: append edges to the lineage table; never raises."""
+def record_lineage(edges: DataFrame | Callable[[], DataFrame], path: str, fmt: str = "parquet") -> bool:
+    """L3: append edges (or what builds them) to the lineage table; never raises."""
     try:
-        edges.write.format(fmt).mode("append").save(path)
+        (edges() if callable(edges) else edges).write.format(fmt).mode("append").save(path)
         return True
     except Exception as exc:  # noqa: BLE001 - lineage must not fail the job
         log.warning("failed to record lineage at %s: %s", path, exc)

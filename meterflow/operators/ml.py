@@ -17,12 +17,19 @@ from meterflow.session import ensure_checkpoint_dir
 FEATURES = ["asset_age_days", "days_since_last_maintenance"]
 
 
-def failure_model_scores(features: DataFrame, max_iter: int = 20, reg: float = 0.01) -> DataFrame:
+class NotConverged(RuntimeError):
+    """Raised when the fit stopped at its iteration limit."""
+
+
+def failure_model_scores(features: DataFrame, max_iter: int = 500, reg: float = 0.01, tol: float = 1e-9,
+                         max_types: int = 1000) -> DataFrame:
     """Probability of failure per asset from a logistic model.
 
     Features: asset age, days since maintenance (standardised) and asset
     type (one-hot). Never-maintained assets (NULL days) get the age as their
-    gap, i.e. they count as unmaintained since installation.
+    gap, i.e. they count as unmaintained since installation. Raises if the fit
+    has not converged after ``max_iter`` rounds, or if there are more than
+    ``max_types`` asset types to encode (they are kept on the driver).
     """
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
@@ -50,6 +57,8 @@ def failure_model_scores(features: DataFrame, max_iter: int = 20, reg: float = 0
         F.lit(None).cast("int").alias("predicted_failure"),
         F.col("label").cast("int").alias("failure_event"),
     )
+    if data.select("asset_type").distinct().limit(max_types + 1).count() > max_types:
+        raise ValueError(f"more than {max_types} asset types")
     # asset_type enters one-hot encoded (index fitted on the data: one small
     # distinct-count job); the numeric features are standardised.
     indexed = StringIndexer(inputCol="asset_type", outputCol="type_ix", handleInvalid="keep",
@@ -59,12 +68,19 @@ def failure_model_scores(features: DataFrame, max_iter: int = 20, reg: float = 0
     scaler = StandardScaler(inputCol="raw", outputCol="num").fit(assembled)
     scaled = VectorAssembler(inputCols=["num", "type_vec"], outputCol="features").transform(
         scaler.transform(assembled))
-    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=reg)
-    scored = lr.fit(scaled).transform(scaled)
+    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=max_iter, regParam=reg, tol=tol)
+    model = lr.fit(scaled)
+    if model.summary.totalIterations >= max_iter:
+        raise NotConverged(f"no convergence within {max_iter} iterations")
+    # The score is a plain expression over the coefficients (as many as there are types, and two).
+    weights = F.array(*[F.lit(float(c)) for c in model.coefficients])
+    margin = F.aggregate(F.zip_with(vector_to_array("features"), weights, lambda x, c: x * c),
+                         F.lit(float(model.intercept)), lambda s, x: s + x)
+    scored = scaled.select("asset_id", (1 / (1 + F.exp(-margin))).alias("failure_probability"), "label")
     return scored.select(
         "asset_id",
-        vector_to_array("probability")[1].alias("failure_probability"),
-        F.col("prediction").cast("int").alias("predicted_failure"),
+        "failure_probability",
+        (F.col("failure_probability") > 0.5).cast("int").alias("predicted_failure"),
         F.col("label").cast("int").alias("failure_event"),
     ).unionByName(unscored)
 

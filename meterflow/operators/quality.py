@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -77,6 +78,18 @@ def holds(sql_predicate: str, cols: tuple[str, ...], name: str) -> Rule:
     return Rule(name, "expr", tuple(cols), {"ok": sql_predicate})
 
 
+def _violation(df: DataFrame, rule: Rule) -> Column | None:
+    """The rule's predicate on ``df``; every row fails a rule whose columns are not there."""
+    bad = rule.violation()
+    if bad is None:
+        return None
+    try:
+        df.select(bad)  # analysis only
+        return bad
+    except AnalysisException:
+        return F.lit(True)
+
+
 def _row(rule: Rule, checked: Column, failed: Column) -> Column:
     return F.struct(
         F.lit(rule.name).alias("rule"),
@@ -92,9 +105,13 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     present = {f.name.lower() for f in df.schema.fields}
     parts: list[DataFrame] = []
 
-    schema_rules = [r for r in rules if r.kind == "column_exists"]
+    def here(r: Rule) -> bool:
+        return all(c.lower() in present for c in r.columns)
+
+    schema_rules = [r for r in rules if r.kind == "column_exists" or (r.kind == "unique" and not here(r))]
     row_rules = [r for r in rules if r.violation() is not None]
-    key_rules = [r for r in rules if r.kind == "unique"]
+    key_rules = [r for r in rules if r.kind == "unique" and here(r)]
+    bad = [_violation(df, r) for r in row_rules]
     known = set(map(id, schema_rules + row_rules + key_rules))
     unknown = [r.name for r in rules if id(r) not in known]
     if unknown:
@@ -112,7 +129,7 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
         host = key_rules[0]
         per_key = df.groupBy(*host.columns).agg(
             F.count(F.lit(1)).alias("n"),
-            *[F.count_if(r.violation()).alias(f"v{i}") for i, r in enumerate(row_rules)],
+            *[F.count_if(v).alias(f"v{i}") for i, v in enumerate(bad)],
         )
         total = F.coalesce(F.sum("n"), F.lit(0))
         structs = [schema_row(r, total) for r in schema_rules]
@@ -124,7 +141,7 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
         # A column_exists rule fails for every row when the column is missing.
         n = F.count(F.lit(1))
         structs = [schema_row(r, n) for r in schema_rules]
-        structs += [_row(r, n, F.count_if(r.violation())) for r in row_rules]
+        structs += [_row(r, n, F.count_if(v)) for r, v in zip(row_rules, bad)]
         parts.append(df.agg(F.array(*structs).alias("r")).select(F.inline("r")))
 
     for r in key_rules[1:]:
@@ -144,22 +161,22 @@ def evaluate(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return out.withColumn("success", F.col("failed") == 0)
 
 
-def gate(report: DataFrame) -> DataFrame:
-    """Raise DataQualityError when any rule failed; else return the report.
+def gate(report: DataFrame, allowed: frozenset[str] = frozenset()) -> DataFrame:
+    """Raise DataQualityError when any rule failed (but for ``allowed`` ones); else return the report.
 
     The report has one row per rule, so collecting it is bounded. The
     collected rows are returned as a small local DataFrame, so reading the
     report again does not re-evaluate the rules over the data.
     """
     rows = report.collect()
-    failed = [r.asDict() for r in rows if not r["success"]]
+    failed = [r.asDict() for r in rows if not r["success"] and r["rule"] not in allowed]
     if failed:
         raise DataQualityError(failed)
     return report.sparkSession.createDataFrame(rows, report.schema)
 
 
-def _row_violations(rules: list[Rule]) -> Column:
-    names = [F.when(r.violation(), F.lit(r.name)) for r in rules if r.violation() is not None]
+def _row_violations(df: DataFrame, rules: list[Rule]) -> Column:
+    names = [F.when(v, F.lit(r.name)) for r in rules if (v := _violation(df, r)) is not None]
     if not names:
         return F.array().cast("array<string>")
     return F.filter(F.array(*names), lambda x: x.isNotNull())
@@ -171,7 +188,7 @@ def split_clean(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]
     Accepted + rejected = input, row for row. Uniqueness and schema rules are
     reported by ``evaluate`` but do not route rows.
     """
-    tagged = df.withColumn("failed_rules", _row_violations(rules))
+    tagged = df.withColumn("failed_rules", _row_violations(df, rules))
     accepted = tagged.where(F.size("failed_rules") == 0).drop("failed_rules")
     rejected = tagged.where(F.size("failed_rules") > 0)
     return accepted, rejected
@@ -182,6 +199,7 @@ def reading_rules(min_kl: float = 0.0, max_kl: float = 10_000.0) -> list[Rule]:
     return [
         column_exists("meter_id", "reading_timestamp", "consumption_kl"),
         not_null("meter_id", name="meter_id_not_null"),
+        not_null("consumption_kl", name="consumption_not_null"),
         holds("reading_ts IS NOT NULL", ("reading_timestamp",), name="timestamp_parses"),
         in_range("consumption_kl", min_kl, max_kl, name="consumption_in_range"),
     ]
@@ -192,8 +210,9 @@ def write_split(df: DataFrame, rules: list[Rule], path: str, fmt: str = "parquet
     ``quality_ok``; accepted rows are ``path/quality_ok=true``, rejected ones
     (with ``failed_rules``) ``path/quality_ok=false``. One pass over the
     input instead of one per output."""
-    tagged = df.withColumn("failed_rules", _row_violations(rules)).withColumn(
+    tagged = df.withColumn("failed_rules", _row_violations(df, rules)).withColumn(
         "quality_ok", F.size("failed_rules") == 0)
-    tagged.write.format(fmt).mode("overwrite").partitionBy("quality_ok").save(path)
+    (tagged.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy("quality_ok").save(path))
     base = path.rstrip("/")
     return f"{base}/quality_ok=true", f"{base}/quality_ok=false"

@@ -9,9 +9,11 @@ and ratios are rounded to 6 decimals; volumes are exact (integer sums).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from meterflow.operators import assets as A
 from meterflow.operators import charts as C
@@ -21,11 +23,14 @@ from meterflow.operators import ml as M
 from meterflow.operators import sensors as S
 from meterflow.operators import nrw as N
 from meterflow.operators import quality as Q
+from meterflow.functions.rules import meter_suffix
 from meterflow.functions.time import hour_of_day, weekday_name
 from meterflow.params import ASSET_AS_OF
 from meterflow.plans import inputs as I
 from meterflow.plans import oracle_sql as O
 from meterflow.plans import reports as R
+from meterflow.plans.gold import run_silver_to_gold
+from meterflow.plans.silver import BronzePaths, run_bronze_to_silver
 from meterflow.session import scratch_path
 from meterflow.sources import bronze, schemas, tables
 from meterflow.sources import fixtures as fx
@@ -39,6 +44,14 @@ TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 TS_SQL = "%Y-%m-%d %H:%M:%S.%f"
 
 
+def _dates_as_text(df: DataFrame) -> DataFrame:
+    """DATE columns as yyyy-MM-dd text: the operators keep dates, only the comparison wants text."""
+    if not any(isinstance(f.dataType, DateType) for f in df.schema.fields):
+        return df
+    return df.select(*[F.date_format(f.name, "yyyy-MM-dd").alias(f.name) if isinstance(f.dataType, DateType) else f.name
+                       for f in df.schema.fields])
+
+
 def register(name: str, sql: str | None = None):
     """Record a query and its SQL twin.
 
@@ -47,7 +60,11 @@ def register(name: str, sql: str | None = None):
     and write modes are passed per write.
     """
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
+        @wraps(fn)
+        def query(spark: SparkSession, d: str) -> DataFrame:
+            return _dates_as_text(fn(spark, d))
+
+        QUERIES[name] = query
         if sql is not None:
             ORACLES[name] = sql
         return fn
@@ -422,7 +439,8 @@ def q_incremental_refresh(spark, d):
     readings = I.event_readings(spark, d)
     rule = I.billing_rule()
     first = readings.where(F.col("reading_ts") < F.lit(REFRESH_FIRST_BEFORE).cast("timestamp_ntz"))
-    later = readings.where(F.to_date("reading_ts") >= F.lit(REFRESH_FROM_DAY).cast("date"))
+    day = F.to_date("reading_ts")
+    later = readings.where(day.isNull() | (day >= F.lit(REFRESH_FROM_DAY).cast("date")))
     for part in (first, later):
         day_files = N.nrw_daily_summary(part, rule, decimals=6).repartition("report_date")
         tables.refresh_partitions(day_files, path, "report_date")
@@ -486,6 +504,7 @@ def q_dq_unique(spark, d):
          'meter_id,reading_timestamp,consumption_kl' AS "column", count(*) AS checked,
          CAST(0 AS BIGINT) AS failed FROM ({O.R_EVENTS}) r""", f"""
   SELECT 'meter_id_not_null', 'meter_id', count(*), count_if(meter_id IS NULL) FROM ({O.R_EVENTS}) r""", f"""
+  SELECT 'consumption_not_null', 'consumption_kl', count(*), count_if(consumption_kl IS NULL) FROM ({O.R_EVENTS}) r""", f"""
   SELECT 'timestamp_parses', 'reading_timestamp', count(*), count_if(reading_ts IS NULL) FROM ({O.R_EVENTS}) r""", f"""
   SELECT 'consumption_in_range', 'consumption_kl', count(*), count_if(coalesce({READINGS_RANGE}, false))
   FROM ({O.R_EVENTS}) r""", f"""
@@ -513,7 +532,7 @@ def q_dq_date_order(spark, d):
 
 @register("dq_clean", f"""
   SELECT meter_id, strftime(reading_ts, '{TS_SQL}') AS reading_ts, consumption_kl FROM ({O.R_EVENTS}) r
-  WHERE meter_id IS NOT NULL AND reading_ts IS NOT NULL AND NOT coalesce({READINGS_RANGE}, false)""")
+  WHERE meter_id IS NOT NULL AND reading_ts IS NOT NULL AND consumption_kl IS NOT NULL AND NOT coalesce({READINGS_RANGE}, false)""")
 def q_dq_clean(spark, d):
     """Rows passing every row-level rule."""
     ok, _ = Q.split_clean(I.event_readings(spark, d), Q.reading_rules(0.0, RANGE_MAX_KL))
@@ -523,10 +542,11 @@ def q_dq_clean(spark, d):
 @register("dq_quarantine", f"""
   SELECT meter_id, strftime(reading_ts, '{TS_SQL}') AS reading_ts, consumption_kl,
          concat_ws(',', CASE WHEN meter_id IS NULL THEN 'meter_id_not_null' END,
+                        CASE WHEN consumption_kl IS NULL THEN 'consumption_not_null' END,
                         CASE WHEN reading_ts IS NULL THEN 'timestamp_parses' END,
                         CASE WHEN coalesce({READINGS_RANGE}, false) THEN 'consumption_in_range' END) AS failed_rules
   FROM ({O.R_EVENTS}) r
-  WHERE meter_id IS NULL OR reading_ts IS NULL OR coalesce({READINGS_RANGE}, false)""")
+  WHERE meter_id IS NULL OR reading_ts IS NULL OR consumption_kl IS NULL OR coalesce({READINGS_RANGE}, false)""")
 def q_dq_quarantine(spark, d):
     """Rejected rows with the names of the rules they broke."""
     _, bad = Q.split_clean(I.event_readings(spark, d), Q.reading_rules(0.0, RANGE_MAX_KL))
@@ -760,10 +780,24 @@ def q_failure_by_condition(spark, d):
     return A.failure_by_condition(I.features(spark, d), 1000, 365, decimals=6)
 
 
-@register("failure_model_scores")
+@register("failure_model_scores", f"""
+  SELECT asset_id, failure_event, asset_age_days IS NOT NULL AS scored, asset_age_days IS NOT NULL AS is_probability
+  FROM ({O.FEATURES}) f""")
 def q_failure_model_scores(spark, d):
-    """Logistic-regression failure probability per asset (rows-only check)."""
-    return M.failure_model_scores(I.features(spark, d))
+    """Every asset with its label, whether the model scored it, and whether the score is a probability."""
+    p = F.col("failure_probability")
+    return M.failure_model_scores(I.features(spark, d)).select(
+        "asset_id", "failure_event", p.isNotNull().alias("scored"), F.coalesce(p.between(0, 1), F.lit(False)).alias("is_probability"))
+
+
+@register("failure_model_calibration", f"""
+  SELECT CAST(count(*) AS BIGINT) AS assets, round(avg(failure_event), 3) AS base_rate, round(avg(failure_event), 3) AS mean_probability
+  FROM ({O.FEATURES}) f WHERE asset_age_days IS NOT NULL""")
+def q_failure_model_calibration(spark, d):
+    """At convergence, the mean probability is the base rate (the intercept is not penalised)."""
+    s = M.failure_model_scores(I.features(spark, d)).where("failure_probability is not null")
+    return s.agg(F.count(F.lit(1)).alias("assets"), F.round(F.avg("failure_event"), 3).alias("base_rate"),
+                 F.round(F.avg("failure_probability"), 3).alias("mean_probability"))
 
 
 @register("demand_forecast_naive", f"""
@@ -824,3 +858,108 @@ def q_stream_daily_nrw(spark, d):
                            decimals=6)
     q.awaitTermination()
     return spark.read.parquet(out).select(*N.SUMMARY_COLUMNS)
+
+
+# ------------------------------------------------- volumes that are not plain
+#: Readings whose meter number has this remainder modulo 50 get a volume that sums must not lose silently.
+ODD_VOLUMES = {0: "'NaN'::DOUBLE", 1: "'Infinity'::DOUBLE", 2: "4e9 + consumption_kl", 3: "consumption_kl + 0.00004", 4: "NULL"}
+R_ODD = f"""
+  SELECT meter_id, reading_ts, CASE CAST(split_part(meter_id, '-', 2) AS BIGINT) % 50
+         {" ".join(f"WHEN {k} THEN {v}" for k, v in ODD_VOLUMES.items())} ELSE consumption_kl END AS consumption_kl
+  FROM ({O.R_EVENTS}) r0"""
+
+
+def _odd_readings(spark, d):
+    c, k = F.col("consumption_kl"), F.pmod(meter_suffix("meter_id"), F.lit(50))
+    odd = (F.when(k == 0, F.lit(float("nan"))).when(k == 1, F.lit(float("inf"))).when(k == 2, F.lit(4e9) + c)
+           .when(k == 3, c + F.lit(0.00004)).when(k == 4, F.lit(None).cast("double")).otherwise(c))
+    return I.event_readings(spark, d).withColumn("consumption_kl", odd)
+
+
+@register("nrw_rejected_readings", f"""
+  SELECT strftime(reading_ts, '%Y-%m-%d') AS report_date, substr(meter_id, 1, 3) AS district, fault, count(*) AS readings
+  FROM (SELECT *, CASE WHEN consumption_kl IS NULL THEN 'missing'
+                       WHEN isnan(consumption_kl) OR isinf(consumption_kl) THEN 'not_finite'
+                       WHEN abs(consumption_kl) < 1e9 AND abs(consumption_kl * 10000 - round(consumption_kl * 10000))
+                            > abs(consumption_kl * 10000) * 1e-12 + 1e-9 THEN 'rounded' END AS fault
+        FROM ({R_ODD}) r) f
+  WHERE fault IS NOT NULL GROUP BY 1, 2, 3""")
+def q_nrw_rejected_readings(spark, d):
+    """A1: every reading that the daily summary leaves out or rounds is counted."""
+    return N.rejected_readings(_odd_readings(spark, d))
+
+
+@register("nrw_daily_summary_odd_volumes", f"""
+  SELECT * FROM ({O.summary_sql(f"SELECT meter_id, reading_ts, CASE WHEN isfinite(consumption_kl) THEN consumption_kl END AS consumption_kl FROM ({R_ODD}) o")}) s""")
+def q_nrw_daily_summary_odd_volumes(spark, d):
+    """A1 over the same readings: large volumes are summed exactly."""
+    return N.nrw_daily_summary(_odd_readings(spark, d), I.billing_rule(), decimals=6)
+
+
+@register("sensor_snapshot_nan", f"""
+  WITH s AS (
+    SELECT asset_id, reading_ts, sensor, CASE minute(reading_ts) % 5 WHEN 0 THEN NULL WHEN 1 THEN NULL ELSE value END AS value
+    FROM ({O.SENSORS}) x WHERE CAST(reading_ts AS DATE) <= DATE '2024-01-30' AND CAST(reading_ts AS DATE) > DATE '2024-01-30' - 30)
+  SELECT asset_id,
+         {O.exact_mean_sql("CASE WHEN sensor = 'pressure' THEN value END", 4)} AS avg_pressure_30d,
+         max(CASE WHEN sensor = 'vibration' AND CAST(reading_ts AS DATE) > DATE '2024-01-30' - 7 THEN value END) AS max_vibration_7d
+  FROM s GROUP BY asset_id""")
+def q_sensor_snapshot_nan(spark, d):
+    """NaN and infinite values are left out of the mean and the maximum alike."""
+    k = F.minute("reading_ts") % 5
+    odd = F.when(k == 0, F.lit(float("nan"))).when(k == 1, F.lit(float("inf"))).otherwise(F.col("value"))
+    return S.sensor_snapshot(I.sensors(spark, d).withColumn("value", odd), "2024-01-30")
+
+
+# ----------------------------------------------------------- the jobs as they ship
+@register("gold_rebuild_twice", f"""
+  SELECT report_date, district, total_supplied_kl, total_billed_kl, nrw_kl FROM ({O.S_EVENTS}) s""")
+def q_gold_rebuild_twice(spark, d):
+    """Both jobs in full, the gold job twice; the second rebuild replaces the first."""
+    silver, gold = scratch_path(spark, "job-silver"), scratch_path(spark, "job-gold")
+    ev = _events(spark, d)
+    master = fx.asset_master_from_orders(fx.table(spark, d, "orders"), fx.table(spark, d, "lineitem"))
+    run_bronze_to_silver(spark, BronzePaths(
+        fx.land_json(fx.sensus_from_events(ev), scratch_path(spark, "job-sensus")),
+        fx.land_json(fx.itron_from_events(ev), scratch_path(spark, "job-itron")),
+        fx.land_json(master, scratch_path(spark, "job-master"))), silver)
+    log = fx.land_csv(I.maintenance_log(spark, d, full=True), scratch_path(spark, "job-log"))
+    for _ in range(2):
+        run_silver_to_gold(spark, silver, gold, log, ASSET_AS_OF, I.billing_rule())
+    return tables.read_table(spark, f"{gold}/nrw_daily_summary").select(*N.SUMMARY_COLUMNS[:5])
+
+
+@register("silver_quarantine", f"""
+  SELECT meter_id, strftime(reading_ts, '{TS_SQL}') AS reading_ts, consumption_kl,
+         CASE WHEN consumption_kl IS NULL THEN 'consumption_not_null'
+              WHEN consumption_kl < 0 OR consumption_kl > 10000 THEN 'consumption_in_range' ELSE '' END AS failed_rules
+  FROM (SELECT meter_id, reading_ts, CASE CAST(split_part(meter_id, '-', 2) AS BIGINT) % 50
+               WHEN 4 THEN NULL WHEN 5 THEN -consumption_kl - 1 ELSE consumption_kl END AS consumption_kl
+        FROM ({O.R_EVENTS}) r0) r""")
+def q_silver_quarantine(spark, d):
+    """The silver job with a quarantine; accepted and rejected rows together are the input."""
+    k, v = F.pmod(F.col("user_id"), F.lit(50)), F.col("value")
+    ev = _events(spark, d).withColumn("value", F.when(k == 4, F.lit(None)).when(k == 5, -v - 1).otherwise(v))
+    silver, out = scratch_path(spark, "quarantine-silver"), scratch_path(spark, "quarantine")
+    run_bronze_to_silver(spark, BronzePaths(
+        fx.land_json(fx.sensus_from_events(ev), scratch_path(spark, "quarantine-sensus")),
+        fx.land_json(fx.itron_from_events(ev), scratch_path(spark, "quarantine-itron")), None), silver, quarantine_path=out)
+    cols = ["meter_id", ts_text("reading_ts").alias("reading_ts"), "consumption_kl"]
+    good = tables.read_table(spark, f"{silver}/fct_meter_readings").select(*cols, F.lit("").alias("failed_rules"))
+    bad = tables.read_table(spark, out).select(*cols, F.array_join("failed_rules", ",").alias("failed_rules"))
+    return good.unionByName(bad)
+
+
+@register("bronze_sensus_multiline", ORACLES["bronze_sensus"])
+def q_bronze_sensus_multiline(spark, d):
+    """The landing form of the original jobs, one JSON array a file."""
+    rows = fx.sensus_from_events(_events(spark, d)).select(F.to_json(F.struct("*")).alias("value"))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(8)))
+    # Each part becomes one array: its first row opens it, the others follow a comma, the last closes it.
+    w = Window.partitionBy("part").orderBy("value")
+    numbered = rows.select("part", "value", F.row_number().over(w).alias("i"), F.lead("value").over(w).isNull().alias("last"))
+    lines = numbered.select("part", F.concat(F.when(F.col("i") == 1, "[").otherwise(","), "value", F.when(F.col("last"), "]").otherwise("")).alias("value"))
+    path = scratch_path(spark, "bronze-sensus-array")
+    lines.write.partitionBy("part").text(path)
+    return bronze.read_sensus(spark, path, multiline=True).select(
+        "meter_id", "timestamp_utc", F.col("reading_data.flow_kl").alias("flow_kl"))

@@ -14,16 +14,16 @@ from pyspark.sql import DataFrame
 LAST_30_DAYS = """
 SELECT report_date, district_name, nrw_percent
 FROM {nrw}
-WHERE CAST(report_date AS DATE) >= DATE_SUB(coalesce(:as_of, CURRENT_DATE()), :days)
-  AND CAST(report_date AS DATE) <= coalesce(:as_of, CURRENT_DATE())
-ORDER BY report_date DESC
+WHERE report_date >= DATE_SUB(coalesce(:as_of, CURRENT_DATE()), :days)
+  AND report_date <= coalesce(:as_of, CURRENT_DATE())
+ORDER BY report_date DESC, district_name
 """
 
 MAINTENANCE_ATTENTION = """
 SELECT asset_id, asset_type, days_since_last_maintenance
 FROM {features}
 WHERE days_since_last_maintenance > :min_days
-ORDER BY days_since_last_maintenance DESC
+ORDER BY days_since_last_maintenance DESC, asset_id
 """
 
 
@@ -68,11 +68,11 @@ def chart_datasets(summary: DataFrame, features: DataFrame, readings: DataFrame,
 
 
 def write_chart_datasets(datasets: dict[str, DataFrame], out_dir: str, fmt: str = "parquet") -> dict[str, str]:
-    """Persist each chart dataset (a single small file each)."""
+    """Persist each chart dataset, in as many files as its result has partitions (small ones: one)."""
     paths = {}
     for name, df in datasets.items():
         p = f"{out_dir.rstrip('/')}/{name}"
-        df.coalesce(1).write.format(fmt).mode("overwrite").save(p)
+        df.write.format(fmt).mode("overwrite").save(p)
         paths[name] = p
     return paths
 

@@ -34,7 +34,7 @@ def test_bronze_to_gold_end_to_end(spark, tmp_dir):
     # daily refresh of a range of days leaves other days untouched
     before = {r.report_date: r for r in n.collect()}
     run_silver_to_gold(spark, silver, gold, maintenance_log=log, as_of="2001-12-31",
-                       refresh_days=("2024-01-10", "2024-01-12"))
+                       refresh_days=("2024-01-10", "2024-01-12"), lineage_path=lin)
     after = {r.report_date: r for r in read_table(spark, gold + "/nrw_daily_summary").collect()}
     assert before.keys() == after.keys()
 

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
+from meterflow.plans import registry
 from tests.conftest import SF_CHECK, SF_SMALL
 from tests.oracle_util import assert_same, duck
 
@@ -14,9 +15,8 @@ def con():
     return duck(SF_SMALL)
 
 
-def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    rows_only = set(E.queries()) - set(E.oracle_sql())
-    assert rows_only == {"failure_model_scores"}
+def test_every_query_has_an_oracle():
+    assert set(registry.QUERIES) == set(registry.ORACLES)
 
 
 @pytest.mark.parametrize("key", KEYS)
@@ -39,11 +39,11 @@ def test_entry_is_the_flagship(spark):
     assert df.count() > 0
 
 
-def test_rows_only_model_scores(spark):
-    df = E.queries()["failure_model_scores"](spark, SF_SMALL)
-    rows = df.collect()
-    assert len(rows) == duck(SF_SMALL).execute("SELECT count(*) FROM orders").fetchone()[0]
-    assert all(0.0 <= r["failure_probability"] <= 1.0 for r in rows)
+def test_model_reports_a_fit_that_stops_early(spark):
+    from meterflow.operators.ml import NotConverged, failure_model_scores
+    from meterflow.plans import inputs
+    with pytest.raises(NotConverged):
+        failure_model_scores(inputs.features(spark, SF_SMALL), max_iter=1)
 
 
 def test_model_keeps_assets_without_age(spark):

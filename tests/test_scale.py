@@ -49,18 +49,24 @@ def test_checkpoint_dir_from_session_is_used(spark):
 
 
 def test_api_stages(spark):
+    import pytest
+
+    from meterflow.plans.gold import failure_rule_by_hash
+
     s = spark.createDataFrame([("SEN-1", "2024-01-01T00:00:00Z", (1.5,))],
                               "meter_id string, timestamp_utc string, reading_data struct<flow_kl: double>")
     i = spark.createDataFrame([("ITR-1", "2024-01-01T01:00:00", 2.5)],
                               "itron_device_id string, read_datetime string, consumption_m3 double")
     fact = api.conform_meter_data(s, i)
     v = api.validate_readings(fact)
-    assert v["success"] and len(v["results"]) == 4
+    assert v["success"] and len(v["results"]) == 5
     assert api.nrw_summary(fact).count() == 2
     m = spark.createDataFrame([("MTR-1", "Pump", "2020-01-01", "2023-01-01", "M", "X-1", (1.0, 2.0))],
                               "asset_id string, asset_type string, install_date string, last_maintenance_date string, "
                               "manufacturer string, model_number string, location struct<latitude: double, longitude: double>")
-    f = api.asset_features(api.asset_dimension(m), as_of="2024-01-01").first()
+    with pytest.raises(ValueError):
+        api.asset_features(api.asset_dimension(m), as_of="2024-01-01")  # labels are never made up silently
+    f = api.asset_features(api.asset_dimension(m), as_of="2024-01-01", failure_rule=failure_rule_by_hash()).first()
     assert f["asset_age_days"] == 1461 and f["failure_event"] in (0, 1)
 
 
