@@ -119,15 +119,6 @@ def failed_assets(features: DataFrame) -> DataFrame:
     return features.where(F.col("failure_event") == 1)
 
 
-def maintenance_attention(features: DataFrame, min_days: int = MAINTENANCE_OVERDUE_DAYS) -> DataFrame:
-    """P21 + O2: assets not maintained for more than ``min_days``, longest first."""
-    return (
-        features.where(F.col("days_since_last_maintenance") > min_days)
-        .select("asset_id", "asset_type", "days_since_last_maintenance")
-        .orderBy(F.desc("days_since_last_maintenance"), F.asc("asset_id"))
-    )
-
-
 def maintenance_priority(features: DataFrame, k: int = 100) -> DataFrame:
     """The k assets most in need of maintenance.
 

@@ -50,7 +50,7 @@ def monthly_nrw(summary: DataFrame, decimals: int | None = None) -> DataFrame:
 def nrw_by_weekday(summary: DataFrame, decimals: int | None = None) -> DataFrame:
     """Mean NRW % by weekday name (rows in alphabetical order, as pandas sorts)."""
     return (
-        summary.groupBy(weekday_name(F.to_date("report_date")).alias("day_of_week"))
+        summary.groupBy(weekday_name(F.col("report_date").cast("date")).alias("day_of_week"))
         .agg(exact_mean("nrw_percent", decimals).alias("nrw_percent"))
         .transform(lambda d: sorted_small(d, "day_of_week"))
     )
@@ -85,7 +85,7 @@ def age_group(age: str = "asset_age_days", bins: AgeBins = AgeBins()):
     """Label of the half-open bin [lo, hi) holding ``age``; NULL outside all bins."""
     c = F.col(age)
     expr = None
-    for lo, hi, label in zip(bins.edges[:-1], bins.edges[1:], bins.labels):
+    for lo, hi, label in bins.ranges():
         cond = (c >= lo) & (c < hi)
         expr = F.when(cond, label) if expr is None else expr.when(cond, label)
     return expr
@@ -109,7 +109,7 @@ def failure_rate_by_age(features: DataFrame, bins: AgeBins = AgeBins(),
     age = F.col("asset_age_days")
     fe = F.col("failure_event").cast("int")
     aggs = []
-    for i, (lo, hi) in enumerate(zip(bins.edges[:-1], bins.edges[1:])):
+    for i, (lo, hi, _) in enumerate(bins.ranges()):
         in_bin = (age >= lo) & (age < hi)
         aggs += [F.count(F.when(in_bin, fe)).alias(f"n{i}"), F.sum(F.when(in_bin, fe)).alias(f"s{i}")]
     per_bin = features.agg(*aggs).select(F.inline(F.array(*[

@@ -22,21 +22,11 @@ BILLED_SHARE = 0.9
 DISTRICT_PREFIX_LEN = 3
 # Itron readings are cubic metres; 1 m3 = 1 kL.
 M3_TO_KL = 1.0
-# Documented report filters.
-RECENT_DAYS = 30
+# Documented report filter.
 MAINTENANCE_OVERDUE_DAYS = 365
 
-# As-of dates used by the fixtures mapped from the driver tables.
+# As-of date used by the fixtures mapped from the driver tables.
 ASSET_AS_OF = dt.date(2001, 12, 31)
-SERIES_AS_OF = dt.date(2024, 1, 30)
-
-
-@dataclass(frozen=True)
-class QualityBounds:
-    """Reasonable-consumption bounds for the range rule (kL per reading)."""
-
-    min_kl: float = 0.0
-    max_kl: float = 10_000.0
 
 
 @dataclass(frozen=True)
@@ -53,3 +43,11 @@ class LossSplit:
 class AgeBins:
     edges: list[int] = field(default_factory=lambda: list(AGE_BIN_EDGES))
     labels: list[str] = field(default_factory=lambda: list(AGE_BIN_LABELS))
+
+    def __post_init__(self):
+        if len(self.labels) != len(self.edges) - 1 or list(self.edges) != sorted(set(self.edges)):
+            raise ValueError("age bins need ascending edges and one label between each two")
+
+    def ranges(self) -> list[tuple[int, int, str]]:
+        """(lo, hi, label) of each half-open bin."""
+        return list(zip(self.edges, self.edges[1:], self.labels, strict=False))

@@ -21,7 +21,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Dimension tables are broadcast only through broadcast_if_small(); the
     # planner's own threshold stays at Spark's default.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Partition overwrite modes are set per write, never for the session.
 }
 
 
@@ -109,7 +109,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/meterflow/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_master() -> str:
-    return f"local[{os.environ.get('BENCH_CPUS', '8')}]"

@@ -35,13 +35,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
-def _is_nested(ev: DataFrame) -> F.Column:
-    return F.coalesce(F.col("event_type").isin(*NESTED_EVENT_TYPES), F.lit(False))
+def _is_nested() -> F.Column:
+    return F.col("event_type").isin(*NESTED_EVENT_TYPES)
+
+
+def _is_flat() -> F.Column:
+    """Everything else, events without a type included (both filters reach the scan)."""
+    return ~_is_nested() | F.col("event_type").isNull()
 
 
 def sensus_from_events(events: DataFrame) -> DataFrame:
     """Nested feed: meter_id, timestamp_utc (ISO text with Z), reading_data.flow_kl."""
-    return events.where(_is_nested(events)).select(
+    return events.where(_is_nested()).select(
         F.concat(F.lit("SEN-"), F.col("user_id").cast("string")).alias("meter_id"),
         F.date_format("ts", ISO_Z).alias("timestamp_utc"),
         F.struct(F.col("value").alias("flow_kl")).alias("reading_data"),
@@ -50,7 +55,7 @@ def sensus_from_events(events: DataFrame) -> DataFrame:
 
 def itron_from_events(events: DataFrame) -> DataFrame:
     """Flat feed: itron_device_id, read_datetime (ISO text, no zone), consumption_m3."""
-    return events.where(~_is_nested(events)).select(
+    return events.where(_is_flat()).select(
         F.concat(F.lit("ITR-"), F.col("user_id").cast("string")).alias("itron_device_id"),
         F.date_format("ts", ISO_LOCAL).alias("read_datetime"),
         F.col("value").alias("consumption_m3"),
@@ -86,15 +91,6 @@ def readings_from_lineitem(lineitem: DataFrame, district: str = "flags") -> Data
     )
 
 
-def flat_feed_from_lineitem(lineitem: DataFrame, district: str = "flags") -> DataFrame:
-    """The long-range readings in the flat bronze shape (for landing as JSON)."""
-    return lineitem.select(
-        _lineitem_meter(district).alias("itron_device_id"),
-        F.date_format("l_shipdate", ISO_LOCAL).alias("read_datetime"),
-        F.col("l_quantity").alias("consumption_m3"),
-    )
-
-
 def asset_master_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Nested asset master: one asset per order; last maintenance = last ship date.
 
