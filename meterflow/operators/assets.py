@@ -98,7 +98,11 @@ def with_failure_label(dim: DataFrame, log: DataFrame | None = None,
 def asset_failure_features(dim: DataFrame, log: DataFrame | None = None, as_of=None,
                            rule: Column | None = None) -> DataFrame:
     """Gold ``asset_failure_features`` (6 columns)."""
-    labelled = with_failure_label(dim, log, rule)
+    return feature_columns(with_failure_label(dim, log, rule), as_of)
+
+
+def feature_columns(labelled: DataFrame, as_of=None) -> DataFrame:
+    """P12's columns for assets that carry their failure_event."""
     return labelled.select(
         "asset_id",
         "asset_type",

@@ -91,10 +91,14 @@ def asset_feature_snapshot(dim: DataFrame, log: DataFrame, sensors: DataFrame,
     dim, the per-asset log summary (one read of the log) and the sensor
     snapshot all carry one row per asset and are joined on asset_id.
     """
-    snap = sensor_snapshot(sensors, snapshot, decimals=decimals)
     summary = maintenance_summary(log).select("asset_id", "failure_event", "material")
-    j = dim.join(summary, "asset_id", "left").join(snap, "asset_id", "left")
-    return j.select(
+    return snapshot_of(dim.join(summary, "asset_id", "left"), sensors, snapshot, decimals)
+
+
+def snapshot_of(assets: DataFrame, sensors: DataFrame, snapshot: dt.date | str, decimals: int | None = 6) -> DataFrame:
+    """X5 for assets that carry their failure_event and material."""
+    snap = sensor_snapshot(sensors, snapshot, decimals=decimals)
+    return assets.join(snap, "asset_id", "left").select(
         "asset_id",
         F.lit(str(snapshot)).alias("snapshot_date"),
         "asset_type",

@@ -11,7 +11,7 @@ import functools
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from meterflow.functions.rules import billed_by_suffix
-from meterflow.operators.assets import asset_failure_features
+from meterflow.operators.assets import feature_columns
 from meterflow.operators.conform import dim_asset, fct_meter_readings
 from meterflow.operators.nrw import nrw_daily_summary
 from meterflow.params import ASSET_AS_OF
@@ -80,9 +80,15 @@ def maintenance_log(spark: SparkSession, d: str, full: bool = False) -> DataFram
     return fx.maintenance_log_from_lineitem(fx.table(spark, d, "lineitem"), orders)
 
 
+@per_session
+def assets_with_history(spark: SparkSession, d: str) -> DataFrame:
+    """dim_asset with failure_event and material: one read and one shuffle of the line items."""
+    return fx.assets_with_history(fx.table(spark, d, "orders"), fx.table(spark, d, "lineitem"))
+
+
 @per_session
 def features(spark: SparkSession, d: str, as_of=ASSET_AS_OF) -> DataFrame:
-    return asset_failure_features(assets(spark, d), maintenance_log(spark, d), as_of=as_of)
+    return feature_columns(assets_with_history(spark, d), as_of)
 
 
 @per_session

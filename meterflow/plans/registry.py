@@ -219,6 +219,12 @@ def q_asset_failure_features(spark, d):
     return I.features(spark, d)
 
 
+@register("asset_failure_features_from_log", f"SELECT * FROM ({O.FEATURES}) f")
+def q_asset_failure_features_from_log(spark, d):
+    """P12 from the separate asset dimension and maintenance log, as the gold job runs it."""
+    return A.asset_failure_features(I.assets(spark, d), I.maintenance_log(spark, d), ASSET_AS_OF)
+
+
 @register("asset_material", f"""
   SELECT d.asset_id, d.asset_type, s.material
   FROM ({O.DIM_ASSET}) d LEFT JOIN ({O.MAINT_SUMMARY}) s ON d.asset_id = s.asset_id""")
@@ -755,8 +761,13 @@ SNAPSHOT = "2024-01-30"
   LEFT JOIN sn ON d.asset_id = sn.asset_id""")
 def q_asset_feature_snapshot(spark, d):
     """All ten documented feature columns at one snapshot date."""
-    return S.asset_feature_snapshot(I.assets(spark, d), I.maintenance_log(spark, d), I.sensors(spark, d),
-                                    SNAPSHOT, decimals=6)
+    return S.snapshot_of(I.assets_with_history(spark, d), I.sensors(spark, d), SNAPSHOT, decimals=6)
+
+
+@register("asset_feature_snapshot_from_log", ORACLES["asset_feature_snapshot"])
+def q_asset_feature_snapshot_from_log(spark, d):
+    """X5 from the separate asset dimension and maintenance log, as the snapshot job runs it."""
+    return S.asset_feature_snapshot(I.assets(spark, d), I.maintenance_log(spark, d), I.sensors(spark, d), SNAPSHOT, decimals=6)
 
 
 @register("maintenance_priority", f"""

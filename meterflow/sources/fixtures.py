@@ -113,6 +113,35 @@ def asset_master_from_orders(orders: DataFrame, lineitem: DataFrame) -> DataFram
     )
 
 
+def assets_with_history(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Silver dim_asset with failure_event and material from the log, both from one aggregate per order.
+
+    The same rows as joining ``asset_master_from_orders`` with the summary of
+    ``maintenance_log_from_lineitem``, but the line items are read and
+    shuffled once, by the numeric order key. The latest material (one
+    character; ties: the larger) rides with its date in one long, so the
+    aggregate keeps to hash buffers.
+    """
+    latest = F.max(F.unix_date(F.to_date("l_shipdate")).cast("long") * 256 + F.ascii("l_linestatus"))
+    per_order = lineitem.groupBy("l_orderkey").agg(
+        F.max("l_shipdate").alias("last_ship"), latest.alias("latest"),
+        F.max(_failure()).alias("failure_event"))
+    o = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
+    return o.select(
+        F.concat(F.lit("MTR-"), F.col("o_orderkey").cast("string")).alias("asset_id"),
+        F.col("o_orderpriority").alias("asset_type"),
+        F.to_date("o_orderdate").alias("install_date"),
+        F.to_date("last_ship").alias("last_maintenance_date"),
+        F.col("o_orderstatus").alias("manufacturer"),
+        F.coalesce(F.col("failure_event"), F.lit(0)).alias("failure_event"),
+        F.char(F.pmod(F.col("latest"), F.lit(256))).alias("material"),
+    )
+
+
+def _failure() -> F.Column:
+    return F.when((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 48), 1).otherwise(0).cast("int")
+
+
 def maintenance_log_from_lineitem(lineitem: DataFrame, orders: DataFrame | None = None) -> DataFrame:
     """Maintenance log: one row per line item of an order (= asset).
 
@@ -134,10 +163,7 @@ def maintenance_log_from_lineitem(lineitem: DataFrame, orders: DataFrame | None
         atype.alias("asset_type"),
         F.col("l_linestatus").alias("material"),
         F.to_date("l_shipdate").alias("last_maintenance_date"),
-        F.when((F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 48), 1)
-        .otherwise(0)
-        .cast("int")
-        .alias("failure_event"),
+        _failure().alias("failure_event"),
     )
 
 

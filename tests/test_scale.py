@@ -122,3 +122,31 @@ def test_hot_meter_join_is_split_by_aqe_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_date_and_feed_filters_reach_the_scan(spark):
+    from meterflow.plans.registry import QUERIES
+    p = _plan(QUERIES["sql_last_30_days"](spark, SF_SMALL))
+    assert "GreaterThanOrEqual(l_shipdate" in p and "LessThan(l_shipdate" in p
+    assert "In(event_type, [click,purchase,view]" in _plan(QUERIES["conform_sensus"](spark, SF_SMALL))
+    assert "Or(Not(In(event_type" in _plan(QUERIES["conform_itron"](spark, SF_SMALL))
+
+
+def test_line_items_are_read_and_shuffled_once_for_the_assets(spark):
+    from meterflow.plans.registry import QUERIES
+    for key in ("asset_feature_snapshot", "asset_failure_features"):
+        p = _plan(QUERIES[key](spark, SF_SMALL))
+        assert p.count("lineitem.parquet") == 1 and p.count("SortAggregate") == 0
+
+
+def test_size_check_sends_one_row_a_task(spark):
+    from pyspark.sql import functions as F
+
+    from meterflow.operators.joins import measured_size
+    df = spark.range(0, 1000, 1, 7).withColumn("s", F.col("id").cast("string"))
+    assert measured_size(df)[0] == 1000
+    assert "Limit" not in _plan(df.agg(F.count(F.lit(1))))
