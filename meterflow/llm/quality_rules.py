@@ -102,7 +102,8 @@ def measured(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
     """``keep`` plus n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words (longs).
 
     Lines without a word are no lines here. Every row is measured by itself:
-    no shuffle.
+    no shuffle. Settle the result before filtering it: a filter is pushed
+    down into these expressions and would compute them several times over.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     df = docs.select(*keep, body.alias("_text"), words(F.col(text)).alias("_w"))
@@ -168,7 +169,7 @@ def base_failed() -> Column:
 def cutoffs(measures: DataFrame, labels: DataFrame, stratum: str, risk: Risk = Risk()) -> DataFrame:
     """(stratum, one column per statistic): the strictest cutoff that keeps the promise, or null.
 
-    ``measures`` needs doc_id and ``stratum``; ``labels`` (doc_id, quality).
+    ``measures`` (settled) needs doc_id and ``stratum``; ``labels`` (doc_id, quality).
     The holdout is every labelled good document that passes the base rule.
     """
     good = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("_quality")).where("_quality = 1")
@@ -211,3 +212,47 @@ def judged(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: Risk
     return m.join(limits, m["stratum"].eqNullSafe(limits["_stratum"]), "left").select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         base_failed().alias("base_failed"), (~base_failed() & ~over).alias("kept"))
+
+
+def oracle(risk: Risk = Risk()) -> str:
+    """The same rows in DuckDB SQL: windows by unnesting, binomial tails term by term."""
+    stats = {
+        "symbol_ratio": "n_symbols / nullif(n_words, 0)", "dup_line_ratio": "n_dup_lines / nullif(n_lines, 0)",
+        "repeat_ratio": "n_repeat_words / nullif(n_words, 0)", "long_words": "word_chars / nullif(n_words, 0)",
+        "short_words": "-(word_chars / nullif(n_words, 0))"}
+    tries = [(s, c) for s in stats for c in sorted(risk.cutoffs.get(s, []))]
+    p = risk.false_rejection / len(stats)
+    counts = ", ".join(f"CAST(count_if({stats[s]} > {c}) AS BIGINT) AS over_{i}" for i, (s, c) in enumerate(tries))
+
+    def passes(i: int) -> str:
+        return (f"over_{i} < n * {p} AND list_sum(list_transform(range(0, over_{i} + 1), lambda i: exp(lgamma(n + 1) - "
+                f"CASE WHEN i > 0 THEN lgamma(i + 1) ELSE 0 END - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln({1 - p})))) "
+                f"<= {risk.error} / (strata * {len(tries)})")
+
+    limits = ", ".join(
+        "coalesce(" + ", ".join(f"CASE WHEN {passes(i)} THEN {c}::DOUBLE END" for i, (t, c) in enumerate(tries) if t == s) + f", NULL) AS max_{s}"
+        for s in stats)
+    over = " OR ".join(f"coalesce({e} > max_{s}, false)" for s, e in stats.items())
+    failed = "(n_words < 50 OR 100 * n_repeat_words > 50 * n_words)"
+    word = r"[^\x20\x09-\x0D]"
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '{word}+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{word}')) AS l
+  FROM documents),
+g AS (SELECT rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS k FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM d) u),
+r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, k) AS c FROM g) x WHERE c > 1),
+rep AS (SELECT rid, count(DISTINCT i + o) AS n FROM r, (VALUES (0), (1), (2)) t(o) GROUP BY rid),
+m AS (
+  SELECT d.rid, doc_id, lang, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(l) AS n_lines,
+         (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN rep USING (rid)),
+good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING max(quality) = 1),
+counts AS (SELECT lang, count(*) AS n, {counts} FROM m WHERE NOT {failed} AND doc_id IN (SELECT doc_id FROM good) GROUP BY lang),
+cut AS (SELECT lang, {limits} FROM counts, (SELECT count(*) AS strata FROM counts) s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {failed} AS base_failed,
+       NOT {failed} AND NOT ({over}) AS kept
+FROM m LEFT JOIN cut ON m.lang IS NOT DISTINCT FROM cut.lang
+"""

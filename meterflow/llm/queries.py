@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterflow.llm.common import table
 from meterflow.llm.mixing import oracle as mixing_sql
+from meterflow.llm.quality_rules import oracle as quality_sql
 from meterflow.llm.url_rules import oracle as url_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +83,9 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+ORACLES["op8_quality_rules"] = quality_sql()
+
+
 @register
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.html_text import extracted
