@@ -39,7 +39,7 @@ class Risk:
     any stratum breaks its part of that promise.
     """
 
-    false_rejection: float = 0.02
+    false_rejection: float = 0.01
     error: float = 0.05
     cutoffs: dict[str, list[float]] = field(default_factory=lambda: {
         "symbol_ratio": [0.05, 0.1, 0.2, 0.3, 0.5, 0.75, 1.0],
