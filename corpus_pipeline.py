@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meterflow.llm import langid, mixing, packing, secret_scan, simhash
+from meterflow.llm.common import find_package
 from meterflow.session import scratch_path
 
 
@@ -49,6 +50,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    find_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"pipeline-{name}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,3 +39,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex[:6]}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def find_package(spark: SparkSession) -> None:
+    """Lets Python workers that share this file system import the package (a cluster ships it with --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])

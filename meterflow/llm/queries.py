@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterflow.llm.common import table
+from meterflow.llm.common import find_package, table
 from meterflow.llm.mixing import oracle as mixing_sql
 from meterflow.llm.quality_rules import oracle as quality_sql
 from meterflow.llm.url_rules import oracle as url_sql
@@ -17,8 +18,13 @@ ORACLES: dict[str, str] = {}
 
 
 def register(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    @wraps(fn)
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        find_package(spark)
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = query
+    return query
 
 
 @register
