@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +50,28 @@ def find_package(spark: SparkSession) -> None:
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, so that only a few texts are held as Python objects and sent back at once."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
+_held: dict[str, object] = {}
+
+
+def held(name: str, make: Callable[[], object]) -> object:
+    """A look-up table kept between the tasks of a Python worker: one at a time, the last one asked for."""
+    if name not in _held:
+        release()
+        _held[name] = make()
+    return _held[name]
+
+
+def release() -> None:
+    """Drops what ``held`` keeps: tasks of another operator need the memory."""
+    if _held:
+        _held.clear()
+        pa.default_memory_pool().release_unused()

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterflow.llm.common import settled
+from meterflow.llm.common import held, settled, slices
 
 UNKNOWN = "und"
 
@@ -52,7 +52,7 @@ UNSEEN = 1e-7
 SHARED = 1e-3
 
 #: Words whose scores are kept (a look-up table that only saves time), and words looked up at once.
-KEPT_WORDS, RUN = 500_000, 1 << 17
+KEPT_WORDS, RUN = 250_000, 1 << 17
 
 MARK = "▁"
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -243,17 +243,6 @@ class WordScores:
             total[k] += self.rows[where].sum(0)
 
 
-_kept: dict[str, WordScores] = {}
-
-
-def _scores(key: str, model: Model) -> WordScores:
-    """One table a Python worker and model, kept between tasks."""
-    if key not in _kept:
-        _kept.clear()
-        _kept[key] = WordScores(model)
-    return _kept[key]
-
-
 def decide(total: np.ndarray, langs: list[str]) -> tuple[str, float]:
     """The likeliest language and its posterior under equal priors."""
     if not langs or not total[-1]:
@@ -272,8 +261,8 @@ def predicted(docs: DataFrame, model: Model, text: str = "text", keep_text: bool
     out = T.StructType([*[docs.schema.fields[i] for i in back], T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scores, langs = _scores(key, shared.value), shared.value.langs
-        for b in batches:
+        scores, langs = held(key, lambda: WordScores(shared.value)), shared.value.langs
+        for b in slices(batches):
             found = [decide(x, langs) for x in scores.of([x or "" for x in b.column(at).to_pylist()])]
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(i) for i in back], pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],

@@ -24,7 +24,6 @@ import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import public_tokenizers
 import pyarrow as pa
@@ -34,13 +33,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from meterflow.llm.common import held, slices
+
 WINDOW, END_ID = 2048, 1
 
 #: Pieces that wait before windows are filled, and that stay waiting.
 POOL, LEAST_POOL = 1024, 512
 
 #: Words whose ids are kept in a generation, and the longest such word.
-KEPT_WORDS, KEPT_CHARS = 600_000, 64
+KEPT_WORDS, KEPT_CHARS = 500_000, 64
 
 
 def _byte_letters() -> dict[int, str]:
@@ -93,12 +94,6 @@ class WordIds(dict):
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
-@lru_cache(maxsize=2)
-def word_ids(path: str) -> WordIds:
-    """One table a Python worker, kept between its tasks."""
-    return WordIds(path)
-
-
 def ids_of(text: str | None, table: WordIds) -> bytes:
     """All ids of a text, as bytes. Spaces and line ends always separate words."""
     return b"".join(map(table.__getitem__, (text or "").replace("\n", " ").split(" ")))
@@ -222,7 +217,7 @@ def packed(docs: DataFrame, text: str = "text", path: str | None = None, window:
         T.StructField(x, T.LongType()) for x in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, packer, kind = word_ids(path), Packer(TaskContext.get().partitionId() << 40, window), None
+        table, packer, kind = held(path, lambda: WordIds(path)), Packer(TaskContext.get().partitionId() << 40, window), None
 
         def out():
             rows, packer.rows = packer.rows, []
@@ -230,13 +225,12 @@ def packed(docs: DataFrame, text: str = "text", path: str | None = None, window:
             return pa.RecordBatch.from_arrays(
                 [pa.array(columns[0], kind), *[pa.array(c, pa.int64()) for c in columns[1:]]], [f.name for f in fields])
 
-        for b in batches:
+        for b in slices(batches):
             kind = b.schema.field(0).type
             for doc, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 packer.add(doc, ids_of(body, table) + end)
-                if len(packer.rows) >= 50_000:
-                    yield out()
-            yield out()
+            if len(packer.rows) >= 20_000:
+                yield out()
         packer.finish()
         if packer.rows:
             yield out()

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.llm import spans as S
+from meterflow.llm.common import release, slices
 
 KINDS = ["assign", "access", "hex", "guess"]
 
@@ -178,8 +179,9 @@ def redacted(docs: DataFrame, text: str = "text", length: str = "n_chars", path:
     size = docs.columns.index(length) if length in docs.columns else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         find = make()
-        for b in batches:
+        for b in slices(batches):
             old = b.column(at).to_pylist()
             new = {k: masked(x, s) for k, x in enumerate(old) if x and (s := find(x))}
             columns = list(b.columns)

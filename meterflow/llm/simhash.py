@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterflow.llm.common import settled
+from meterflow.llm.common import release, settled, slices
 
 SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 3
 
@@ -72,7 +72,8 @@ def fingerprint_of(text: bytes | None, shingle: int = SHINGLE_WORDS) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id and ``fp`` (the 64 bits as a signed long) of every row, in place: no shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        release()
+        for b in slices(batches):
             fp = np.array([fingerprint_of(x, shingle) for x in b.column(1).cast(pa.binary()).to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterflow.llm.common import release, slices
+
 SPANS = T.ArrayType(T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()),
     T.StructField("end", T.LongType()), T.StructField("base", T.BooleanType())]))
@@ -28,8 +30,9 @@ def found(docs: DataFrame, finder: Callable[[], Callable[[str], list[Span]]], te
     out = T.StructType([*[docs.schema[c] for c in keep], T.StructField("spans", SPANS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         find = finder()
-        for b in batches:
+        for b in slices(batches):
             got = [[dict(zip(("kind", "start", "end", "base"), s)) for s in find(x)] if x else []
                    for x in b.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(got, _ARROW)], out.names)
