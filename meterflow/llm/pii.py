@@ -238,8 +238,10 @@ def labelled(text: str, words: Island, base: list[S.Span]) -> set[tuple[int, int
 
 def fit(docs: DataFrame, text: str = "text", texts: int = SAMPLE_TEXTS, most: int = SAMPLE_ISLANDS) -> Weights:
     """Learns from the islands of at most ``texts`` texts, at most ``most`` of them; that much reaches the driver."""
-    sample = docs.where(F.col(text).rlike("[0-9@]")).select("doc_id", F.col(text).alias("_text")).orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(texts)
+    # Only ids are put in order; as many as asked for are sent back to their texts.
+    ids = F.broadcast(docs.where(F.col(text).rlike("[0-9@]") & F.col("doc_id").isNotNull()).select("doc_id").orderBy(
+        F.xxhash64("doc_id"), "doc_id").limit(texts).distinct())
+    sample = docs.select("doc_id", F.col(text).alias("_text")).join(ids, "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
