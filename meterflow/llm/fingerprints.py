@@ -25,6 +25,7 @@ an empty result.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -36,6 +37,9 @@ COUNTER_BITS, COUNTERS = 20, 3
 #: Paragraphs of fewer characters are cut at spaces, others at clause marks.
 SHORT = 96
 
+#: Ranges of ids a shuffle partition.
+RANGES = 8
+
 _LOW32 = 0xFFFFFFFF
 _SPREAD = sum(1 << (COUNTER_BITS * k) for k in range(COUNTERS))
 _PACKED_MASK = (1 << (COUNTER_BITS * COUNTERS)) - 1
@@ -122,23 +126,27 @@ def as_text(v: str) -> Column:
 def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``docs`` (doc_id not null, and ``columns``) with ``next_`` columns: those of the next id, after the last those of the first.
 
-    Ids are cut into ranges at quantiles, one a shuffle partition. The first
-    documents of a range also go to the end of the range before it (of the
-    first range: of the last), so each range is a window of its own.
+    Ids are cut into ranges at quantiles, RANGES a shuffle partition so that
+    hashing spreads them evenly. The first documents of a range also go to the
+    end of the range before it (of the first range: of the last), so each
+    range is a window of its own.
     """
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = RANGES * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # One row of at most n ids.
     at = docs.agg(F.min("doc_id").alias("least"), F.percentile_approx(
         "doc_id", [k / n for k in range(1, n)] or [0.5], F.lit(max(10_000, 10 * n))).alias("cuts")).first()
-    cuts = sorted({c for c in at.cuts or [] if c > at.least}) if n > 1 else []
+    cuts = sorted({c for c in at.cuts or [] if c > at.least})
+    # The number of cuts up to an id, in two steps: among every step-th cut, then in the stretch behind it.
+    step = max(1, math.isqrt(len(cuts)))
     listed = F.array(*[F.lit(c) for c in cuts]).cast("array<bigint>")
-    spot = F.size(F.filter(listed, lambda c: c <= F.col("doc_id")))
+    coarse = F.size(F.filter(F.array(*[F.lit(c) for c in cuts[step - 1::step]]).cast("array<bigint>"), lambda c: c <= F.col("doc_id"))) * step
+    spot = coarse + F.size(F.filter(F.slice(listed, coarse + 1, step), lambda c: c <= F.col("doc_id")))
     row = docs.select(F.struct("*").alias("_row"), "doc_id", spot.alias("_spot"))
 
     def copy(spot: Column, wrap: int, guest: bool) -> Column:
         return F.struct(spot.alias("spot"), F.lit(wrap).alias("wrap"), F.lit(guest).alias("guest"))
 
-    first = F.array_contains(listed, F.col("doc_id"))
+    first = (F.col("_spot") > 0) & (F.get(listed, F.col("_spot") - 1) == F.col("doc_id"))
     copies = F.array_compact(F.array(
         copy(F.col("_spot"), 0, False), F.when(first, copy(F.col("_spot") - 1, 0, True)),
         F.when(F.col("doc_id") == F.lit(at.least), copy(F.lit(len(cuts)), 1, True))))
