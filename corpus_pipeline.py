@@ -37,8 +37,11 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are packed into token sequences, one row a piece."""
-    return packing.packed(docs)
+    """Documents are packed into token sequences in the order of the mixture, one row a piece.
+
+    The order of rows doesn't outlive writing and reading, so slots are found again from the documents.
+    """
+    return packing.mixture_packed(docs)
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]

@@ -102,6 +102,29 @@ def mixed(docs: DataFrame, **how) -> DataFrame:
     return p.repartitionByRange("slot", "start").sortWithinPartitions("slot", "start").select("_all.*")
 
 
+def spread(docs: DataFrame, keep: list[str], shares: dict[str, int] | None = None, rest: int = REST,
+           block: int = BLOCK, source: str = "source", text: str = "text") -> DataFrame:
+    """``keep`` with _start, _size and _slots: the slots of all blocks that a document reaches into, the first one first.
+
+    A document that is longer than what is left of its block goes on in the
+    next blocks of its source, which have slots of their own.
+    """
+    shares = SHARES if shares is None else shares
+    spark, weights, q = docs.sparkSession, [*shares.values(), rest], sum(shares.values()) + rest
+    size = (F.length(F.coalesce(F.col(text), F.lit(""))) + 1).cast("long")
+    rows = placed(docs.select(F.struct(*keep).alias("_all"), "doc_id", F.col(source).alias("source"), F.col(text).alias("text"),
+                              size.alias("_size")), ["_all", "_size"], shares, rest, block)
+    # As many rows as there are shares.
+    names = spark.createDataFrame([(g, i) for i, g in enumerate([*shares, None])], "_of string, gid int")
+    turns = plan(spark, weights).groupBy("gid").agg(F.sort_array(F.collect_list(F.struct("turn", "slot"))).slot.alias("_turns"))
+    turns = F.broadcast(names.join(turns, "gid").select("_of", "_turns"))
+    w = F.size("_turns")
+    return rows.join(turns, rows["grp"].eqNullSafe(turns["_of"])).select(
+        "_all.*", F.col("start").alias("_start"), "_size",
+        F.transform(F.sequence("block", F.floor((F.col("start") + F.col("_size") - 1) / block)),
+                    lambda b: F.floor(b / w) * q + F.get("_turns", (b % w).cast("int"))).alias("_slots"))
+
+
 def oracle(shares: dict[str, int] | None = None, rest: int = REST, block: int = BLOCK) -> str:
     """The same rows in DuckDB SQL: the plan by a recursive query, places by one window a source."""
     shares = SHARES if shares is None else shares

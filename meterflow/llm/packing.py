@@ -16,6 +16,11 @@ Defined cases: a null or empty text is its end id alone; repeated rows are
 packed each; a null doc_id keeps its row; an empty table gives no piece; a
 text of any length is cut at windows. A recomputed task gives the same
 pieces and sequence numbers, as both follow from its rows and its number.
+
+``mixture_packed`` packs in the order of a mixture: each stretch of a document
+goes to the slot of the block that it lies in, windows are filled only from
+one group of neighbouring slots, and sequences are numbered by group. So every
+prefix of the sequences is a prefix of the mixture, but for one group.
 """
 
 from __future__ import annotations
@@ -33,13 +38,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from meterflow.llm.common import held, slices
+from meterflow.llm import mixing
+from meterflow.llm.common import held, release, slices
 
 WINDOW, END_ID = 2048, 1
 
 #: Pieces that wait before windows are filled, and that stay waiting.
 POOL, LEAST_POOL = 1024, 512
 
+#: Neighbouring slots of a mixture that share windows, and the sequence numbers that each such group has.
+GROUP_SLOTS, GROUP_BITS = 10, 24
+
 #: Words whose ids are kept in a generation, and the longest such word.
 KEPT_WORDS, KEPT_CHARS = 500_000, 64
 
@@ -133,13 +142,14 @@ class Packer:
         self.counts: dict[int, int] = {}
         self.n = 0
 
-    def add(self, doc, raw: bytes) -> None:
-        tokens, size = len(raw) // 4, self.window * 4
+    def add(self, doc, raw: bytes, first: int = 0, tokens: int | None = None) -> None:
+        """All ids of a document, or those from ``first`` on of one that has ``tokens``."""
+        tokens, size = len(raw) // 4 if tokens is None else tokens, self.window * 4
         whole = len(raw) - len(raw) % size
         for at in range(0, whole, size):
-            self.place([(doc, at // 4, raw[at:at + size], tokens)])
+            self.place([(doc, first + at // 4, raw[at:at + size], tokens)])
         if whole < len(raw):
-            self.wait((doc, whole // 4, raw[whole:], tokens))
+            self.wait((doc, first + whole // 4, raw[whole:], tokens))
         if self.n >= POOL:
             while self.n > LEAST_POOL:
                 self.window_from_pool()
@@ -208,31 +218,93 @@ class Packer:
             self.window_from_pool()
 
 
+def _fields(docs: DataFrame) -> list[T.StructField]:
+    return [T.StructField("doc_id", docs.schema["doc_id"].dataType)] + [
+        T.StructField(x, T.LongType()) for x in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
+
+
+def _emptied(packer: Packer, kind: pa.DataType, fields: list[T.StructField]) -> pa.RecordBatch:
+    rows, packer.rows = packer.rows, []
+    columns = list(zip(*rows)) or [[]] * len(fields)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[0], kind), *[pa.array(c, pa.int64()) for c in columns[1:]]], [f.name for f in fields])
+
+
 def packed(docs: DataFrame, text: str = "text", path: str | None = None, window: int = WINDOW,
            end_id: int = END_ID) -> DataFrame:
     """One row a piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (longs)."""
     path = path or public_tokenizers.path("word_bpe_49k.json")
     end = struct.pack("<I", end_id)
-    fields = [T.StructField("doc_id", docs.schema["doc_id"].dataType)] + [
-        T.StructField(x, T.LongType()) for x in ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")]
+    fields = _fields(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, packer, kind = held(path, lambda: WordIds(path)), Packer(TaskContext.get().partitionId() << 40, window), None
 
-        def out():
-            rows, packer.rows = packer.rows, []
-            columns = list(zip(*rows)) or [[]] * len(fields)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], kind), *[pa.array(c, pa.int64()) for c in columns[1:]]], [f.name for f in fields])
-
         for b in slices(batches):
             kind = b.schema.field(0).type
             for doc, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 packer.add(doc, ids_of(body, table) + end)
             if len(packer.rows) >= 20_000:
-                yield out()
+                yield _emptied(packer, kind, fields)
         packer.finish()
         if packer.rows:
-            yield out()
+            yield _emptied(packer, kind, fields)
 
     return docs.select("doc_id", F.col(text)).mapInArrow(run, T.StructType(fields))
+
+
+def _stretches(start: int, size: int, slots: list[int], tokens: int, block: int) -> Iterator[tuple[int, int, int, int]]:
+    """(slot, place in the source, first id, end id) of a document's stretches: ids are dealt evenly over its characters."""
+    edges = [start, *range((start // block + 1) * block, start + size, block), start + size]
+    for slot, a, b in zip(slots, edges, edges[1:]):
+        first, end = (a - start) * tokens // size, (b - start) * tokens // size
+        if first < end:
+            yield slot, a, first, end
+
+
+def mixture_packed(docs: DataFrame, text: str = "text", path: str | None = None, window: int = WINDOW, end_id: int = END_ID,
+                   block: int = mixing.BLOCK, **shares) -> DataFrame:
+    """The rows of ``packed``, with sequences in the order of the mixture of ``docs``."""
+    path = path or public_tokenizers.path("word_bpe_49k.json")
+    end, fields = struct.pack("<I", end_id), _fields(docs)
+    kept = docs.select("doc_id", F.col(text).alias("text"), "source")
+    names = ["doc_id", "slot", "place", "first", "tokens", "ids"]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = held(path, lambda: WordIds(path))
+        for b in slices(batches):
+            out = []
+            for doc, body, start, size, slots in zip(*[c.to_pylist() for c in b.columns]):
+                raw = ids_of(body, table) + end
+                tokens = len(raw) // 4
+                out += [(doc, slot, place, a, tokens, raw[a * 4:z * 4])
+                        for slot, place, a, z in _stretches(start, size, slots, tokens, block)]
+            columns = list(zip(*out)) or [[]] * len(names)
+            kinds = [b.schema.field(0).type, *[pa.int64()] * 4, pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        packer, group, kind = Packer(0, window), None, None
+        for b in slices(batches):
+            kind = b.schema.field(0).type
+            for doc, slot, _, first, tokens, raw in zip(*[c.to_pylist() for c in b.columns]):
+                if slot // GROUP_SLOTS != group:
+                    packer.finish()
+                    group = slot // GROUP_SLOTS
+                    packer.next = group << GROUP_BITS
+                packer.add(doc, raw, first, tokens)
+            if len(packer.rows) >= 20_000:
+                yield _emptied(packer, kind, fields)
+        packer.finish()
+        if packer.rows:
+            yield _emptied(packer, kind, fields)
+
+    longs = [T.StructField(x, T.LongType()) for x in names[1:-1]]
+    rows = mixing.spread(kept, ["doc_id", "text"], block=block, **shares).mapInArrow(
+        cut, T.StructType([fields[0], *longs, T.StructField("ids", T.BinaryType())]))
+    # A group holds at most GROUP_SLOTS blocks: never more than a task can take. Sequence numbers hold the order,
+    # so groups may be dealt by hash; dealing them by range would make all ids twice, once to find the ranges.
+    rows = rows.withColumn("_group", F.floor(F.col("slot") / GROUP_SLOTS)).repartition("_group")
+    rows = rows.sortWithinPartitions("slot", "place").drop("_group")
+    return rows.mapInArrow(run, T.StructType(fields))

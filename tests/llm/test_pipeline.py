@@ -1,9 +1,12 @@
 """The pipeline against a brute-force version, stage by stage, and on odd tables."""
 
+import itertools
+import random
 import re
+from collections import Counter
 
 import corpus_pipeline as C
-from meterflow.llm import secret_scan
+from meterflow.llm import mixing, secret_scan
 from tests.conftest import SF_SMALL
 
 from .test_packing import check
@@ -74,3 +77,29 @@ def test_odd_rows(spark, tmp_path):
     for _, stage in C.STAGES:
         empty_out = stage(spark, empty, SF_SMALL)
         assert empty_out.collect() == []
+
+
+def test_every_prefix_of_the_sequences_is_near_the_weights(spark, tmp_path, monkeypatch):
+    """Two periods of all sources and as much again of src19 alone, with texts of many blocks, over many files."""
+    rng, rows, weights = random.Random(5), [], {**mixing.SHARES, "other": mixing.REST}
+    for source, w in weights.items():
+        left, sizes = (2 * w + (60 if source == "src19" else 0)) * mixing.BLOCK, itertools.cycle([3000, 9 * mixing.BLOCK, 700, 30_000])
+        while left > 0:
+            size = min(left, next(sizes))
+            rows.append((len(rows), "word " * (size // 5), source))
+            left -= size
+    rng.shuffle(rows)
+    spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(8).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(C, "STAGES", C.STAGES[-2:])
+    pieces = sorted(C.run(spark, str(tmp_path)).collect(), key=lambda r: (r.sequence_id, r.offset))
+    assert sum(r.length for r in pieces) == sum(len(t) // 5 + 1 for _, t, _ in rows)
+
+    source_of, have, total, block = {d: s for d, _, s in rows}, Counter(), 0, mixing.BLOCK / 5
+    for _, sequence in itertools.groupby(pieces, key=lambda r: r.sequence_id):
+        for r in sequence:
+            have[source_of[r.doc_id]] += r.length
+            total += r.length
+        if total > 190 * block:
+            break
+        # Pfair is off by less than a block, and an open group of slots by what it holds.
+        assert all(abs(have[s] - total * w / 100) <= 5 * block for s, w in weights.items()), (total / block, have)
