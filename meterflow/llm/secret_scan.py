@@ -1,10 +1,11 @@
 """Secrets in texts: fixed patterns, and values in credential contexts that are costly to guess.
 
-A value that follows a credential word (``password is ...``, ``bearer: ...``)
+A value that follows a credential word (``password is ...``, ``Bearer ...``)
 is cut into words, dates, repeats, keyboard walks, sequences and brute-force
 characters so that the guesses for the parts multiply to the least (dynamic
 programming over its places). Values that take at least 10 ** ``LEAST_COST``
-guesses, and that no pattern covers, are added as ``guess`` spans.
+guesses, and that no pattern covers wholly, are added as ``guess`` spans, and
+so are those whose head alone a pattern finds, so that no tail is left.
 
 Defined cases: a null or empty text has no span; repeated rows are scanned
 each; texts and values of any length are scanned whole, in time linear in
@@ -49,8 +50,11 @@ _HEX = re.compile("[0-9a-f]{24,}")
 
 _WORDS = ["pass", "pwd", "secret", "token", "key", "credential", "bearer"]
 _CONTEXT = re.compile(
-    r"""(?i)(?<![a-z])(?:pass(?:word|wd|phrase|code)|pwd|secret|token|(?:api|access|private)[ _-]?key|credentials?|bearer)"""
-    r"""["'`]?[ \t]{0,4}(?:=>|:=|->|[:=]|[ \t]is[ \t])[ \t]{0,4}["'`]?([^\s"'`]{6,})""")
+    r"""(?i)(?:(?:pass(?:word|wd|phrase|code)|pwd|secret|token|(?:api|access|private)[ _-]?key|credentials?|bearer)"""
+    r"""["'`]?[ \t]*+(?:(?P<set>=>|:=|->|[:=])|(?<=[ \t])is[ \t])|(?<![a-z])(?P<bearer>bearer[ \t]))[ \t]*+"""
+    # In quotes up to the same quote (with blanks only where something is set), else up to white space or a quote.
+    r"""(?:"(?P<double>(?:(?(set)[^"\\\n]|[^"\\\s])|\\.){6,}+)"|'(?P<single>(?:(?(set)[^'\\\n]|[^'\\\s])|\\.){6,}+)'|"""
+    r"""`(?P<back>(?(set)[^`\n]|[^`\s]){6,}+)`|["'`]?(?P<bare>[^\s"'`]{6,}))""")
 
 #: Rows of keys, and common passwords that a vocabulary of words lacks (fixed values).
 _KEYS = ["1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm"]
@@ -124,14 +128,20 @@ def guess_spans(text: str, taken: list[S.Span], ranks: dict[str, int], least: fl
     low = text.lower()
     if not any(w in low for w in _WORDS):
         return []
-    out = []
-    for m in _CONTEXT.finditer(text):
-        start, end = m.span(1)
-        while end > start and text[end - 1] in ".,;:!?)]}>#%&*$|":
-            end -= 1
-        free = all(end <= s[1] or s[2] <= start for s in taken)
-        if end - start >= 6 and free and guess_cost(text[start:end], ranks) >= least:
+    out, at = [], 0
+    while m := _CONTEXT.search(text, at):
+        start, end = m.span(m.lastgroup)
+        if m.lastgroup == "bare":
+            while end > start and text[end - 1] in ".,;:!?)]}>":
+                end -= 1
+        covered = any(s[1] <= start and end <= s[2] for s in taken)
+        # What a pattern finds the head of is a secret as it stands.
+        if not covered and end - start >= 6 and (
+                any(s[1] <= start < s[2] for s in taken) or guess_cost(text[start:end], ranks) >= least):
             out.append(("guess", start, end, False))
+            at = m.end()
+        else:  # what stands behind the bare word may be a context itself
+            at = start if m["bearer"] else m.end()
     return out
 
 

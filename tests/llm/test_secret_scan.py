@@ -4,8 +4,10 @@ import hashlib
 import itertools
 import math
 import re
+import time
 
 import public_tokenizers
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -69,6 +71,28 @@ def test_only_costly_values_in_context_are_added(spark):
     assert clean[2] == rows[1][1]
 
 
+@pytest.mark.parametrize("text, left", [
+    ('password = "kT9abcd#vQ2!xZ88$mm" ok', '[secret]" ok'),
+    ("dbPassword: kT9abcd#vQ2!xZ88$ ok", "db[secret] ok"),
+    ("secret = 'welcome#1990!' ok", "[secret]' ok"),
+    ('token = "correct#horse battery staple" ok', '[secret]" ok'),
+    ("Authorization: Bearer kT9abcd#vQ2!xZ88 ok", "Authorization: Bearer [secret] ok"),
+    ("passphrase        is        kT9#vQ2!xZ88 ok", "passphrase        is        [secret] ok"),
+    ("bearer password: kT9abcd#vQ2!xZ88, ok", "bearer [secret], ok"),
+    ('the secret is "never give up on your dreams"', None), ("a standard bearer without equal", None),
+])
+def test_no_tail_of_a_value_is_left(text, left):
+    base = C.base_spans(text)
+    assert C.masked(text, base + C.guess_spans(text, base, RANKS, C.LEAST_COST)) == (left or text)
+
+
+def test_context_search_is_linear():
+    start = time.process_time()
+    for text in ["password" + " " * 200_000 + "x", "bearer " * 30_000, "token=" * 30_000, 'pwd:"' * 30_000, "bearer\t" + '"' + "\\a" * 100_000]:
+        C.guess_spans(text, [], RANKS, 1e9)
+    assert time.process_time() - start < 30
+
+
 def test_empty_table(spark):
     assert C.report(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
