@@ -59,8 +59,9 @@ DEEPEST = 512
 WIDEST = 60
 
 _TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
-_REST = re.compile(r"(?:[^>\"']+|\"[^\"]*\"|'[^']*')*+>")
-_ATTR = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+# A quote opens a value only directly behind "="; anywhere else it is a plain character.
+_REST = re.compile(r"(?:[\s/]++|(?:=[^\s=/>]*+|[^\s=/>]++)(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>]*+))?+)*+>")
+_ATTR = re.compile(r"(=[^\s=/>]*+|[^\s=/>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?")
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 _GONE = re.compile(r"display\s*:\s*none", re.I)
 _DARK = re.compile(r"visibility\s*:\s*(hidden|collapse|visible)", re.I)

@@ -66,6 +66,15 @@ def test_no_word_is_lost(parts):
     assert sorted(got) == sorted(w for w in plain.words if w.startswith("w"))
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<a href=foo title=Bob's>visible text</a> <p>it's here</p>end", "visible text\n\nit's here\n\nend"),
+    ("<a b' c>x</a> y's", "x y's"), ("<a href=a=\"b>x</a> \"y\"", "x \"y\""), ("<a b = '>' c=\">\">x", "x"),
+    ("<b title=it's hidden>x</b>y", "y"), ("<br/>a<a href=/b/>c", "ac"),
+])
+def test_stray_quotes_open_no_value(page, text):
+    assert rendered(page) == text
+
+
 def test_deep_and_long_pages():
     assert rendered("<div>" * 50_000 + "x") == "x"
     assert rendered("<b>" * 20_000 + "x" + "</b>" * 20_000) == "x"
