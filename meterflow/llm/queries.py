@@ -7,6 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from meterflow.llm.centroids import oracle as centroids_sql
 from meterflow.llm.common import find_package, table
 from meterflow.llm.mixing import oracle as mixing_sql
 from meterflow.llm.quality_rules import oracle as quality_sql
@@ -104,3 +105,20 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.langid import identified
 
     return identified(table(spark, sf_dir, "documents"))
+
+
+@register
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.centroids import clustered
+
+    return clustered(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op11_centroids"] = centroids_sql()
+
+
+@register
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.whitening import whitened
+
+    return whitened(table(spark, sf_dir, "embeddings"))
