@@ -122,3 +122,10 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     from meterflow.llm.whitening import whitened
 
     return whitened(table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from meterflow.llm.jaccard_join import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
