@@ -10,8 +10,9 @@ of two sets: |d(x, p) - d(y, p)| <= d(x, y).
   (1 - s) / s * a shingles, so with more parts than that some are equal in
   both. A block is the sets with one equal part. A part that many sets share
   (a common passage) may be left out by a set that has more other parts than
-  its links can differ in: it meets all its links there. Only sets made of
-  common parts nearly whole use the crowded blocks too.
+  its links can differ in: it meets all its links there. The other sets, made
+  of common parts nearly whole, are cut once more into smaller parts; only
+  those of them that are still so use the crowded blocks too.
 * Regions. The least node of a block is its pivot. A pivot's region holds the
   sets of all its blocks, each with its exact distance; a set near several
   pivots is replicated to each. Sets within reach of the pivot are linked to it.
@@ -37,6 +38,7 @@ has a null id); an empty table gives an empty result.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,71 +99,108 @@ def reach(n: int) -> int:
     return n * (DEN - NUM) // NUM
 
 
-def _bits(n: int) -> int:
-    """Parts are counted in powers of two, at least one and a half times the reach and four."""
-    return ((3 * reach(n) + 1) // 2 + 3).bit_length()
+def _reaches() -> list[int]:
+    """The least reach of every scheme, each a third above the one before."""
+    found = [1]
+    while found[-1] < 1 << 40:
+        found.append(max(found[-1] + 1, found[-1] * 4 // 3))
+    return found
 
 
-def parts(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(signatures, number of bits, spare parts) of all parts of a set, for every number of parts its links may use.
+_SCHEMES = _reaches()
 
-    Two sets meet under the number of parts of the smaller one. ``spare`` is by
-    how many the non-empty parts outnumber the differences that are possible;
-    without any, a signature shared by all such sets is added.
+
+def scheme(n: int) -> int:
+    """The number of the way that pairs are cut whose smaller set has ``n`` shingles."""
+    return bisect_right(_SCHEMES, reach(n)) - 1
+
+
+def parts(h: np.ndarray, fine: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signatures, scheme, spare parts) of all parts of a set, for every scheme that its links may use.
+
+    ``spare`` is by how many the non-empty parts outnumber the differences that
+    are possible; without any, a signature shared by all such sets is added.
     """
-    n, sig, bits, spare = len(h), [], [], []
+    n, sig, schemes, spare = len(h), [], [], []
     least = -(-n * NUM // DEN)
     while reach(least) < 1 <= reach(n):
         least += 1
     mixed = _mix(h)
-    for k in range(_bits(least), _bits(n) + 1) if reach(n) else ():
-        part = h >> np.uint64(64 - k)
+    for k in range(scheme(least), scheme(n) + 1) if reach(n) else ():
+        most = _SCHEMES[k + 1] - 1
+        count = 3 * most + 8 if fine else most + most // 8 + 3
+        part = (h >> np.uint64(32)) * np.uint64(count) >> np.uint64(32)
         start = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         s = _mix(np.add.reduceat(mixed, start) + (part[start] + np.uint64(k << 56)) * _ODD)
-        room = len(s) - min(reach(n), ((1 << k) - 4) * 2 // 3)
+        room = len(s) - min(reach(n), most)
         if room < 1:
             s = np.append(s, np.uint64(k))
         sig.append(s)
-        bits.append(np.full(len(s), k, np.int32))
+        schemes.append(np.full(len(s), k, np.int32))
         spare.append(np.full(len(s), room, np.int32))
     if not sig:
         return np.empty(0, np.uint64), np.empty(0, np.int32), np.empty(0, np.int32)
-    return np.concatenate(sig), np.concatenate(bits), np.concatenate(spare)
+    return np.concatenate(sig), np.concatenate(schemes), np.concatenate(spare)
 
 
 def _lists(values: list[np.ndarray], flat: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(v) for v in values])]), pa.int32()), flat)
 
 
+_PARTS = "array<struct<sig:bigint,scheme:int,spare:int>>"
+
+
+def _part_lists(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.ListArray:
+    sig, schemes, spare = ([f[i] for f in found] for i in range(3))
+    rows = pa.StructArray.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.concatenate(schemes)),
+                                       pa.array(np.concatenate(spare))], ["sig", "scheme", "spare"])
+    return _lists(sig, rows)
+
+
 def described(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, n (set size), key (128-bit hash of the set) and the set's parts, of every row in place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for b in slices(batches):
             sets = [shingles(x) for x in b.column(1).cast(pa.binary()).to_pylist()]
-            found = [parts(h) for h in sets]
-            sig, bits, spare = ([f[i] for f in found] for i in range(3))
-            rows = pa.StructArray.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.concatenate(bits)),
-                                               pa.array(np.concatenate(spare))], ["sig", "bits", "spare"])
             yield pa.RecordBatch.from_arrays([
                 b.column(0), pa.array([len(h) for h in sets], pa.int64()),
-                pa.array([xxhash.xxh3_128_digest(h.tobytes()) for h in sets], pa.binary()), _lists(sig, rows)], ["doc_id", "n", "key", "parts"])
+                pa.array([xxhash.xxh3_128_digest(h.tobytes()) for h in sets], pa.binary()),
+                _part_lists([parts(h) for h in sets])], ["doc_id", "n", "key", "parts"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", text).mapInArrow(
-        run, f"doc_id {kind}, n long, key binary, parts array<struct<sig:bigint,bits:int,spare:int>>")
+    return docs.select("doc_id", text).mapInArrow(run, f"doc_id {kind}, n long, key binary, parts {_PARTS}")
 
 
-def regions_of(nodes: DataFrame, crowded: int = CROWDED) -> DataFrame:
-    """(pivot, node): the blocks' sets under their least node, for nodes (node, parts)."""
-    rows = nodes.select("node", F.explode("parts").alias("p")).select("p.sig", "node", "p.bits", "p.spare")
+def blocks_of(nodes: DataFrame, crowded: int = CROWDED) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """For nodes (node, parts): blocks of up to ``crowded`` sets as (pivot, node) under their least node, the
+    (node, scheme) that need the others too, and those others as (sig, node, scheme)."""
+    rows = nodes.select("node", F.explode("parts").alias("p")).select("p.sig", "node", "p.scheme", "p.spare")
     blocks = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("many"), F.min("node").alias("pivot")).where("many > 1")
     met = written(rows.join(blocks, "sig"), "blocks")
     few, hot = met.where(F.col("many") <= crowded), met.where(F.col("many") > crowded)
-    bound = hot.groupBy("node", "bits", "spare").agg(F.count(F.lit(1)).alias("hot")).where("hot >= spare").select("node", "bits")
-    hot = hot.select("sig", "node", "bits").join(bound, ["node", "bits"], "left_semi").select("sig", "node")
-    again = hot.groupBy("sig").agg(F.count(F.lit(1)).alias("many"), F.min("node").alias("pivot")).where("many > 1")
-    return few.select("pivot", "node").unionByName(hot.join(again, "sig").select("pivot", "node")).distinct()
+    bound = hot.groupBy("node", "scheme", "spare").agg(F.count(F.lit(1)).alias("hot")).where("hot >= spare").select("node", "scheme")
+    return written(few.select("pivot", "node").distinct(), "few"), written(bound, "bound"), hot.select("sig", "node", "scheme")
+
+
+def finer(sets: DataFrame, bound: DataFrame) -> DataFrame:
+    """(node, parts): the smaller parts of the sets named by ``bound``, under its schemes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            found = [parts(s.values.to_numpy().view(np.uint64), True) for s in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), _part_lists(found)], ["node", "parts"])
+
+    mine = sets.select("node", "set").join(bound.select("node").distinct(), "node", "left_semi").mapInArrow(run, f"node long, parts {_PARTS}")
+    return mine.join(bound.groupBy("node").agg(F.collect_list("scheme").alias("schemes")), "node").select(
+        "node", F.filter("parts", lambda p: F.array_contains("schemes", p["scheme"])).alias("parts"))
+
+
+def crowded_regions(sets: DataFrame, bound: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """(pivot, node) for the sets that need crowded blocks, after a cut into smaller parts."""
+    few, still, hot = blocks_of(finer(sets, bound), crowded)
+    hot = hot.join(still, ["node", "scheme"], "left_semi").select("sig", "node")
+    pivots = hot.groupBy("sig").agg(F.count(F.lit(1)).alias("many"), F.min("node").alias("pivot")).where("many > 1")
+    return few.unionByName(hot.join(pivots, "sig").select("pivot", "node")).distinct()
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
@@ -178,7 +217,9 @@ def sets_of(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame
                                               _lists(sets, pa.array(flat))], ["node", "n", "set"])
 
     texts = docs.select("doc_id", F.col(text).alias("_text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("label")))
-    return texts.select("node", "key", "_text").mapInArrow(run, "node long, n long, set array<bigint>").dropDuplicates(["node"])
+    found = written(texts.select("node", "key", "_text").mapInArrow(run, "node long, n long, set array<bigint>"), "shingles")
+    repeated = found.groupBy("node").count().where("count > 1").limit(1).count()
+    return written(found.dropDuplicates(["node"]), "shingles") if repeated else found
 
 
 def _linked(both: Column, a: Column, b: Column) -> Column:
@@ -294,9 +335,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", crowded: int = CROWDED,
         F.min("doc_id").alias("label"), F.first("n").alias("n"), F.first("parts").alias("parts"), F.count(F.lit(1)).alias("copies")).withColumn(
         "node", F.monotonically_increasing_id()), "nodes")
 
-    regions = written(regions_of(nodes.select("node", "parts"), crowded), "members")
-    wanted = nodes.select("node", "label", "key").join(regions.select("node").distinct(), "node", "left_semi")
-    sets = written(sets_of(docs, wanted, text), "shingles")
+    few, bound, _ = blocks_of(nodes.select("node", "parts"), crowded)
+    met = few.select("node").unionByName(bound.select("node")).distinct()
+    wanted = written(nodes.select("node", "label", "key").join(met, "node", "left_semi"), "wanted")
+    sets = sets_of(docs, wanted, text)
+    regions = written(few.unionByName(crowded_regions(sets, bound, crowded)).distinct(), "members")
     star = written(distances(regions.where("node <> pivot"), sets), "stars")
     first = components(star.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
 

@@ -105,7 +105,7 @@ def test_a_family_without_its_centre(spark):
     """Edits of a text that isn't there are mostly unlinked and all as far apart: regions are dealt, and stay exact."""
     rng = random.Random(5)
     base = [f"w{i}" for i in range(120)]
-    rows = [(i, " ".join(edited(rng, base, rng.choice([1, 2, 2, 3])))) for i in range(60)]
+    rows = [(i, " ".join(edited(rng, base, rng.choice([1, 2, 2, 3])))) for i in range(30)]
     assert result(J.near_duplicates(frame(spark, rows), crowded=4, region=8)) == brute(rows)
 
 
@@ -118,7 +118,8 @@ def test_a_large_family_makes_few_rows(spark):
         rows = [(i, " ".join(edited(rng, base, 1))) for i in range(m)]
         found = J.described(frame(spark, rows)).where("n > 0").groupBy("key").agg(J.F.first("parts").alias("parts")).withColumn(
             "node", J.F.monotonically_increasing_id())
-        counts.append(J.regions_of(J.written(found, "t").select("node", "parts")).count())
+        few, bound, _ = J.blocks_of(J.written(found, "t").select("node", "parts"))
+        counts.append(few.count() + bound.count())
     assert counts[1] < 3 * counts[0]
 
 
@@ -141,13 +142,13 @@ def test_linked_sets_share_a_part_that_both_may_use():
             both = len(np.intersect1d(a, b))
             if both * 100 < 90 * (len(a) + len(b) - both) or cut == 0 and len(b) == len(a):
                 continue
-            k = J._bits(min(len(a), len(b)))
-            x, y = ({int(s) for s, bits in zip(*p[:2]) if bits == k} for p in (J.parts(a), J.parts(b)))
-            for p in (x, y):
-                assert len(x & y) >= len(p) - J.reach(min(len(a), len(b)))
-            for p, s in ((J.parts(a), x), (J.parts(b), y)):
-                spare = {int(v) for v, bits in zip(p[2], p[1]) if bits == k}
-                assert len(spare) == 1 and len(x & y) >= spare.pop()
+            k = J.scheme(min(len(a), len(b)))
+            for fine in (False, True):
+                p, q = J.parts(a, fine), J.parts(b, fine)
+                x, y = ({int(s) for s, at in zip(*f[:2]) if at == k} for f in (p, q))
+                for f, own in ((p, x), (q, y)):
+                    spare = {int(v) for v, at in zip(f[2], f[1]) if at == k}
+                    assert len(spare) == 1 and len(x & y) >= max(1, spare.pop(), len(own) - J.reach(min(len(a), len(b))))
 
 
 def test_regions_join_as_all_pairs_do():
