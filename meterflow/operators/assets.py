@@ -79,6 +79,12 @@ def latest_material(log: DataFrame) -> DataFrame:
     return maintenance_summary(log).select("asset_id", "material")
 
 
+def known_by(log: DataFrame, as_of) -> DataFrame:
+    """Log rows up to the as-of date; rows without a date can't be told apart and stay."""
+    day = F.col("last_maintenance_date").cast("date")
+    return log.where(day.isNull() | (day <= _as_of(as_of)))
+
+
 def with_failure_label(dim: DataFrame, log: DataFrame | None = None,
                        rule: Column | None = None) -> DataFrame:
     """failure_event from the maintenance log (0 when absent).
@@ -97,8 +103,8 @@ def with_failure_label(dim: DataFrame, log: DataFrame | None = None,
 
 def asset_failure_features(dim: DataFrame, log: DataFrame | None = None, as_of=None,
                            rule: Column | None = None) -> DataFrame:
-    """Gold ``asset_failure_features`` (6 columns)."""
-    return feature_columns(with_failure_label(dim, log, rule), as_of)
+    """Gold ``asset_failure_features`` (6 columns); the label is of the log up to the as-of date."""
+    return feature_columns(with_failure_label(dim, known_by(log, as_of) if log is not None else None, rule), as_of)
 
 
 def feature_columns(labelled: DataFrame, as_of=None) -> DataFrame:

@@ -22,6 +22,7 @@ from meterflow.functions.measures import DEFAULT_SCALE, exact_ratio, finite, to_
 from meterflow.operators.assets import (
     asset_age_days,
     days_since_maintenance,
+    known_by,
     maintenance_summary,
 )
 
@@ -89,10 +90,16 @@ def asset_feature_snapshot(dim: DataFrame, log: DataFrame, sensors: DataFrame,
     """The documented feature table (all ten columns) at one snapshot date.
 
     dim, the per-asset log summary (one read of the log) and the sensor
-    snapshot all carry one row per asset and are joined on asset_id.
+    snapshot all carry one row per asset and are joined on asset_id. Only log
+    rows up to the date count, and only assets installed by then; a last
+    maintenance that the master knows counts unless it is later than the date.
     """
-    summary = maintenance_summary(log).select("asset_id", "failure_event", "material")
-    return snapshot_of(dim.join(summary, "asset_id", "left"), sensors, snapshot, decimals)
+    snap = F.to_date(F.lit(str(snapshot)))
+    summary = maintenance_summary(known_by(log, snapshot)).select("asset_id", "failure_event", "material", "log_last_maintenance_date")
+    installed, mastered = F.col("install_date").try_cast("date"), F.col("last_maintenance_date").try_cast("date")
+    assets = dim.where(installed.isNull() | (installed <= snap)).join(summary, "asset_id", "left")
+    last = F.greatest(F.when(mastered <= snap, mastered), F.col("log_last_maintenance_date").cast("date"))
+    return snapshot_of(assets.withColumn("last_maintenance_date", last), sensors, snapshot, decimals)
 
 
 def snapshot_of(assets: DataFrame, sensors: DataFrame, snapshot: dt.date | str, decimals: int | None = 6) -> DataFrame:

@@ -8,6 +8,7 @@ and ratios are rounded to 6 decimals; volumes are exact (integer sums).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import wraps
 
@@ -17,6 +18,8 @@ from pyspark.sql.types import DateType
 
 from meterflow.operators import assets as A
 from meterflow.operators import charts as C
+from meterflow.operators import history as H
+from meterflow.operators import repair as P
 from meterflow.operators import conform as K
 from meterflow.operators import lineage as L
 from meterflow.operators import ml as M
@@ -35,6 +38,7 @@ from meterflow.session import scratch_path
 from meterflow.sources import bronze, schemas, tables
 from meterflow.sources import fixtures as fx
 from meterflow.streaming import jobs as ST
+from meterflow.streaming import monitor as SM
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -974,3 +978,148 @@ def q_bronze_sensus_multiline(spark, d):
     lines.write.partitionBy("part").text(path)
     return bronze.read_sensus(spark, path, multiline=True).select(
         "meter_id", "timestamp_utc", F.col("reading_data.flow_kl").alias("flow_kl"))
+
+
+# ------------------------------------------------------- features as they were known
+#: The log runs from 1995 to late 2001, the sensors through January 2024.
+PAST_SNAPSHOT = "1998-06-30"
+SNAPSHOTS = [f"2000-{m:02d}-01" for m in range(3, 13)] + ["2001-10-01", SNAPSHOT]
+HORIZON_DAYS = 90
+
+_EVENTS_SQL = """
+    SELECT 'MTR-' || CAST(l_orderkey AS VARCHAR) AS asset_id, CAST(l_shipdate AS DATE) AS day, l_linestatus AS material,
+           CASE WHEN l_returnflag = 'R' AND l_quantity >= 48 THEN 1 ELSE 0 END AS f FROM lineitem WHERE l_shipdate IS NOT NULL"""
+
+
+def _sensor_sql(snapshots: str) -> str:
+    return f"""
+    SELECT asset_id, snap, {O.exact_ratio_sql("sum(CASE WHEN sensor = 'pressure' AND day > snap - 30 THEN CAST(round(value * 10000) AS BIGINT) END)",
+                                              "count(CASE WHEN sensor = 'pressure' AND day > snap - 30 THEN value END)", 6, -4)} AS avg_pressure_30d,
+           max(CASE WHEN sensor = 'vibration' AND day > snap - 7 THEN value END) AS max_vibration_7d
+    FROM (SELECT *, CAST(reading_ts AS DATE) AS day FROM ({O.SENSORS}) s) r JOIN ({snapshots}) n ON day <= snap AND day > snap - 30 GROUP BY 1, 2"""
+
+
+@register("asset_feature_snapshot_past", f"""
+  WITH n AS (SELECT DATE '{PAST_SNAPSHOT}' AS snap), e AS ({_EVENTS_SQL}),
+  m AS (SELECT asset_id, max(f) AS failure_event, arg_max(material, (day, material)) AS material, max(day) AS last_day
+        FROM e, n WHERE day <= snap GROUP BY 1)
+  SELECT d.asset_id, '{PAST_SNAPSHOT}' AS snapshot_date, d.asset_type, strftime(d.install_date, '%Y-%m-%d') AS install_date, m.material,
+         CAST(snap - d.install_date AS INTEGER) AS asset_age_days, CAST(NULL AS DOUBLE) AS avg_pressure_30d, CAST(NULL AS DOUBLE) AS max_vibration_7d,
+         CAST(snap - m.last_day AS INTEGER) AS days_since_last_maintenance, CAST(coalesce(m.failure_event, 0) AS INTEGER) AS failure_event
+  FROM ({O.DIM_ASSET}) d CROSS JOIN n LEFT JOIN m ON d.asset_id = m.asset_id WHERE d.install_date IS NULL OR d.install_date <= snap""")
+def q_asset_feature_snapshot_past(spark, d):
+    """X5 / P11 at a date inside the log's years: nothing later is used."""
+    return S.asset_feature_snapshot(I.assets(spark, d), I.maintenance_log(spark, d), I.sensors(spark, d), PAST_SNAPSHOT)
+
+
+@register("asset_feature_history", f"""
+  WITH n AS (SELECT CAST(unnest({SNAPSHOTS}) AS DATE) AS snap), e AS ({_EVENTS_SQL}),
+  days AS (SELECT asset_id, day, max(material) AS material, count(*) AS k, sum(f) AS f FROM e GROUP BY 1, 2),
+  c AS (SELECT asset_id, day, material, CAST(sum(k) OVER w AS BIGINT) AS events, CAST(sum(f) OVER w AS BIGINT) AS failures
+        FROM days WINDOW w AS (PARTITION BY asset_id ORDER BY day)),
+  failed AS (SELECT asset_id, day FROM days WHERE f > 0),
+  s AS (SELECT d.*, snap FROM ({O.DIM_ASSET}) d, n WHERE d.install_date IS NULL OR d.install_date <= snap),
+  x AS ({_sensor_sql("SELECT * FROM n")})
+  SELECT s.asset_id, strftime(s.snap, '%Y-%m-%d') AS snapshot_date, s.asset_type, s.manufacturer, c.material,
+         CAST(s.snap - s.install_date AS INTEGER) AS asset_age_days, CAST(s.snap - c.day AS INTEGER) AS days_since_last_maintenance,
+         coalesce(c.events, 0) AS maintenance_events, coalesce(c.failures, 0) AS failures_to_date,
+         CAST(s.snap - before.day AS INTEGER) AS days_since_last_failure,
+         CAST(CASE WHEN next.day <= s.snap + {HORIZON_DAYS} THEN 1
+                   WHEN s.snap + {HORIZON_DAYS} <= (SELECT max(day) FROM e) THEN 0 END AS INTEGER) AS failure_within_horizon,
+         x.avg_pressure_30d, x.max_vibration_7d
+  FROM s ASOF LEFT JOIN c ON s.asset_id = c.asset_id AND s.snap >= c.day
+  ASOF LEFT JOIN failed before ON s.asset_id = before.asset_id AND s.snap >= before.day
+  ASOF LEFT JOIN failed next ON s.asset_id = next.asset_id AND s.snap < next.day
+  LEFT JOIN x ON s.asset_id = x.asset_id AND s.snap = x.snap""")
+def q_asset_feature_history(spark, d):
+    """Twelve snapshots in one pass, the label from the 90 days after each."""
+    return H.feature_history(I.assets(spark, d), I.maintenance_log(spark, d), SNAPSHOTS, HORIZON_DAYS, sensors=I.sensors(spark, d))
+
+
+@register("reading_asset_state", f"""
+  WITH e AS ({_EVENTS_SQL}), days AS (SELECT asset_id, day, max((material, f)) AS v FROM e GROUP BY 1, 2)
+  SELECT 'MTR-' || CAST(o_orderkey AS VARCHAR) AS asset_id, strftime(CAST(o_orderdate AS DATE) + 1000, '%Y-%m-%d') AS inspected,
+         v[1] AS material, CAST(v[2] AS INTEGER) AS failure_event
+  FROM (SELECT *, 'MTR-' || CAST(o_orderkey AS VARCHAR) AS aid, CAST(o_orderdate AS DATE) + 1000 AS at FROM orders) o
+  ASOF LEFT JOIN days ON o.aid = days.asset_id AND o.at >= days.day""")
+def q_reading_asset_state(spark, d):
+    """J1 as an as-of join: each asset's latest log entry at an inspection 1000 days after its installation."""
+    visits = I.assets(spark, d).select("asset_id", F.date_add(F.col("install_date").cast("date"), 1000).alias("inspected"))
+    return H.as_of_join(visits, I.maintenance_log(spark, d), ["asset_id"], "inspected", "last_maintenance_date", ["material", "failure_event"])
+
+
+# ------------------------------------------------------------------ repaired series
+def _repair_sql(readings: str, step: str, epoch: str, max_gap: int, stuck: int, factor: int) -> str:
+    """``epoch``: the whole steps since 1970 of a timestamp r."""
+    num = "prev_u * (h - i) + u * (i - prev_h)"
+    return f"""
+  WITH a AS (SELECT meter_id, {epoch} AS h, CAST(sum({O.UNITS}) AS BIGINT) AS u FROM ({readings}) q WHERE reading_ts IS NOT NULL GROUP BY 1, 2),
+  b AS (SELECT *, lag(h) OVER w AS prev_h, lag(u) OVER w AS prev_u FROM a WINDOW w AS (PARTITION BY meter_id ORDER BY h)),
+  c AS (SELECT *, sum(CASE WHEN prev_h = h - 1 AND prev_u = u THEN 0 ELSE 1 END) OVER (PARTITION BY meter_id ORDER BY h) AS run FROM b),
+  r AS (SELECT *, count(*) OVER (PARTITION BY meter_id, run) AS length FROM c),
+  t AS (SELECT meter_id, h, u, concat_ws(',', CASE WHEN length >= {stuck} AND u > 0 THEN 'stuck' END,
+               CASE WHEN u * {factor} < prev_u THEN 'reset' END, CASE WHEN h - prev_h - 1 > {max_gap} THEN 'after_gap' END) AS reason,
+               coalesce(h - prev_h - 1, 0) AS missing FROM r
+        UNION ALL
+        SELECT meter_id, i, CAST((2 * ({num}) + (h - prev_h)) // (2 * (h - prev_h)) AS BIGINT), 'filled', 0
+        FROM (SELECT *, unnest(generate_series(prev_h + 1, h - 1)) AS i FROM b WHERE h - prev_h - 1 BETWEEN 1 AND {max_gap}) f)
+  SELECT meter_id, strftime(TIMESTAMP '1970-01-01' + CAST(h AS INTEGER) * INTERVAL 1 {step}, '%Y-%m-%d %H:%M:%S') AS step_ts,
+         CAST(u AS DOUBLE) / 10000 AS consumption_kl, reason, CAST(missing AS BIGINT) AS missing_before FROM t"""
+
+
+@register("readings_repaired", _repair_sql(O.R_EVENTS, "HOUR", "CAST(epoch(date_trunc('hour', reading_ts)) AS BIGINT) // 3600", 24, 3, 10))
+def q_readings_repaired(spark, d):
+    """Hourly series of every meter, missing hours interpolated, stuck and reset registers marked."""
+    r = P.repaired(I.event_readings(spark, d), "hour", max_gap=24, stuck_steps=3, reset_factor=10)
+    return r.withColumn("step_ts", F.date_format("step_ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("readings_repaired_daily", _repair_sql(O.R_LINEITEM, "DAY", "datediff('day', DATE '1970-01-01', CAST(reading_ts AS DATE))", 30, 2, 10))
+def q_readings_repaired_daily(spark, d):
+    """The same by day over seven years of readings, where runs of equal values occur."""
+    r = P.repaired(I.lineitem_readings(spark, d), "day", max_gap=30, stuck_steps=2, reset_factor=10)
+    return r.withColumn("step_ts", F.date_format("step_ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+# ------------------------------------------------------- stream: open days, late rows
+LATE_SPLIT = "2024-01-20 00:00:00"
+#: Landed first: nine tenths of what happened before the split; then all the rest, old readings among it.
+_FIRST = f"(event_id % 10 <> 0 AND ts < TIMESTAMP '{LATE_SPLIT}')"
+_MONITORED = f"""
+  SELECT r.meter_id, r.reading_ts, r.consumption_kl,
+         CASE WHEN r.event_id % 97 = 0 THEN 'untimed'
+              WHEN NOT {_FIRST.replace('event_id', 'r.event_id').replace('ts <', 'r.reading_ts <')}
+                   AND date_trunc('day', r.reading_ts) + INTERVAL 1 DAY <= (
+                     SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE {_FIRST} AND event_id % 97 <> 0) THEN 'late' ELSE 'accepted' END AS status
+  FROM (SELECT event_id, CASE WHEN coalesce(event_type IN ('click','view','purchase'), false) THEN 'SEN-' ELSE 'ITR-' END
+               || CAST(user_id AS VARCHAR) AS meter_id, ts AS reading_ts, value AS consumption_kl FROM events) r"""
+
+
+def _monitored(spark, d) -> str:
+    """Both feeds landed in two deliveries, with the monitor stopped and started again between them."""
+    ev = _events(spark, d)
+    first = F.coalesce(F.expr(_FIRST.replace("TIMESTAMP '", "TIMESTAMP_NTZ '")), F.lit(False))
+    bad = F.pmod("event_id", F.lit(97)) == 0
+    land, out, ckpt = (scratch_path(spark, f"monitor-{n}") for n in ("land", "out", "ckpt"))
+    for i, part in enumerate((ev.where(first), ev.where(~first))):
+        for name, feed, at in (("sensus", fx.sensus_from_events, "timestamp_utc"), ("itron", fx.itron_from_events, "read_datetime")):
+            rows = feed(part.where(~bad)).unionByName(feed(part.where(bad)).withColumn(at, F.lit("no time")))
+            fx.land_json(rows, f"{land}/{name}/{i}")
+        SM.start_monitor(spark, f"{land}/sensus/*", f"{land}/itron/*", out, ckpt, I.billing_rule(), dt.timedelta(hours=1)).awaitTermination()
+    return out
+
+
+@register("stream_current_days", f"""
+  SELECT s.*, CAST(CAST(report_date AS DATE) + 1 AS TIMESTAMP) <= (
+           SELECT max(reading_ts) - INTERVAL 1 HOUR FROM ({_MONITORED}) m WHERE status <> 'untimed') AS closed
+  FROM ({O.summary_sql(f"SELECT * FROM ({_MONITORED}) a WHERE status = 'accepted'")}) s""")
+def q_stream_current_days(spark, d):
+    """Open and closed days as of the last batch, after a restart."""
+    return SM.current_days(spark, _monitored(spark, d), decimals=6)
+
+
+@register("stream_row_counts", f"""
+  SELECT status, count(*) AS readings FROM ({_MONITORED}) m GROUP BY 1""")
+def q_stream_row_counts(spark, d):
+    """Accepted, late and untimed rows; together they are the input."""
+    return SM.row_counts(spark, _monitored(spark, d))

@@ -1,0 +1,117 @@
+"""Point-in-time features against a loop over the log."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from meterflow.operators.history import as_of_join, feature_history, sensor_history
+from meterflow.operators.sensors import asset_feature_snapshot, sensor_snapshot
+from meterflow.plans import inputs as I
+from tests.conftest import SF_SMALL
+
+D = dt.date
+DIM = "asset_id string, asset_type string, manufacturer string, install_date string, last_maintenance_date string"
+LOG = "asset_id string, material string, last_maintenance_date date, failure_event int"
+SENSORS = "asset_id string, reading_ts timestamp_ntz, sensor string, value double"
+
+
+def _data(seed=3, assets=12, days=400):
+    rng = random.Random(seed)
+    start = D(2020, 1, 1)
+    dim = [(f"A{i}", "Pump", "M", None if i == 0 else str(start + dt.timedelta(rng.randrange(days))), None) for i in range(assets)]
+    log = [(f"A{rng.randrange(assets - 1)}", rng.choice("xyz"), start + dt.timedelta(rng.randrange(days)), int(rng.random() < 0.15)) for _ in range(300)]
+    log += [("A3", "x", start + dt.timedelta(i % 60), 0) for i in range(500)] + [("A1", "y", None, 1), ("gone", "x", start, 1), (None, "x", start, 1)]
+    return dim, log
+
+
+def _brute(dim, log, snapshots, horizon):
+    log = [r for r in log if r[2]]
+    until, out = max(r[2] for r in log), []
+    for asset, kind, maker, installed, _ in dim:
+        mine = sorted((d, m, f) for a, m, d, f in log if a == asset)
+        for s in snapshots:
+            if installed and D.fromisoformat(installed) > s:
+                continue
+            past, later = [r for r in mine if r[0] <= s], [r for r in mine if r[0] > s and r[2]]
+            failed, end = [r for r in past if r[2]], s + dt.timedelta(horizon)
+            out.append((asset, s, kind, maker, past[-1][1] if past else None, (s - D.fromisoformat(installed)).days if installed else None,
+                        (s - past[-1][0]).days if past else None, len(past), len(failed), (s - failed[-1][0]).days if failed else None,
+                        1 if later and later[0][0] <= end else 0 if end <= until else None))
+    return sorted(out, key=str)
+
+
+def test_features_and_labels_match_a_loop(spark):
+    dim, log = _data()
+    snapshots = [D(2020, 1, 1), D(2020, 2, 20), D(2020, 6, 30), D(2020, 12, 1), D(2021, 1, 20), D(2021, 6, 1)]
+    df = feature_history(spark.createDataFrame(dim, DIM), spark.createDataFrame(log, LOG), [str(s) for s in snapshots] + ["2020-06-30"], 45)
+    got = sorted((tuple(r) for r in df.collect()), key=str)
+    assert got == _brute(dim, log, snapshots, 45)
+    assert {r[10] for r in got} == {0, 1, None}
+
+
+def test_later_rows_change_no_feature(spark):
+    """Features at a date are the same with and without the log's and the sensors' future."""
+    dim, log = _data()
+    cut = D(2020, 7, 1)
+    sensors = [(f"A{i % 5}", dt.datetime(2020, 6, 1) + dt.timedelta(hours=7 * i), ("pressure", "vibration")[i % 2], float(i % 17)) for i in range(200)]
+    known = [r for r in log if r[2] and r[2] <= cut], [r for r in sensors if r[1].date() <= cut]
+    whole, past = ([tuple(r) for r in sorted(feature_history(
+        spark.createDataFrame(dim, DIM), spark.createDataFrame(ev, LOG), [cut], observed_until="2030-01-01",
+        sensors=spark.createDataFrame(sn, SENSORS)).drop("failure_within_horizon").collect(), key=str)] for ev, sn in ((log, sensors), known))
+    assert whole == past and any(r[-2] is not None for r in past)
+    a, b = (sorted(map(str, asset_feature_snapshot(spark.createDataFrame(dim, DIM), spark.createDataFrame([r for r in ev if r[2]], LOG),
+                                                   spark.createDataFrame(sn, SENSORS), cut).collect())) for ev, sn in ((log, sensors), known))
+    assert a == b
+
+
+def test_snapshot_takes_no_maintenance_from_after_its_date(spark):
+    dim = spark.createDataFrame([("A", "Pump", "M", "2020-01-01", "2024-06-01"), ("B", "Pump", "M", "2023-01-01", None)], DIM)
+    log = spark.createDataFrame([("A", "old", D(2021, 1, 1), 0), ("A", "new", D(2024, 6, 1), 1)], LOG)
+    r, = asset_feature_snapshot(dim, log, spark.createDataFrame([], SENSORS), "2022-01-01").collect()
+    assert (r.asset_id, r.material, r.failure_event, r.days_since_last_maintenance) == ("A", "old", 0, 365)
+
+
+def test_sensor_history_is_every_snapshot(spark):
+    s, dates = I.sensors(spark, SF_SMALL), ["2024-01-05", "2024-01-20", "2024-02-10", "2023-12-31"]
+    got = sorted((r.asset_id, str(r.snapshot_date), r.avg_pressure_30d, r.max_vibration_7d) for r in sensor_history(s, dates).collect())
+    want = sorted((r.asset_id, d, r.avg_pressure_30d, r.max_vibration_7d) for d in dates for r in sensor_snapshot(s, d).collect())
+    assert str(got) == str(want)
+
+
+def test_as_of_join_matches_a_loop(spark):
+    rng = random.Random(1)
+    left = [(rng.choice(["a", "b", "c", None]), rng.choice([None, *range(20)]), i) for i in range(120)]
+    right = [(rng.choice(["a", "b", None]), rng.choice([None, *range(20)]), rng.choice([None, 1, 2, 3]), "v") for _ in range(60)]
+    df = as_of_join(spark.createDataFrame(left, "k string, at int, i int"), spark.createDataFrame(right, "k string, t int, x int, y string"), ["k"], "at", "t", ["x", "y"])
+
+    def latest(k, at):
+        seen = [(t, x is not None, x or 0, x, y) for kk, t, x, y in right if None not in (k, at, kk, t) and kk == k and t <= at]
+        return max(seen)[3:] if seen else (None, None)
+
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(((k, at, i, *latest(k, at)) for k, at, i in left), key=str)
+    with pytest.raises(ValueError):
+        as_of_join(df, df, ["k"], "at", "at", ["x"])
+
+
+def test_one_shuffle_of_each_side_and_no_pairing_of_rows(spark):
+    dim, log = _data()
+    plan = feature_history(spark.createDataFrame(dim, DIM), spark.createDataFrame(log, LOG), ["2020-05-01", "2020-06-01"], observed_until="2021-01-01")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in text and "Cartesian" not in text and "partial_count" in text
+    # The reduced log by its grouping, then both by asset: the window's order reversed needs no further shuffle.
+    assert text.count("Exchange hashpartitioning") <= 3
+    joined = as_of_join(spark.createDataFrame(dim, DIM).withColumn("at", F.lit("2020-05-01").cast("date")).drop("last_maintenance_date"), spark.createDataFrame(log, LOG),
+                        ["asset_id"], "at", "last_maintenance_date", ["material"])
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_empty_inputs(spark):
+    dim, log = spark.createDataFrame([], DIM), spark.createDataFrame([], LOG)
+    assert feature_history(dim, log, ["2020-01-01"]).collect() == []
+    one = spark.createDataFrame([("A", "Pump", "M", "2019-01-01", None)], DIM)
+    r, = feature_history(one, log, ["2020-01-01"]).collect()
+    assert (r.maintenance_events, r.material, r.failure_within_horizon) == (0, None, None)
+    with pytest.raises(ValueError):
+        feature_history(one, log, [])
