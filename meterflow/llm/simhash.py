@@ -9,16 +9,19 @@ all that links reach. The search works on distinct fingerprints only:
   table of each segment with every value within one bit meets every pair.
   Of two segments one bit apart only the one with the 0 there probes.
 * Whole distances are verified on what the tables return.
-* A table row that holds more than ``HOT`` fingerprints (a large family of
-  near copies) would return their square. There, fingerprints and probes are
-  dealt out by the points near their other segment instead: members to the
+* A large family of near copies would return the square of its size, so stars
+  come first: what meets at a point is compared with one member there. A
+  family falls into few groups that way, and points at which all belong to one
+  group are dropped before any pair is formed.
+* A point that then still holds more than ``HOT`` fingerprints deals them and
+  the probes out by the points near their other segment: members to the
   points within two bits, probes to those within one. All that meet at a point
   with a member within one bit of it are within 3 bits of that member, and any
   two linked ones meet at such a point, so a star around one such member
-  keeps the connections whole. The work per fingerprint is bounded either way.
+  keeps the connections whole.
 
-Groups are then found by spreading the least label along links and labels,
-settled in the shared checkpoint folder after each round.
+Groups are found by spreading the least label along links and labels, settled
+in the shared checkpoint folder after each round.
 
 Defined cases: a null or empty text has no words and fingerprint zero, linked
 like any other; fewer words than a shingle make one shingle; repeated rows
@@ -38,7 +41,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterflow.llm.common import release, settled, slices
+from meterflow.llm.common import release, slices, written
+from meterflow.llm.components import components
 
 SHINGLE_WORDS, SEED, MAX_BITS = 3, 42, 3
 
@@ -70,16 +74,16 @@ def fingerprint_of(text: bytes | None, shingle: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and ``fp`` (the 64 bits as a signed long) of every row, in place: no shuffle."""
+    """doc_id, ``fp`` (the 64 bits as a signed long) and a hash ``h`` of the text, of every row in place: no shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for b in slices(batches):
             fp = np.array([fingerprint_of(x, shingle) for x in b.column(1).cast(pa.binary()).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), b.column(2)], ["doc_id", "fp", "h"])
 
     kind = docs.schema["doc_id"].dataType
-    return docs.select("doc_id", text).mapInArrow(
-        run, T.StructType([T.StructField("doc_id", kind), T.StructField("fp", T.LongType())]))
+    return docs.select("doc_id", text, F.xxhash64(text).alias("_h")).mapInArrow(
+        run, T.StructType([T.StructField("doc_id", kind), T.StructField("fp", T.LongType()), T.StructField("h", T.LongType())]))
 
 
 def _bits_apart(a: Column, b: Column) -> Column:
@@ -103,25 +107,63 @@ def _raised(val: Column) -> Column:
 
 
 def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
-    """(a, b): links between distinct fingerprints that connect all that are within MAX_BITS.
+    """(a, b): links between distinct fingerprints that connect all that are within MAX_BITS, a few a fingerprint.
 
-    Every link returned is within MAX_BITS. Below ``hot`` all links are
-    returned; above it, stars that connect the same fingerprints.
+    Every link returned is within MAX_BITS. What is connected already is
+    dropped before anything is joined: first stars under equal segment values,
+    then stars at the points where different groups still meet (a segment value
+    and the probes that hit it), as long as they find something, and last all
+    pairs at the points that are left, one link kept for every two groups.
     """
     seg = _segments(fps)
-    probes = seg.select("seg", F.explode(_raised(F.col("val"))).alias("val"), F.col("fp").alias("other"),
-                        F.col("rest").alias("other_rest"))
-    keys = settled(seg.groupBy("seg", "val").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("seg", "val"))
-    crowded = keys.limit(1).count() > 0
-    few = seg.join(keys, ["seg", "val"], "left_anti") if crowded else seg
-    found = few.join(probes, ["seg", "val"]).where(_bits_apart(F.col("fp"), F.col("other")) <= MAX_BITS).select("fp", "other")
-    found = found.unionByName(few.join(
-        few.select("seg", "val", F.col("fp").alias("other")), ["seg", "val"]).where(
-        (F.col("fp") < F.col("other")) & (_bits_apart(F.col("fp"), F.col("other")) <= MAX_BITS)).select("fp", "other"))
-    if crowded:
-        found = found.unionByName(_stars(seg.join(keys, ["seg", "val"]), probes.join(keys, ["seg", "val"]).select(
-            "seg", "val", F.col("other_rest").alias("rest"), F.col("other").alias("fp"))))
-    return found.select(F.least("fp", "other").alias("a"), F.greatest("fp", "other").alias("b")).distinct()
+    centers = seg.groupBy("seg", "val").agg(F.min("fp").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    found = written(seg.select("seg", "val", F.col("fp").alias("a")).join(centers, ["seg", "val"]).where(
+        (F.col("a") != F.col("b")) & (_bits_apart(F.col("a"), F.col("b")) <= MAX_BITS)).select("a", "b").distinct(), "stars")
+    state = _rooted(fps.select("fp", F.col("fp").alias("root")), found)
+    met = seg.select("fp", "seg", F.col("val").alias("point"), "rest", F.lit(True).alias("member")).unionByName(
+        seg.select("fp", "seg", F.explode(_raised(F.col("val"))).alias("point"), "rest", F.lit(False).alias("member")))
+    live = _live(met, state)
+    while True:
+        centers = live.where("member").groupBy("seg", "point").agg(F.min(F.struct("root", "fp")).alias("c"))
+        star = live.join(centers, ["seg", "point"]).select(F.col("fp").alias("a"), F.col("c.fp").alias("b"), "root", F.col("c.root").alias("_root"))
+        more = _one_a_pair(star)
+        if not more.limit(1).count():
+            break
+        found = found.unionByName(more.select("a", "b"))
+        live = _live(live.drop("root"), _rooted(live.select("fp", "root").distinct(), more.select(F.col("root").alias("a"), F.col("_root").alias("b")), "root"))
+    sizes = live.groupBy("seg", "point").agg(F.count(F.lit(1)).alias("n"))
+    sized = live.join(sizes, ["seg", "point"])
+    few, many = sized.where(F.col("n") <= hot), sized.where(F.col("n") > hot)
+    pairs = few.where("member").select("seg", "point", F.col("fp").alias("a"), "root").join(
+        few.select("seg", "point", F.col("fp").alias("b"), F.col("root").alias("_root")), ["seg", "point"])
+    found = found.unionByName(_one_a_pair(pairs.select("a", "b", "root", "_root")).select("a", "b"))
+    if many.limit(1).count():
+        rows = many.withColumnRenamed("point", "val").select("seg", "val", "rest", "fp", "member")
+        roots = live.select("fp", "root").distinct()
+        stars = _stars(rows.where("member").drop("member"), rows.where("not member").drop("member")).select(F.col("fp").alias("a"), F.col("other").alias("b"))
+        stars = stars.join(roots.withColumnsRenamed({"fp": "a"}), "a").join(roots.withColumnsRenamed({"fp": "b", "root": "_root"}), "b")
+        found = found.unionByName(_one_a_pair(stars).select("a", "b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _rooted(state: DataFrame, edges: DataFrame, node: str = "fp") -> DataFrame:
+    """``state`` (fp, root) with the roots that ``edges`` between its ``node`` values lead to."""
+    to = components(edges).select(F.col("node").alias(node), F.col("root").alias("_to"))
+    return written(state.join(to, node, "left").select("fp", F.coalesce("_to", "root").alias("root")), "roots")
+
+
+def _live(met: DataFrame, state: DataFrame) -> DataFrame:
+    """What meets at points that a member and several groups share: (fp, seg, point, rest, member, root)."""
+    rows = met.join(state, "fp")
+    open_ = rows.groupBy("seg", "point").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("member").alias("held")).where(
+        "held and lo <> hi").select("seg", "point")
+    return written(rows.join(open_, ["seg", "point"], "left_semi").select("fp", "seg", "point", "rest", "member", "root"), "live")
+
+
+def _one_a_pair(pairs: DataFrame) -> DataFrame:
+    """One link (a, b) within MAX_BITS for every two groups (root, _root) that have some."""
+    near = (F.col("root") != F.col("_root")) & (_bits_apart(F.col("a"), F.col("b")) <= MAX_BITS)
+    return written(pairs.where(near).groupBy("root", "_root").agg(F.min(F.struct("a", "b")).alias("l")).select("l.a", "l.b", "root", "_root"), "pairs")
 
 
 def _stars(many: DataFrame, strangers: DataFrame) -> DataFrame:
@@ -144,45 +186,34 @@ def _stars(many: DataFrame, strangers: DataFrame) -> DataFrame:
 
 
 def grouped(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(fp, component): the least ``label`` that links reach, for nodes (fp, label) and edges (a, b).
+    """(fp, root, component): a group's least fingerprint and least ``label``, for nodes (fp, label) and edges (a, b)."""
+    roots = components(edges).select(F.col("node").alias("fp"), "root")
+    state = nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return state.join(state.groupBy("root").agg(F.min("label").alias("component")), "root").select("fp", "root", "component")
 
-    Each round gives every node the least label among itself, its neighbours
-    and the node that its label names (which skips along settled paths).
-    Rounds end when none changes.
-    """
-    both = settled(edges.select(F.col("a").alias("fp"), F.col("b").alias("to")).unionByName(
-        edges.select(F.col("b").alias("fp"), F.col("a").alias("to"))))
-    linked = both.select("fp").distinct()
-    alone = nodes.join(linked, "fp", "left_anti")
-    state = settled(nodes.join(linked, "fp", "left_semi").select("fp", F.col("fp").alias("root")))
-    while True:
-        offers = both.join(state.select(F.col("fp").alias("to"), "root"), "to").select("fp", "root")
-        best = state.unionByName(offers).groupBy("fp").agg(F.min("root").alias("root"))
-        step = best.alias("x").join(state.select(F.col("fp").alias("root"), F.col("root").alias("beyond")), "root").select(
-            "fp", F.least("root", "beyond").alias("root"))
-        new = settled(step.join(state.select("fp", F.col("root").alias("was")), "fp"))
-        changed = new.where("root <> was").limit(1).count()
-        state = new.select("fp", "root")
-        if not changed:
-            break
-    least = state.join(nodes, "fp")
-    by_root = least.groupBy("root").agg(F.min("label").alias("component"))
-    return least.join(by_root, "root").select("fp", "component").unionByName(
-        alone.select("fp", F.col("label").alias("component")))
+
+def _marked(docs: DataFrame, text: str, shingle: int, hot: int) -> DataFrame:
+    """doc_id, fp, root, component and the text's hash ``h`` of every row."""
+    fp = written(fingerprints(docs, text, shingle), "fingerprints")
+    nodes = written(fp.groupBy("fp").agg(F.min("doc_id").alias("label")), "nodes")
+    return fp.join(grouped(nodes, links(nodes.select("fp"), hot)), "fp")
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE_WORDS, hot: int = HOT) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id for every row."""
-    fp = settled(fingerprints(docs, text, shingle))
-    nodes = settled(fp.groupBy("fp").agg(F.min("doc_id").alias("label")))
-    groups = grouped(nodes, links(nodes.select("fp"), hot))
-    return fp.join(groups, "fp").select(
+    return _marked(docs, text, shingle, hot).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def deduplicated(docs: DataFrame, **how) -> DataFrame:
-    """One row of each group: a row of its least doc_id. Rows without an id have no name to go by and all stay."""
+def deduplicated(docs: DataFrame, text: str = "text", shingle: int = SHINGLE_WORDS, hot: int = HOT) -> DataFrame:
+    """One row of each group: one of its least doc_id.
+
+    An id may name several texts: each is kept or dropped with its own group
+    (of a group's texts under its least id, the one with the least hash stays;
+    rows that repeat an id and a text are one). Rows without an id have no name
+    to go by and all stay.
+    """
     named = docs.where("doc_id is not null")
-    least = near_duplicates(named, **how).where("doc_id = component_id").select("doc_id").distinct()
-    return named.join(least, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(
-        docs.where("doc_id is null"))
+    first = _marked(named, text, shingle, hot).where("doc_id = component").groupBy("root", "doc_id").agg(F.min("h").alias("_h")).drop("root")
+    return named.withColumn("_h", F.xxhash64(text)).join(first, ["doc_id", "_h"], "left_semi").dropDuplicates(["doc_id", "_h"]).select(
+        *docs.columns).unionByName(docs.where("doc_id is null"))

@@ -88,3 +88,27 @@ def test_query_on_documents(spark):
         least.setdefault(group[x], i)
     got = {r.doc_id: (r.fingerprint, r.component_id) for r in QUERIES["op4_simhash"](spark, d).collect()}
     assert got == {i: (format(x, "016x"), least[group[x]]) for i, x in fp.items()}
+
+
+def test_one_large_family_makes_few_links_and_rows(spark):
+    """Links and the rows of every join stay a small multiple of the fingerprints."""
+    rnd = random.Random(3)
+    center = rnd.getrandbits(63)
+    fps = {center}
+    while len(fps) < 1000:
+        x = center
+        for b in rnd.sample(range(63), rnd.randint(1, 3)):
+            x ^= 1 << b
+        fps.add(x)
+    nodes = spark.createDataFrame([(x, i) for i, x in enumerate(fps)], "fp long, label long")
+    edges = S.written(S.links(nodes.select("fp")), "t")
+    assert edges.count() < 3 * len(fps)
+    assert {r.component for r in S.grouped(nodes, edges).collect()} == {0}
+
+
+def test_an_id_that_names_several_texts_loses_none(spark):
+    texts = ["one text about the river and its banks today", "quite another matter of bread and salt at home", "a third thing with no words like those"]
+    rows = [(5, texts[0]), (5, texts[1]), (7, texts[1]), (9, texts[2]), (9, texts[2]), (None, texts[2]), (11, texts[0])]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, h string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in S.deduplicated(docs).collect()), key=str)
+    assert got == sorted([(5, texts[0]), (5, texts[1]), (9, texts[2]), (None, texts[2])], key=str)
