@@ -33,6 +33,7 @@ from meterflow.plans import inputs as I
 from meterflow.plans import oracle_sql as O
 from meterflow.plans import reports as R
 from meterflow.plans.gold import run_silver_to_gold
+from meterflow.plans.refresh import refresh_new_files
 from meterflow.plans.silver import BronzePaths, run_bronze_to_silver
 from meterflow.session import scratch_path
 from meterflow.sources import bronze, schemas, tables
@@ -1123,3 +1124,46 @@ def q_stream_current_days(spark, d):
 def q_stream_row_counts(spark, d):
     """Accepted, late and untimed rows; together they are the input."""
     return SM.row_counts(spark, _monitored(spark, d))
+
+
+# ----------------------------------------------- refresh by new files, repeated deliveries
+def _land_part(ev, land, name):
+    fx.land_json(fx.sensus_from_events(ev), f"{land}/sensus/{name}")
+    fx.land_json(fx.itron_from_events(ev), f"{land}/itron/{name}")
+
+
+@register("refresh_new_files", f"SELECT * FROM ({O.S_EVENTS}) s")
+def q_refresh_new_files(spark, d):
+    """Three deliveries, the last one late for old days; each refresh finds its own days, and all equal a full rebuild."""
+    ev, land = _events(spark, d), scratch_path(spark, "files-land")
+    silver, gold, manifest = (scratch_path(spark, f"files-{n}") for n in ("silver", "gold", "manifest"))
+    old, fifth = F.col("ts") < F.expr("timestamp_ntz '2024-01-15 00:00:00'"), F.pmod("event_id", F.lit(5)) == 0
+    for i, part in enumerate((ev.where(old & ~fifth), ev.where(~old | F.col("ts").isNull()), ev.where(old & fifth))):
+        _land_part(part, land, i)
+        refresh_new_files(spark, {"sensus": f"{land}/sensus", "itron": f"{land}/itron"}, silver, gold, manifest, I.billing_rule(), decimals=6)
+    return spark.read.parquet(gold).withColumn("report_date", F.col("report_date").cast("date")).select(*N.SUMMARY_COLUMNS)
+
+
+_ONCE_SQL = f"SELECT DISTINCT * FROM ({ORACLES['fct_meter_readings']}) f"
+
+
+def _delivered_twice(spark, d, start):
+    """Both feeds landed and conformed, then landed again in full with the stream restarted."""
+    land, out, ckpt = (scratch_path(spark, f"twice-{n}") for n in ("land", "out", "ckpt"))
+    for i in range(2):
+        _land_part(_events(spark, d), land, i)
+        start(f"{land}/sensus/*", f"{land}/itron/*", out, ckpt).awaitTermination()
+    r = spark.read.schema(schemas.SILVER_READINGS_BY_DATE).parquet(out)
+    return r.select("meter_id", "reading_timestamp", ts_text("reading_ts").alias("reading_ts"), "consumption_kl")
+
+
+@register("stream_conform_redelivered", _ONCE_SQL)
+def q_stream_conform_redelivered(spark, d):
+    """The same deliveries landed twice change nothing, by state within a watermark."""
+    return _delivered_twice(spark, d, lambda s, i, out, ckpt: ST.start_conform(spark, s, i, out, ckpt, once="40 days"))
+
+
+@register("append_new_readings", _ONCE_SQL)
+def q_append_new_readings(spark, d):
+    """The same by an insert-only anti-join against the days of the silver fact that a delivery touches."""
+    return _delivered_twice(spark, d, lambda s, i, out, ckpt: ST.start_conform_once(spark, s, i, out, ckpt))
