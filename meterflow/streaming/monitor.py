@@ -75,7 +75,7 @@ def add_batch(batch: DataFrame, batch_id: int, out_dir: str, delay: dt.timedelta
     rule = billing_rule if billing_rule is not None else billed_by_hash("meter_id", "reading_ts")
     mark = watermark(spark, out, delay, batch_id)
     day = F.to_date("reading_ts")
-    closed = F.lit(False) if mark is None else F.date_add(day, 1).cast("timestamp_ntz") <= F.lit(mark).cast("timestamp_ntz")
+    closed = F.lit(False) if mark is None else F.date_add(day, 1).cast("timestamp_ntz") <= F.lit(str(mark)).cast("timestamp_ntz")
     status = F.when(F.col("reading_ts").isNull(), "untimed").when(closed, "late").otherwise("accepted")
     rows = batch.withColumn("status", status)
     rows.groupBy("status", day.alias("report_date"), district_of(F.col("meter_id")).alias("district")).agg(
@@ -104,7 +104,7 @@ def current_days(spark: SparkSession, out_dir: str, delay: dt.timedelta = dt.tim
     """The daily summary of all accepted rows so far, open days included; ``closed`` days take no more rows."""
     mark = watermark(spark, out_dir, delay)
     s, b = F.col("supplied_u"), F.col("billed_u")
-    closed = F.lit(False) if mark is None else F.date_add("report_date", 1).cast("timestamp_ntz") <= F.lit(mark).cast("timestamp_ntz")
+    closed = F.lit(False) if mark is None else F.date_add("report_date", 1).cast("timestamp_ntz") <= F.lit(str(mark)).cast("timestamp_ntz")
     return state(spark, out_dir).where("status = 'accepted'").select(
         "report_date", "district", units_to_volume(s, scale).alias("total_supplied_kl"), units_to_volume(b, scale).alias("total_billed_kl"),
         units_to_volume(s - b, scale).alias("nrw_kl"),
