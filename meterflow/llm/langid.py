@@ -6,8 +6,8 @@ the products of their probabilities (forward algorithm); a text is its words
 in turn. Piece probabilities are fitted by expectation-maximisation (forward
 and backward) on a bounded sample of labelled texts.
 
-Words are runs of letters, lower-cased, with a leading mark; runs of more than
-``LONGEST`` letters are cut there.
+Words are whole runs of letters, lower-cased, with a leading mark. All letter
+pieces of the vocabulary take part, and runs of any length are summed whole.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0;
 rows without a language or an id are not learned from; with nothing to learn
@@ -17,6 +17,7 @@ the first language by name; texts of any length are scored whole.
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 from collections.abc import Iterator
@@ -37,10 +38,10 @@ UNKNOWN = "und"
 #: Texts a language is learned from (whole texts, picked by a hash of the id).
 SAMPLE_TEXTS = 200
 
-ROUNDS, LONGEST = 3, 40
+ROUNDS = 3
 
-#: Longer pieces are left out: they are whole words, whose parts say as much.
-LONGEST_PIECE = 7
+#: Letters, and words, whose forward sums are computed together.
+CELLS, TOGETHER = 1 << 18, 1 << 13
 
 #: A document whose language is less certain than this is not accepted.
 LEAST_SCORE = 0.5
@@ -62,58 +63,115 @@ def pieces_of_vocabulary(path: str) -> list[str]:
     """The vocabulary's pieces of letters, with or without the leading mark, in lower case."""
     sp = sentencepiece.SentencePieceProcessor(model_file=path)
     found = {sp.id_to_piece(i).lower() for i in range(sp.vocab_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))}
-    return sorted(p for p in found if len(p) <= LONGEST_PIECE and (p.removeprefix(MARK).isalpha() or p == MARK))
-
-
-def runs(word: str) -> list[str]:
-    """A letter run in lower case with its mark, cut every LONGEST letters."""
-    word = word.lower()
-    return [MARK + word[:LONGEST], *[word[i:i + LONGEST] for i in range(LONGEST, len(word), LONGEST)]]
+    return sorted(p for p in found if p.removeprefix(MARK).isalpha() or p == MARK)
 
 
 class Forward:
-    """The forward algorithm over many words and all languages at once."""
+    """The forward algorithm over many words and all languages at once.
+
+    The pieces are a trie that all words walk down together from each of their
+    places, letter by letter; those that no piece goes on for drop out.
+    """
 
     def __init__(self, table: dict[str, list[float]], longest: int, languages: int):
         # Row 0: no piece; row 1: a letter that is no piece.
-        self.longest, self.index = longest, {p: i + 2 for i, p in enumerate(table)}
+        self.longest = longest
         self.rows = np.array([[0.0] * languages, [UNSEEN] * languages, *table.values()]).reshape(len(table) + 2, languages)
+        self.letters = np.array(sorted({ord(c) for p in table for c in p}) or [0x10FFFF + 1], np.uint32)
+        code = {chr(c): i + 1 for i, c in enumerate(self.letters) if c <= 0x10FFFF}
+        self.width = len(self.letters) + 1
+        # Nodes are the heads of pieces; 0 is the root, and "none" below it.
+        node = {h: i for i, h in enumerate(sorted({"", *[p[:k] for p in table for k in range(1, len(p) + 1)]}))}
+        steps = sorted((node[h[:-1]] * self.width + code[h[-1]], i) for h, i in node.items() if h)
+        self.steps = np.array([k for k, _ in steps] or [-1], np.int64)
+        self.to = np.array([i for _, i in steps] or [0], np.int64)
+        self.row = np.zeros(len(node), np.int64)
+        for i, p in enumerate(table):
+            self.row[node[p]] = i + 2
+
+    def down(self, nodes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The nodes one letter further, 0 where there is none."""
+        key = nodes * self.width + codes
+        at = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
+        return np.where(self.steps[at] == key, self.to[at], 0)
 
     def logs(self, words: list[str]) -> np.ndarray:
         """For each word, the logarithm of the summed probability of all its cuts, one a language."""
-        out, by_length, get = np.empty((len(words), self.rows.shape[1])), {}, self.index.get
-        for k, w in enumerate(words):
-            by_length.setdefault(len(w), []).append(k)
-        for n, where in by_length.items():
-            spans = [(i, j) for j in range(1, n + 1) for i in range(max(0, j - self.longest), j)]
-            for at in range(0, len(where), 4096):
-                part = where[at:at + 4096]
-                found = np.array([get(words[k][i:j], j - i == 1) for k in part for i, j in spans], np.int32).reshape(len(part), -1)
-                alpha = np.zeros((n + 1, len(part), self.rows.shape[1]))
-                alpha[0] = 1
-                for s, (i, j) in enumerate(spans):
-                    alpha[j] += alpha[i] * self.rows[found[:, s]]
-                out[part] = np.log(alpha[n])
+        out = np.empty((len(words), self.rows.shape[1]))
+        order, at = sorted(range(len(words)), key=lambda k: len(words[k])), 0
+        while at < len(order):
+            to = at + 1
+            while to < len(order) and to - at < TOGETHER and len(words[order[to]]) * (to + 1 - at) <= CELLS:
+                to += 1
+            out[order[at:to]] = self._together([words[k] for k in order[at:to]])
+            at = to
         return out
 
+    def _together(self, words: list[str]) -> np.ndarray:
+        """``logs`` of words in the order of their lengths, place by place; sums are put at scale 1 every ``longest`` places."""
+        count, sizes = len(words), np.array([len(w) for w in words])
+        n, window = int(sizes[-1]), self.longest + 1
+        chars = np.array(words, f"<U{n}").view(np.uint32).reshape(count, n)
+        codes = np.minimum(np.searchsorted(self.letters, chars), len(self.letters) - 1)
+        codes = np.where(self.letters[codes] == chars, codes + 1, 0)
+        # alpha[i % window]: the sums of the cuts up to place i, where i is at most ``longest`` back.
+        alpha, logs = np.zeros((window, count, self.rows.shape[1])), np.zeros((count, self.rows.shape[1]))
+        alpha[0], done = 1, 0
+        for i in range(n):
+            here = alpha[i % window]
+            ended = int(np.searchsorted(sizes, i, side="right"))
+            logs[done:ended] += np.log(here[done:ended])
+            done = ended
+            if i and i % self.longest == 0:
+                # A letter alone is always a piece, so no sum is zero.
+                scale = here[done:].copy()
+                logs[done:] += np.log(scale)
+                alpha[:, done:] /= scale
+            nodes = self.down(np.zeros(count - done, np.int64), codes[done:, i])
+            alpha[(i + 1) % window, done:] += here[done:] * self.rows[np.maximum(self.row[nodes], 1)]
+            live = np.flatnonzero(nodes)
+            nodes, live = nodes[live], live + done
+            for k in range(1, min(self.longest, n - i)):
+                nodes = self.down(nodes, codes[live, i + k])
+                on = np.flatnonzero(nodes)
+                if not len(on):
+                    break
+                nodes, live = nodes[on], live[on]
+                rows = self.row[nodes]
+                hit = np.flatnonzero(rows)
+                alpha[(i + k + 1) % window, live[hit]] += here[live[hit]] * self.rows[rows[hit]]
+            alpha[i % window] = 0
+        logs[done:] += np.log(alpha[n % window, done:])
+        return logs
+
+
+def _log_sum(x: list[float]) -> float:
+    most = max(x)
+    return most + math.log(sum(math.exp(v - most) for v in x)) if most > -math.inf else most
+
 
 def expected(word: str, weight: float, table: dict[str, float], longest: int, into: dict[str, float]) -> None:
-    """Adds each piece's expected count over all cuts of ``word`` (one language)."""
+    """Adds each piece's expected count over all cuts of ``word`` (one language), by logarithms, so any length is whole."""
     n = len(word)
-    alpha, beta = [1.0] + [0.0] * n, [0.0] * n + [1.0]
-    spans = []
+    ends: list[list[tuple[int, float]]] = [[] for _ in range(n + 1)]
+    alpha, beta = [0.0] * (n + 1), [0.0] * (n + 1)
+    starts: list[list[float]] = [[] for _ in range(n + 1)]
     for j in range(1, n + 1):
         for i in range(max(0, j - longest), j):
             p = table.get(word[i:j], UNSEEN if i == j - 1 else 0.0)
             if p:
-                spans.append((i, j, p))
-                alpha[j] += alpha[i] * p
-    for i, j, p in reversed(spans):
-        beta[i] += p * beta[j]
-    for i, j, p in spans:
-        c = alpha[i] * p * beta[j] / alpha[n] * weight if alpha[n] else 0.0
-        if c:
-            into[word[i:j]] = into.get(word[i:j], 0.0) + c
+                ends[j].append((i, math.log(p)))
+        alpha[j] = _log_sum([alpha[i] + p for i, p in ends[j]]) if ends[j] else -math.inf
+    if alpha[n] == -math.inf:
+        return
+    for j in range(n, 0, -1):
+        if j < n:
+            beta[j] = _log_sum(starts[j]) if starts[j] else -math.inf
+        for i, p in ends[j]:
+            starts[i].append(beta[j] + p)
+            c = math.exp(alpha[i] + p + beta[j] - alpha[n]) * weight
+            if c:
+                into[word[i:j]] = into.get(word[i:j], 0.0) + c
 
 
 @dataclass
@@ -150,8 +208,8 @@ def fit(docs: DataFrame, path: str | None = None, sample: int = SAMPLE_TEXTS, ro
             seen: dict[tuple[str, str], int] = {}
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 for w in _LETTERS.findall(text or ""):
-                    for r in runs(w):
-                        seen[lang, r] = seen.get((lang, r), 0) + 1
+                    r = MARK + w.lower()
+                    seen[lang, r] = seen.get((lang, r), 0) + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([k[0] for k in seen], pa.string()), pa.array([k[1] for k in seen], pa.string()),
                  pa.array(list(seen.values()), pa.int64())], ["lang", "word", "n"])
@@ -203,7 +261,7 @@ class WordScores:
 
     def learn(self, chunks: list[str]) -> None:
         """Scores chunks that aren't there yet; chunks of the same letters are scored once."""
-        letters = [[r for w in _LETTERS.findall(c) for r in runs(w)] for c in chunks]
+        letters = [[MARK + w.lower() for w in _LETTERS.findall(c)] for c in chunks]
         words = list({r for found in letters for r in found})
         place = {r: i for i, r in enumerate(words)}
         score = np.zeros((len(words) + 1, self.rows.shape[1]))

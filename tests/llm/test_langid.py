@@ -29,6 +29,74 @@ def test_forward_sums_all_cuts(word):
     assert np.allclose(got, [[math.log(by_enumeration(word, k)) for k in (0, 1)]] * 2)
 
 
+def plain_log(word, table, k):
+    """The forward sum in plain logarithms, every cut into pieces of any length allowed."""
+    sums = [0.0]
+    for j in range(1, len(word) + 1):
+        found = [(i, table[word[i:j]][k] if word[i:j] in table else L.UNSEEN if j - i == 1 else 0.0) for i in range(max(0, j - 40), j)]
+        sums.append(np.logaddexp.reduce([sums[i] + math.log(p) for i, p in found if p]))
+    return sums[-1]
+
+
+@pytest.mark.parametrize("n", [39, 40, 41, 400, 20_000])
+def test_long_runs_are_summed_whole(n):
+    """Beyond the 40 letters at which runs were cut once, and where plain products underflow."""
+    word = L.MARK + ("abbab" * n)[:n]
+    got = L.Forward(TABLE, 3, 2).logs([word, "zz" + word, word])
+    assert np.allclose(got[0], [plain_log(word, TABLE, k) for k in (0, 1)], rtol=1e-10) and np.allclose(got[0], got[2])
+    into = {}
+    L.expected(word, 1.0, {p: q[0] for p, q in TABLE.items()}, 3, into)
+    assert math.isclose(sum(len(p) * c for p, c in into.items()), n + 1, rel_tol=1e-8)
+
+
+def test_all_letter_pieces_of_the_vocabulary_take_part():
+    import public_tokenizers
+    import sentencepiece
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    sp = sentencepiece.SentencePieceProcessor(model_file=path)
+    every = {sp.id_to_piece(i).lower() for i in range(sp.vocab_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))}
+    got = L.pieces_of_vocabulary(path)
+    assert set(got) == {p for p in every if all(c.isalpha() for c in p.removeprefix(L.MARK))}
+    assert max(map(len, got)) > 12
+    longest = max(got, key=len)
+    table = {p: [0.5, 0.25] for p in (longest, longest[1:])}
+    whole = L.Forward(table, len(longest), 2).logs([longest])
+    assert np.allclose(whole, [[plain_log(longest, table, k) for k in (0, 1)]])
+
+
+def test_expected_counts_are_those_of_enumeration():
+    word = L.MARK + "abbab"
+    want, total = {}, 0.0
+    for cuts in itertools.product([0, 1], repeat=len(word) - 1):
+        at = [0, *[i + 1 for i, c in enumerate(cuts) if c], len(word)]
+        parts = [word[i:j] for i, j in zip(at, at[1:])]
+        p = math.prod(TABLE[x][0] if x in TABLE else L.UNSEEN if len(x) == 1 else 0.0 for x in parts)
+        total += p
+        for x in parts:
+            want[x] = want.get(x, 0.0) + p
+    into = {}
+    L.expected(word, 3.0, {p: q[0] for p, q in TABLE.items()}, 3, into)
+    assert all(math.isclose(into.get(x, 0.0), 3 * p / total, rel_tol=1e-9, abs_tol=1e-12) for x, p in want.items())
+
+
+def test_predictions_of_the_query_by_plain_sums(spark):
+    """Every tenth text: the language and score again, word by word in plain logarithms, from the fitted table."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = L.fit(docs.where(~L.held_out()).select("doc_id", "text", "lang"))
+    got = {r.doc_id: r for r in L.predicted(docs.select("doc_id", "text"), model).collect()}
+    for r in [r for r in got.values() if r.doc_id % 10 == 0]:
+        counts = {}
+        for w in L._LETTERS.findall(r.text or ""):
+            counts[L.MARK + w.lower()] = counts.get(L.MARK + w.lower(), 0) + 1
+        sums = [sum(n * plain_log(w, model.table, k) for w, n in counts.items()) for k in range(len(model.langs))]
+        if not counts:
+            assert r.lang_pred == "und"
+            continue
+        best = int(np.argmax(sums))
+        assert r.lang_pred == model.langs[best]
+        assert math.isclose(r.score, 1 / sum(math.exp(s - sums[best]) for s in sums), rel_tol=1e-6)
+
+
 def test_expected_counts_cover_each_letter():
     into = {}
     L.expected(L.MARK + "babab", 2.0, {p: q[0] for p, q in TABLE.items()}, 3, into)
