@@ -1,11 +1,13 @@
 """Quality rules with risk-controlled thresholds.
 
 Every document gets a few statistics; a statistic above its stratum's cutoff
-rejects the document. Cutoffs come from labelled holdouts: a cutoff may be
-used only if an exact binomial (Clopper-Pearson) test shows, with the
-Bonferroni correction over all tests made, that it rejects at most a stated
-share of the good documents of its stratum. Among the cutoffs that may be
-used, the strictest one is taken; a stratum without enough labels has none.
+rejects the document. Cutoffs come from labelled holdouts and are put in force
+one after another, in an order that is fixed beforehand. A step holds if an
+exact binomial (Clopper-Pearson) test shows that all cutoffs in force with it
+*together* reject at most a stated share of the good documents of the stratum.
+The first step that doesn't hold ends its stratum's chain, so no correction is
+due inside a chain (fixed-sequence testing); over the strata the error is
+divided (Bonferroni). A stratum without enough labels has no cutoffs.
 
 DataFrame functions only.
 
@@ -26,7 +28,7 @@ from meterflow.llm.common import WORD_BREAK, settled, words
 
 SYMBOLS = "#*$%&|<>"
 
-#: A window's place in its text takes this many bits, its hash the others.
+#: A window's place in its text takes this many bits, its hash the others; windows of longer texts are compared as words.
 PLACE_BITS = 20
 
 
@@ -35,8 +37,10 @@ class Risk:
     """What the cutoffs may cost and which are tried.
 
     ``false_rejection``: the share of good documents of a stratum that all
-    statistics together may reject; ``error``: the chance that any cutoff of
-    any stratum breaks its part of that promise.
+    statistics together may reject; ``error``: the chance that the cutoffs of
+    any stratum break that promise. ``cutoffs`` are put in force statistic by
+    statistic in the order given, each from loose to strict: put first what is
+    trusted most.
     """
 
     false_rejection: float = 0.01
@@ -58,42 +62,40 @@ def _twins(s: str) -> Column:
     return F.filter(F.col(s), lambda x, k: near(x, k, -1) | near(x, k, 1))
 
 
-def _repeat_words(w: str, twins: Column) -> Column:
+def _repeat_words(hashed: str, spelled: str) -> Column:
     """Words inside 3-word windows that occur twice or more in the text.
 
-    ``twins`` holds sorted longs (upper hash bits, place) of windows. Those
-    with equal hash bits are compared as words; if any differ (or the places
-    don't fit), windows are sorted as strings instead, so the count is exact.
+    ``hashed`` holds sorted longs (upper hash bits, place) of windows that
+    share their bits with another, ``spelled`` sorted (words, place) of all
+    windows where these can't tell (see ``_unsure``), else nothing.
     """
-    place = F.transform(twins, lambda x: x.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int"))
-
-    def window(i):
-        return [F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)]
+    def near(x, k, d):
+        return x.t == F.get(spelled, k + d).t
 
-    clash = (F.size(w) >= (1 << PLACE_BITS)) | F.exists(
-        F.zip_with(twins, F.slice(twins, 2, F.greatest(F.size(twins) - 1, F.lit(0))),
-                   lambda a, b: F.struct(a.alias("a"), b.alias("b"))),
-        lambda p: (F.shiftright(p.a, PLACE_BITS) == F.shiftright(p.b, PLACE_BITS)) & ~_same(
-            window(p.a.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")),
-            window(p.b.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int"))))
-    texts = F.sort_array(F.transform(
-        F.slice(F.col(w), 1, F.greatest(F.size(w) - 2, F.lit(0))),
-        lambda x, i: F.struct(F.concat_ws(" ", x, F.get(w, i + 1), F.get(w, i + 2)).alias("t"),
-                              i.alias("i"))))
-    # One pass over the sorted windows: a window equal to the one before it
-    # adds both places (a place that comes twice covers nothing twice).
-    slow = F.aggregate(
-        texts, F.struct(F.lit(None).cast("string").alias("t"), F.lit(0).alias("i"), F.array().cast("array<int>").alias("at")),
-        lambda a, x: F.struct(x.t.alias("t"), x.i.alias("i"),
-                              F.when(x.t == a.t, F.concat(a["at"], F.array(a.i, x.i))).otherwise(a["at"]).alias("at")),
-        lambda a: a["at"])
-    at = F.sort_array(F.when(clash, slow).otherwise(place))
+    by_words = F.transform(F.filter(spelled, lambda x, k: near(x, k, -1) | near(x, k, 1)), lambda x: x.i)
+    by_hash = F.transform(hashed, lambda x: x.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int"))
     return F.aggregate(
-        at, F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")),
+        F.sort_array(F.when(F.size(spelled) > 0, by_words).otherwise(by_hash)),
+        F.struct(F.lit(-3).alias("last"), F.lit(0).cast("long").alias("n")),
         lambda a, p: F.struct(p.alias("last"), (a.n + F.least(p - a["last"], F.lit(3))).alias("n")),
         lambda a: a.n)
 
 
+def _unsure(w: str, twins: str) -> Column:
+    """Whether windows with equal hash bits differ in words, or places don't fit their bits."""
+    def window(i):
+        return [F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)]
+
+    def place(x):
+        return x.bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).cast("int")
+
+    def differs(x, k):
+        after = F.get(twins, k + 1)
+        return (F.shiftright(x, PLACE_BITS) == F.shiftright(after, PLACE_BITS)) & ~_same(window(place(x)), window(place(after)))
+
+    return (F.size(w) >= (1 << PLACE_BITS)) | (F.size(F.filter(F.col(twins), differs)) > 0)
+
+
 def _same(a: list[Column], b: list[Column]) -> Column:
     return (a[0] == b[0]) & (a[1] == b[1]) & (a[2] == b[2])
 
@@ -119,6 +121,11 @@ def measured(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
         F.length(F.regexp_replace("_text", "[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
         F.sort_array(windows).alias("_s"))
     df = df.select(*keep, "_w", "_lines", "n_symbols", _twins("_s").alias("_t"))
+    spelled = F.sort_array(F.transform(
+        F.slice(F.col("_w"), 1, F.greatest(F.size("_w") - 2, F.lit(0))),
+        lambda x, i: F.struct(F.concat_ws(" ", x, F.get("_w", i + 1), F.get("_w", i + 2)).alias("t"), i.alias("i"))))
+    df = df.select(*keep, "_w", "_lines", "n_symbols", "_t", F.when(_unsure("_w", "_t"), spelled).otherwise(
+        F.array().cast("array<struct<t:string,i:int>>")).alias("_u"))
     return df.select(
         *keep,
         F.size("_w").cast("long").alias("n_words"),
@@ -126,7 +133,7 @@ def measured(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
         "n_symbols",
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        _repeat_words("_w", F.col("_t")).alias("n_repeat_words"))
+        _repeat_words("_t", "_u").alias("n_repeat_words"))
 
 
 def statistics() -> dict[str, Column]:
@@ -166,29 +173,35 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+def _steps(risk: Risk) -> list[tuple[str, float]]:
+    """The cutoffs in the order in which they are put in force."""
+    return [(s, float(c)) for s, tried in risk.cutoffs.items() for c in sorted(tried, reverse=True)]
+
+
 def cutoffs(measures: DataFrame, labels: DataFrame, stratum: str, risk: Risk = Risk()) -> DataFrame:
-    """(stratum, one column per statistic): the strictest cutoff that keeps the promise, or null.
+    """(stratum, one column per statistic): the strictest cutoff in force, or null.
 
     ``measures`` (settled) needs doc_id and ``stratum``; ``labels`` (doc_id, quality).
     The holdout is every labelled good document that passes the base rule.
     """
     good = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("_quality")).where("_quality = 1")
-    stats = statistics()
+    stats, steps = statistics(), _steps(risk)
+    # The step at which a document is rejected for the first time; later steps reject it too.
+    first = F.least(F.lit(len(steps)), *[F.when(stats[s] > c, i) for i, (s, c) in enumerate(steps)], F.lit(len(steps)))
     held = measures.where(~base_failed()).join(good.select("doc_id"), "doc_id", "left_semi").select(
-        F.col(stratum).alias("stratum"), *[c.alias(s) for s, c in stats.items()])
-    tries = [(s, c) for s in stats for c in sorted(risk.cutoffs.get(s, []))]
+        F.col(stratum).alias("stratum"), first.alias("_first"))
     counts = held.groupBy("stratum").agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.count_if(F.col(s) > c).alias(f"over_{i}") for i, (s, c) in enumerate(tries)])
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("_first") <= i).alias(f"over_{i}") for i in range(len(steps))])
     strata = counts.agg(F.count(F.lit(1)).alias("strata"))
-    error = F.lit(risk.error) / (F.col("strata") * len(tries))
-    each = risk.false_rejection / len(stats)
-    # strata holds one row: how many tests the correction counts.
-    tested = counts.join(F.broadcast(strata), F.lit(True))
-    return tested.select("stratum", *[
-        F.coalesce(*[F.when(within_risk(F.col(f"over_{i}"), F.col("n"), each, error), F.lit(float(c)))
-                     for i, (t, c) in enumerate(tries) if t == s] or [F.lit(None).cast("double")]).alias(s)
-        for s in stats])
+    error = F.lit(risk.error) / F.col("strata")
+    # strata holds one row: among how many chains the error is divided.
+    tested = counts.join(F.broadcast(strata), F.lit(True)).select("stratum", F.array(
+        *[within_risk(F.col(f"over_{i}"), F.col("n"), risk.false_rejection, error) for i in range(len(steps))],
+        F.lit(False)).alias("_holds"))
+    in_force = F.array_position("_holds", False) - 1
+    return tested.select("stratum", in_force.alias("_in_force")).select("stratum", *[
+        F.coalesce(*[F.when(F.col("_in_force") > i, F.lit(c)) for i, (t, c) in reversed(list(enumerate(steps))) if t == s],
+                   F.lit(None).cast("double")).alias(s) for s in stats])
 
 
 #: Strata up to this many are broadcast; more are joined by a shuffle.
@@ -220,17 +233,19 @@ def oracle(risk: Risk = Risk()) -> str:
         "symbol_ratio": "n_symbols / nullif(n_words, 0)", "dup_line_ratio": "n_dup_lines / nullif(n_lines, 0)",
         "repeat_ratio": "n_repeat_words / nullif(n_words, 0)", "long_words": "word_chars / nullif(n_words, 0)",
         "short_words": "-(word_chars / nullif(n_words, 0))"}
-    tries = [(s, c) for s in stats for c in sorted(risk.cutoffs.get(s, []))]
-    p = risk.false_rejection / len(stats)
-    counts = ", ".join(f"CAST(count_if({stats[s]} > {c}) AS BIGINT) AS over_{i}" for i, (s, c) in enumerate(tries))
+    steps, p = _steps(risk), risk.false_rejection
+    first = "least(" + ", ".join([str(len(steps)), *[f"CASE WHEN {stats[s]} > {c} THEN {i} ELSE {len(steps)} END" for i, (s, c) in enumerate(steps)]]) + ")"
+    counts = ", ".join(f"CAST(count_if({first} <= {i}) AS BIGINT) AS over_{i}" for i in range(len(steps)))
 
     def passes(i: int) -> str:
         return (f"over_{i} < n * {p} AND list_sum(list_transform(range(0, over_{i} + 1), lambda i: exp(lgamma(n + 1) - "
                 f"CASE WHEN i > 0 THEN lgamma(i + 1) ELSE 0 END - lgamma(n - i + 1) + i * ln({p}) + (n - i) * ln({1 - p})))) "
-                f"<= {risk.error} / (strata * {len(tries)})")
+                f"<= {risk.error} / strata")
 
+    holds = "list_position([" + ", ".join([*[f"({passes(i)})" for i in range(len(steps))], "false"]) + "], false) - 1"
     limits = ", ".join(
-        "coalesce(" + ", ".join(f"CASE WHEN {passes(i)} THEN {c}::DOUBLE END" for i, (t, c) in enumerate(tries) if t == s) + f", NULL) AS max_{s}"
+        "coalesce(" + ", ".join([*[f"CASE WHEN in_force > {i} THEN {c}::DOUBLE END"
+                                   for i, (t, c) in reversed(list(enumerate(steps))) if t == s], "NULL::DOUBLE"]) + f") AS max_{s}"
         for s in stats)
     over = " OR ".join(f"coalesce({e} > max_{s}, false)" for s, e in stats.items())
     failed = "(n_words < 50 OR 100 * n_repeat_words > 50 * n_words)"
@@ -251,7 +266,8 @@ m AS (
   FROM d LEFT JOIN rep USING (rid)),
 good AS (SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING max(quality) = 1),
 counts AS (SELECT lang, count(*) AS n, {counts} FROM m WHERE NOT {failed} AND doc_id IN (SELECT doc_id FROM good) GROUP BY lang),
-cut AS (SELECT lang, {limits} FROM counts, (SELECT count(*) AS strata FROM counts) s)
+cut AS (SELECT lang, {limits} FROM (
+  SELECT lang, {holds} AS in_force FROM counts, (SELECT count(*) AS strata FROM counts) s) h)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, {failed} AS base_failed,
        NOT {failed} AND NOT ({over}) AS kept
 FROM m LEFT JOIN cut ON m.lang IS NOT DISTINCT FROM cut.lang

@@ -72,6 +72,54 @@ def test_cutoffs_keep_the_promise(spark):
     assert all(r.symbol_ratio is not None for r in many)
 
 
+def test_chain_ends_at_the_first_step_that_does_not_hold(spark):
+    """All cutoffs in force are bounded together, and none behind a step that fails is used."""
+    rows = [(i, " ".join(f"word{i}x{j}" for j in range(60)) + (" ##" * 20 if i % 50 == 0 else "") + (f"\nline {i}" * 30 if i % 50 == 1 else ""), "a")
+            for i in range(1200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    m = settled(Q.measured(docs.select("doc_id", "text", F.col("lang").alias("stratum")), keep=("doc_id", "stratum")))
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+
+    def chain(share, cutoffs):
+        return Q.cutoffs(m, labels, "stratum", Q.Risk(share, 0.05, cutoffs)).first()
+
+    symbols, lines = {"symbol_ratio": [0.1, 0.9]}, {"dup_line_ratio": [0.5, 0.99]}
+    assert chain(0.035, symbols).symbol_ratio == 0.1 and chain(0.035, lines).dup_line_ratio == 0.5  # each alone rejects 2 %
+    both = chain(0.035, symbols | lines)  # together 4 %: only the first gets its strict cutoff
+    assert (both.symbol_ratio, both.dup_line_ratio) == (0.1, 0.99)
+    turned = chain(0.035, lines | symbols)
+    assert (turned.dup_line_ratio, turned.symbol_ratio) == (0.5, 0.9)
+    early = chain(0.01, symbols | lines)
+    assert (early.symbol_ratio, early.dup_line_ratio) == (0.9, None)
+    assert (chain(0.06, symbols | lines).dup_line_ratio, chain(0.05, {}).symbol_ratio) == (0.5, None)
+
+
+@pytest.mark.parametrize("n", [(1 << 14) - 1, 1 << 14, (1 << 14) + 5, 250_000])
+def test_texts_whose_places_do_not_fit(spark, monkeypatch, n):
+    """From 2 ** PLACE_BITS words on (here 2 ** 14) windows are compared as words; the counts stay the same, in linear time."""
+    monkeypatch.setattr(Q, "PLACE_BITS", 14)
+    # Made of a column, so that it is no constant of the plan.
+    text = spark.range(1).select(F.col("id").alias("doc_id"), F.concat(
+        F.repeat(F.lit("a "), (F.col("id") + n - 9).cast("int")), F.lit("x y z w x y z v u")).alias("text"))
+    r = Q.measured(text).first()
+    # Of the tail only x y z, twice, repeats; the run of "a" is covered whole.
+    assert (r.n_words, r.n_repeat_words) == (n, n - 9 + 6)
+
+
+def test_junk_of_the_given_table_is_rejected(spark):
+    """The cutoffs take effect, and keep their promise on the good documents."""
+    d = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{d}/{t}.parquet") for t in ("documents", "labels"))
+    got = settled(Q.judged(docs, labels).join(docs.select("doc_id", "lang"), "doc_id").join(
+        labels.select("doc_id", "quality"), "doc_id").where("not base_failed"))
+    by = {r.lang: r for r in got.groupBy("lang").agg(
+        F.count_if(F.expr("quality = 1")).alias("good"), F.count_if(F.expr("quality = 1 and not kept")).alias("lost"),
+        F.count_if(F.expr("quality <> 1 and not kept")).alias("junk")).collect()}
+    assert all(r.lost <= 0.01 * r.good for r in by.values())
+    assert {x for x, r in by.items() if r.junk} >= {"en", "fr", "de"}
+    assert sum(r.junk for r in by.values()) > 200
+
+
 def test_odd_rows(spark):
     docs = spark.createDataFrame([(1, None, None), (None, "w " * 60, "en"), (2, "a b c d e f g " * 10, "en"), (2, "a b c d e f g " * 10, "en")],
                                  "doc_id long, text string, lang string")
@@ -81,7 +129,7 @@ def test_odd_rows(spark):
     assert Q.judged(docs, labels.limit(0)).count() == 4 and Q.judged(docs.limit(0), labels).collect() == []
 
 
-@pytest.mark.parametrize("d", [SF_SMALL, SF_CHECK])
+@pytest.mark.parametrize("d", [SF_SMALL, SF_CHECK, "/root/testdata/sf0.1"])
 def test_sql_twin(spark, d):
     from meterflow.llm.queries import ORACLES, QUERIES
     assert assert_same(QUERIES["op8_quality_rules"](spark, d), duck(d), ORACLES["op8_quality_rules"])
