@@ -6,7 +6,8 @@ the text's fingerprint is their sum, lane by lane, modulo powers of two:
 * ``EXACT`` lanes modulo 2 ** 32 sum a hash of the whole paragraph. They tell
   texts apart and do not depend on the paragraphs' order.
 * ``PACKED`` longs, each of three 20-bit counters, sum the hash bits of the
-  paragraph's parts (clauses; words of short paragraphs). Read as sums of +1
+  paragraph's parts (clauses; words of short paragraphs and of long stretches
+  without a clause mark). Read as sums of +1
   and -1, two such vectors' cosine estimates how much of the parts two texts
   share, with a standard error of about 0.09.
 
@@ -17,8 +18,9 @@ DataFrame functions only.
 
 Defined cases: a null text is empty; an empty text is one empty paragraph
 without parts; equal fingerprints have likeness 1, and a text without parts is
-unlike all others; counters wrap from 2 ** 20 parts on, which blurs likeness
-only; a document without an id has no place in the order and is its own next;
+unlike all others; counters are modulo 2 ** 20, and the sums of +1 and -1 are
+read modulo 2 ** 21 around 0, which fits any number of parts as long as these
+sums stay below 2 ** 20; a document without an id has no place in the order and is its own next;
 repeated ids follow each other by the hash of their text; an empty table gives
 an empty result.
 """
@@ -34,9 +36,12 @@ from pyspark.sql import functions as F
 EXACT, PACKED = 4, 40
 COUNTER_BITS, COUNTERS = 20, 3
 
-#: Paragraphs of fewer characters are cut at spaces, others at clause marks.
+#: Paragraphs of fewer characters are cut at spaces, others at clause marks, and what is as long between these at spaces again.
 SHORT = 96
 
+#: Marks that end a clause (Latin, Chinese and Japanese, Devanagari, Arabic), with a space behind.
+CLAUSE = "[.,;:!?\u3001\u3002\uff01\uff0c\uff0e\uff1a\uff1b\uff1f\u0964\u060c\u061b\u061f\u06d4]+ ?"
+
 #: Ranges of ids a shuffle partition.
 RANGES = 8
 
@@ -49,8 +54,10 @@ _MANY = 1 << 22
 
 
 def _parts(text: Column) -> Column:
-    cut = F.flatten(F.transform(F.split(text, "\n"), lambda p: F.when(
-        F.length(p) < SHORT, F.split(p, " ")).otherwise(F.split(p, "[.,;:!?]+ ?"))))
+    def clauses(p: Column) -> Column:
+        return F.flatten(F.transform(F.split(p, CLAUSE), lambda q: F.when(F.length(q) < SHORT, F.array(q)).otherwise(F.split(q, " "))))
+
+    cut = F.flatten(F.transform(F.split(text, "\n"), lambda p: F.when(F.length(p) < SHORT, F.split(p, " ")).otherwise(clauses(p))))
     return F.filter(cut, lambda x: x != "")
 
 
@@ -103,7 +110,9 @@ def _dot(a: str, b: str) -> Column:
     """The inner product of the counters, read as sums of +1 and -1."""
     def signed(v: str, x: Column, k: int) -> Column:
         count = F.shiftright(x, COUNTER_BITS * k).bitwiseAND(F.lit((1 << COUNTER_BITS) - 1))
-        return 2.0 * count - F.get(v, F.lit(EXACT + PACKED))
+        apart = 2 * count - F.get(v, F.lit(EXACT + PACKED))
+        half = F.lit(1 << COUNTER_BITS)
+        return (F.pmod(apart + half, 2 * half) - half).cast("double")
 
     terms = F.zip_with(F.slice(a, EXACT + 1, PACKED), F.slice(b, EXACT + 1, PACKED), lambda x, y: reduce(
         lambda s, t: s + t, [signed(a, x, k) * signed(b, y, k) for k in range(COUNTERS)]))
