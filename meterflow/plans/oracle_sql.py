@@ -124,3 +124,66 @@ SENSORS = """
          CASE WHEN coalesce(event_type IN ('click','view','purchase'), false) THEN 'pressure' ELSE 'vibration' END AS sensor,
          value
   FROM events"""
+
+
+def demand_series_sql(readings: str) -> str:
+    """Twin of operators.forecast.demand_series: volume per (district, hour since 1970)."""
+    return f"""
+  SELECT substr(meter_id, 1, 3) AS district, date_diff('hour', TIMESTAMP '1970-01-01', date_trunc('hour', reading_ts)) AS hr,
+         CAST(sum(CAST(round(consumption_kl * 10000) AS HUGEINT)) AS DOUBLE) / 10000 AS demand_kl
+  FROM ({readings}) WHERE reading_ts IS NOT NULL AND meter_id IS NOT NULL AND isfinite(consumption_kl) GROUP BY 1, 2"""
+
+
+def terms_sql(at: str, first: str) -> str:
+    """Twin of operators.forecast.terms, as a list: three harmonics of the day, two of the week."""
+    waves = [f"{w}(({at}) % 168 * (2 * pi() * {f} / 168))" for f in (7, 14, 21, 1, 2) for w in ("cos", "sin")]
+    return f"[CAST(1 AS DOUBLE), (({at}) - ({first})) / CAST(168 AS DOUBLE), {', '.join(waves)}]"
+
+
+def harmonic_fit_sql(series: str, name: str) -> str:
+    """Recursive CTEs; ``name`` has district, first, last, hours and coefficients (Gauss-Jordan, a term a round)."""
+    return f"""
+  {name}_ends AS (SELECT district, min(hr) AS first, max(hr) AS last, count(*) AS hours FROM {series} GROUP BY 1),
+  {name}_rows AS (SELECT s.district, s.hr, s.demand_kl AS y, {terms_sql('s.hr', 'e.first')} AS x FROM {series} s JOIN {name}_ends e USING (district)),
+  {name}_terms AS (SELECT district, hr, unnest(range(12)) AS i, unnest(x) AS x, y FROM {name}_rows),
+  {name}_system AS (
+    SELECT a.district, a.i, b.i AS j, sum(a.x * b.x) AS v FROM {name}_terms a JOIN {name}_terms b ON a.district = b.district AND a.hr = b.hr GROUP BY 1, 2, 3
+    UNION ALL SELECT district, i, 12, sum(x * y) FROM {name}_terms GROUP BY 1, 2),
+  {name}_steps AS (
+    SELECT district, CAST(0 AS BIGINT) AS k, i, j, v, v AS own FROM {name}_system
+    UNION ALL
+    SELECT district, k + 1, i, j, CASE WHEN piv <= start * 1e-9 THEN v WHEN i = k THEN v / piv ELSE v - top * (side / piv) END, own
+    FROM (SELECT *, max(CASE WHEN i = k AND j = k THEN v END) OVER (PARTITION BY district) AS piv,
+                 max(CASE WHEN i = k AND j = k THEN own END) OVER (PARTITION BY district) AS start,
+                 max(CASE WHEN i = k THEN v END) OVER (PARTITION BY district, j) AS top,
+                 max(CASE WHEN j = k THEN v END) OVER (PARTITION BY district, i) AS side
+          FROM {name}_steps WHERE k < 12)),
+  {name}_found AS (
+    SELECT district, i, CASE WHEN max(CASE WHEN i = j THEN v END) > 0.5 THEN max(CASE WHEN j = 12 THEN v END) ELSE 0 END AS c
+    FROM {name}_steps WHERE k = 12 GROUP BY 1, 2),
+  {name} AS (SELECT e.*, c.coefficients FROM {name}_ends e JOIN (SELECT district, list(c ORDER BY i) AS coefficients FROM {name}_found GROUP BY 1) c USING (district))"""
+
+
+def predicted_sql(at: str, fit: str) -> str:
+    return f"greatest(list_sum(list_transform(list_zip({terms_sql(at, fit + '.first')}, {fit}.coefficients), lambda p: p[1] * p[2])), 0)"
+
+
+def forecast_harmonic_sql(readings: str, hours: int = 168) -> str:
+    return f"""
+  WITH RECURSIVE s AS ({demand_series_sql(readings)}), {harmonic_fit_sql('s', 'fit')}
+  SELECT district, strftime(TIMESTAMP '1970-01-01' + to_hours(hr), '%Y-%m-%d %H:%M:%S') AS forecast_ts, round({predicted_sql('hr', 'h')}, 3) AS forecast_kl
+  FROM (SELECT *, unnest(generate_series(last + 1, last + {hours})) AS hr FROM fit) h"""
+
+
+def forecast_backtest_sql(readings: str, weeks: int = 1) -> str:
+    return f"""
+  WITH RECURSIVE s AS ({demand_series_sql(readings)}),
+  e AS (SELECT district, max(hr) - {weeks * 168} AS until FROM s GROUP BY 1),
+  b AS (SELECT s.* FROM s JOIN e USING (district) WHERE hr <= until), {harmonic_fit_sql('b', 'fit')},
+  naive AS (SELECT district, hr % 168 AS slot, avg(demand_kl) AS naive FROM b GROUP BY 1, 2),
+  t AS (SELECT s.district, {predicted_sql('s.hr', 'fit')} - demand_kl AS off, naive - demand_kl AS naive_off
+        FROM s JOIN e USING (district) JOIN naive ON naive.district = s.district AND slot = s.hr % 168 JOIN fit ON fit.district = s.district WHERE s.hr > until),
+  r AS (SELECT district, count(*) AS n, round(avg(abs(off)), 3) AS mae_kl, round(avg(abs(naive_off)), 3) AS naive_mae_kl,
+               round(sqrt(avg(off * off)), 3) AS rmse_kl, round(sqrt(avg(naive_off * naive_off)), 3) AS naive_rmse_kl FROM t GROUP BY 1)
+  SELECT e.district, coalesce(fit.hours, 0) AS hours_fitted, coalesce(r.n, 0) AS hours_tested, mae_kl, naive_mae_kl, rmse_kl, naive_rmse_kl
+  FROM e LEFT JOIN fit ON fit.district = e.district LEFT JOIN r ON r.district = e.district"""

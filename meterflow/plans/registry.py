@@ -18,6 +18,7 @@ from pyspark.sql.types import DateType
 
 from meterflow.operators import assets as A
 from meterflow.operators import charts as C
+from meterflow.operators import forecast as FC
 from meterflow.operators import history as H
 from meterflow.operators import repair as P
 from meterflow.operators import conform as K
@@ -829,6 +830,19 @@ def q_demand_forecast_naive(spark, d):
     return M.demand_forecast_naive(I.event_readings(spark, d), 168, decimals=6)
 
 
+@register("demand_forecast_harmonic", O.forecast_harmonic_sql(O.R_EVENTS))
+def q_demand_forecast_harmonic(spark, d):
+    """Least squares on trend, daily and weekly harmonics; the next 7 days of every district."""
+    f = FC.demand_forecast_harmonic(I.event_readings(spark, d), decimals=3)
+    return f.withColumn("forecast_ts", F.date_format("forecast_ts", "yyyy-MM-dd HH:mm:ss"))
+
+
+@register("demand_forecast_backtest", O.forecast_backtest_sql(O.R_EVENTS))
+def q_demand_forecast_backtest(spark, d):
+    """Errors of the harmonic and the naive forecast over the last week of every district."""
+    return FC.forecast_backtest(I.event_readings(spark, d), decimals=3)
+
+
 @register("readings_with_asset", f"""
   SELECT r.meter_id, strftime(r.reading_ts, '{TS_SQL}') AS reading_ts, r.consumption_kl, a.asset_id,
          a.asset_type, a.manufacturer, a.latitude, a.longitude
