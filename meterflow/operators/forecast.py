@@ -84,10 +84,12 @@ def harmonic_fit(series: DataFrame, daily: int = DAILY, weekly: int = WEEKLY) ->
     x = terms(F.col("at"), F.col("first"), daily, weekly)
     size = len(x)
     rows = series.join(ends, "district").select("district", "first", "last", "demand_kl", *[c.alias(f"x{i}") for i, c in enumerate(x)])
-    sums = [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"a{i}_{j}") for i in range(size) for j in range(i, size)]
-    sums += [F.sum(F.col(f"x{i}") * F.col("demand_kl")).alias(f"b{i}") for i in range(size)]
+    # As text: a column object for each of the many products takes longer to build than the job runs.
+    sums = [F.expr(f"sum(x{i} * x{j}) AS a{i}_{j}") for i in range(size) for j in range(i, size)]
+    sums += [F.expr(f"sum(x{i} * demand_kl) AS b{i}") for i in range(size)]
     normal = rows.groupBy("district", "first", "last").agg(F.count(F.lit(1)).alias("hours"), *sums)
-    system = F.array(*[F.array(*[F.col(f"a{min(i, j)}_{max(i, j)}") for j in range(size)], F.col(f"b{i}")) for i in range(size)])
+    entries = [", ".join([f"a{min(i, j)}_{max(i, j)}" for j in range(size)] + [f"b{i}"]) for i in range(size)]
+    system = F.expr("array(" + ", ".join(f"array({e})" for e in entries) + ")")
     return normal.select("district", "first", "last", "hours", system.alias("system")).select(
         "district", "first", "last", "hours", solved(F.col("system"), size).alias("coefficients"))
 
