@@ -27,6 +27,7 @@ from meterflow.operators import ml as M
 from meterflow.operators import sensors as S
 from meterflow.operators import nrw as N
 from meterflow.operators import quality as Q
+from meterflow.operators import ranking as RK
 from meterflow.functions.rules import meter_suffix
 from meterflow.functions.time import hour_of_day, weekday_name
 from meterflow.params import ASSET_AS_OF
@@ -1051,6 +1052,47 @@ def q_asset_feature_history(spark, d):
     return H.feature_history(I.assets(spark, d), I.maintenance_log(spark, d), SNAPSHOTS, HORIZON_DAYS, sensors=I.sensors(spark, d))
 
 
+@register("asset_risk_rank", f"""
+  SELECT asset_id, asset_type, days_since_last_maintenance,
+         CASE WHEN days_since_last_maintenance IS NOT NULL THEN {O.exact_ratio_sql(
+             "rank() OVER (PARTITION BY days_since_last_maintenance IS NULL ORDER BY days_since_last_maintenance) - 1",
+             "nullif(count(*) OVER (PARTITION BY days_since_last_maintenance IS NULL) - 1, 0)", 6)} END AS risk_rank
+  FROM ({O.FEATURES}) f""")
+def q_asset_risk_rank(spark, d):
+    """Share of all assets that were maintained more recently."""
+    f = I.features(spark, d).select("asset_id", "asset_type", "days_since_last_maintenance")
+    return RK.percent_rank(f, "days_since_last_maintenance", name="risk_rank")
+
+
+_RISK_SQL = f"""
+  SELECT *, CAST(sum(n) OVER w - n AS BIGINT) AS below, CAST(sum(pos) OVER w - pos AS BIGINT) AS pos_below,
+         CAST(sum(n) OVER (PARTITION BY snapshot_date) AS BIGINT) AS total
+  FROM (SELECT snapshot_date, days_since_last_maintenance AS score, count(*) AS n, CAST(sum(failure_within_horizon) AS BIGINT) AS pos
+        FROM ({ORACLES["asset_feature_history"]}) h WHERE days_since_last_maintenance IS NOT NULL AND failure_within_horizon IS NOT NULL GROUP BY 1, 2)
+  WINDOW w AS (PARTITION BY snapshot_date ORDER BY score)"""
+
+
+@register("risk_auc_by_snapshot", f"""
+  SELECT snapshot_date, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(pos) AS BIGINT) AS positives,
+         {O.exact_ratio_sql("sum(pos * (2 * (below - pos_below) + n - pos))", "nullif(2 * sum(pos) * (sum(n) - sum(pos)), 0)", 6)} AS auc
+  FROM ({_RISK_SQL}) r GROUP BY 1""")
+def q_risk_auc_by_snapshot(spark, d):
+    """How well the days since maintenance tell which assets fail in the 90 days after each snapshot."""
+    h = H.feature_history(I.assets(spark, d), I.maintenance_log(spark, d), SNAPSHOTS, HORIZON_DAYS)
+    return RK.auc(h, "days_since_last_maintenance", "failure_within_horizon", ["snapshot_date"])
+
+
+@register("risk_deciles_by_snapshot", f"""
+  SELECT snapshot_date, CAST(below * 10 // total AS INTEGER) AS bin, CAST(sum(n) AS BIGINT) AS rows, CAST(sum(pos) AS BIGINT) AS positives,
+         round(CAST(sum(score * n) AS DOUBLE) / CAST(sum(n) AS DOUBLE), 3) AS mean_score, {O.exact_ratio_sql("sum(pos)", "sum(n)", 6)} AS positive_rate
+  FROM ({_RISK_SQL}) r GROUP BY 1, 2""")
+def q_risk_deciles_by_snapshot(spark, d):
+    """Failures in the 90 days after each snapshot by decile of the days since maintenance."""
+    h = H.feature_history(I.assets(spark, d), I.maintenance_log(spark, d), SNAPSHOTS, HORIZON_DAYS)
+    return RK.calibration(h, "days_since_last_maintenance", "failure_within_horizon", ["snapshot_date"], decimals=6).withColumn(
+        "mean_score", F.round("mean_score", 3))
+
+
 @register("reading_asset_state", f"""
   WITH e AS ({_EVENTS_SQL}), days AS (SELECT asset_id, day, max((material, f)) AS v FROM e GROUP BY 1, 2)
   SELECT 'MTR-' || CAST(o_orderkey AS VARCHAR) AS asset_id, strftime(CAST(o_orderdate AS DATE) + 1000, '%Y-%m-%d') AS inspected,
