@@ -18,6 +18,7 @@ from pyspark.sql.types import DateType
 
 from meterflow.operators import assets as A
 from meterflow.operators import charts as C
+from meterflow.operators import failure_model as FM
 from meterflow.operators import forecast as FC
 from meterflow.operators import history as H
 from meterflow.operators import repair as P
@@ -1093,6 +1094,16 @@ def q_risk_deciles_by_snapshot(spark, d):
         "mean_score", F.round("mean_score", 3))
 
 
+@register("failure_model_backtest")
+def q_failure_model_backtest(spark, d):
+    """The model of what was known at the seventh snapshot, stored, then its AUC on that snapshot and the later ones."""
+    h = H.feature_history(I.assets(spark, d), I.maintenance_log(spark, d), SNAPSHOTS, HORIZON_DAYS)
+    path, split = scratch_path(spark, "failure-model"), str(sorted(SNAPSHOTS)[6])
+    FM.fit_failure_model(h, split, path, HORIZON_DAYS)
+    later = FM.scored(h.where(F.col("snapshot_date") >= F.to_date(F.lit(split))), path)
+    return RK.auc(later, "failure_probability", FM.LABEL, ["snapshot_date"])
+
+
 @register("reading_asset_state", f"""
   WITH e AS ({_EVENTS_SQL}), days AS (SELECT asset_id, day, max((material, f)) AS v FROM e GROUP BY 1, 2)
   SELECT 'MTR-' || CAST(o_orderkey AS VARCHAR) AS asset_id, strftime(CAST(o_orderdate AS DATE) + 1000, '%Y-%m-%d') AS inspected,
