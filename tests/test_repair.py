@@ -82,3 +82,18 @@ def test_days(spark):
     rows = [("m", T0, 1.0), ("m", T0 + dt.timedelta(days=3, hours=5), 2.5), ("m", T0 + dt.timedelta(days=3, hours=9), 1.5)]
     got = sorted((r.step_ts, r.consumption_kl, r.reason, r.missing_before) for r in repaired(spark.createDataFrame(rows, KIND), "day").collect())
     assert got == [(T0, 1.0, "", 0), (T0 + dt.timedelta(1), 2.0, "filled", 0), (T0 + dt.timedelta(2), 3.0, "filled", 0), (T0 + dt.timedelta(3), 4.0, "", 2)]
+
+
+def test_series_is_summed_and_dealt_once(spark):
+    df = repaired(spark.createDataFrame(_rows(), KIND), "hour", 5, 3, 10, 7)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    # By (meter, step) and by (meter, range), each once; the summaries by meter and back.
+    assert plan.count(" Exchange ") <= 4 and "ReusedExchange" in plan, plan
+
+
+def test_volumes_beyond_longs_and_below_zero(spark):
+    huge = [("m", T0, 4e13), ("m", T0 + dt.timedelta(hours=40), 8e13), ("n", T0, -0.0001), ("n", T0 + dt.timedelta(hours=2), 0.0)]
+    got = {(r.meter_id, int((r.step_ts - T0).total_seconds() // 3600)): r.consumption_kl for r in repaired(spark.createDataFrame(huge, KIND), max_gap=50).collect()}
+    assert len(got) == 44 and all(got["m", i] == 4e13 + 1e12 * i for i in range(41))
+    assert got["n", 1] == -0.0001
