@@ -1,13 +1,15 @@
 """Point-in-time features: what was known of each asset at several past dates, and what came after.
 
 An as-of join here is a union of events and dates and one ordered window over
-both, never a range join: a date takes the last event at or before it. All
-dates are answered in one pass. Nothing after a date enters its features; the
-label looks only at what comes after it.
-
-The log is reduced per (asset, material, day) first, combined map-side, so a
-window holds at most a row per material and day of an asset, however many log
-rows an asset has.
+both, never a range join: a date takes the last event at or before it. Nothing
+after a date enters its features; the label looks only at what comes after it.
+
+The features of several dates need no window: dates cut time into spans, and
+all that a date asks of the log are greatest, least and summed values over the
+spans before and after it. The log is reduced per (asset, material, span),
+combined map-side, then brought to its assets, a row each. Rows are repeated
+per date only after that, so no shuffle or sort holds them, and an asset has at
+most a row per material and span, however many log rows it has.
 """
 
 from __future__ import annotations
@@ -20,6 +22,10 @@ from pyspark.sql import functions as F
 from meterflow.functions.measures import DEFAULT_SCALE, exact_ratio, finite, to_units
 
 
+#: What ``sensor_history`` adds.
+SENSED = ["avg_pressure_30d", "max_vibration_7d"]
+
+
 def as_of_join(left: DataFrame, right: DataFrame, by: list[str], left_at: str, right_at: str, values: list[str]) -> DataFrame:
     """Each left row with ``values`` of the last right row of its key at or before its time (NULL: none).
 
@@ -86,31 +92,40 @@ def feature_history(dim: DataFrame, log: DataFrame, snapshots: list[dt.date | st
     if observed_until is None:
         observed_until = log.agg(F.max(day)).first()[0]
     until = F.lit(None if observed_until is None else str(observed_until)).cast("date")
-    events = log.where(day.isNotNull()).groupBy("asset_id", "material", day.alias("day")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("failure_event").cast("long")).alias("f"))
+    dates = sorted({str(d) for d in snapshots})
+    # An event is known at the dates from the number of its span on.
+    span = sum(((day > F.to_date(F.lit(d))).cast("int") for d in dates), F.lit(0))
+    failure_day = F.when(F.col("failure_event") > 0, day)
+    events = log.where(day.isNotNull()).groupBy("asset_id", "material", span.alias("span")).agg(
+        F.max(day).alias("last"), F.max(failure_day).alias("failed"), F.min(failure_day).alias("next"),
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("failure_event").cast("long")), F.lit(0)).alias("f"))
     installed = F.col("install_date").try_cast("date")
-    asked = dim.select("asset_id", "asset_type", "manufacturer", installed.alias("installed"), F.explode(_dates(snapshots)).alias("day")).where(
-        "installed is null or installed <= day")
-    both = events.withColumn("kind", F.lit(0)).unionByName(asked.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-
-    asset = Window.partitionBy("asset_id")
-    # On one day events come before the date, in either direction: the second order is the first one reversed.
-    past = asset.orderBy("day", "kind", "material").rowsBetween(Window.unboundedPreceding, 0)
-    future = asset.orderBy(F.desc("day"), F.desc("kind"), F.desc("material")).rowsBetween(Window.unboundedPreceding, 0)
-    event_day = F.when(F.col("kind") == 0, F.col("day"))
-    failure_day = F.when(F.col("f") > 0, F.col("day"))
-    known = both.select(
-        "*", F.last(F.when(F.col("kind") == 0, F.col("material")), ignorenulls=True).over(past).alias("_material"),
-        F.max(event_day).over(past).alias("_last"), F.max(failure_day).over(past).alias("_failed"),
-        F.coalesce(F.sum("n").over(past), F.lit(0)).alias("maintenance_events"), F.coalesce(F.sum("f").over(past), F.lit(0)).alias("failures_to_date"),
-        F.min(failure_day).over(future).alias("_next")).where("kind = 1")
+    both = events.select("asset_id", F.struct("span", "material", "last", "failed", "next", "n", "f").alias("event")).unionByName(
+        dim.select("asset_id", F.struct("asset_type", "manufacturer", installed.alias("installed")).alias("asset")), allowMissingColumns=True)
+    found = both.groupBy("asset_id").agg(F.collect_list("event").alias("events"), F.collect_list("asset").alias("assets"))
+    if sensors is not None:
+        seen = sensor_history(sensors, snapshots).where("asset_id is not null").groupBy("asset_id").agg(
+            F.collect_list(F.struct("snapshot_date", *SENSED)).alias("seen"))
+        found = found.join(seen, "asset_id", "left")
+    carry = ["asset_id", "events", *(["seen"] if sensors is not None else [])]
+    asked = found.select(*carry, F.explode("assets").alias("a")).select(
+        *carry, "a.*", F.posexplode(F.array(*[F.to_date(F.lit(d)) for d in dates])).alias("at", "day")).where("installed is null or installed <= day")
+    asked = asked.select("*", F.filter("events", lambda e: e["span"] <= F.col("at")).alias("past"),
+                         F.filter("events", lambda e: e["span"] > F.col("at")).alias("future"))
+
+    def total(name: str) -> Column:
+        return F.aggregate(F.col("past")[name], F.lit(0).cast("long"), lambda s, x: s + x)
+
+    named = F.transform(F.filter("past", lambda e: e["material"].isNotNull()), lambda e: F.struct(e["last"], e["material"]))
     end = F.date_add("day", horizon_days)
-    label = F.when(F.col("_next") <= end, 1).when(end <= until, 0)
-    out = known.select(
-        "asset_id", F.col("day").alias("snapshot_date"), "asset_type", "manufacturer", F.col("_material").alias("material"),
-        F.datediff("day", "installed").alias("asset_age_days"), F.datediff("day", "_last").alias("days_since_last_maintenance"),
-        "maintenance_events", "failures_to_date", F.datediff("day", "_failed").alias("days_since_last_failure"),
-        label.cast("int").alias("failure_within_horizon"))
+    label = F.when(F.array_min(F.col("future")["next"]) <= end, 1).when(end <= until, 0)
+    out = asked.select(
+        "asset_id", F.col("day").alias("snapshot_date"), "asset_type", "manufacturer", F.array_max(named)["material"].alias("material"),
+        F.datediff("day", "installed").alias("asset_age_days"), F.datediff("day", F.array_max(F.col("past")["last"])).alias("days_since_last_maintenance"),
+        total("n").alias("maintenance_events"), total("f").alias("failures_to_date"),
+        F.datediff("day", F.array_max(F.col("past")["failed"])).alias("days_since_last_failure"),
+        label.cast("int").alias("failure_within_horizon"), *carry[2:])
     if sensors is None:
         return out
-    return out.join(sensor_history(sensors, snapshots), ["asset_id", "snapshot_date"], "left")
+    here = F.get(F.filter("seen", lambda x: x["snapshot_date"] == F.col("snapshot_date")), F.lit(0))
+    return out.withColumn("_here", here).select(*[c for c in out.columns if c != "seen"], *[F.col("_here")[c].alias(c) for c in SENSED])

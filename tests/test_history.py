@@ -115,3 +115,25 @@ def test_empty_inputs(spark):
     assert (r.maintenance_events, r.material, r.failure_within_horizon) == (0, None, None)
     with pytest.raises(ValueError):
         feature_history(one, log, [])
+
+
+def test_rows_are_repeated_per_date_after_the_last_shuffle(spark):
+    dim, log = _data()
+    sensors = spark.createDataFrame([("A1", dt.datetime(2020, 4, 30), "pressure", 2.0)], SENSORS)
+    df = feature_history(spark.createDataFrame(dim, DIM), spark.createDataFrame(log, LOG), ["2020-05-01", "2020-06-01"], observed_until="2021-01-01", sensors=sensors)
+    lines = df._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert any("posexplode" in line for line in lines[:next(i for i, line in enumerate(lines) if "Exchange" in line)])
+    # Sensor values come to their assets, not to every date of theirs.
+    assert not any("Join" in line and "snapshot_date" in line for line in lines)
+    assert sorted(r.avg_pressure_30d for r in df.collect() if r.avg_pressure_30d) == [2.0]
+
+
+def test_repeated_assets_materials_and_null_keys(spark):
+    dim = [("A", "Pump", "M", "2019-01-01", None)] * 2 + [(None, "Pump", "M", None, None), ("B", None, None, "2020-05-31", None)]
+    log = [("A", None, D(2020, 5, 1), 1), ("A", "x", D(2020, 4, 1), 0), (None, "z", D(2020, 4, 1), 0), ("B", "y", D(2020, 6, 2), 1), ("A", "w", D(2020, 4, 1), None)]
+    got = sorted(((r.asset_id, str(r.snapshot_date), r.material, r.days_since_last_maintenance, r.maintenance_events, r.failures_to_date,
+                   r.days_since_last_failure, r.failure_within_horizon) for r in feature_history(
+        spark.createDataFrame(dim, DIM), spark.createDataFrame(log, LOG), ["2020-05-01", "2020-06-01"], 1).collect()), key=str)
+    first, second = ("A", "2020-05-01", "x", 0, 3, 1, 0, 0), ("A", "2020-06-01", "x", 31, 3, 1, 31, 0)
+    assert got == sorted([first, first, second, second, ("B", "2020-06-01", None, None, 0, 0, None, 1),
+                          (None, "2020-05-01", "z", 30, 1, 0, None, 0), (None, "2020-06-01", "z", 61, 1, 0, None, 0)], key=str)
