@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterflow.operators.ml import NotConverged
@@ -31,6 +31,11 @@ def _prepared(history: DataFrame) -> DataFrame:
         *[F.col(c).isNull().cast("double").alias(n) for n, c in unknown.items()])
 
 
+def known_at(split: dt.date | str, horizon_days: int) -> Column:
+    """Rows of a history whose horizon had ended by ``split``."""
+    return F.date_add("snapshot_date", horizon_days) <= F.to_date(F.lit(str(split)))
+
+
 def fit_failure_model(history: DataFrame, split: dt.date | str, path: str, horizon_days: int = 90, max_iter: int = 500, reg: float = 0.01,
                       tol: float = 1e-7) -> None:
     """Fit a pipeline (types one-hot, logistic regression on standardised features) on what was known at ``split`` and store it.
@@ -42,10 +47,9 @@ def fit_failure_model(history: DataFrame, split: dt.date | str, path: str, horiz
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 
-    known = F.col(LABEL).isNotNull() & (F.date_add("snapshot_date", horizon_days) <= F.to_date(F.lit(str(split))))
     # Stored once: every round of the fit reads it.
     stored = scratch_path(history.sparkSession, "failure-training")
-    _prepared(history.where(known)).write.parquet(stored)
+    _prepared(history.where(F.col(LABEL).isNotNull() & known_at(split, horizon_days))).write.parquet(stored)
     data = history.sparkSession.read.parquet(stored)
     if data.agg(F.count_distinct(LABEL)).first()[0] < 2:
         raise ValueError(f"no failures, or nothing but failures, known at {split}")

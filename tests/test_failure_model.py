@@ -40,3 +40,19 @@ def test_learns_from_the_past_scores_every_later_row(spark, tmp_dir):
 def test_needs_both_labels(spark, tmp_dir):
     with pytest.raises(ValueError):
         fit_failure_model(spark.createDataFrame(_history(), KIND), "2023-02-01", tmp_dir + "/c")
+
+
+def test_backtest_computes_its_history_once(spark, monkeypatch):
+    from meterflow.plans import registry
+    from tests.conftest import SF_SMALL
+
+    class Seen(Exception):
+        pass
+
+    def fit(history, *_):
+        raise Seen(history._jdf.queryExecution().executedPlan().toString())
+
+    monkeypatch.setattr(registry.FM, "fit_failure_model", fit)
+    with pytest.raises(Seen) as found:
+        registry.QUERIES["failure_model_backtest"](spark, SF_SMALL)
+    assert "Exchange" not in str(found.value) and "Scan parquet" in str(found.value)
