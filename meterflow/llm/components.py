@@ -18,10 +18,10 @@ def components(edges: DataFrame) -> DataFrame:
     Each round gives every node the least root among its own, its neighbours'
     and that of the node its root names, which halves settled paths. Rounds end
     when none changes. The work of a round grows with the number of edges, so
-    callers give few edges a node (stars, forests), not all links.
+    callers give few edges a node (stars, forests), each once, not all links.
     """
     both = written(edges.select(F.col("a").alias("node"), F.col("b").alias("to")).unionByName(
-        edges.select(F.col("b").alias("node"), F.col("a").alias("to"))).where("node <> to").distinct(), "links")
+        edges.select(F.col("b").alias("node"), F.col("a").alias("to"))).where("node <> to"), "links")
     state = written(both.groupBy("node").agg(F.min("to").alias("to")).select("node", F.least("node", "to").alias("root")), "roots")
     while True:
         offers = both.join(state.select(F.col("node").alias("to"), "root"), "to").select("node", "root")

@@ -357,7 +357,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", crowded: int = CROWDED,
     links = region_links(members, sets, region, region_shingles)
     for more in links[1:]:
         links[0] = links[0].unionByName(more)
-    ends = rooted(rooted(links[0], "a", "x"), "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    ends = rooted(rooted(links[0], "a", "x"), "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
     second = components(ends).select(F.col("node").alias("root"), F.col("root").alias("_last"))
 
     last = first.join(second, "root", "left").select("node", F.coalesce("_last", "root").alias("root")).unionByName(

@@ -124,16 +124,12 @@ def links(fps: DataFrame, hot: int = HOT) -> DataFrame:
         seg.select("fp", "seg", F.explode(_raised(F.col("val"))).alias("point"), "rest", F.lit(False).alias("member")))
     live = _live(met, state)
     while True:
-        centers = live.where("member").groupBy("seg", "point").agg(F.min(F.struct("root", "fp")).alias("c"))
-        star = live.join(centers, ["seg", "point"]).select(F.col("fp").alias("a"), F.col("c.fp").alias("b"), "root", F.col("c.root").alias("_root"))
-        more = _one_a_pair(star)
+        more = _one_a_pair(live.select(F.col("fp").alias("a"), F.col("center").alias("b"), "root", F.col("center_root").alias("_root")))
         if not more.limit(1).count():
             break
         found = found.unionByName(more.select("a", "b"))
-        live = _live(live.drop("root"), _rooted(live.select("fp", "root").distinct(), more.select(F.col("root").alias("a"), F.col("_root").alias("b")), "root"))
-    sizes = live.groupBy("seg", "point").agg(F.count(F.lit(1)).alias("n"))
-    sized = live.join(sizes, ["seg", "point"])
-    few, many = sized.where(F.col("n") <= hot), sized.where(F.col("n") > hot)
+        live = _live(live.drop("root", "n", "center", "center_root"), _rooted(live.select("fp", "root").distinct(), more.select(F.col("root").alias("a"), F.col("_root").alias("b")), "root"))
+    few, many = live.where(F.col("n") <= hot), live.where(F.col("n") > hot)
     pairs = few.where("member").select("seg", "point", F.col("fp").alias("a"), "root").join(
         few.select("seg", "point", F.col("fp").alias("b"), F.col("root").alias("_root")), ["seg", "point"])
     found = found.unionByName(_one_a_pair(pairs.select("a", "b", "root", "_root")).select("a", "b"))
@@ -153,11 +149,13 @@ def _rooted(state: DataFrame, edges: DataFrame, node: str = "fp") -> DataFrame:
 
 
 def _live(met: DataFrame, state: DataFrame) -> DataFrame:
-    """What meets at points that a member and several groups share: (fp, seg, point, rest, member, root)."""
-    rows = met.join(state, "fp")
-    open_ = rows.groupBy("seg", "point").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.max("member").alias("held")).where(
-        "held and lo <> hi").select("seg", "point")
-    return written(rows.join(open_, ["seg", "point"], "left_semi").select("fp", "seg", "point", "rest", "member", "root"), "live")
+    """What meets at points that a member and several groups share: (fp, seg, point, rest, member, root), with the
+    number ``n`` of a point's rows and its least member, ``center``, in all of them."""
+    rows, member = met.join(state, "fp"), F.when(F.col("member"), F.col("fp"))
+    open_ = rows.groupBy("seg", "point").agg(
+        F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n"), F.min(member).alias("center"),
+        F.min_by("root", member).alias("center_root")).where("center is not null and lo <> hi").drop("lo", "hi")
+    return written(rows.join(open_, ["seg", "point"]).select("fp", "seg", "point", "rest", "member", "root", "n", "center", "center_root"), "live")
 
 
 def _one_a_pair(pairs: DataFrame) -> DataFrame:

@@ -112,3 +112,14 @@ def test_an_id_that_names_several_texts_loses_none(spark):
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, h string").repartition(3)
     got = sorted(((r.doc_id, r.text) for r in S.deduplicated(docs).collect()), key=str)
     assert got == sorted([(5, texts[0]), (5, texts[1]), (9, texts[2]), (None, texts[2])], key=str)
+
+
+def test_points_carry_their_size_and_least_member(spark):
+    """No aggregate or join of its own for the star's centers and the points' sizes."""
+    from meterflow.llm.simhash import _live
+
+    met = spark.createDataFrame([(5, 0, 1, 0, True), (3, 0, 1, 0, True), (2, 0, 1, 0, False), (5, 0, 2, 0, True), (3, 1, 1, 0, False), (2, 1, 1, 0, False)],
+                                "fp long, seg int, point long, rest long, member boolean")
+    state = spark.createDataFrame([(5, 2), (3, 3), (2, 2)], "fp long, root long")
+    got = sorted((r.fp, r.seg, r.point, r.root, r.n, r.center, r.center_root) for r in _live(met, state).collect())
+    assert got == [(2, 0, 1, 2, 3, 3, 3), (3, 0, 1, 3, 3, 3, 3), (5, 0, 1, 2, 3, 3, 3)]
