@@ -18,6 +18,12 @@ of two sets: |d(x, p) - d(y, p)| <= d(x, y).
   pivots is replicated to each. Sets within reach of the pivot are linked to it.
 * Windows. Only regions in which some set isn't connected to the pivot yet go
   on, with the sets whose distance to the pivot is within reach of such a one.
+* Differences. From here a set is the shingles in which it differs from its
+  pivot: two sets differ in what their differences don't share. A shingle that
+  no other set of the region has in its difference is shared with none, so
+  their numbers bound the distance of two sets from below, and sets that no set
+  of another component can be near by that bound are dropped (linear work). Edits
+  of a common text mostly are.
 * Recursion. A region of up to ``REGION`` sets is joined exactly in one task.
   A larger one gets new pivots: sets go to the Voronoi region of the nearest
   pivot p, and to that of any q with d(x, q) <= d(x, p) + 2 * reach, which
@@ -42,10 +48,10 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterflow.llm.common import release, slices, written
@@ -57,14 +63,18 @@ SHINGLE_WORDS, NUM, DEN = 3, 90, 100
 CROWDED = 32
 
 #: Sets, and shingles in all, of a region that one task joins; larger regions are split first.
-REGION, REGION_SHINGLES = 512, 4_000_000
+REGION, REGION_SHINGLES = 4096, 4_000_000
 
-#: New pivots of a region that is split, and the share of it that a child may have before it is dealt instead.
+#: New pivots of a region that is split, and the share of it that a child may have before it is dealt instead (also
+#: the share that a round of dropping must leave behind for another round).
 PIVOTS, SHRUNK = 8, 0.8
 
 #: Above the rounding of distances.
 EPS = 1e-9
 
+#: Bits by which texts that no step asks for are left out of a shuffle (8 MB); speed only.
+BITS = 1 << 26
+
 #: Keys of more rows than this share of all are joined by broadcast (at most 1 / HOT of them).
 HOT = 1 / 1000
 
@@ -144,17 +154,20 @@ def parts(h: np.ndarray, fine: bool = False) -> tuple[np.ndarray, np.ndarray, np
 
 
 def _lists(values: list[np.ndarray], flat: pa.Array) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(v) for v in values])]), pa.int32()), flat)
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, values)]), pa.int32()), flat)
 
 
-_PARTS = "array<struct<sig:bigint,scheme:int,spare:int>>"
+_PARTS = "array<struct<scheme:int,spare:int,sigs:array<bigint>>>"
 
 
 def _part_lists(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.ListArray:
-    sig, schemes, spare = ([f[i] for f in found] for i in range(3))
-    rows = pa.StructArray.from_arrays([pa.array(np.concatenate(sig).view(np.int64)), pa.array(np.concatenate(schemes)),
-                                       pa.array(np.concatenate(spare))], ["sig", "scheme", "spare"])
-    return _lists(sig, rows)
+    """The parts of every set by scheme: a bare list of signatures for each costs half of what one struct a part would."""
+    starts = [np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])) if len(k) else np.empty(0, np.int64) for _, k, _ in found]
+    sigs = [part for (sig, _, _), at in zip(found, starts) for part in (np.split(sig, at[1:]) if len(at) else [])]
+    flat = np.concatenate([np.empty(0, np.uint64), *sigs]).view(np.int64)
+    schemes, spare = (np.concatenate([np.empty(0, np.int32), *(f[i][at] for f, at in zip(found, starts))]) for i in (1, 2))
+    rows = pa.StructArray.from_arrays([pa.array(schemes), pa.array(spare), _lists(sigs, pa.array(flat))], ["scheme", "spare", "sigs"])
+    return _lists(starts, rows)
 
 
 def described(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -175,8 +188,10 @@ def described(docs: DataFrame, text: str = "text") -> DataFrame:
 def blocks_of(nodes: DataFrame, crowded: int = CROWDED) -> tuple[DataFrame, DataFrame, DataFrame]:
     """For nodes (node, parts): blocks of up to ``crowded`` sets as (pivot, node) under their least node, the
     (node, scheme) that need the others too, and those others as (sig, node, scheme)."""
-    rows = nodes.select("node", F.explode("parts").alias("p")).select("p.sig", "node", "p.scheme", "p.spare")
-    blocks = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("many"), F.min("node").alias("pivot")).where("many > 1")
+    rows = nodes.select("node", F.explode("parts").alias("p")).select(F.explode("p.sigs").alias("sig"), "node", "p.scheme", "p.spare").repartition("sig")
+    # All columns are read on both sides of the join, so that they share one shuffle.
+    blocks = rows.groupBy("sig").agg(F.count(F.lit(1)).alias("many"), F.min("node").alias("pivot"), F.min("scheme").alias("_scheme"),
+                                     F.min("spare").alias("_spare")).where("many > 1 and _scheme >= 0 and _spare is not null").drop("_scheme", "_spare")
     met = written(rows.join(blocks, "sig"), "blocks")
     few, hot = met.where(F.col("many") <= crowded), met.where(F.col("many") > crowded)
     bound = hot.groupBy("node", "scheme", "spare").agg(F.count(F.lit(1)).alias("hot")).where("hot >= spare").select("node", "scheme")
@@ -203,6 +218,22 @@ def crowded_regions(sets: DataFrame, bound: DataFrame, crowded: int = CROWDED) -
     return few.unionByName(hot.join(pivots, "sig").select("pivot", "node")).distinct()
 
 
+def _bit(key: Column) -> tuple[Column, Column]:
+    at = F.pmod(F.xxhash64(key), F.lit(BITS))
+    return F.bitmap_bucket_number(at), F.bitmap_bit_position(at)
+
+
+def likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is a label of ``wanted``, and few others, without a shuffle: a bit for every
+    label's hash, in ``BITS`` bits however many there are."""
+    page, bit = _bit(F.col("label"))
+    pages = wanted.select(page.alias("_page"), bit.alias("_bit")).groupBy("_page").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    page, bit = _bit(F.col("doc_id"))
+    byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    met = docs.withColumn("_page", page).withColumn("_bit", bit).join(F.broadcast(pages), "_page")
+    return met.where(F.call_function("getbit", byte, F.pmod("_bit", F.lit(8)).cast("int")) == 1).select(docs.columns)
+
+
 def sets_of(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
     """(node, n, set): the shingles of the documents named by ``wanted`` (node, label, key)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +247,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(same, pa.int64())), pa.array([len(h) for h in sets], pa.int64()),
                                               _lists(sets, pa.array(flat))], ["node", "n", "set"])
 
-    texts = docs.select("doc_id", F.col(text).alias("_text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("label")))
+    texts = likely(docs.select("doc_id", F.col(text).alias("_text")), wanted).join(wanted, F.col("doc_id").eqNullSafe(F.col("label")))
     found = written(texts.select("node", "key", "_text").mapInArrow(run, "node long, n long, set array<bigint>"), "shingles")
     repeated = found.groupBy("node").count().where("count > 1").limit(1).count()
     return written(found.dropDuplicates(["node"]), "shingles") if repeated else found
@@ -236,27 +267,110 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                       (1 - F.col("_both") / (F.col("_n") + F.col("_m") - F.col("_both"))).alias("d"))
 
 
-def join_region(node: np.ndarray, group: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs`` (pivot, node) with their sizes (``whole``, ``n``), the shingles of only one of them (``apart``) and
+    their number ``e``, their distance ``d`` and whether they are ``linked``."""
+    mine = pairs.join(sets.select("node", "n", F.col("set").alias("_set")), "node")
+    theirs = sets.select(F.col("node").alias("pivot"), F.col("n").alias("whole"), F.col("set").alias("_other"))
+    got = mine.join(theirs, "pivot").select("pivot", "node", "n", "whole", F.concat(
+        F.array_except("_set", "_other"), F.array_except("_other", "_set")).alias("apart"))
+    got = got.withColumn("e", F.size("apart").cast("long"))
+    both = (F.col("n") + F.col("whole") - F.col("e")) / 2
+    return got.withColumn("linked", _linked(both, F.col("n"), F.col("whole"))).withColumn("d", F.col("e") / (both + F.col("e")))
+
+
+def partners(rest: np.ndarray, cost: np.ndarray, root: np.ndarray) -> tuple[list[int], list[int], list[int], list[int]]:
+    """For each value v of ``rest``, ascending: (v, the least cost + SPAN * |rest - v| of all rows, its root, the least
+    of the rows with another root)."""
+    none = 1 << 62
+    order = np.argsort(rest, kind="stable")
+    rows = list(zip(rest[order].tolist(), cost[order].tolist(), root[order].tolist()))
+
+    def put(at, c, r):
+        if r == at[1]:
+            at[0] = min(at[0], c)
+        elif c < at[0]:
+            at[0], at[1], at[2] = c, r, at[0]
+        else:
+            at[2] = min(at[2], c)
+
+    def walk(rows):
+        # The second root is named too: it may come first later.
+        best, found, was = {}, {}, None
+        for v, c, r in rows:
+            if was is not None and v != was:
+                best = {k: x + SPAN * abs(v - was) for k, x in best.items()}
+            if c < best.get(r, none):
+                best[r] = c
+                if len(best) > 2:
+                    del best[max(best, key=best.get)]
+            found[v], was = dict(best), v
+        return found
+
+    up, down = walk(rows), walk(rows[::-1])
+    out = []
+    for v in up:
+        at = [none, None, none]
+        for found in (up[v], down[v]):
+            for r, c in found.items():
+                put(at, c, r)
+        out.append((v, *at))
+    return tuple(map(list, zip(*out))) if out else ([], [], [], [])
+
+
+#: Linked sets differ in at most (DEN - NUM) / SPAN of the sum of their sizes.
+SPAN = DEN + NUM
+
+
+def _hopeful(group: np.ndarray, size: np.ndarray, alone: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """Whether each set may be linked with one of another group, by its size and the numbers of its shingles that no
+    other (``alone``) and that some other set has (``rest``): two sets differ in alone + alone' + |rest - rest'| at least."""
+    cost = SPAN * alone - (DEN - NUM) * size
+    value, least, its, other = (np.array(x, np.int64) for x in partners(rest, cost, group))
+    at = np.searchsorted(value, rest)
+    return cost + np.where(its[at] != group, least[at], other[at]) <= 0
+
+
+def join_region(node: np.ndarray, group: np.ndarray, sets: list[np.ndarray], size: np.ndarray | None = None, whole: int = 0) -> list[tuple[int, int]]:
     """Links that connect the sets as all linked pairs do; pairs of one group are connected already.
 
-    Common shingles of every two sets come from products of the 0/1 matrix of
-    the shingles that several sets have, a bounded number of columns at a time.
+    With ``size``, ``sets`` are the differences of sets of that size from one
+    of size ``whole`` (by default from the empty set). Common shingles of every
+    two come from products of the 0/1 matrix of the shingles that several have,
+    a bounded number of columns at a time.
     """
-    size = np.array([len(s) for s in sets], np.int64)
-    owner = np.repeat(np.arange(len(sets)), size)
-    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    rank = np.cumsum(count > 1) - 1
-    shared = count[column] > 1
-    owner, column = owner[shared], rank[column[shared]]
+    count = np.array([len(s) for s in sets], np.int64)
+    size = count if size is None else size
+    owner = np.repeat(np.arange(len(sets)), count)
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    kept = np.ones(len(sets), bool)
+    while kept.any():
+        shared = times[column] > 1
+        rest = np.bincount(owner[shared], minlength=len(sets))
+        now = kept.copy()
+        now[kept] = _hopeful(group[kept], size[kept], (count - rest)[kept], rest[kept])
+        few, kept = now.sum() > kept.sum() * SHRUNK, now
+        if few:
+            break
+        times = np.bincount(column[kept[owner]], minlength=len(times))
+    if not kept.any():
+        return []
+    shared &= kept[owner]
+    place = np.cumsum(kept) - 1
+    rank = np.cumsum(np.bincount(column[shared], minlength=len(times)) > 0) - 1
+    owner, column = place[owner[shared]], rank[column[shared]]
+    node, group, size, count = node[kept], group[kept], size[kept], count[kept]
+    lacks = (count + whole - size) // 2
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
-    both, width = np.zeros((len(sets), len(sets))), max(1, 8_000_000 // len(sets))
-    for at in range(0, int(rank[-1]) + 1 if len(rank) else 0, width):
+    columns = int(rank[-1]) + 1 if len(rank) else 0
+    kind = np.float32 if columns < 1 << 24 else np.float64
+    both, width = np.zeros((len(node), len(node)), kind), max(1, 8_000_000 // len(node))
+    for at in range(0, columns, width):
         lo, hi = np.searchsorted(column, [at, at + width])
-        x = np.zeros((len(sets), width), np.float32)
+        x = np.zeros((len(node), min(width, columns - at)), np.float32)
         x[owner[lo:hi], column[lo:hi] - at] = 1
         both += x @ x.T
-    linked = np.triu((both * DEN >= (size[:, None] + size - both) * NUM) & (group[:, None] != group), 1)
     root = {g: g for g in group.tolist()}
 
     def find(g):
@@ -266,21 +380,56 @@ def join_region(node: np.ndarray, group: np.ndarray, sets: list[np.ndarray]) ->
         return g
 
     out = []
-    for i, j in zip(*(x.tolist() for x in np.nonzero(linked))):
-        a, b = find(int(group[i])), find(int(group[j]))
-        if a != b:
-            root[b] = a
-            out.append((int(node[i]), int(node[j])))
+    for lo in range(0, len(node), 256):
+        hi = min(lo + 256, len(node))
+        common = both[lo:hi].astype(np.int64) + whole - lacks[lo:hi, None] - lacks
+        near = (common * DEN >= (size[lo:hi, None] + size - common) * NUM) & (group[lo:hi, None] != group)
+        for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(near, lo + 1)))):
+            a, b = find(int(group[lo + i])), find(int(group[j]))
+            if a != b:
+                root[b] = a
+                out.append((int(node[lo + i]), int(node[j])))
     return out
 
 
-def _joined(small: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links (a, b) within regions that fit one task; ``small`` is (region, node, root)."""
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        found = join_region(rows["node"].to_numpy(), rows["root"].to_numpy(), [np.asarray(s) for s in rows["set"]])
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+def _joined(small: DataFrame) -> DataFrame:
+    """Links (a, b) within regions that fit one task; ``small`` is (region, node, root, n, whole, apart)."""
+    def run(rows: pa.Table) -> pa.Table:
+        apart = rows.column("apart").combine_chunks()
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(apart).to_numpy(zero_copy_only=False))])
+        flat = apart.flatten().to_numpy()
+        found = join_region(rows["node"].to_numpy(), rows["root"].to_numpy(), [flat[i:j] for i, j in zip(ends, ends[1:])],
+                            rows["n"].to_numpy(), rows["whole"][0].as_py())
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return small.select("region", "node", "root", "n", "whole", "apart").groupBy("region").applyInArrow(run, "a long, b long")
+
+
+def _with_sets(small: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members (region, node, root) with their whole sets, as differences from the empty one."""
+    whole = sets.select("node", F.col("n"), F.lit(0).cast("long").alias("whole"), F.col("set").alias("apart"))
+    return small.select("region", "node", "root").join(whole, "node")
+
+
+def hopeful(members: DataFrame) -> DataFrame:
+    """The members (region, node, n, root, whole, apart) that a set of another group of their region may be linked with."""
+    met = members.select("region", "node", F.explode("apart").alias("h")).groupBy("region", "h").agg(
+        F.count(F.lit(1)).alias("many"), F.min("node").alias("node"))
+    alone = met.where("many = 1").groupBy("region", "node").agg(F.count(F.lit(1)).alias("alone"))
+    rows = members.join(alone, ["region", "node"], "left").withColumn("alone", F.coalesce("alone", F.lit(0).cast("long")))
+    rows = written(rows.withColumn("rest", F.size("apart") - F.col("alone")).withColumn("cost", SPAN * F.col("alone") - (DEN - NUM) * F.col("n")), "alone")
 
-    return small.select("region", "node", "root").join(sets.select("node", "set"), "node").groupBy("region").applyInPandas(run, "a long, b long")
+    def run(rows: pa.Table) -> pa.Table:
+        found = partners(*(rows[c].to_numpy() for c in ("rest", "cost", "root")))
+        of = pa.repeat(rows["region"][0], len(found[0]))
+        return pa.table([of, *(pa.array(x, pa.int64()) for x in found)], ["region", "rest", "least", "its", "other"])
+
+    # The two least costs of different groups stand for all sets of one ``rest``.
+    least = rows.groupBy("region", "rest", "root").agg(F.min("cost").alias("cost"))
+    two = least.withColumn("_at", F.row_number().over(Window.partitionBy("region", "rest").orderBy("cost", "root"))).where("_at <= 2")
+    table = two.groupBy("region").applyInArrow(run, "region string, rest long, least long, its long, other long")
+    able = F.col("cost") + F.when(F.col("its") != F.col("root"), F.col("least")).otherwise(F.col("other")) <= 0
+    return rows.join(table, ["region", "rest"]).where(able).select(members.columns)
 
 
 def _dealt(large: DataFrame, region: int, region_shingles: int) -> DataFrame:
@@ -291,9 +440,9 @@ def _dealt(large: DataFrame, region: int, region_shingles: int) -> DataFrame:
         F.concat_ws(":", "region", F.least("_at", "_with").cast("string"), F.greatest("_at", "_with").cast("string")).alias("region"), "node", "n", "root")
 
 
-def _sized(members: DataFrame) -> DataFrame:
+def _sized(members: DataFrame, size: str = "n") -> DataFrame:
     """Members (region, node, n, root) with their region's number of sets and shingles; regions of one group are done."""
-    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("total"),
+    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("many"), F.sum(size).alias("total"),
                                           F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi")
     return written(members.join(sizes.drop("_lo", "_hi"), "region"), "regions")
 
@@ -305,7 +454,7 @@ def region_links(members: DataFrame, sets: DataFrame, region: int = REGION, regi
     slack = 2 * (1 - NUM / DEN) + EPS
     found, now, depth = [], _sized(members), 0
     while True:
-        found.append(written(_joined(now.where(limit), sets), "links"))
+        found.append(written(_joined(_with_sets(now.where(limit), sets)), "links"))
         large = now.where(~limit)
         if not large.limit(1).count():
             return found
@@ -323,10 +472,37 @@ def region_links(members: DataFrame, sets: DataFrame, region: int = REGION, regi
         grown = sized.join(was, "region")
         stuck = ~limit & (F.col("many") > F.col("_all") * SHRUNK)
         dealt = _dealt(grown.where(stuck), region, region_shingles)
-        found.append(written(_joined(dealt, sets), "links"))
+        found.append(written(_joined(_with_sets(dealt, sets)), "links"))
         now, depth = written(grown.where(~stuck).drop("_all"), "regions"), depth + 1
 
 
+def difference_links(members: DataFrame, star: DataFrame, sets: DataFrame, region: int = REGION,
+                     region_shingles: int = REGION_SHINGLES) -> list[DataFrame]:
+    """Links within the regions of first pivots, ``members`` (region, node, n, root, whole, e), by differences from the
+    pivot: ``star`` (pivot, node, apart). Regions too large for a task drop the sets without hope first, round by round,
+    and those that stay too large go on as whole sets."""
+    limit = (F.col("many") <= region) & (F.col("total") <= region_shingles)
+    apart = star.select(F.col("pivot").cast("string").alias("region"), "node", "apart")
+
+    def given(df: DataFrame) -> DataFrame:
+        return df.drop("many", "total").join(apart, ["region", "node"], "left").withColumn(
+            "apart", F.coalesce("apart", F.array().cast("array<bigint>")))
+
+    now = _sized(members, "e")
+    found = [written(_joined(given(now.where(limit))), "links")]
+    large = now.where(~limit).drop("many", "total")
+    before = large.count()
+    while before:
+        now = _sized(hopeful(given(large)).drop("apart"), "e")
+        found.append(written(_joined(given(now.where(limit))), "links"))
+        large = now.where(~limit).drop("many", "total")
+        left = large.count()
+        if left > before * SHRUNK:
+            return found + region_links(large.select("region", "node", "n", "root"), sets, region, region_shingles)
+        before = left
+    return found
+
+
 def near_duplicates(docs: DataFrame, text: str = "text", crowded: int = CROWDED, region: int = REGION,
                     region_shingles: int = REGION_SHINGLES) -> DataFrame:
     """doc_id, n_shingles and component_id for every row."""
@@ -340,21 +516,23 @@ def near_duplicates(docs: DataFrame, text: str = "text", crowded: int = CROWDED,
     wanted = written(nodes.select("node", "label", "key").join(met, "node", "left_semi"), "wanted")
     sets = sets_of(docs, wanted, text)
     regions = written(few.unionByName(crowded_regions(sets, bound, crowded)).distinct(), "members")
-    star = written(distances(regions.where("node <> pivot"), sets), "stars")
+    star = written(differences(regions.where("node <> pivot"), sets), "stars")
     first = components(star.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
 
     # Windows: sets not connected to their pivot, and those whose distance to it is within reach of one of them.
     def rooted(df: DataFrame, of: str, name: str) -> DataFrame:
         return df.join(first.select(F.col("node").alias(of), F.col("root").alias(name)), of, "left").withColumn(name, F.coalesce(name, of))
 
-    known = rooted(rooted(star.select("pivot", "node", "d").unionByName(
-        regions.where("node = pivot").select("pivot", "node", F.lit(0.0).alias("d"))), "node", "root"), "pivot", "_pivot_root")
+    thin = star.select("pivot", "node", "n", "whole", "e", "d")
+    heads = thin.groupBy("pivot").agg(F.first("whole").alias("whole")).select(
+        "pivot", F.col("pivot").alias("node"), F.col("whole").alias("n"), "whole", F.lit(0).cast("long").alias("e"), F.lit(0.0).alias("d"))
+    known = rooted(rooted(thin.unionByName(heads), "node", "root"), "pivot", "_pivot_root")
     apart = F.when(F.col("root") != F.col("_pivot_root"), F.col("d"))
     span = known.groupBy("pivot").agg(F.min(apart).alias("_lo"), F.max(apart).alias("_hi")).where("_lo is not null")
     margin = 1 - NUM / DEN + EPS
     members = known.join(span, "pivot").where(F.col("d").between(F.col("_lo") - margin, F.col("_hi") + margin))
-    members = members.join(nodes.select("node", "n"), "node").select(F.col("pivot").cast("string").alias("region"), "node", "n", "root")
-    links = region_links(members, sets, region, region_shingles)
+    members = members.select(F.col("pivot").cast("string").alias("region"), "node", "n", "root", "whole", "e")
+    links = difference_links(members, star, sets, region, region_shingles)
     for more in links[1:]:
         links[0] = links[0].unionByName(more)
     ends = rooted(rooted(links[0], "a", "x"), "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()

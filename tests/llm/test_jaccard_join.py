@@ -167,3 +167,53 @@ def test_regions_join_as_all_pairs_do():
         return root
 
     assert groups(links) == groups(plain)
+
+
+def test_edits_of_a_common_text_are_dropped_before_pairs(spark, monkeypatch):
+    """A family whose members are too far apart is settled by counts of its differences: none is dealt or copied."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(160)]
+    rows = [(0, " ".join(base))] + [(i, " ".join(edited(rng, base, 1 if i % 3 else 8))) for i in range(1, 61)]
+    went_on, links = [], J.region_links
+    monkeypatch.setattr(J, "region_links", lambda members, *a: went_on.append(members.count()) or links(members, *a))
+    assert result(J.near_duplicates(frame(spark, rows), crowded=4, region=8)) == brute(rows)
+    assert sum(went_on) == 0
+
+
+def test_a_set_has_hope_as_by_all_pairs():
+    rng = np.random.default_rng(2)
+    for _ in range(200):
+        m = int(rng.integers(1, 30))
+        group, size = rng.integers(0, int(rng.integers(1, 6)), m), rng.integers(20, 60, m)
+        alone, rest = rng.integers(0, 8, m), rng.integers(0, 8, m)
+        plain = [any(group[i] != group[j] and 190 * (alone[i] + alone[j] + abs(rest[i] - rest[j])) <= 10 * (size[i] + size[j])
+                     for j in range(m)) for i in range(m)]
+        assert J._hopeful(group, size, alone, rest).tolist() == plain
+
+
+def test_regions_join_by_differences_as_by_sets():
+    rng = np.random.default_rng(3)
+    for _ in range(40):
+        base = np.unique(rng.integers(0, 2000, 80))
+        cut = lambda: rng.permutation(base)[int(rng.integers(0, 12)):]
+        sets = [np.unique(np.concatenate([cut(), rng.integers(0, 2000, rng.integers(0, 8))])) for _ in range(30)]
+        group = rng.integers(0, 25, 30)
+        apart, size = [np.setxor1d(s, base) for s in sets], np.array([len(s) for s in sets])
+        by_sets = J.join_region(np.arange(30), group, sets)
+        assert J.join_region(np.arange(30), group, apart, size, len(base)) == by_sets
+        plain = [(i, j) for i in range(30) for j in range(i + 1, 30) if group[i] != group[j] and linked(frozenset(sets[i]), frozenset(sets[j]))]
+        joined = {g: g for g in group.tolist()}
+        for a, b in by_sets:
+            assert (a, b) in plain
+            old, new = joined[int(group[a])], joined[int(group[b])]
+            joined = {g: new if r == old else r for g, r in joined.items()}
+        assert all(joined[int(group[i])] == joined[int(group[j])] for i, j in plain)
+
+
+def test_only_texts_that_are_asked_for_are_sent(spark):
+    """No wanted id is left out, null among them, and most others are."""
+    docs = spark.range(4000).selectExpr("if(id = 7, null, id) as doc_id", "cast(id as string) as text")
+    wanted = spark.createDataFrame([(None,), *((i,) for i in range(0, 4000, 40))], "label long")
+    found = {r.doc_id for r in J.likely(docs, wanted).collect()}
+    assert found >= {None, *range(0, 4000, 40)} and len(found) < 300
+    assert J.likely(docs, wanted.limit(0)).count() == 0
