@@ -157,6 +157,10 @@ def _lists(values: list[np.ndarray], flat: pa.Array) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, values)]), pa.int32()), flat)
 
 
+def _set_lists(sets: list[np.ndarray]) -> pa.ListArray:
+    return _lists(sets, pa.array(np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)))
+
+
 _PARTS = "array<struct<scheme:int,spare:int,sigs:array<bigint>>>"
 
 
@@ -198,21 +202,22 @@ def blocks_of(nodes: DataFrame, crowded: int = CROWDED) -> tuple[DataFrame, Data
     return written(few.select("pivot", "node").distinct(), "few"), written(bound, "bound"), hot.select("sig", "node", "scheme")
 
 
-def finer(sets: DataFrame, bound: DataFrame) -> DataFrame:
+def finer(texts: DataFrame, bound: DataFrame) -> DataFrame:
     """(node, parts): the smaller parts of the sets named by ``bound``, under its schemes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for b in slices(batches):
-            found = [parts(s.values.to_numpy().view(np.uint64), True) for s in b.column(1)]
+            found = [parts(shingles(x), True) for x in b.column(1).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), _part_lists(found)], ["node", "parts"])
 
-    mine = sets.select("node", "set").join(bound.select("node").distinct(), "node", "left_semi").mapInArrow(run, f"node long, parts {_PARTS}")
+    mine = texts.select("node", "text").join(bound.select("node").distinct(), "node", "left_semi").mapInArrow(run, f"node long, parts {_PARTS}")
     return mine.join(bound.groupBy("node").agg(F.collect_list("scheme").alias("schemes")), "node").select(
         "node", F.filter("parts", lambda p: F.array_contains("schemes", p["scheme"])).alias("parts"))
 
 
-def crowded_regions(sets: DataFrame, bound: DataFrame, crowded: int = CROWDED) -> DataFrame:
+def crowded_regions(texts: DataFrame, bound: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """(pivot, node) for the sets that need crowded blocks, after a cut into smaller parts."""
-    few, still, hot = blocks_of(finer(sets, bound), crowded)
+    few, still, hot = blocks_of(finer(texts, bound), crowded)
     hot = hot.join(still, ["node", "scheme"], "left_semi").select("sig", "node")
     pivots = hot.groupBy("sig").agg(F.count(F.lit(1)).alias("many"), F.min("node").alias("pivot")).where("many > 1")
     return few.unionByName(hot.join(pivots, "sig").select("pivot", "node")).distinct()
@@ -223,34 +228,49 @@ def _bit(key: Column) -> tuple[Column, Column]:
     return F.bitmap_bucket_number(at), F.bitmap_bit_position(at)
 
 
-def likely(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def likely(docs: DataFrame, wanted: DataFrame, key: str = "doc_id", label: str = "label") -> DataFrame:
     """The rows of ``docs`` whose doc_id is a label of ``wanted``, and few others, without a shuffle: a bit for every
     label's hash, in ``BITS`` bits however many there are."""
-    page, bit = _bit(F.col("label"))
+    page, bit = _bit(F.col(label))
     pages = wanted.select(page.alias("_page"), bit.alias("_bit")).groupBy("_page").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
-    page, bit = _bit(F.col("doc_id"))
+    page, bit = _bit(F.col(key))
     byte = F.conv(F.hex(F.substring("_bits", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     met = docs.withColumn("_page", page).withColumn("_bit", bit).join(F.broadcast(pages), "_page")
     return met.where(F.call_function("getbit", byte, F.pmod("_bit", F.lit(8)).cast("int")) == 1).select(docs.columns)
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
-    """(node, n, set): the shingles of the documents named by ``wanted`` (node, label, key)."""
+def texts_of(docs: DataFrame, wanted: DataFrame, text: str = "text") -> DataFrame:
+    """(node, n, text, ...): the documents named by ``wanted`` (node, label, key, ...), with the sizes of their sets.
+
+    Texts are what is kept and shuffled: a set's hashes don't compress and take twice a text's room.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
         for b in slices(batches):
             sets = [shingles(x) for x in b.column(2).cast(pa.binary()).to_pylist()]
             # One id may name several texts.
             same = [i for i, (h, k) in enumerate(zip(sets, b.column(1).to_pylist())) if xxhash.xxh3_128_digest(h.tobytes()) == k]
-            sets = [sets[i] for i in same]
-            flat = np.concatenate([np.empty(0, np.uint64), *sets]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(same, pa.int64())), pa.array([len(h) for h in sets], pa.int64()),
-                                              _lists(sets, pa.array(flat))], ["node", "n", "set"])
+            at = pa.array(same, pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0).take(at), pa.array([len(sets[i]) for i in same], pa.int64()),
+                                              *(c.take(at) for c in b.columns[2:])], ["node", "n", "text", *more])
 
+    more = [c for c in wanted.columns if c not in ("node", "label", "key")]
+    kinds = "".join(f", {c} {wanted.schema[c].dataType.simpleString()}" for c in more)
     texts = likely(docs.select("doc_id", F.col(text).alias("_text")), wanted).join(wanted, F.col("doc_id").eqNullSafe(F.col("label")))
-    found = written(texts.select("node", "key", "_text").mapInArrow(run, "node long, n long, set array<bigint>"), "shingles")
+    found = written(texts.select("node", "key", "_text", *more).mapInArrow(run, f"node long, n long, text string{kinds}"), "texts")
     repeated = found.groupBy("node").count().where("count > 1").limit(1).count()
-    return written(found.dropDuplicates(["node"]), "shingles") if repeated else found
+    return written(found.dropDuplicates(["node"]), "texts") if repeated else found
+
+
+def sets_of(texts: DataFrame) -> DataFrame:
+    """(node, n, set): the shingles of ``texts`` (node, text)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        for b in slices(batches):
+            sets = [shingles(x) for x in b.column(1).cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([len(h) for h in sets], pa.int64()), _set_lists(sets)], ["node", "n", "set"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, n long, set array<bigint>")
 
 
 def _linked(both: Column, a: Column, b: Column) -> Column:
@@ -267,13 +287,25 @@ def distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                       (1 - F.col("_both") / (F.col("_n") + F.col("_m") - F.col("_both"))).alias("d"))
 
 
-def differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (pivot, node) with their sizes (``whole``, ``n``), the shingles of only one of them (``apart``) and
-    their number ``e``, their distance ``d`` and whether they are ``linked``."""
-    mine = pairs.join(sets.select("node", "n", F.col("set").alias("_set")), "node")
-    theirs = sets.select(F.col("node").alias("pivot"), F.col("n").alias("whole"), F.col("set").alias("_other"))
-    got = mine.join(theirs, "pivot").select("pivot", "node", "n", "whole", F.concat(
-        F.array_except("_set", "_other"), F.array_except("_other", "_set")).alias("apart"))
+def differences(texts: DataFrame) -> DataFrame:
+    """For texts (node, n, text, pivots) every (pivot, node) with their sizes (``whole``, ``n``), the shingles of only
+    one of them (``apart``) and their number ``e``, their distance ``d`` and whether they are ``linked``. Sets are made
+    where two texts meet."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        pivot, other = None, np.empty(0, np.uint64)
+        for b in slices(batches):
+            apart = []
+            for p, own, at in zip(b.column(0).to_pylist(), b.column(4).cast(pa.binary()).to_pylist(), b.column(5).cast(pa.binary())):
+                if p != pivot:
+                    pivot, other = p, shingles(at.as_py())
+                apart.append(np.setxor1d(shingles(own), other, assume_unique=True))
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], _set_lists(apart)], ["pivot", "node", "n", "whole", "apart"])
+
+    mine = texts.select(F.explode("pivots").alias("pivot"), "node", "n", F.col("text").alias("_text"))
+    theirs = likely(texts.select("node", "n", "text"), mine.select("pivot"), "node", "pivot").select(F.col("node").alias("pivot"), F.col("n").alias("whole"), F.col("text").alias("_other"))
+    got = mine.join(theirs, "pivot").select("pivot", "node", "n", "whole", "_text", "_other")
+    got = got.mapInArrow(run, "pivot long, node long, n long, whole long, apart array<bigint>")
     got = got.withColumn("e", F.size("apart").cast("long"))
     both = (F.col("n") + F.col("whole") - F.col("e")) / 2
     return got.withColumn("linked", _linked(both, F.col("n"), F.col("whole"))).withColumn("d", F.col("e") / (both + F.col("e")))
@@ -476,7 +508,7 @@ def region_links(members: DataFrame, sets: DataFrame, region: int = REGION, regi
         now, depth = written(grown.where(~stuck).drop("_all"), "regions"), depth + 1
 
 
-def difference_links(members: DataFrame, star: DataFrame, sets: DataFrame, region: int = REGION,
+def difference_links(members: DataFrame, star: DataFrame, texts: DataFrame, region: int = REGION,
                      region_shingles: int = REGION_SHINGLES) -> list[DataFrame]:
     """Links within the regions of first pivots, ``members`` (region, node, n, root, whole, e), by differences from the
     pivot: ``star`` (pivot, node, apart). Regions too large for a task drop the sets without hope first, round by round,
@@ -498,6 +530,7 @@ def difference_links(members: DataFrame, star: DataFrame, sets: DataFrame, regio
         large = now.where(~limit).drop("many", "total")
         left = large.count()
         if left > before * SHRUNK:
+            sets = written(sets_of(texts.join(large.select("node"), "node", "left_semi")), "shingles")
             return found + region_links(large.select("region", "node", "n", "root"), sets, region, region_shingles)
         before = left
     return found
@@ -512,11 +545,14 @@ def near_duplicates(docs: DataFrame, text: str = "text", crowded: int = CROWDED,
         "node", F.monotonically_increasing_id()), "nodes")
 
     few, bound, _ = blocks_of(nodes.select("node", "parts"), crowded)
-    met = few.select("node").unionByName(bound.select("node")).distinct()
-    wanted = written(nodes.select("node", "label", "key").join(met, "node", "left_semi"), "wanted")
-    sets = sets_of(docs, wanted, text)
-    regions = written(few.unionByName(crowded_regions(sets, bound, crowded)).distinct(), "members")
-    star = written(differences(regions.where("node <> pivot"), sets), "stars")
+
+    def read(of: DataFrame) -> DataFrame:
+        return texts_of(docs, written(nodes.select("node", "label", "key").join(of, "node"), "wanted"), text)
+
+    regions = few.unionByName(crowded_regions(read(bound.select("node").distinct()), bound, crowded)).distinct()
+    # Texts are read with their pivots, so that they go from their documents to their regions: not by node between.
+    texts = read(regions.groupBy("node").agg(F.collect_list(F.when(F.col("node") != F.col("pivot"), F.col("pivot"))).alias("pivots")))
+    star = written(differences(texts), "stars")
     first = components(star.where("linked").select(F.col("node").alias("a"), F.col("pivot").alias("b")))
 
     # Windows: sets not connected to their pivot, and those whose distance to it is within reach of one of them.
@@ -532,7 +568,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", crowded: int = CROWDED,
     margin = 1 - NUM / DEN + EPS
     members = known.join(span, "pivot").where(F.col("d").between(F.col("_lo") - margin, F.col("_hi") + margin))
     members = members.select(F.col("pivot").cast("string").alias("region"), "node", "n", "root", "whole", "e")
-    links = difference_links(members, star, sets, region, region_shingles)
+    links = difference_links(members, star, texts, region, region_shingles)
     for more in links[1:]:
         links[0] = links[0].unionByName(more)
     ends = rooted(rooted(links[0], "a", "x"), "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()

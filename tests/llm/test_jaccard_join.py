@@ -217,3 +217,22 @@ def test_only_texts_that_are_asked_for_are_sent(spark):
     found = {r.doc_id for r in J.likely(docs, wanted).collect()}
     assert found >= {None, *range(0, 4000, 40)} and len(found) < 300
     assert J.likely(docs, wanted.limit(0)).count() == 0
+
+
+def test_texts_go_to_their_regions_in_one_shuffle_and_sets_in_none(spark, monkeypatch):
+    """Texts are read with their pivots and meet them after one exchange by pivot; no whole set is kept or dealt."""
+    rng = random.Random(10)
+    base = [f"w{i}" for i in range(90)]
+    rows = [(i, " ".join(edited(rng, base, 1))) for i in range(20)] + [(20 + i, " ".join(edited(rng, base[::-1], 6))) for i in range(20)]
+    kept, apart, write, differ = [], [], J.written, J.differences
+    monkeypatch.setattr(J, "written", lambda df, name: kept.append(df.columns) or write(df, name))
+    monkeypatch.setattr(J, "differences", lambda texts: apart.append((texts, differ(texts))) or apart[-1][1])
+    assert result(J.near_duplicates(frame(spark, rows), crowded=4)) == brute(rows)
+    assert not [c for c in kept if "set" in c]
+    plan = apart[0][1]._jdf.queryExecution().executedPlan().toString()
+    by = re.findall(r"hashpartitioning\((\w+?)#", plan)
+    assert by.count("pivot") <= 2 and set(by) <= {"pivot", "_page"}
+    sets = {r.node: {x % 2 ** 64 for x in r.set} for r in J.sets_of(apart[0][0]).collect()}
+    found = apart[0][1].collect()
+    assert found and all((r.n, r.whole) == (len(sets[r.node]), len(sets[r.pivot])) and r.e == len(r.apart) and
+                         {x % 2 ** 64 for x in r.apart} == sets[r.node] ^ sets[r.pivot] for r in found)
